@@ -104,20 +104,7 @@ def nearest_points(wanted: DataFrame, known: DataFrame, k: int) -> DataFrame:
     points = known.withColumn("ix", index("lat", box["lat"])).withColumn(
         "iy", index("lon", box["lon"])
     )
-    depth, too_deep = min(DEEPEST, quadrant_depth(box["rows"], PER_LEAF, 1 << (2 * FAN_BITS))), DEEPEST
-    while depth < too_deep:
-        fullest = _cells(points, depth).agg(F.max("held")).first()[0]
-        if fullest <= PER_LEAF:
-            too_deep = depth
-        elif too_deep - depth == 1:
-            depth = too_deep
-        else:
-            middle = (depth + too_deep) // 2
-            held = _cells(points, middle).agg(F.max("held")).first()[0]
-            depth, too_deep = (depth, middle) if held <= PER_LEAF else (middle, too_deep)
-            if too_deep - depth == 1:
-                depth = too_deep
-
+    depth = _leaf_depth(points, box["rows"])
     frontier = wanted.select(
         "u_lat", "u_lon", F.lit(0).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy")
     )
@@ -157,6 +144,22 @@ def nearest_points(wanted: DataFrame, known: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _leaf_depth(points: DataFrame, rows: int) -> int:
+    """Shallowest level whose fullest cell holds at most ``PER_LEAF`` points."""
+
+    def small_enough(level: int) -> bool:
+        return (_cells(points, level).agg(F.max("held")).first()[0] or 0) <= PER_LEAF
+
+    low = min(DEEPEST, quadrant_depth(rows, PER_LEAF, 1 << (2 * FAN_BITS)))
+    if low == DEEPEST or small_enough(low):
+        return low
+    high = DEEPEST
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if small_enough(middle) else (middle, high)
+    return high
+
+
 def _cells(points: DataFrame, level: int) -> DataFrame:
     """Cells of one level with their parent, count and the true bounds of their points."""
     shift = FAN_BITS * (DEEPEST - level)
