@@ -164,10 +164,9 @@ def is_subindex_source(source: Column | str) -> Column:
 
 def air_quality_index(pm25: Column | str, pm10: Column | str, source: Column | str) -> Column:
     """Overall index of a reading, on the scale its source reports."""
-    pm25, pm10 = missing_to_null(pm25), missing_to_null(pm10)
-    return F.when(is_subindex_source(source), F.greatest(pm25, pm10)).otherwise(
-        F.greatest(sub_index(pm25, PM25_BREAKPOINTS), sub_index(pm10, PM10_BREAKPOINTS))
-    )
+    return F.when(
+        is_subindex_source(source), F.greatest(missing_to_null(pm25), missing_to_null(pm10))
+    ).otherwise(F.greatest(sub_index(pm25, PM25_BREAKPOINTS), sub_index(pm10, PM10_BREAKPOINTS)))
 
 
 def index_category(index: Column | str) -> Column:

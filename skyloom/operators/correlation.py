@@ -40,14 +40,13 @@ def correlate(
 ) -> DataFrame:
     """``(groups, n, pearson, spearman)``; ranks average over ties.
 
-    Ranks come from counts of distinct values, so no group is ranked inside one task.
+    Groups too large for one task are ranked from counts of distinct values.
     """
     groups = list(groups)
     pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         *groups, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")
     )
-    ranked = average_ranks(pairs, groups, "_x", "_rx", chunk_rows)
-    ranked = average_ranks(ranked, groups, "_y", "_ry", chunk_rows)
+    ranked = average_ranks(pairs, groups, {"_rx": "_x", "_ry": "_y"}, chunk_rows)
     return (
         ranked.groupBy(*groups)
         .agg(*_pearson("_x", "_y"), F.corr("_rx", "_ry").alias("_rho"))

@@ -166,35 +166,37 @@ def running_totals(
     groups: Sequence[str],
     order: Sequence[str],
     weights: dict[str, str],
+    *,
+    group_totals: dict[str, str] | None = None,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Add, per output name, the total of its weight column over all earlier rows."""
+    """Add, per output name, the total of its weight column over all earlier rows, and, per
+    name in ``group_totals``, the total over the whole group."""
+    group_totals = group_totals or {}
     layout = split_groups(df, groups, order, chunk_rows)
-    before = Window.partitionBy(*layout.keys).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    ordered = Window.partitionBy(*layout.keys).orderBy(*order)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     out = layout.df.withColumns(
         {name: F.coalesce(F.sum(w).over(before), F.lit(0)) for name, w in weights.items()}
     )
-    if layout.split:
-        earlier = Window.partitionBy(*layout.groups).orderBy(*layout.chunks).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        totals = layout.df.groupBy(*layout.keys).agg(
-            *[F.sum(w).alias(f"_total_{name}") for name, w in weights.items()]
-        )
-        bases = totals.select(
-            *layout.keys,
-            *[
-                F.coalesce(F.sum(f"_total_{name}").over(earlier), F.lit(0)).alias(f"_base_{name}")
-                for name in weights
-            ],
-        )
-        out = match_null_safe(out, bases, layout.keys)
-        out = out.withColumns(
-            {name: F.col(name) + F.col(f"_base_{name}") for name in weights}
-        ).drop(*[f"_base_{name}" for name in weights])
-    return drop_layout(out, layout)
+    if not layout.split:
+        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        out = out.withColumns({name: F.sum(w).over(whole) for name, w in group_totals.items()})
+        return drop_layout(out, layout)
+    along = Window.partitionBy(*layout.groups).orderBy(*layout.chunks)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    every = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    totals = layout.df.groupBy(*layout.keys).agg(
+        *[F.sum(w).alias(f"_total_{name}") for name, w in {**weights, **group_totals}.items()]
+    )
+    bases = totals.select(
+        *layout.keys,
+        *[F.coalesce(F.sum(f"_total_{n}").over(earlier), F.lit(0)).alias(f"_base_{n}") for n in weights],
+        *[F.sum(f"_total_{n}").over(every).alias(n) for n in group_totals],
+    )
+    out = match_null_safe(out, bases, layout.keys)
+    out = out.withColumns({n: F.col(n) + F.col(f"_base_{n}") for n in weights})
+    return drop_layout(out.drop(*[f"_base_{n}" for n in weights]), layout)
 
 
 def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
@@ -222,20 +224,17 @@ def exact_quantiles(
     already is such a histogram.
     """
     groups = list(groups)
+    kept = groups
     if weight is None:
-        counts = value_counts(df, groups, value)
+        counts = cut_lineage(value_counts(df, groups, value))
     else:
-        counts = (
-            df.where(F.col(value).isNotNull())
-            .groupBy(*groups, value)
-            .agg(F.sum(weight).alias("_count"))
-        )
-    kept = groups
+        counts = df.where(F.col(value).isNotNull()).withColumnRenamed(weight, "_count")
     if not groups:
         counts, groups = counts.withColumn(ONE_GROUP, F.lit(0)), [ONE_GROUP]
-    placed = running_totals(counts, groups, [value], {"_before": "_count"}, chunk_rows)
-    sizes = counts.groupBy(*groups).agg(F.sum("_count").alias("_n"))
-    placed = match_null_safe(placed, sizes, groups, "inner")
+    placed = running_totals(
+        counts, groups, [value], {"_before": "_count"}, group_totals={"_n": "_count"},
+        chunk_rows=chunk_rows,
+    )
 
     def at(index: Column) -> Column:
         here = (F.col("_before") <= index) & (index < F.col("_before") + F.col("_count"))
@@ -257,20 +256,40 @@ def exact_quantiles(
     return found.select(*kept, "_n", *out)
 
 
+def has_large_group(df: DataFrame, groups: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> bool:
+    """Whether any group is too large for one task."""
+    return not df.groupBy(*groups).count().where(F.col("count") > chunk_rows).isEmpty()
+
+
 def average_ranks(
     df: DataFrame,
     groups: Sequence[str],
-    value: str,
-    out: str,
+    values: dict[str, str],
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Add the rank of ``value`` in its group, ties sharing their mean rank."""
+    """Add, per output name, the rank of its value column in the group; ties share their mean.
+
+    Small groups are ranked by a window. Once one is too large, ranks come from counts of
+    distinct values and are joined back.
+    """
     groups = list(groups)
-    counts = value_counts(df, groups, value)
-    ranks = running_totals(counts, groups, [value], {"_before": "_count"}, chunk_rows).select(
-        *groups, value, (F.col("_before") + (F.col("_count") + 1) / 2.0).alias(out)
-    )
-    return match_null_safe(df, ranks, [*groups, value])
+    if not groups:
+        df, groups = df.withColumn(ONE_GROUP, F.lit(0)), [ONE_GROUP]
+    if not has_large_group(df, groups, chunk_rows):
+        ranks = {}
+        for name, value in values.items():
+            below = F.rank().over(Window.partitionBy(*groups).orderBy(value))
+            same = F.count(F.lit(1)).over(Window.partitionBy(*groups, value))
+            ranks[name] = F.when(F.col(value).isNotNull(), below + (same - 1) / 2.0)
+        return df.withColumns(ranks).drop(ONE_GROUP)
+    out = df
+    for name, value in values.items():
+        counts = value_counts(df, groups, value)
+        table = running_totals(
+            counts, groups, [value], {"_before": "_count"}, chunk_rows=chunk_rows
+        ).select(*groups, value, (F.col("_before") + (F.col("_count") + 1) / 2.0).alias(name))
+        out = match_null_safe(out, table, [*groups, value])
+    return out.drop(ONE_GROUP)
 
 
 def quadrant_depth(items: int, per_leaf: int, fan_out: int) -> int:

@@ -23,6 +23,7 @@ from skyloom.operators.series import (
     RUN,
     neighbourhood,
 )
+from skyloom.session import cut_lineage
 
 FILL_LIMIT = 3
 MAD_SCALE = 0.6745
@@ -129,17 +130,20 @@ def mad_limits(
     counts = value_counts(df.where(F.col(column) >= 0), groups, column).withColumn(
         "_log", F.log1p(F.col(column).cast("double"))
     )
-    centre = exact_quantiles(
-        counts,
-        groups,
-        "_log",
-        {"_median": 0.5, "_lower": 0.25, "_upper": 0.75},
-        weight="_count",
-        chunk_rows=chunk_rows,
-    ).drop("_n")
-    if not groups:
-        counts, centre = counts.withColumn("_g", F.lit(0)), centre.withColumn("_g", F.lit(0))
     keys = groups or ["_g"]
+    if not groups:
+        counts = counts.withColumn("_g", F.lit(0))
+    counts = cut_lineage(counts)
+    centre = cut_lineage(
+        exact_quantiles(
+            counts,
+            keys,
+            "_log",
+            {"_median": 0.5, "_lower": 0.25, "_upper": 0.75},
+            weight="_count",
+            chunk_rows=chunk_rows,
+        ).drop("_n")
+    )
     spread = match_null_safe(counts, centre.select(*keys, "_median"), keys, "inner")
     spread = spread.withColumn("_deviation", F.abs(F.col("_log") - F.col("_median")))
     spread = exact_quantiles(
@@ -227,6 +231,7 @@ def quality_chain(
         helpers += [pattern.format(c) for c in columns]
     out = out.withColumns(added).drop(*helpers)
     if lat and lon:
+        out = cut_lineage(out)
         for rule in rules:
             out = fill_from_nearest(out, rule.clean, lat=lat, lon=lon, tie=order)
     return out.withColumns(

@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+}
+
+
 def _schema(*pairs: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(pairs))
+    fields = [pair.split() for pair in pairs]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 def _four(metrics: list[str], raw: str = "raw") -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for a temporary table in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder, so a lost executor costs no recompute."""
     ensure_checkpoint_dir(df.sparkSession)

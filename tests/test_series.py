@@ -134,14 +134,14 @@ def test_quantiles_ranks_and_totals(spark, chunk_rows):
             at = q * (len(values) - 1)
             low, high = values[math.floor(at)], values[math.ceil(at)]
             assert got[g][name] == pytest.approx(low + (high - low) * (at - math.floor(at)))
-    ranked = average_ranks(df, ["g"], "v", "r", chunk_rows).collect()
+    ranked = average_ranks(df, ["g"], {"r": "v"}, chunk_rows).collect()
     for r in ranked:
         values = [v for k, v in data if k == r["g"]]
         below = sum(v < r["v"] for v in values)
         same = sum(v == r["v"] for v in values)
         assert r["r"] == below + (same + 1) / 2
     base = spark.range(100).select((F.col("id") % 2).alias("g"), "id", F.lit(2).alias("w"))
-    totals = running_totals(base, ["g"], ["id"], {"before": "w"}, chunk_rows)
+    totals = running_totals(base, ["g"], ["id"], {"before": "w"}, chunk_rows=chunk_rows)
     assert all(r["before"] == 2 * (r["id"] // 2) for r in totals.collect())
     overall = exact_quantiles(df, [], "v", {"q": 0.5}, chunk_rows=chunk_rows).first()
     values = sorted(v for _, v in data)
