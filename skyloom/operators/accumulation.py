@@ -145,7 +145,10 @@ def increments_or_raise(
     ).limit(5).collect()
     if bad:
         raise AccumulationError("; ".join(str(row.asDict()) for row in bad))
-    return made.withColumn(out, F.greatest(F.col(out), F.lit(0.0))).drop("no_difference")
+    # An undefined increment stays undefined: greatest() would read NULL as 0.
+    return made.withColumn(out, F.when(F.col(out) < 0, F.lit(0.0)).otherwise(F.col(out))).drop(
+        "no_difference"
+    )
 
 
 def shortest_span(
