@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 from skyloom.operators.ordered import CHUNK_ROWS, average_ranks
 
 MIN_PAIRS = 5
+ANOMALY_DIGITS = 9
+
+
+def _coefficient(x: str, y: str) -> Column:
+    """Pearson coefficient that is NULL, not an error, where a side does not vary."""
+    x, y = F.col(x).cast("double"), F.col(y).cast("double")
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def _pearson(x: str, y: str) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n"),
-        F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("_r"),
-        F.stddev_samp(F.col(x).cast("double")).alias("_sx"),
-        F.stddev_samp(F.col(y).cast("double")).alias("_sy"),
+        _coefficient(x, y).alias("_r"),
+        F.stddev_pop(F.col(x).cast("double")).alias("_sx"),
+        F.stddev_pop(F.col(y).cast("double")).alias("_sy"),
     ]
 
 
@@ -49,7 +56,7 @@ def correlate(
     ranked = average_ranks(pairs, groups, {"_rx": "_x", "_ry": "_y"}, chunk_rows)
     return (
         ranked.groupBy(*groups)
-        .agg(*_pearson("_x", "_y"), F.corr("_rx", "_ry").alias("_rho"))
+        .agg(*_pearson("_x", "_y"), _coefficient("_rx", "_ry").alias("_rho"))
         .select(*groups, "n", _guarded("_r").alias("pearson"), _guarded("_rho").alias("spearman"))
     )
 
@@ -76,6 +83,8 @@ def seasonal_anomaly(
     """
     means = df.groupBy(*season).agg(*[F.avg(c).alias(f"_normal_{c}") for c in columns])
     joined = df.join(means, list(season), "left")
-    return joined.withColumns({c: F.col(c) - F.col(f"_normal_{c}") for c in columns}).drop(
-        *[f"_normal_{c}" for c in columns]
-    )
+    # Rounding keeps anomalies equal that differ only in the order their mean was summed in,
+    # so that they tie in rank.
+    return joined.withColumns(
+        {c: F.round(F.col(c) - F.col(f"_normal_{c}"), ANOMALY_DIGITS) for c in columns}
+    ).drop(*[f"_normal_{c}" for c in columns])
