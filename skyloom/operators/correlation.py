@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.operators.ordered import CHUNK_ROWS, average_ranks
+from skyloom.session import cut_lineage
 
 MIN_PAIRS = 5
 ANOMALY_DIGITS = 9
@@ -43,16 +44,25 @@ def pearson(df: DataFrame, x: str, y: str, groups: Sequence[str] = ()) -> DataFr
 
 
 def correlate(
-    df: DataFrame, x: str, y: str, groups: Sequence[str] = (), chunk_rows: int = CHUNK_ROWS
+    df: DataFrame,
+    x: str,
+    y: str,
+    groups: Sequence[str] = (),
+    *,
+    materialise: bool = False,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """``(groups, n, pearson, spearman)``; ranks average over ties.
 
-    Groups too large for one task are ranked from counts of distinct values.
+    Groups too large for one task are ranked from counts of distinct values. ``materialise``
+    stores the pairs first, which pays when they are few but costly to derive.
     """
     groups = list(groups)
     pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         *groups, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")
     )
+    if materialise:
+        pairs = cut_lineage(pairs)
     ranked = average_ranks(pairs, groups, {"_rx": "_x", "_ry": "_y"}, chunk_rows)
     return (
         ranked.groupBy(*groups)

@@ -11,6 +11,7 @@ from skyloom.functions.aggregates import circular_mean, sum_or_zero
 from skyloom.functions.scalars import wind_sector
 from skyloom.operators.correlation import correlate, seasonal_anomaly, unpivot_pairs
 from skyloom.profiles import BURN_MONTHS
+from skyloom.session import cut_lineage
 
 VARIABLES = ("t_mean", "t_max", "rh_mean", "rain_sum", "ws_mean")
 TOP_DAYS = 30
@@ -64,20 +65,32 @@ def correlation_table(
     daily: DataFrame, by: Sequence[str] = (), variables: Sequence[str] = VARIABLES,
     target: str = "fires",
 ) -> DataFrame:
-    """Both coefficients of the target against every variable, optionally per ``by``."""
+    """Both coefficients of the target against every variable, optionally per ``by``.
+
+    The pairs are stored once: days times variables is little, their aggregation is not.
+    """
     pairs = unpivot_pairs(daily, target, variables, by)
-    return correlate(pairs, "x", "y", [*by, "variable"])
+    return correlate(pairs, "x", "y", [*by, "variable"], materialise=True)
+
 
+def correlation_report(daily: DataFrame, months: Sequence[str] = BURN_MONTHS) -> DataFrame:
+    """The pooled, burning-window and per-year tables, from one pass: a day enters each table
+    it belongs to."""
+    inside = F.col("month").isin(*months)
+    whole = F.lit(None).cast("string")
 
-def correlation_report(daily: DataFrame) -> DataFrame:
-    """The pooled, burning-window and per-year tables in one frame."""
-    window = burning_window(daily)
-    tables = [
-        correlation_table(daily).withColumns({"scope": F.lit("pooled"), "year": F.lit(None).cast("string")}),
-        correlation_table(window).withColumns({"scope": F.lit("window"), "year": F.lit(None).cast("string")}),
-        correlation_table(window, ["year"]).withColumn("scope", F.lit("per_year")),
-    ]
-    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+    def scope(name: str, year: Column) -> Column:
+        return F.struct(F.lit(name).alias("scope"), year.alias("year"))
+
+    scopes = F.array_compact(
+        F.array(
+            scope("pooled", whole),
+            F.when(inside, scope("window", whole)),
+            F.when(inside, scope("per_year", F.col("year"))),
+        )
+    )
+    placed = daily.select("fires", *VARIABLES, F.inline(scopes))
+    return correlation_table(placed, ["scope", "year"])
 
 
 def lagged_event_study(daily: DataFrame, keys: Sequence[str] = (), wet_above: float = 1.0) -> DataFrame:
@@ -131,21 +144,44 @@ def sector_profile(daily: DataFrame, n: int = TOP_DAYS) -> DataFrame:
     )
 
 
+def _with_anomalies(daily: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Every day twice: as it was (``kind`` raw) and as distance from the mean of its day of the
+    year (``kind`` flat)."""
+    doubled = daily.select(
+        *keys,
+        *[F.col(c).cast("double").alias(c) for c in columns],
+        F.date_format(F.to_date("d"), "MM-dd").alias("_doy"),
+    )
+    # Read twice, for the means and for the distances: store the days, do not derive them again.
+    doubled = cut_lineage(doubled)
+    kept = {f"_raw_{c}": F.col(c) for c in columns}
+    both = seasonal_anomaly(doubled.withColumns(kept), columns, [*keys, "_doy"])
+
+    def kind(name: str, prefix: str) -> Column:
+        values = [F.col(f"{prefix}{c}").alias(f"_v_{c}") for c in columns]
+        return F.struct(F.lit(name).alias("kind"), *values)
+
+    out = both.select(*keys, F.inline(F.array(kind("raw", "_raw_"), kind("flat", ""))))
+    return out.withColumnsRenamed({f"_v_{c}": c for c in columns})
+
+
+def _of(kind: str, c: str) -> Column:
+    return F.max(F.when(F.col("kind") == kind, F.col(c)))
+
+
 def deseasonalised(
     daily: DataFrame, variables: Sequence[str] = VARIABLES, target: str = "fires"
 ) -> DataFrame:
     """Coefficients before and after subtracting each day-of-year's own mean."""
-    columns = [target, *variables]
-    doubled = daily.withColumns({c: F.col(c).cast("double") for c in columns})
-    doubled = doubled.withColumn("_doy", F.date_format(F.to_date("d"), "MM-dd"))
-    raw = correlation_table(doubled, (), variables, target).select(
-        "variable", "n", F.col("spearman").alias("rho_raw")
-    )
-    anomaly = correlation_table(
-        seasonal_anomaly(doubled, columns, ["_doy"]), (), variables, target
-    ).select("variable", F.col("spearman").alias("rho_deseasonalised"))
-    return raw.join(anomaly, "variable").withColumn(
-        "retained", F.col("rho_deseasonalised") / F.nullif(F.col("rho_raw"), F.lit(0.0))
+    both = correlation_table(_with_anomalies(daily, [target, *variables]), ["kind"], variables, target)
+    return (
+        both.groupBy("variable")
+        .agg(
+            _of("raw", "n").alias("n"),
+            _of("raw", "spearman").alias("rho_raw"),
+            _of("flat", "spearman").alias("rho_deseasonalised"),
+        )
+        .withColumn("retained", F.col("rho_deseasonalised") / F.nullif(F.col("rho_raw"), F.lit(0.0)))
     )
 
 
@@ -162,18 +198,23 @@ def monthly_climatology(daily: DataFrame, target: str = "fires") -> DataFrame:
 def sign_consistency(daily: DataFrame, variables: Sequence[str] = VARIABLES) -> DataFrame:
     """Whether a variable keeps the sign of its rank correlation across years, and the median
     of its per-month coefficients."""
-    years = correlation_table(daily, ["year"], variables).groupBy("variable").agg(
-        F.count("spearman").alias("n_years"),
-        F.min(F.signum("spearman")).alias("_low"),
-        F.max(F.signum("spearman")).alias("_high"),
-    )
-    months = correlation_table(daily, ["month"], variables).groupBy("variable").agg(
-        F.median("spearman").alias("median_month_rho")
+    spans = F.array(
+        F.struct(F.lit("year").alias("span"), F.col("year").alias("part")),
+        F.struct(F.lit("month").alias("span"), F.col("month").alias("part")),
     )
-    return years.join(months, "variable").select(
-        "variable", "n_years",
-        F.coalesce((F.col("_low") == F.col("_high")).cast("int"), F.lit(0)).alias("same_sign"),
-        "median_month_rho",
+    placed = daily.select("fires", *variables, F.inline(spans))
+    yearly = F.when(F.col("span") == "year", F.col("spearman"))
+    monthly = F.when(F.col("span") == "month", F.col("spearman"))
+    return (
+        correlation_table(placed, ["span", "part"], variables)
+        .groupBy("variable")
+        .agg(
+            F.count(yearly).alias("n_years"),
+            F.coalesce((F.min(F.signum(yearly)) == F.max(F.signum(yearly))).cast("int"), F.lit(0))
+            .alias("same_sign"),
+            # Twelve coefficients at most.
+            F.median(monthly).alias("median_month_rho"),
+        )
     )
 
 
@@ -190,19 +231,14 @@ def distance_decay(
     target: str = "fires",
 ) -> DataFrame:
     """Per place, its distance from a centre beside raw and deseasonalised coefficients."""
-    columns = [target, value]
-    doubled = daily.withColumns({c: F.col(c).cast("double") for c in columns}).withColumn(
-        "_doy", F.date_format(F.to_date("d"), "MM-dd")
+    both = correlate(
+        _with_anomalies(daily, [target, value], [place]), target, value, [place, "kind"], materialise=True
     )
-    raw = correlate(doubled, target, value, [place]).select(
-        place, "n", F.col("pearson").alias("r_raw"), F.col("spearman").alias("rho_raw")
+    table = both.groupBy(place).agg(
+        _of("raw", "n").alias("n"),
+        _of("raw", "pearson").alias("r_raw"),
+        _of("raw", "spearman").alias("rho_raw"),
+        _of("flat", "spearman").alias("rho_deseasonalised"),
     )
-    flat = correlate(
-        seasonal_anomaly(doubled, columns, [place, "_doy"]), target, value, [place]
-    ).select(place, F.col("spearman").alias("rho_deseasonalised"))
     km = haversine_km(F.col("lat"), F.col("lon"), F.lit(centre[0]), F.lit(centre[1]))
-    return (
-        raw.join(flat, place)
-        .join(places.select(place, km.alias("distance_km")), place)
-    )
-
+    return table.join(places.select(place, km.alias("distance_km")), place)

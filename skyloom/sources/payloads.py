@@ -135,22 +135,22 @@ def parse_fire_csv(
     brightness ``brightness``, the other ``bright_ti4``.
     """
     bodies, _ = csv_bodies(df, payload)
-    lines = F.filter(
-        F.split(F.regexp_replace(F.col(payload), "\r", ""), "\n"), lambda x: F.trim(x) != ""
+    lines = F.split(F.regexp_replace(F.trim(F.col(payload)), r"[\r\n]+", "\n"), "\n")
+    header = F.split(F.lower(F.get(F.col("_lines"), F.lit(0))), r"\s*,\s*")
+    names = [c.split()[0] for c in FIRE_CSV.split(", ")] + ["bright_ti4"]
+    parts = (
+        bodies.select(*keep, fallback.alias("_fallback"), lines.alias("_lines"))
+        .withColumn("_head", header)
+        # Where each column stands is looked up once per body, not once per line.
+        .withColumns({f"_at_{n}": F.array_position("_head", F.lit(n)).cast("int") - 1 for n in names})
+        .select("*", F.posexplode("_lines").alias("line_no", "_line"))
+        .where((F.col("line_no") > 0) & (F.trim("_line") != ""))
+        .withColumn("line_no", F.col("line_no") - 1)
+        .withColumn("_cells", F.split("_line", ","))
     )
-    parts = bodies.select(
-        *keep,
-        fallback.alias("_fallback"),
-        F.transform(F.split(F.element_at(lines, 1), ","), lambda x: F.lower(F.trim(x))).alias("_head"),
-        F.posexplode(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))).alias(
-            "line_no", "_line"
-        ),
-    ).withColumn("_cells", F.split("_line", ","))
 
     def cell(name: str) -> Column:
-        at = F.array_position("_head", F.lit(name))
-        found = F.get(F.col("_cells"), (at - 1).cast("int"))
-        return F.nullif(F.trim(F.when(at > 0, found)), F.lit(""))
+        return F.nullif(F.trim(F.get(F.col("_cells"), F.col(f"_at_{name}"))), F.lit(""))
 
     return parts.select(
         *keep,
