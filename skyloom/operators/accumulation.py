@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.session import cut_lineage
+
 STEP_HOURS = 3
 NEGATIVE_TOLERANCE = 1e-6
 RECONCILE_FLOOR = 0.25
@@ -132,7 +134,8 @@ def increments_or_raise(
 ) -> DataFrame:
     """Increments clipped at zero, refusing runs whose findings say the decode is wrong."""
     out = columns.get("out", "increment")
-    made = bucket_increments(df, point=point, **columns)
+    # Read by the checks and again by the caller.
+    made = cut_lineage(bucket_increments(df, point=point, **columns))
     findings = run_checks(
         made, run_totals, run=run, point=point, increment=out,
         bucket=columns.get("bucket", "bucket"),

@@ -9,6 +9,7 @@ clustering, so the work grows with the points, not with their product.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,18 +25,42 @@ FAN_BITS = 2
 
 def fill_from_nearest(
     df: DataFrame,
-    column: str,
+    columns: Sequence[str],
     *,
     lat: str,
     lon: str,
     tie: Sequence[str],
     k: int = NEIGHBOURS,
 ) -> DataFrame:
-    """Fill missing ``column`` by the inverse-distance mean of the k nearest known rows.
+    """Fill missing values of each column by the inverse-distance mean of its k nearest known
+    rows.
 
     Rows at the very same coordinates take all the weight. Equally near rows are taken in
-    the order latitude, longitude, ``tie``. Rows without coordinates stay as they are.
+    the order latitude, longitude, ``tie``. Rows without coordinates stay as they are. The
+    estimates are one row per place and joined once for all columns.
     """
+    found = {}
+    for column in columns:
+        estimates = _column_estimates(df, column, lat, lon, tie, k)
+        if estimates is not None:
+            found[column] = estimates.withColumnRenamed("_estimate", f"_estimate_{column}")
+    if not found:
+        return df
+    stacked = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), found.values()
+    ).groupBy("u_lat", "u_lon").agg(*[F.max(f"_estimate_{c}").alias(f"_estimate_{c}") for c in found])
+    joined = df.join(
+        stacked, (F.col(lat) == F.col("u_lat")) & (F.col(lon) == F.col("u_lon")), "left"
+    )
+    return joined.withColumns(
+        {c: F.coalesce(F.col(c), F.col(f"_estimate_{c}")) for c in found}
+    ).drop("u_lat", "u_lon", *[f"_estimate_{c}" for c in found])
+
+
+def _column_estimates(
+    df: DataFrame, column: str, lat: str, lon: str, tie: Sequence[str], k: int
+) -> DataFrame | None:
+    """``(u_lat, u_lon, _estimate)`` of every place where the column is missing."""
     located = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     wanted = cut_lineage(
         df.where(located & F.col(column).isNull())
@@ -43,34 +68,24 @@ def fill_from_nearest(
         .distinct()
     )
     if wanted.isEmpty():
-        return df
-    same_place = Window.partitionBy("lat", "lon").orderBy(*[F.col(f"_t{i}") for i in range(len(tie))])
+        return None
+    names = [f"_t{i}" for i in range(len(tie))]
+    same_place = Window.partitionBy("lat", "lon").orderBy(*names)
     known = cut_lineage(
         df.where(located & F.col(column).isNotNull())
         .select(
             F.col(lat).cast("double").alias("lat"),
             F.col(lon).cast("double").alias("lon"),
             F.col(column).cast("double").alias("value"),
-            *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie)],
+            *[F.col(t).alias(n) for t, n in zip(tie, names)],
         )
-        # Rows at one place are equally far from everywhere: only its first k can be picked.
+        # Rows at one place are equally far from everywhere: only its first k can be picked, and
+        # each task drops the others before the shuffle.
         .withColumn("slot", F.row_number().over(same_place))
         .where(F.col("slot") <= k)
         .select("lat", "lon", "value", "slot")
     )
-    if known.isEmpty():
-        return df
-    estimates = nearest_estimates(wanted, known, k).select(
-        F.col("u_lat").alias("_at_lat"), F.col("u_lon").alias("_at_lon"), "_estimate"
-    )
-    joined = df.join(
-        estimates,
-        (F.col(lat) == F.col("_at_lat")) & (F.col(lon) == F.col("_at_lon")) & F.col(column).isNull(),
-        "left",
-    )
-    return joined.withColumn(column, F.coalesce(F.col(column), F.col("_estimate"))).drop(
-        "_at_lat", "_at_lon", "_estimate"
-    )
+    return None if known.isEmpty() else nearest_estimates(wanted, known, k)
 
 
 def nearest_estimates(wanted: DataFrame, known: DataFrame, k: int = NEIGHBOURS) -> DataFrame:

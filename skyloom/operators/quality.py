@@ -231,9 +231,9 @@ def quality_chain(
         helpers += [pattern.format(c) for c in columns]
     out = out.withColumns(added).drop(*helpers)
     if lat and lon:
+        # The windows above are read several times below.
         out = cut_lineage(out)
-        for rule in rules:
-            out = fill_from_nearest(out, rule.clean, lat=lat, lon=lon, tie=order)
+        out = fill_from_nearest(out, [r.clean for r in rules], lat=lat, lon=lon, tie=order)
     return out.withColumns(
         {
             rule.imputed: (F.col(rule.column).isNull() & F.col(rule.clean).isNotNull()).cast("int")

@@ -105,8 +105,11 @@ def long_sql(source: str, keep: str = "") -> str:
     )
 
 
-@query("corr_by_year", f"""WITH {DAILY}, win AS (SELECT * FROM daily WHERE month IN ('10', '11')),
-  lp AS ({long_sql('daily')}), lw AS ({long_sql('win')}), ly AS ({long_sql('win', 'year')}),
+NINE = ", ".join(f"round({v}, 9) AS {v}" for v in ("t_mean", "rh_mean", "rain_sum", "ws_mean"))
+
+
+@query("corr_by_year", f"""WITH {DAILY}, nine AS (SELECT d, year, month, fires, t_max, {NINE} FROM daily),
+  win AS (SELECT * FROM nine WHERE month IN ('10', '11')), lp AS ({long_sql('nine')}), lw AS ({long_sql('win')}), ly AS ({long_sql('win', 'year')}),
   a AS (SELECT 'pooled' AS scope, CAST(NULL AS VARCHAR) AS year, * FROM ({ranks_sql('lp', 'variable', 'f', 'v')})
     UNION ALL SELECT 'window', NULL, * FROM ({ranks_sql('lw', 'variable', 'f', 'v')})
     UNION ALL SELECT 'per_year', * FROM ({ranks_sql('ly', 'year, variable', 'f', 'v')}))
@@ -145,7 +148,6 @@ def sector_profile(spark, sf):
     return rounded(season.sector_profile(season.burning_window(daily(spark, sf))), "top_share", "base_share")
 
 
-NINE = ", ".join(f"round({v}, 9) AS {v}" for v in ("t_mean", "rh_mean", "rain_sum", "ws_mean"))
 ANOMALY = ", ".join(f"round({v} - avg({v}) OVER (PARTITION BY d[6:10]), 9) AS {v}" for v in ("fires", *season.VARIABLES))
 
 

@@ -152,7 +152,7 @@ def knn_impute(spark, sf):
         F.when(F.col("vec_id") % 5 > 0, F.get("embedding", F.lit(2)).cast("double")).alias("raw"),
     )
     filled = fill_from_nearest(
-        points.withColumn("v", F.col("raw")), "v", lat="lat", lon="lon", tie=["vec_id"]
+        points.withColumn("v", F.col("raw")), ["v"], lat="lat", lon="lon", tie=["vec_id"]
     )
     return filled.select(
         "vec_id",

@@ -131,8 +131,7 @@ def _dated(spark, sf):
 def partition_by_obs_date(spark, sf):
     path = scratch_path(spark, "by-date")
     dated = _dated(spark, sf)
-    # One shuffle by date leaves a few files per partition instead of one per task and date.
-    lake.overwrite_partitions(dated.repartition("date", F.col("event_id") % 4), path, ["date"])
+    lake.overwrite_partitions(dated, path, ["date"])
     stored = spark.read.parquet(path).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
     return rounded(
         stored.groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total")), "total", digits=4
@@ -144,7 +143,7 @@ def partition_by_obs_date(spark, sf):
 def partition_overwrite(spark, sf):
     """Some dates written again with half their rows: those are replaced, the others stay."""
     path = scratch_path(spark, "overwrite")
-    dated = _dated(spark, sf).repartition("date", F.col("event_id") % 4)
+    dated = _dated(spark, sf)
     lake.overwrite_partitions(dated, path, ["date"])
     again = dated.where((F.col("date") >= "2024-01-20") & (F.col("event_id") % 2 == 0))
     lake.overwrite_partitions(again, path, ["date"])
@@ -155,7 +154,7 @@ def partition_overwrite(spark, sf):
 @query("partition_by_cycle", f"WITH {READINGS}, {GRID} SELECT cycle, count(*) AS n_rows FROM grid GROUP BY cycle")
 def partition_by_cycle(spark, sf):
     path = scratch_path(spark, "by-cycle")
-    lake.overwrite_partitions(grid(spark, sf).repartition("cycle", F.col("event_id") % 4), path, ["cycle"])
+    lake.overwrite_partitions(grid(spark, sf), path, ["cycle"])
     return spark.read.parquet(path).groupBy("cycle").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -163,7 +162,7 @@ def partition_by_cycle(spark, sf):
   WHERE is_synthetic = 0 GROUP BY ALL""")
 def gold_write(spark, sf):
     path = scratch_path(spark, "gold")
-    gold.write_gold(gold.city_aqi_hourly(air(spark, sf)).repartition("date"), path, "date")
+    gold.write_gold(gold.city_aqi_hourly(air(spark, sf)), path, "date")
     stored = spark.read.parquet(path).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
     return stored.groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -198,8 +197,8 @@ def run_log_append(spark, sf):
   UNION ALL SELECT 'orders', count(*), count(*), 0, 'OK' FROM orders""")
 def migrate_to_lake(spark, sf):
     tables = {
-        "events": _dated(spark, sf).repartition("date", F.col("event_id") % 4),
-        "orders": load_table(spark, sf, "orders").repartition("o_orderstatus", F.col("o_orderkey") % 4),
+        "events": _dated(spark, sf),
+        "orders": load_table(spark, sf, "orders"),
     }
     out = maintenance.migrate_to_lake(
         tables, scratch_path(spark, "lake"), {"events": "date", "orders": "o_orderstatus"}

@@ -17,6 +17,8 @@ from skyloom.operators.upserts import insert_ignore, upsert
 from skyloom.schemas import BRONZE_PAYLOAD, RUN_LOG
 from skyloom.session import cut_lineage
 
+MAX_NAMED_PARTITIONS = 1000
+
 
 def scan_table(
     spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None
@@ -69,14 +71,26 @@ def bronze_rows(df: DataFrame, *, payload: str, timestamp: str, fetched_at: Colu
     )
 
 
+def in_touched_partitions(existing: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """Rows of ``existing`` in the partitions a batch touches.
+
+    A batch touches few: their names become a filter that prunes directories. Past
+    ``MAX_NAMED_PARTITIONS`` the names stay on the executors and a semi-join selects.
+    """
+    touched = batch.select(F.col(partition).cast("string").alias(partition)).distinct()
+    names = [r[0] for r in touched.limit(MAX_NAMED_PARTITIONS + 1).collect()]
+    if len(names) <= MAX_NAMED_PARTITIONS:
+        return existing.where(F.col(partition).isin([n for n in names if n is not None]))
+    return existing.join(touched, partition, "left_semi")
+
+
 def append_bronze(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame:
     """Append payloads whose content the lake does not hold yet; returns the appended rows."""
-    existing = scan_table(spark, path, BRONZE_PAYLOAD)
-    touched = batch.select("source", "date").distinct()
-    known = existing.join(touched, ["source", "date"], "left_semi")
+    known = in_touched_partitions(scan_table(spark, path, BRONZE_PAYLOAD), batch, "date")
     keys = ["source", "date", "payload_hash"]
     fresh = cut_lineage(insert_ignore(known, batch, keys, ["payload_ts"]))
-    fresh.write.mode("append").partitionBy("source", "date").parquet(path)
+    by = ["source", "date"]
+    fresh.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
     return fresh
 
 
@@ -100,8 +114,7 @@ def upsert_table(
         columns.append(partition)
     incoming = batch.select(*columns, *[o for o in order if o not in columns])
     existing = scan_table(spark, path, schema, partition).select(*columns)
-    touched = incoming.select(partition).distinct()
-    affected = existing.join(touched, partition, "left_semi")
+    affected = in_touched_partitions(existing, incoming, partition)
     merged = upsert(affected, incoming, [partition, *keys], order).select(*columns)
     overwrite_partitions(cut_lineage(merged), path, [partition])
 
@@ -109,8 +122,14 @@ def upsert_table(
 def overwrite_partitions(
     df: DataFrame, path: str, partitions: Sequence[str], sort: Sequence[str] = ()
 ) -> None:
-    """Replace exactly the partitions present in ``df``; others stay."""
-    out = df.sortWithinPartitions(*partitions, *sort) if sort else df
+    """Replace exactly the partitions present in ``df``; others stay.
+
+    Rows are rebalanced by partition first: small partitions end in one file, and a partition
+    that holds much of the table is split over many tasks.
+    """
+    out = df.hint("rebalance", *partitions)
+    if sort:
+        out = out.sortWithinPartitions(*partitions, *sort)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *partitions
     ).parquet(path)
@@ -120,11 +139,12 @@ def insert_ignore_table(
     spark: SparkSession, batch: DataFrame, path: str, schema: T.StructType, *,
     partition: str, keys: Sequence[str], order: Sequence[str],
 ) -> None:
-    """Append rows whose key is new; what is stored is never changed."""
+    """Append rows whose key is new; what is stored is never changed. Equal keys must fall into
+    equal partitions, so only those the batch touches are read."""
     columns = list(dict.fromkeys([*schema.fieldNames(), partition]))
-    existing = scan_table(spark, path, schema, partition)
-    fresh = insert_ignore(existing, batch, keys, order).select(*columns)
-    cut_lineage(fresh).write.mode("append").partitionBy(partition).parquet(path)
+    existing = in_touched_partitions(scan_table(spark, path, schema, partition), batch, partition)
+    fresh = cut_lineage(insert_ignore(existing, batch, keys, order).select(*columns))
+    fresh.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def append_failures(failures: DataFrame, path: str, source: str, run_id: str) -> None:

@@ -21,7 +21,7 @@ def brute(known, point, k=5):
 
 def check(spark, data):
     df = spark.createDataFrame(data, "lat double, lon double, t int, v double").repartition(3)
-    got = fill_from_nearest(df, "v", lat="lat", lon="lon", tie=["t"]).collect()
+    got = fill_from_nearest(df, ["v"], lat="lat", lon="lon", tie=["t"]).collect()
     assert len(got) == len(data)
     known = [d for d in data if d[3] is not None and d[0] is not None]
     by_key = {(r["lat"], r["lon"], r["t"]): r["v"] for r in got}
@@ -62,4 +62,4 @@ def test_regular_grid_ties(spark):
 
 def test_nothing_known_leaves_all_missing(spark):
     df = spark.createDataFrame([(0.0, 0.0, 1, None)], "lat double, lon double, t int, v double")
-    assert fill_from_nearest(df, "v", lat="lat", lon="lon", tie=["t"]).where(F.col("v").isNull()).count() == 1
+    assert fill_from_nearest(df, ["v"], lat="lat", lon="lon", tie=["t"]).where(F.col("v").isNull()).count() == 1
