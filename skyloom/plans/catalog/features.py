@@ -17,7 +17,11 @@ from skyloom.plans.catalog.base import (
     readings,
     rounded,
 )
+from skyloom.operators.upserts import keep_last
+from skyloom.plans.catalog.chain_sql import chain_ctes, output
 from skyloom.plans.catalog.quality import fill_sql
+from skyloom.profiles import FIRE, MODEL_AIR, STATION_AIR
+from skyloom.profiles import GRID as SILVER_GRID
 from skyloom.sources.payloads import AIR_METRICS
 
 
@@ -202,7 +206,21 @@ def silver_weather(spark, sf):
     )
 
 
-@query("silver_air")
+AIR_ROWS = f"""rows AS (SELECT event_id, station_id, city, lat, lon, ts, {ISO_SQL} AS timestamp, gappy, value, sparse, coarse FROM readings)"""
+
+
+DRY_GRID = [r for r in SILVER_GRID if r.prefix != "precipitation"]
+
+
+def _round_clean(df, rules):
+    return rounded(df, *[r.clean for r in rules])
+
+
+@query("silver_air", f"""WITH {READINGS}, {AIR_ROWS}, src AS (SELECT event_id, station_id, city, ts, timestamp, gappy AS pm25_raw,
+    value * 2 AS pm10_raw, value AS no2_raw, sparse AS so2_raw, value / 5 AS co_raw, coarse AS o3_raw FROM rows),
+  {chain_ctes('src', STATION_AIR, part='station_id', order='ts, timestamp')}
+  SELECT station_id, city, timestamp, {', '.join(r.column for r in STATION_AIR)}, {output(STATION_AIR)}, 'cpcb' AS source, 0 AS is_synthetic
+  FROM chained""")
 def silver_air(spark, sf):
     r = readings(spark, sf)
     rows = r.select(
@@ -210,10 +228,14 @@ def silver_air(spark, sf):
         F.col("gappy").alias("pm25_raw"), (F.col("value") * 2).alias("pm10_raw"), F.col("value").alias("no2_raw"),
         F.col("sparse").alias("so2_raw"), (F.col("value") / 5).alias("co_raw"), F.col("coarse").alias("o3_raw"),
     )
-    return silver.silver_air(rows)[0]
+    return _round_clean(silver.silver_air(rows)[0], STATION_AIR)
 
 
-@query("silver_model_air")
+@query("silver_model_air", f"""WITH {READINGS}, {AIR_ROWS}, src AS (SELECT event_id, city, lat, lon, ts, timestamp, gappy AS pm25_ugm3,
+    value * 2 AS pm10_ugm3, value AS no2_ugm3, sparse AS so2_ugm3, value * 50 AS co_ugm3, coarse AS o3_ugm3 FROM rows),
+  {chain_ctes('src', MODEL_AIR, part='city', order='ts, timestamp')}
+  SELECT city, lat, lon, timestamp, {', '.join(r.column for r in MODEL_AIR)}, {output(MODEL_AIR)},
+    'cams-openmeteo-archive' AS source, 0 AS is_synthetic FROM chained""")
 def silver_model_air(spark, sf):
     """Here a series is a whole city, which holds a fifth of the table."""
     r = readings(spark, sf)
@@ -223,29 +245,44 @@ def silver_model_air(spark, sf):
         F.col("value").alias("no2_ugm3"), F.col("sparse").alias("so2_ugm3"),
         (F.col("value") * 50).alias("co_ugm3"), F.col("coarse").alias("o3_ugm3"),
     )
-    return silver.silver_model_air(rows)[0]
+    return _round_clean(silver.silver_model_air(rows)[0], MODEL_AIR)
 
 
-@query("silver_fire")
+@query("silver_fire", f"""WITH {READINGS}, src AS (SELECT event_id, lat, lon, ts, {ISO_SQL} AS timestamp, gappy + 210 AS brightness_raw,
+    source AS satellite FROM readings),
+  {chain_ctes('src', FIRE, part='1', order='ts, lat, lon, satellite', tie='ts, satellite')}
+  SELECT lat, lon, timestamp, brightness_raw, {output(FIRE)}, satellite, 'n' AS confidence_raw, 'n' AS confidence_clean,
+    0 AS confidence_imputed, 'firms' AS source, 0 AS is_synthetic FROM chained WHERE coalesce(brightness_raw BETWEEN 200 AND 600, TRUE)""")
 def silver_fire(spark, sf):
     r = readings(spark, sf)
     rows = r.select(
         "lat", "lon", iso_text("ts").alias("timestamp"), (F.col("gappy") + 210).alias("brightness_raw"),
         F.col("source").alias("satellite"), F.lit("n").alias("confidence_raw"),
     )
-    return silver.silver_fire(rows)[0]
-
-
-@query("silver_grid")
+    return _round_clean(silver.silver_fire(rows)[0], FIRE)
+
+
+@query("silver_grid", f"""WITH {READINGS}, {GRID}, src AS (SELECT event_id, lat, lon, cycle, fhr, valid_time, fetched_at, is_synthetic,
+    temperature_clean AS temperature_raw, precipitation_raw, u_wind_clean AS u_wind_raw, v_wind_clean AS v_wind_raw,
+    CASE WHEN step > 0 THEN CASE WHEN step % 6 = 0 THEN 6 ELSE 3 END END AS w FROM grid
+    QUALIFY row_number() OVER (PARTITION BY lat, lon, cycle, fhr ORDER BY event_id DESC) = 1),
+  {chain_ctes('src', SILVER_GRID, part='(lat, lon)', order='valid_time, cycle, fhr', tie='valid_time, cycle, fhr')}
+  SELECT lat, lon, cycle, fhr, valid_time, fetched_at, temperature_raw, u_wind_raw, v_wind_raw, {output(DRY_GRID)},
+    CASE WHEN w > 0 THEN precipitation_raw END AS precipitation_raw, round(CASE WHEN w > 0 THEN precipitation_clean END, 6) AS precipitation_clean,
+    CASE WHEN w > 0 THEN precipitation_qc_flag ELSE 'no_accumulation_window' END AS precipitation_qc_flag,
+    CASE WHEN w > 0 THEN precipitation_imputed ELSE 0 END AS precipitation_imputed, CAST(w AS DOUBLE) AS precipitation_window_h,
+    CASE WHEN is_synthetic = 1 THEN 'fallback_constant' ELSE 'noaa' END AS source, is_synthetic
+  FROM chained WHERE u_wind_raw BETWEEN -150 AND 150 AND v_wind_raw BETWEEN -150 AND 150""")
 def silver_grid(spark, sf):
-    g = grid(spark, sf)
+    """One row per point, cycle and step: the last fetched. Then each point is a series."""
+    g = keep_last(grid(spark, sf), ["lat", "lon", "cycle", "fhr"], ["event_id"])
     rows = g.select(
         "lat", "lon", "cycle", "fhr", "valid_time", "fetched_at", "is_synthetic",
         F.col("temperature_clean").alias("temperature_raw"), "precipitation_raw", "u_wind_raw", "v_wind_raw",
         F.when(F.col("fhr") != "000", F.when(F.col("fhr").cast("int") % 6 == 0, 6).otherwise(3))
         .alias("precipitation_window_h"),
     )
-    return silver.silver_grid(rows)[0]
+    return _round_clean(silver.silver_grid(rows)[0], SILVER_GRID)
 
 
 @query("run_status", """SELECT o_orderpriority AS source, count(*) AS got, count(*) FILTER (o_orderstatus = 'F') AS failures,

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from skyloom.operators import accumulation as A
 from skyloom.plans import export, silver
-from skyloom.plans.catalog.base import READINGS, query, readings
+from skyloom.plans.catalog.base import READINGS, query, readings, rounded
+from skyloom.plans.catalog.chain_sql import chain_ctes
 from skyloom.plans.catalog.features import GRID, grid
+from skyloom.profiles import FORECAST
 from skyloom.session import load_table
 from skyloom.sources import grids as G
 
@@ -253,7 +255,18 @@ def null_without_window(spark, sf):
     ).drop("window_h")
 
 
-@query("silver_forecast")
+RAIN = "precipitation_mm_3h"
+STEADY = [r for r in FORECAST if r.column != RAIN]
+
+
+@query("silver_forecast", f"""WITH {RUNS}, src AS (SELECT event_id, cycle, CAST(block // 28 AS DOUBLE) AS lat, 68e0 AS lon, CAST(k * 3 AS SMALLINT) AS fhr,
+    strftime(strptime(cycle, '%Y%m%d_00z') + to_hours(CAST(k * 3 AS INTEGER)), '%Y-%m-%dT%H:%M:%S+00:00') AS valid_time,
+    CASE WHEN event_id % 7 > 1 THEN value / 10 END AS temperature_c, value - 50 AS u_wind_ms, 1.5e0 AS v_wind_ms,
+    CASE WHEN k > 0 THEN round(value, 2) END AS {RAIN} FROM runs),
+  {chain_ctes('src', FORECAST, part='(cycle, lat, lon)', order='valid_time', tie='valid_time, cycle')}
+  SELECT valid_time, cycle, fhr, lat, lon, {', '.join(f"round({r.column}_clean, 4) AS {r.column}, {r.column}_qc_flag, {r.column}_imputed = 1 AS {r.column}_imputed" for r in STEADY)},
+    CASE WHEN fhr > 0 THEN {RAIN} END AS {RAIN}, CASE WHEN fhr > 0 THEN {RAIN}_qc_flag ELSE 'no_accumulation_window' END AS {RAIN}_qc_flag,
+    FALSE AS {RAIN}_imputed, 'noaa' AS source, FALSE AS is_synthetic, '2024-02-01T00:00:00+00:00' AS fetched_at FROM chained""")
 def silver_forecast(spark, sf):
     r = runs(spark, sf)
     key = F.col("event_id")
@@ -265,7 +278,9 @@ def silver_forecast(spark, sf):
             "fetched_at": F.lit("2024-02-01T00:00:00+00:00"),
         }
     ).drop("value", "event_id")
-    return silver.silver_forecast(fields, _totals(r))
+    out = silver.silver_forecast(fields, _totals(r))
+    out = rounded(out, *[r.column for r in STEADY], digits=4)
+    return rounded(out, RAIN, digits=2)
 
 
 def export_grid(spark, sf):

@@ -137,7 +137,7 @@ def silver_forecast(
         timed,
         FORECAST,
         groups=["cycle", "lat", "lon"],
-        order=["valid_time"],
+        order=["valid_time", "cycle"],
         lat="lat",
         lon="lon",
         chunk_rows=chunk_rows,
