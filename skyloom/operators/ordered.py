@@ -23,6 +23,7 @@ from skyloom.session import cut_lineage
 CHUNK_ROWS = 4_000_000
 CELLS_PER_CHUNK = 16
 BROADCAST_ROWS = 500_000
+MAX_CUTS = 8
 ONE_GROUP = "_one_group"
 NULLS_LAST_CELL = 1 << 60
 
@@ -89,41 +90,37 @@ def split_groups(
     order: Sequence[str],
     chunk_rows: int = CHUNK_ROWS,
 ) -> Layout:
-    """Cut every group above ``chunk_rows`` along ``order``.
+    """Cut every group above ``chunk_rows`` along ``order`` into chunks of about that size.
 
-    The first order column cuts; rows that tie on it beyond the limit are cut by the next
-    numeric one, and so on.
+    A cut follows the first order column that varies inside the group. Chunks a burst leaves
+    too large are cut again, on the same column at a finer scale, or on the next one once all
+    their rows tie. Rows that tie on every numeric order column stay together.
     """
     groups, temporary = list(groups), []
     if not groups:
         df, groups, temporary = df.withColumn(ONE_GROUP, F.lit(0)), [ONE_GROUP], [ONE_GROUP]
-    chunks: list[str] = []
-    for depth, column in enumerate(order):
+    positions = []
+    for column in order:
         position = order_position(df, column)
         if position is None:
             break
-        limit = chunk_rows if depth == 0 else 2 * chunk_rows
+        positions.append(position)
+    chunks: list[str] = []
+    for depth in range(MAX_CUTS if positions else 0):
         parents = groups + chunks
-        large = (
-            df.groupBy(*parents)
-            .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                F.min(position).alias("_low"),
-                F.max(position).alias("_high"),
-            )
-            .where(F.col("_rows") > limit)
-        )
+        large = _groups_to_cut(df, parents, positions, chunk_rows if depth == 0 else 2 * chunk_rows)
         found, rows = large.agg(F.count(F.lit(1)), F.sum("_rows")).first()
         if not found:
             break
         cells = CELLS_PER_CHUNK * (found + rows // chunk_rows)
         large = cut_lineage(
             large.withColumn(
-                "_width",
-                (F.col("_high") - F.col("_low"))
-                / (CELLS_PER_CHUNK * F.ceil(F.col("_rows") / chunk_rows)),
-            ).drop("_rows", "_high")
+                "_width", F.col("_span") / (CELLS_PER_CHUNK * F.ceil(F.col("_rows") / chunk_rows))
+            ).drop("_span", "_rows")
         )
+        position = F.lit(None).cast("double")
+        for i, p in enumerate(positions):
+            position = F.when(F.col("_pick") == i, p).otherwise(position)
         cell = (
             F.when(position.isNull(), F.lit(NULLS_LAST_CELL))
             .when(F.col("_width") > 0, F.floor((position - F.col("_low")) / F.col("_width")))
@@ -151,12 +148,36 @@ def split_groups(
         df = match_null_safe(df, large, parents, "left", found).withColumn("_cell", cell)
         df = match_null_safe(df, cuts, [*parents, "_cell"], "left", cells)
         df = df.withColumn(chunk, F.coalesce(F.col(chunk), F.lit(0).cast("bigint"))).drop(
-            "_low", "_width", "_cell"
+            "_pick", "_low", "_width", "_cell"
         )
         chunks.append(chunk)
     return Layout(df, groups, chunks, temporary)
 
 
+def _groups_to_cut(
+    df: DataFrame, parents: Sequence[str], positions: Sequence[Column], limit: int
+) -> DataFrame:
+    """Groups above ``limit`` with the first order column that varies in them and its extent."""
+    stats = [F.count(F.lit(1)).alias("_rows")]
+    for i, p in enumerate(positions):
+        stats += [F.min(p).alias(f"_low{i}"), F.max(p).alias(f"_high{i}"), F.count(p).alias(f"_set{i}")]
+    pick, low, span = F.lit(None).cast("int"), F.lit(None).cast("double"), F.lit(None).cast("double")
+    for i in reversed(range(len(positions))):
+        varies = (F.col(f"_low{i}") < F.col(f"_high{i}")) | (
+            (F.col(f"_set{i}") > 0) & (F.col(f"_set{i}") < F.col("_rows"))
+        )
+        pick = F.when(varies, F.lit(i)).otherwise(pick)
+        low = F.when(varies, F.col(f"_low{i}")).otherwise(low)
+        span = F.when(varies, F.col(f"_high{i}") - F.col(f"_low{i}")).otherwise(span)
+    return (
+        df.groupBy(*parents)
+        .agg(*stats)
+        .where(F.col("_rows") > limit)
+        .select(*parents, "_rows", pick.alias("_pick"), low.alias("_low"), span.alias("_span"))
+        .where(F.col("_pick").isNotNull())
+    )
+
+
 def drop_layout(df: DataFrame, layout: Layout) -> DataFrame:
     return df.drop(*layout.chunks, *layout.temporary)
 

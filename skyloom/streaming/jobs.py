@@ -125,7 +125,10 @@ def silver_sink(
         first, last = dated.agg(F.min("date"), F.max("date")).first()
         stored = scan_table(spark, path, schema, "date").where(F.col("date") <= last)
         context = context_window(stored, last, _days_between(first, last) + 1)
-        checked = qc_with_context(dated, context, rules, station=station, time="timestamp")
+        # Read by the valid and by the failed side.
+        checked = cut_lineage(
+            qc_with_context(dated, context, rules, station=station, time="timestamp")
+        )
         valid, failed = validate(
             checked.withColumns({c: F.lit(v) for c, v in tags.items()}), contract
         )
