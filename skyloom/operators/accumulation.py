@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.session import cut_lineage
+from skyloom.session import store
 
 STEP_HOURS = 3
 NEGATIVE_TOLERANCE = 1e-6
@@ -135,7 +135,7 @@ def increments_or_raise(
     """Increments clipped at zero, refusing runs whose findings say the decode is wrong."""
     out = columns.get("out", "increment")
     # Read by the checks and again by the caller.
-    made = cut_lineage(bucket_increments(df, point=point, **columns))
+    made = store(bucket_increments(df, point=point, **columns), "increments")
     findings = run_checks(
         made, run_totals, run=run, point=point, increment=out,
         bucket=columns.get("bucket", "bucket"),

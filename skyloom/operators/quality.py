@@ -23,7 +23,7 @@ from skyloom.operators.series import (
     RUN,
     neighbourhood,
 )
-from skyloom.session import cut_lineage
+from skyloom.session import cut_lineage, store
 
 FILL_LIMIT = 3
 MAD_SCALE = 0.6745
@@ -232,7 +232,7 @@ def quality_chain(
     out = out.withColumns(added).drop(*helpers)
     if lat and lon:
         # The windows above are read several times below.
-        out = cut_lineage(out)
+        out = store(out, "series")
         out = fill_from_nearest(out, [r.clean for r in rules], lat=lat, lon=lon, tie=order)
     return out.withColumns(
         {

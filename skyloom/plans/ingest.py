@@ -16,7 +16,7 @@ from skyloom.operators.quality import MetricRule
 from skyloom.plans import gold
 from skyloom.plans.silver import qc_with_context, run_status
 from skyloom.schemas import SILVER_AIR, SILVER_GRID, SILVER_WEATHER
-from skyloom.session import cut_lineage
+from skyloom.session import cut_lineage, store
 from skyloom.sources.lake import (
     append_failures,
     context_window,
@@ -57,7 +57,7 @@ def ingest_series(
     fails and stores nothing; running it again changes nothing but the log.
     """
     path = f"{root}/{feed.table}"
-    dated = cut_lineage(batch.withColumn("date", observation_date()))
+    dated = store(batch.withColumn("date", observation_date()))
     got, first, last = dated.agg(
         F.count_distinct(feed.station), F.min("date"), F.max("date")
     ).first()
@@ -68,7 +68,7 @@ def ingest_series(
     stored = scan_table(spark, path, feed.schema, "date").where(F.col("date") >= first)
     before = context_window(scan_table(spark, path, feed.schema, "date"), first, days_back)
     context = before.where(F.col("date") < first).unionByName(stored.where(F.col("date") <= last))
-    checked = cut_lineage(
+    checked = store(
         qc_with_context(
             dated, context, feed.rules, station=feed.station, time="timestamp", chunk_rows=chunk_rows
         ).withColumns({"source": F.lit(feed.source), "is_synthetic": F.lit(0)})

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from skyloom.functions.scalars import iso_utc_text, payload_hash
 from skyloom.operators.upserts import keep_first
 from skyloom.plans.health import reconcile_counts
-from skyloom.session import cut_lineage
+from skyloom.session import store
 from skyloom.sources.lake import overwrite_partitions
 
 # The constants of the placeholder grid.
@@ -134,7 +134,7 @@ def relabel_partition(
     """Rewrite a table partitioned by ``column`` into ``target`` with one label replaced, and
     refuse the result when rows went missing."""
     before = spark.read.parquet(path)
-    after = cut_lineage(relabel(before, column, old, new))
+    after = store(relabel(before, column, old, new), "relabelled")
     check = verify_relabel(before, after, column, old).first()
     if not check["verified"]:
         raise RuntimeError(f"relabel changed row counts: {check.asDict()}")

@@ -16,6 +16,11 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Can only be chosen when a session starts.
+START_CONF = {
+    # Recording the call site of every column expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
 
 
 def build_session(app: str = "skyloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -23,7 +28,7 @@ def build_session(app: str = "skyloom", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **conf}.items():
+    for key, value in {**START_CONF, **SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -65,7 +70,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write ``df`` as a table to the shared checkpoint folder and read it back.
+
+    For wide frames that are read several times: later reads take only the columns and rows
+    they need, and a lost executor costs no recompute.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder, so a lost executor costs no recompute."""
+    """Checkpoint a small ``df`` in the shared folder, so a lost executor costs no recompute."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)

@@ -15,7 +15,7 @@ from pyspark.sql.utils import AnalysisException
 from skyloom.functions.scalars import payload_hash
 from skyloom.operators.upserts import insert_ignore, upsert
 from skyloom.schemas import BRONZE_PAYLOAD, RUN_LOG
-from skyloom.session import cut_lineage
+from skyloom.session import store
 
 MAX_NAMED_PARTITIONS = 1000
 
@@ -88,7 +88,7 @@ def append_bronze(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame
     """Append payloads whose content the lake does not hold yet; returns the appended rows."""
     known = in_touched_partitions(scan_table(spark, path, BRONZE_PAYLOAD), batch, "date")
     keys = ["source", "date", "payload_hash"]
-    fresh = cut_lineage(insert_ignore(known, batch, keys, ["payload_ts"]))
+    fresh = store(insert_ignore(known, batch, keys, ["payload_ts"]), "fresh")
     by = ["source", "date"]
     fresh.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
     return fresh
@@ -116,7 +116,7 @@ def upsert_table(
     existing = scan_table(spark, path, schema, partition).select(*columns)
     affected = in_touched_partitions(existing, incoming, partition)
     merged = upsert(affected, incoming, [partition, *keys], order).select(*columns)
-    overwrite_partitions(cut_lineage(merged), path, [partition])
+    overwrite_partitions(store(merged, "merged"), path, [partition])
 
 
 def overwrite_partitions(
@@ -143,7 +143,7 @@ def insert_ignore_table(
     equal partitions, so only those the batch touches are read."""
     columns = list(dict.fromkeys([*schema.fieldNames(), partition]))
     existing = in_touched_partitions(scan_table(spark, path, schema, partition), batch, partition)
-    fresh = cut_lineage(insert_ignore(existing, batch, keys, order).select(*columns))
+    fresh = store(insert_ignore(existing, batch, keys, order).select(*columns), "fresh")
     fresh.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
 
 

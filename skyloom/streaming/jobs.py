@@ -13,7 +13,7 @@ from skyloom.functions.scalars import air_quality_index, index_category, parse_i
 from skyloom.operators.contracts import Contract, validate
 from skyloom.operators.quality import MetricRule
 from skyloom.plans.silver import qc_with_context
-from skyloom.session import cut_lineage
+from skyloom.session import cut_lineage, store
 from skyloom.sources.lake import (
     append_failures,
     context_window,
@@ -83,7 +83,7 @@ def quality_sink(
         tail_schema = T.StructType([schema[c] for c in raw])
         tails = scan_table(spark, f"{path}/tails", tail_schema, "batch_id")
         context = tails.where(F.col("batch_id") == str(batch_id - 1)).drop("batch_id")
-        incoming = cut_lineage(batch.select(*raw))
+        incoming = store(batch.select(*raw))
         flagged = qc_with_context(incoming, context, rules, station=station, time=time)
         overwrite_partitions(
             flagged.withColumn("batch_id", F.lit(str(batch_id))), f"{path}/flags", ["batch_id"]
@@ -121,12 +121,12 @@ def silver_sink(
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        dated = cut_lineage(batch.withColumn("date", observation_date()))
+        dated = store(batch.withColumn("date", observation_date()))
         first, last = dated.agg(F.min("date"), F.max("date")).first()
         stored = scan_table(spark, path, schema, "date").where(F.col("date") <= last)
         context = context_window(stored, last, _days_between(first, last) + 1)
         # Read by the valid and by the failed side.
-        checked = cut_lineage(
+        checked = store(
             qc_with_context(dated, context, rules, station=station, time="timestamp")
         )
         valid, failed = validate(
