@@ -9,7 +9,6 @@ clustering, so the work grows with the points, not with their product.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,76 +38,77 @@ def fill_from_nearest(
     the order latitude, longitude, ``tie``. Rows without coordinates stay as they are. The
     estimates are one row per place and joined once for all columns.
     """
-    found = {}
-    for column in columns:
-        estimates = _column_estimates(df, column, lat, lon, tie, k)
-        if estimates is not None:
-            found[column] = estimates.withColumnRenamed("_estimate", f"_estimate_{column}")
-    if not found:
-        return df
-    stacked = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), found.values()
-    ).groupBy("u_lat", "u_lon").agg(*[F.max(f"_estimate_{c}").alias(f"_estimate_{c}") for c in found])
-    joined = df.join(
-        stacked, (F.col(lat) == F.col("u_lat")) & (F.col(lon) == F.col("u_lon")), "left"
+    place = [F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")]
+    names = [f"_t{i}" for i in range(len(tie))]
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("series"), F.col(c).cast("double").alias("value")) for c in columns]
+    )
+    long = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
+        *place, *[F.col(t).alias(n) for t, n in zip(tie, names)], F.inline(cells)
     )
-    return joined.withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"_estimate_{c}")) for c in found}
-    ).drop("u_lat", "u_lon", *[f"_estimate_{c}" for c in found])
-
-
-def _column_estimates(
-    df: DataFrame, column: str, lat: str, lon: str, tie: Sequence[str], k: int
-) -> DataFrame | None:
-    """``(u_lat, u_lon, _estimate)`` of every place where the column is missing."""
-    located = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     wanted = cut_lineage(
-        df.where(located & F.col(column).isNull())
-        .select(F.col(lat).cast("double").alias("u_lat"), F.col(lon).cast("double").alias("u_lon"))
+        long.where(F.col("value").isNull())
+        .select("series", F.col("lat").alias("u_lat"), F.col("lon").alias("u_lon"))
         .distinct()
     )
     if wanted.isEmpty():
-        return None
-    names = [f"_t{i}" for i in range(len(tie))]
-    same_place = Window.partitionBy("lat", "lon").orderBy(*names)
+        return df
+    same_place = Window.partitionBy("series", "lat", "lon").orderBy(*names)
     known = cut_lineage(
-        df.where(located & F.col(column).isNotNull())
-        .select(
-            F.col(lat).cast("double").alias("lat"),
-            F.col(lon).cast("double").alias("lon"),
-            F.col(column).cast("double").alias("value"),
-            *[F.col(t).alias(n) for t, n in zip(tie, names)],
-        )
+        long.where(F.col("value").isNotNull())
         # Rows at one place are equally far from everywhere: only its first k can be picked, and
         # each task drops the others before the shuffle.
         .withColumn("slot", F.row_number().over(same_place))
         .where(F.col("slot") <= k)
-        .select("lat", "lon", "value", "slot")
+        .select("series", "lat", "lon", "value", "slot")
     )
-    return None if known.isEmpty() else nearest_estimates(wanted, known, k)
+    estimates = nearest_estimates(wanted, known, k, len(columns))
+    if estimates is None:
+        return df
+    per_place = estimates.groupBy("u_lat", "u_lon").agg(
+        *[F.max(F.when(F.col("series") == c, F.col("_estimate"))).alias(f"_estimate_{c}") for c in columns]
+    )
+    joined = df.join(
+        per_place, (F.col(lat) == F.col("u_lat")) & (F.col(lon) == F.col("u_lon")), "left"
+    )
+    return joined.withColumns(
+        {c: F.coalesce(F.col(c), F.col(f"_estimate_{c}")) for c in columns}
+    ).drop("u_lat", "u_lon", *[f"_estimate_{c}" for c in columns])
 
 
-def nearest_estimates(wanted: DataFrame, known: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """Per wanted point ``(u_lat, u_lon)`` the weighted mean ``_estimate`` of its k nearest."""
-    picked = nearest_points(wanted, known, k)
+def nearest_estimates(
+    wanted: DataFrame, known: DataFrame, k: int, n_series: int
+) -> DataFrame | None:
+    """Per wanted ``(series, u_lat, u_lon)`` the weighted mean ``_estimate`` of its k nearest
+    rows of the same series; None when nothing is known."""
+    picked = nearest_points(wanted, known, k, n_series)
+    if picked is None:
+        return None
     exact = F.col("distance") == 0
     hits = F.count_if(exact)
     weight = 1.0 / F.when(~exact, F.col("distance"))
-    return picked.groupBy("u_lat", "u_lon").agg(
+    return picked.groupBy("series", "u_lat", "u_lon").agg(
         F.when(hits > 0, F.sum(F.when(exact, F.col("value"))) / hits)
         .otherwise(F.sum(weight * F.col("value")) / F.sum(weight))
         .alias("_estimate")
     )
 
 
-def nearest_points(wanted: DataFrame, known: DataFrame, k: int) -> DataFrame:
-    """The k nearest rows of ``known(lat, lon, value, slot)`` of every wanted point."""
+def nearest_points(
+    wanted: DataFrame, known: DataFrame, k: int, n_series: int
+) -> DataFrame | None:
+    """The k nearest rows of ``known(series, lat, lon, value, slot)`` of every wanted point.
+
+    ``n_series`` is the number of series, which bounds the cells of a level.
+    """
     box = known.agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("lat").alias("lat"),
         F.min("lon").alias("lon"),
         F.greatest(F.max("lat") - F.min("lat"), F.max("lon") - F.min("lon")).alias("side"),
     ).first()
+    if not box["rows"]:
+        return None
     side = box["side"] or 1.0
     last = (1 << (FAN_BITS * DEEPEST)) - 1
 
@@ -119,15 +119,14 @@ def nearest_points(wanted: DataFrame, known: DataFrame, k: int) -> DataFrame:
     points = known.withColumn("ix", index("lat", box["lat"])).withColumn(
         "iy", index("lon", box["lon"])
     )
-    depth = _leaf_depth(points, box["rows"])
-    frontier = wanted.select(
-        "u_lat", "u_lon", F.lit(0).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy")
-    )
-    one = Window.partitionBy("u_lat", "u_lon")
+    depth = _leaf_depth(points, box["rows"] // n_series)
+    root = F.lit(0).cast("bigint")
+    frontier = wanted.select("series", "u_lat", "u_lon", root.alias("cx"), root.alias("cy"))
+    one = Window.partitionBy("series", "u_lat", "u_lon")
     by_far = one.orderBy("far", "cx", "cy").rowsBetween(Window.unboundedPreceding, 0)
     for level in range(1, depth + 1):
         cells = _cells(points, level)
-        if 1 << (2 * FAN_BITS * level) <= BROADCAST_ROWS:
+        if n_series << (2 * FAN_BITS * level) <= BROADCAST_ROWS:
             cells = F.broadcast(cells)
         off_lat = F.greatest(F.col("lat_0") - F.col("u_lat"), F.col("u_lat") - F.col("lat_1"), F.lit(0.0))
         off_lon = F.greatest(F.col("lon_0") - F.col("u_lon"), F.col("u_lon") - F.col("lon_1"), F.lit(0.0))
@@ -135,27 +134,27 @@ def nearest_points(wanted: DataFrame, known: DataFrame, k: int) -> DataFrame:
         far_lon = F.greatest(F.abs(F.col("lon_0") - F.col("u_lon")), F.abs(F.col("u_lon") - F.col("lon_1")))
         frontier = (
             frontier.withColumnsRenamed({"cx": "parent_x", "cy": "parent_y"})
-            .join(cells, ["parent_x", "parent_y"])
+            .join(cells, ["series", "parent_x", "parent_y"])
             .withColumn("near", F.sqrt(off_lat * off_lat + off_lon * off_lon))
             .withColumn("far", F.sqrt(far_lat * far_lat + far_lon * far_lon))
             .withColumn("_held", F.sum("held").over(by_far))
             .withColumn("_reach", F.min(F.when(F.col("_held") >= k, F.col("far"))).over(one))
             .where(F.col("_reach").isNull() | (F.col("near") <= F.col("_reach")))
-            .select("u_lat", "u_lon", "cx", "cy")
+            .select("series", "u_lat", "u_lon", "cx", "cy")
         )
     shift = FAN_BITS * (DEEPEST - depth)
     leaves = points.select(
-        "lat", "lon", "value", "slot",
+        "series", "lat", "lon", "value", "slot",
         F.shiftright("ix", shift).alias("cx"), F.shiftright("iy", shift).alias("cy"),
     )
     d_lat, d_lon = F.col("lat") - F.col("u_lat"), F.col("lon") - F.col("u_lon")
     rank = F.row_number().over(one.orderBy("distance", "lat", "lon", "slot"))
     return (
-        frontier.join(leaves, ["cx", "cy"])
+        frontier.join(leaves, ["series", "cx", "cy"])
         .withColumn("distance", F.sqrt(d_lat * d_lat + d_lon * d_lon))
         .withColumn("rank", rank)
         .where(F.col("rank") <= k)
-        .select("u_lat", "u_lon", "rank", "distance", "value")
+        .select("series", "u_lat", "u_lon", "rank", "distance", "value")
     )
 
 
@@ -180,7 +179,7 @@ def _cells(points: DataFrame, level: int) -> DataFrame:
     shift = FAN_BITS * (DEEPEST - level)
     return (
         points.groupBy(
-            F.shiftright("ix", shift).alias("cx"), F.shiftright("iy", shift).alias("cy")
+            "series", F.shiftright("ix", shift).alias("cx"), F.shiftright("iy", shift).alias("cy")
         )
         .agg(
             F.count(F.lit(1)).alias("held"),
