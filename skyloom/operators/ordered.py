@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from skyloom.session import cut_lineage
 
-CHUNK_ROWS = 4_000_000
+CHUNK_ROWS = 2_000_000
 CELLS_PER_CHUNK = 16
 BROADCAST_ROWS = 500_000
 MAX_CUTS = 8

@@ -24,7 +24,7 @@ def chain_ctes(
     ctes, joins, columns = [], [], []
     for r in rules:
         c, p = r.column, r.prefix
-        jump = f"abs(v - vp)" if not r.circular else "least(abs(v - vp), 360 - abs(v - vp))"
+        jump = "abs(v - vp)" if not r.circular else "least(abs(v - vp), 360 - abs(v - vp))"
         checks = {"range_fail": f"v < {r.minimum} OR v > {r.maximum}"}
         if r.max_step:
             checks["step_fail"] = f"{jump} > {r.max_step}"

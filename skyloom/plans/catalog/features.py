@@ -186,7 +186,7 @@ def weather_rows(spark, sf):
     )
 
 
-@query("silver_weather", f"""WITH base AS (SELECT * FROM events), {READINGS}, {fill_sql('gappy')},
+@query("silver_weather", f"""WITH {READINGS}, {fill_sql('gappy')},
   near AS (SELECT *, lag(gappy) OVER w AS gp, lag(value) OVER w AS vp, lag(bearing) OVER w AS bp FROM gappy_fill
     WINDOW w AS (PARTITION BY station_id ORDER BY ts, event_id))
   SELECT event_id, {ISO_SQL} AS timestamp,

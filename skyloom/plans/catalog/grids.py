@@ -128,6 +128,17 @@ def argmin_record(spark, sf):
     return G.accumulation_buckets(decoded(spark, sf)).select("file", "point", "span_h", "value")
 
 
+@query("forecast_assemble", f"""WITH {FILES_SQL} SELECT file, 'c' || block AS cycle, CAST(hour AS INTEGER) AS fhr, point, lat, lon,
+    round((trunc(value * 10) + 20000) * pow(10e0, -2e0) - 273.15e0, 3) AS temperature_c,
+    round((trunc(value * 100) * 0.25e0) * pow(10e0, -1e0), 3) AS u_wind_ms, 1.5e0 AS v_wind_ms,
+    trunc(value * 16) * 0.0625e0 AS bucket, CAST(least(span, hour) AS INTEGER) AS span_h FROM f""")
+def forecast_assemble(spark, sf):
+    files, _ = G.guard_payload(message_files(spark, sf))
+    block = F.substring_index("file", "/", -1)
+    steps = files.select("file", F.concat(F.lit("c"), block).alias("cycle"), ((block.cast("bigint") % 24 + 1) * 3).alias("fhr"))
+    return G.assemble_run(decoded(spark, sf), steps).drop("constant_zero")
+
+
 @query("grid_generate", f"""WITH {READINGS}, box AS (SELECT city, min(lat) AS a, max(lat) AS b, min(lon) AS c, max(lon) AS d
     FROM readings GROUP BY city)
   SELECT city, round(a + i * 1e0, 2) AS lat, round(c + j * 1e0, 2) AS lon FROM box,

@@ -331,7 +331,7 @@ def latest_per_source(spark, sf):
 
 @query("freshness_report", f"""WITH {RUN_LOG}, dim AS (SELECT DISTINCT o_orderpriority AS source,
       CASE WHEN o_orderpriority LIKE '1%' THEN 1000 ELSE 100000 END AS threshold_min FROM orders
-    UNION ALL SELECT 'never', 30),
+    UNION ALL VALUES ('cpcb', 30), ('firms', 40), ('weather', 120), ('gfs', 720), ('sentinel5p', 2880), ('gold', 120)),
   t AS (SELECT TIMESTAMP '2001-08-03' AS now),
   s AS (SELECT source,
     count(*) FILTER (status = 'success' AND ran >= now - INTERVAL 9600 HOUR) AS successes,
@@ -350,7 +350,8 @@ def freshness_report(spark, sf):
     log = run_log(spark, sf)
     threshold = F.when(F.col("source").startswith("1"), 1000).otherwise(100000)
     sources = log.select("source").distinct().withColumn("threshold_min", threshold)
-    never = spark.range(1).select(F.lit("never").alias("source"), F.lit(30).alias("threshold_min"))
+    # None of the monitored jobs has run in this log; each is reported all the same.
+    never = health.monitored(spark).select("source", "threshold_min")
     return health.freshness_report(
         log, sources.unionByName(never), F.lit("2001-08-03").cast("timestamp"), order=["run_id"], window_hours=9600
     )

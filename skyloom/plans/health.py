@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions.scalars import parse_instant
+from skyloom.profiles import JOBS
 
 
 def status_counts(log: DataFrame, keys: Sequence[str] = ("source",)) -> DataFrame:
@@ -31,6 +32,11 @@ def latest_per_source(
     return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns])
 
 
+def monitored(spark: SparkSession) -> DataFrame:
+    """The monitored jobs: ``source, name, interval_min, threshold_min``."""
+    return spark.createDataFrame(JOBS, "source string, name string, interval_min int, threshold_min int")
+
+
 def freshness_report(
     log: DataFrame,
     sources: DataFrame,

@@ -50,6 +50,15 @@ def test_same_place_takes_all_the_weight(spark):
     check(spark, data)
 
 
+def test_copies_at_one_place_are_cut_before_the_shuffle(spark):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("lat").orderBy("t")
+    df = spark.range(9).select((F.col("id") % 2).alias("lat"), F.col("id").alias("t"))
+    plan = df.withColumn("slot", F.row_number().over(w)).where("slot <= 5")._jdf.queryExecution().executedPlan()
+    assert "WindowGroupLimit" in plan.toString() and "Partial" in plan.toString()
+
+
 def test_fewer_than_k(spark):
     check(spark, [(0.0, 0.0, 0, 1.0), (0.0, 2.0, 1, 3.0), (0.0, 1.0, 2, None)])
 

@@ -11,7 +11,7 @@ from skyloom.operators import periods, upserts
 from skyloom.operators.contracts import Contract, ColumnRule, ContractError, validate
 from skyloom.plans import maintenance
 from skyloom.plans.silver import silver_forecast
-from skyloom.profiles import CONTRACTS
+from skyloom.profiles import CONTRACTS, MODEL_AIR_START
 from skyloom.schemas import BRONZE_PAYLOAD, KEYS, RUN_LOG, SILVER_FIRE, SILVER_GRID, SILVER_MODEL_AIR, \
     SILVER_AIR, SILVER_SATELLITE, SILVER_WEATHER
 from skyloom.sources import lake
@@ -82,6 +82,16 @@ def test_upsert_table_twice_equals_once(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
+def test_insert_ignore_table_keeps_the_first(spark, tmp_path):
+    path = str(tmp_path / "wx")
+    row = filled(spark, SILVER_WEATHER, station="Delhi", timestamp="2026-01-01T00:00:00+00:00", temperature_raw=1.0)
+    dated = row.withColumn("date", lake.observation_date())
+    for value in (1.0, 2.0):
+        lake.insert_ignore_table(spark, dated.withColumn("temperature_raw", F.lit(value)), path, SILVER_WEATHER,
+                                 partition="date", keys=["station", "timestamp"], order=["timestamp"])
+    assert rows(spark.read.parquet(path).select("temperature_raw")) == [(1.0,)]
+
+
 def test_absent_table_is_empty(spark, tmp_path):
     df = lake.scan_table(spark, str(tmp_path / "none"), SILVER_AIR, "date")
     assert df.count() == 0 and "date" in df.columns
@@ -213,7 +223,7 @@ def test_forecast_series(spark):
 
 def test_spans_and_chunks(spark):
     months = spark.createDataFrame([(2022, m) for m in (1, 7, 8, 10, 11, 12)], "year int, month int")
-    spans = rows(periods.contiguous_spans(months, coverage_start="2022-08-03").select("start_date", "end_date"), "start_date")
+    spans = rows(periods.contiguous_spans(months, coverage_start=MODEL_AIR_START).select("start_date", "end_date"), "start_date")
     assert spans == [(dt.date(2022, 8, 3), dt.date(2022, 8, 31)), (dt.date(2022, 10, 1), dt.date(2022, 12, 31))]
     chunks = rows(periods.date_chunks(months.where("month = 1")).select("start_date", "n_days"), "start_date")
     assert sum(c[1] for c in chunks) == 31 and chunks[-1] == (dt.date(2022, 1, 31), 1)
