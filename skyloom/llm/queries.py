@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import cube_mix, line_chunks, rule_lists, url_cascade
+from skyloom.llm import cube_mix, line_chunks, quality_trees, rule_lists, url_cascade
+from skyloom.llm.labels import held_out
 from skyloom.session import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,19 @@ URL_RULES = [
 ]
 
 
+@query
+def op1_quality_trees(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = load_table(spark, sf, "documents"), load_table(spark, sf, "labels")
+    forest = quality_trees.fit_quality(docs, labels.filter(~held_out(F.col("doc_id"), 3, 1)))
+    scored = quality_trees.with_quality(docs.select("doc_id", "text"), forest, keep=False)
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op4_url_cascade(spark: SparkSession, sf: str) -> DataFrame:
     return url_cascade.judge_urls(load_table(spark, sf, "pages"), URL_RULES)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.frames import doc_words, let
+from skyloom.llm.labels import sample_labels
 from skyloom.session import cut_lineage
 
 #: Labelled rows a list is learned from, at most; the least by hash are taken.
@@ -222,18 +223,6 @@ def learn_rules(statistics: DataFrame, labels: DataFrame) -> list[Rule]:
     return rules
 
 
-def sample_labels(labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id and ``label`` of at most ``rows`` documents, the least by hash; contradicting labels
-    of a document cancel out."""
-    once = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
-        .groupBy("doc_id")
-        .agg(F.min(label).alias(label), F.max(label).alias("_other"))
-        .filter(F.col(label) == F.col("_other"))
-    )
-    return cut_lineage(once.select("doc_id", label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-
-
 def rules_from(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Learn a list from the documents whose ``quality`` label is among at most ``rows`` drawn."""
     drawn = sample_labels(labels, "quality", rows).select("doc_id", (1 - F.col("quality")).cast("int").alias("bad"))
