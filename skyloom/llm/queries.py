@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import cube_mix, line_chunks, quality_trees, rule_lists, url_cascade
+from skyloom.llm import cube_mix, line_chunks, quality_trees, rule_lists, toxicity_nb, url_cascade
 from skyloom.llm.labels import held_out
 from skyloom.session import load_table
 
@@ -66,6 +66,19 @@ def op7_cube_mix(spark: SparkSession, sf: str) -> DataFrame:
     return cube_mix.mix_documents(load_table(spark, sf, "documents"))
 
 
+@query
+def op8_toxicity_nb(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = load_table(spark, sf, "documents"), load_table(spark, sf, "labels")
+    model = toxicity_nb.fit_toxicity(docs, labels.filter(~held_out(F.col("doc_id"), 5, 0)))
+    scored = toxicity_nb.with_toxicity(docs.select("doc_id", "text"), model, keep=False)
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 5, 0).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op9_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Per document what is left of it: lines, removed chunks and the digest of the text."""
