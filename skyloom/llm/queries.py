@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import cube_mix, line_chunks, quality_trees, rule_lists, toxicity_nb, url_cascade
+from skyloom.llm import cube_mix, line_chunks, quality_trees, rule_lists, substring_cover, toxicity_nb, url_cascade
 from skyloom.llm.labels import held_out
 from skyloom.session import load_table
 
@@ -61,6 +61,25 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 """
 
 
+@query
+def op5_substring_cover(spark: SparkSession, sf: str) -> DataFrame:
+    kept = substring_cover.dedup_substrings(load_table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Windows compared by their text, which SQL can hold at this size.
+ORACLES["op5_substring_cover"] = r"""
+WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+spot AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM words WHERE len(w) >= 13),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM spot),
+gone AS (SELECT DISTINCT doc_id, i + k AS j FROM (SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY s) AS later FROM win), range(13) r(k) WHERE later),
+lost AS (SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id)
+SELECT words.doc_id, len(w) AS n_words, coalesce(len(js), 0) AS n_removed,
+  sha256(array_to_string(CASE WHEN js IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(js, i)) END, ' ')) AS kept_sha256
+FROM words LEFT JOIN lost USING (doc_id)
+"""
+
+
 @query
 def op7_cube_mix(spark: SparkSession, sf: str) -> DataFrame:
     return cube_mix.mix_documents(load_table(spark, sf, "documents"))
