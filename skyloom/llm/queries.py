@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import cube_mix, line_chunks, near_dups, quality_trees, rule_lists, substring_cover, toxicity_nb, url_cascade
+from skyloom.llm import cube_mix, line_chunks, near_dups, quality_trees, rule_lists, substring_cover, template_decontam, toxicity_nb, url_cascade
 from skyloom.llm.labels import held_out
 from skyloom.session import load_table
 
@@ -43,6 +43,11 @@ def op1_quality_trees(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op2_template_decontam(spark: SparkSession, sf: str) -> DataFrame:
+    return template_decontam.mark_contaminated(load_table(spark, sf, "documents"), load_table(spark, sf, "benchmark"))
+
+
 @query
 def op3_near_dups(spark: SparkSession, sf: str) -> DataFrame:
     return near_dups.near_duplicates(load_table(spark, sf, "documents"), shingle=2, percent=80)

@@ -115,9 +115,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: in
         low = starts[at]
         to = max(int(np.searchsorted(ends, low + _BLOCK_BYTES, side="right")), at + 1)
         block = data[low : ends[to - 1]]
-        power, inverse = powers(len(block), base)
+        power, inverse = powers(len(block) + 1, base)  # an empty span may stand at the end
         sums = np.zeros(len(block) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_CODES[block] * power, out=sums[1:])
+        np.cumsum(_BYTE_CODES[block] * power[:-1], out=sums[1:])
         s, e = starts[at:to] - low, ends[at:to] - low
         out[at:to] = mix((sums[e] - sums[s]) * inverse[s])
         at = to
