@@ -61,8 +61,8 @@ def answers(docs: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
 
 def judged(sent: DataFrame, parts: int, judge: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """Bring the pairs of a part together and keep those that ``judge`` (hashes, checks, docs and
-    hashes known to be shared, to a mask) picks, with the decided ones: ``ANSWERS`` rows, of which
-    a document may have several."""
+    hashes known to be shared, to a mask) picks, with the decided ones: ``ANSWERS``, one row per
+    document. The picked pairs travel packed by their document's part, as the decided ones do."""
 
     def one_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -71,16 +71,25 @@ def judged(sent: DataFrame, parts: int, judge: Callable[[np.ndarray, np.ndarray,
             kind = batch.column("kind").to_numpy()
             for k in np.unique(kind):
                 rows = batch.filter(pa.array(kind == k))
+                if k == DECIDED:
+                    yield rows
+                    continue
                 h, c, d = (joined(rows.column(n), t) for n, t in (("hashes", np.uint64), ("checks", np.uint64), ("docs", np.int64)))
                 if k == SHARED:
                     shared.append(h.copy())
-                elif k == DECIDED:
-                    yield answers(d, h)
                 else:
                     held.append((h.copy(), c.copy(), d.copy()))
         if held:
             h, c, d = (np.concatenate(x) for x in zip(*held, strict=True))
             mask = judge(h, c, d, np.unique(np.concatenate(shared)))
-            yield answers(d[mask], h[mask])
+            yield packed(DECIDED, parts, d[mask] % parts, h[mask], d[mask])
 
-    return sent.repartitionById(parts, "part").mapInArrow(one_part, ANSWERS)
+    def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for batch in batches:
+            docs.append(joined(batch.column("docs"), np.int64).copy())
+            hashes.append(joined(batch.column("hashes"), np.uint64).copy())
+        yield answers(np.concatenate(docs), np.concatenate(hashes))
+
+    picked = sent.repartitionById(parts, "part").mapInArrow(one_part, PACKED)
+    return picked.repartitionById(parts, "part").mapInArrow(by_document, ANSWERS)

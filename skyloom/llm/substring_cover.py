@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.exchange import DECIDED, PACKED, PAIRS, SHARED, joined, judged, packed
+from skyloom.llm.exchange import DECIDED, PACKED, PAIRS, SHARED, judged, packed
 from skyloom.llm.frames import fan_out, sieve_of, sieved
 from skyloom.llm.text import Words, slabs, windows, word_hashes, words_of
 from skyloom.session import store
@@ -91,14 +91,14 @@ def _in_several(h: np.ndarray, _: np.ndarray, d: np.ndarray, shared: np.ndarray)
 
 
 def _answered(batch: pa.RecordBatch, hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Which hashes are in the answers (column answers, a list of packed arrays) of their document."""
-    lists = batch.column("answers")
+    """Which hashes are in the answers (column hashes, a packed array) of their document."""
+    lists = batch.column("hashes")
     mine = np.zeros(len(hashes), dtype=bool)
     bounds = np.searchsorted(doc, np.arange(batch.num_rows + 1))
     for row in range(batch.num_rows):
         a, b = bounds[row], bounds[row + 1]
-        if a < b and lists[row].is_valid and len(lists[row]):
-            mine[a:b] = np.isin(hashes[a:b], joined(lists[row].values, np.uint64))
+        if a < b and lists[row].is_valid:
+            mine[a:b] = np.isin(hashes[a:b], np.frombuffer(lists[row].as_buffer(), dtype=np.uint64))
     return mine
 
 
@@ -141,20 +141,19 @@ def _not_least(h: np.ndarray, c: np.ndarray, d: np.ndarray, _: np.ndarray) -> np
 
 
 def _with_answers(docs: DataFrame, found: DataFrame, every: bool) -> DataFrame:
-    """doc_id, text, answers of the documents that have answers, or of every one. Only texts that
+    """doc_id, text, hashes of the documents that have answers, or of every one. Only texts that
     the sieve of the answered ids lets through are shuffled."""
     marked = sieved(docs, sieve_of(found, F.xxhash64("doc_id")), F.xxhash64("doc_id"))
-    per_doc = found.groupBy("doc_id").agg(F.collect_list("hashes").alias("answers"))
-    moved = marked.filter("_maybe").drop("_maybe").join(per_doc, "doc_id", "left" if every else "inner")
+    moved = marked.filter("_maybe").drop("_maybe").join(found, "doc_id", "left" if every else "inner")
     if not every:
         return moved
-    still = marked.filter(~F.col("_maybe")).drop("_maybe").withColumn("answers", F.lit(None).cast("array<binary>"))
+    still = marked.filter(~F.col("_maybe")).drop("_maybe").withColumn("hashes", F.lit(None).cast("binary"))
     return still.unionByName(moved)
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slabs(batches):
-        answers = batch.column("answers")
+        answers = batch.column("hashes")
         texts, n_words, n_removed = [], [], []
         for row, text in enumerate(batch.column("text")):
             kept = (text.as_py() or "").encode().split()
