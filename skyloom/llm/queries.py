@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import cube_mix, line_chunks, near_dups, quality_trees, rule_lists, substring_cover, template_decontam, toxicity_nb, url_cascade
+import corpus_pipeline
+from skyloom.llm import cube_mix, line_chunks, near_dups, quality_trees, rule_lists, substring_cover, template_decontam, toxicity_nb, trie_tokens, url_cascade
 from skyloom.llm.labels import held_out
 from skyloom.session import load_table
 
@@ -90,6 +91,11 @@ FROM words LEFT JOIN lost USING (doc_id)
 """
 
 
+@query
+def op6_trie_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return trie_tokens.count_tokens(load_table(spark, sf, "documents"))
+
+
 @query
 def op7_cube_mix(spark: SparkSession, sf: str) -> DataFrame:
     return cube_mix.mix_documents(load_table(spark, sf, "documents"))
@@ -125,3 +131,12 @@ def op10_rule_lists(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = load_table(spark, sf, "documents"), load_table(spark, sf, "labels")
     judged = rule_lists.apply_rules(docs, rule_lists.rules_from(docs, labels))
     return judged.select("doc_id", *rule_lists.BASE, "base_failed", "kept", "rule")
+
+
+@query
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
