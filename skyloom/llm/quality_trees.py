@@ -126,8 +126,8 @@ def fit(x: np.ndarray, y: np.ndarray) -> Forest:
     tree is one count of gradients per node, statistic and bin."""
     share = float(y.mean()) if len(y) else 0.5
     tests, leaves = 2**DEPTH - 1, 2**DEPTH
-    start = float(np.log(share / (1 - share))) if 0 < share < 1 else 0.0 if not len(y) else 30.0 * (2 * share - 1)
-    if not 0 < share < 1:
+    start = float(np.log(share / (1 - share))) if 0 < share < 1 else 30.0 * (2 * share - 1)
+    if not len(y) or not 0 < share < 1:
         return Forest(np.zeros((0, tests), int), np.zeros((0, tests)), np.zeros((0, leaves)), start)
     edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
     binned = np.column_stack([np.searchsorted(e, c) for e, c in zip(edges, x.T, strict=True)])

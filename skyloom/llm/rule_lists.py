@@ -158,6 +158,8 @@ def _histogram(rows: DataFrame, thresholds: dict[str, list[float]]) -> dict[tupl
         for f, t in thresholds.items()
         if t
     ]
+    if not bins:
+        return {}
     long = rows.select("bad", F.explode(F.array(*bins)).alias("at")).select("bad", "at.*")
     counts = long.groupBy("feature", "bin").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good"))
     return {(r["feature"], r["bin"]): (r["bad"], r["good"]) for r in counts.collect()}

@@ -4,8 +4,8 @@ Texts and benchmark items become templates: numbers, names (capitalised words in
 units turn into typed placeholders, other words are lower-cased and lose punctuation at their ends.
 Windows of ``WINDOW`` template words are joined by hash. A question asked again with other
 parameters has the same templates; its slots must also be filled consistently, so that equal values
-of the item are equal in the text and different ones differ. That holds exactly if both windows have
-the same pattern of first occurrences, which is part of the join key.
+of the item are equal in the text and different ones differ. Within a window that holds exactly if
+both have the same pattern of first occurrences, which is part of the join key.
 
 A document is contaminated if it holds at least ``COVERAGE`` of an item's windows. A window that
 several items share counts for the smallest of them, so a join never multiplies.
