@@ -20,7 +20,11 @@ RECONCILE_SHARE = 0.02
 
 
 class AccumulationError(Exception):
-    """The buckets of a run contradict each other."""
+    """The buckets of a run contradict each other; ``findings`` holds every refused run."""
+
+    def __init__(self, message: str, findings: DataFrame) -> None:
+        super().__init__(message)
+        self.findings = findings
 
 
 def bucket_increments(
@@ -113,18 +117,24 @@ def reconcile(
     increment: str = "increment",
     total: str = "run_total",
 ) -> DataFrame:
-    """Per run, the worst gap between a point's summed increments and its own run total."""
+    """Per run, the worst gap between a point's summed increments and its own run total, and how
+    many points have no total: such a run is not reconciled."""
     summed = increments.groupBy(*point).agg(
         F.coalesce(F.sum(F.greatest(F.col(increment), F.lit(0.0))), F.lit(0.0)).alias("_summed")
     )
-    gaps = summed.join(run_totals.select(*point, total), list(point))
+    gaps = summed.join(run_totals.select(*point, total), list(point), "left")
     return (
         gaps.groupBy(*run)
         .agg(
             F.max(F.abs(F.col("_summed") - F.col(total))).alias("worst_gap"),
             F.greatest(F.lit(RECONCILE_FLOOR), F.max(total) * RECONCILE_SHARE).alias("tolerance"),
+            F.count_if(F.col(total).isNull()).alias("without_total"),
+        )
+        .withColumn(
+            "reconciled",
+            F.coalesce(F.col("worst_gap") <= F.col("tolerance"), F.lit(False))
+            & (F.col("without_total") == 0),
         )
-        .withColumn("reconciled", F.col("worst_gap") <= F.col("tolerance"))
     )
 
 
@@ -140,14 +150,19 @@ def increments_or_raise(
         made, run_totals, run=run, point=point, increment=out,
         bucket=columns.get("bucket", "bucket"),
     )
-    bad = findings.where(
-        (F.col("undifferenced") > 0)
-        | (F.col("negative") > 0)
-        | F.col("zero_but_packed")
-        | ~F.coalesce(F.col("reconciled"), F.lit(True))
-    ).limit(5).collect()
-    if bad:
-        raise AccumulationError("; ".join(str(row.asDict()) for row in bad))
+    # Without totals to compare with, there is no verdict on them.
+    unreconciled = F.lit(False) if run_totals is None else ~F.coalesce(F.col("reconciled"), F.lit(False))
+    bad = store(
+        findings.where(
+            (F.col("undifferenced") > 0)
+            | (F.col("negative") > 0)
+            | F.col("zero_but_packed")
+            | unreconciled
+        ),
+        "findings",
+    )
+    if count := bad.count():
+        raise AccumulationError(f"{count} runs refused, first {bad.first().asDict()}", bad)
     # An undefined increment stays undefined: greatest() would read NULL as 0.
     return made.withColumn(out, F.when(F.col(out) < 0, F.lit(0.0)).otherwise(F.col(out))).drop(
         "no_difference"

@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.operators.ordered import BROADCAST_ROWS, quadrant_depth
-from skyloom.session import cut_lineage
+from skyloom.operators.ordered import BROADCAST_ROWS
+from skyloom.session import store
 
 NEIGHBOURS = 5
 PER_LEAF = 32
@@ -29,10 +29,11 @@ def fill_from_nearest(
     lat: str,
     lon: str,
     tie: Sequence[str],
+    pool: Sequence[str] = (),
     k: int = NEIGHBOURS,
 ) -> DataFrame:
     """Fill missing values of each column by the inverse-distance mean of its k nearest known
-    rows.
+    rows with the same ``pool`` columns.
 
     Rows at the very same coordinates take all the weight. Equally near rows are taken in
     the order latitude, longitude, ``tie``. Rows without coordinates stay as they are. The
@@ -40,48 +41,54 @@ def fill_from_nearest(
     """
     place = [F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")]
     names = [f"_t{i}" for i in range(len(tie))]
+    pools = [f"p{i}" for i in range(len(pool))]
+    own = [F.col(c).alias(p) for c, p in zip(pool, pools)]
+    # A series is one column inside one pool; nothing below looks across series.
     cells = F.array(
-        *[F.struct(F.lit(c).alias("series"), F.col(c).cast("double").alias("value")) for c in columns]
+        *[
+            F.struct(F.struct(F.lit(c).alias("name"), *own).alias("series"), F.col(c).cast("double").alias("value"))
+            for c in columns
+        ]
     )
     long = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
         *place, *[F.col(t).alias(n) for t, n in zip(tie, names)], F.inline(cells)
     )
-    wanted = cut_lineage(
+    wanted = store(
         long.where(F.col("value").isNull())
         .select("series", F.col("lat").alias("u_lat"), F.col("lon").alias("u_lon"))
-        .distinct()
+        .distinct(),
+        "wanted",
     )
     if wanted.isEmpty():
         return df
     same_place = Window.partitionBy("series", "lat", "lon").orderBy(*names)
-    known = cut_lineage(
+    known = store(
         long.where(F.col("value").isNotNull())
         # Rows at one place are equally far from everywhere: only its first k can be picked, and
         # each task drops the others before the shuffle.
         .withColumn("slot", F.row_number().over(same_place))
         .where(F.col("slot") <= k)
-        .select("series", "lat", "lon", "value", "slot")
+        .select("series", "lat", "lon", "value", "slot"),
+        "known",
     )
-    estimates = nearest_estimates(wanted, known, k, len(columns))
+    estimates = nearest_estimates(wanted, known, k)
     if estimates is None:
         return df
-    per_place = estimates.groupBy("u_lat", "u_lon").agg(
-        *[F.max(F.when(F.col("series") == c, F.col("_estimate"))).alias(f"_estimate_{c}") for c in columns]
+    per_place = estimates.groupBy(*[F.col(f"series.{p}").alias(f"_{p}") for p in pools], "u_lat", "u_lon").agg(
+        *[F.max(F.when(F.col("series.name") == c, F.col("_estimate"))).alias(f"_estimate_{c}") for c in columns]
     )
-    joined = df.join(
-        per_place, (F.col(lat) == F.col("u_lat")) & (F.col(lon) == F.col("u_lon")), "left"
-    )
-    return joined.withColumns(
+    here = (F.col(lat) == F.col("u_lat")) & (F.col(lon) == F.col("u_lon"))
+    for c, p in zip(pool, pools):
+        here = here & F.col(c).eqNullSafe(F.col(f"_{p}"))
+    return df.join(per_place, here, "left").withColumns(
         {c: F.coalesce(F.col(c), F.col(f"_estimate_{c}")) for c in columns}
-    ).drop("u_lat", "u_lon", *[f"_estimate_{c}" for c in columns])
+    ).drop("u_lat", "u_lon", *[f"_{p}" for p in pools], *[f"_estimate_{c}" for c in columns])
 
 
-def nearest_estimates(
-    wanted: DataFrame, known: DataFrame, k: int, n_series: int
-) -> DataFrame | None:
+def nearest_estimates(wanted: DataFrame, known: DataFrame, k: int) -> DataFrame | None:
     """Per wanted ``(series, u_lat, u_lon)`` the weighted mean ``_estimate`` of its k nearest
     rows of the same series; None when nothing is known."""
-    picked = nearest_points(wanted, known, k, n_series)
+    picked = nearest_points(wanted, known, k)
     if picked is None:
         return None
     exact = F.col("distance") == 0
@@ -94,13 +101,8 @@ def nearest_estimates(
     )
 
 
-def nearest_points(
-    wanted: DataFrame, known: DataFrame, k: int, n_series: int
-) -> DataFrame | None:
-    """The k nearest rows of ``known(series, lat, lon, value, slot)`` of every wanted point.
-
-    ``n_series`` is the number of series, which bounds the cells of a level.
-    """
+def nearest_points(wanted: DataFrame, known: DataFrame, k: int) -> DataFrame | None:
+    """The k nearest rows of ``known(series, lat, lon, value, slot)`` of every wanted point."""
     box = known.agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("lat").alias("lat"),
@@ -119,14 +121,14 @@ def nearest_points(
     points = known.withColumn("ix", index("lat", box["lat"])).withColumn(
         "iy", index("lon", box["lon"])
     )
-    depth = _leaf_depth(points, box["rows"] // n_series)
+    depth, occupied = _leaf_depth(points)
     root = F.lit(0).cast("bigint")
     frontier = wanted.select("series", "u_lat", "u_lon", root.alias("cx"), root.alias("cy"))
     one = Window.partitionBy("series", "u_lat", "u_lon")
     by_far = one.orderBy("far", "cx", "cy").rowsBetween(Window.unboundedPreceding, 0)
     for level in range(1, depth + 1):
         cells = _cells(points, level)
-        if n_series << (2 * FAN_BITS * level) <= BROADCAST_ROWS:
+        if occupied[level] <= BROADCAST_ROWS:
             cells = F.broadcast(cells)
         off_lat = F.greatest(F.col("lat_0") - F.col("u_lat"), F.col("u_lat") - F.col("lat_1"), F.lit(0.0))
         off_lon = F.greatest(F.col("lon_0") - F.col("u_lon"), F.col("u_lon") - F.col("lon_1"), F.lit(0.0))
@@ -158,20 +160,25 @@ def nearest_points(
     )
 
 
-def _leaf_depth(points: DataFrame, rows: int) -> int:
-    """Shallowest level whose fullest cell holds at most ``PER_LEAF`` points."""
-
-    def small_enough(level: int) -> bool:
-        return (_cells(points, level).agg(F.max("held")).first()[0] or 0) <= PER_LEAF
-
-    low = min(DEEPEST, quadrant_depth(rows, PER_LEAF, 1 << (2 * FAN_BITS)))
-    if low == DEEPEST or small_enough(low):
-        return low
-    high = DEEPEST
-    while high - low > 1:
-        middle = (low + high) // 2
-        low, high = (low, middle) if small_enough(middle) else (middle, high)
-    return high
+def _leaf_depth(points: DataFrame) -> tuple[int, dict[int, int]]:
+    """Shallowest level whose fullest cell holds at most ``PER_LEAF`` points, and the number of
+    occupied cells of every level: one pass counts the deepest cells, which add up to the others."""
+    deepest = points.groupBy("series", "ix", "iy").agg(F.count(F.lit(1)).alias("held"))
+    levels = F.explode(F.sequence(F.lit(1), F.lit(DEEPEST))).alias("level")
+    shift = ((DEEPEST - F.col("level")) * FAN_BITS).cast("int")
+    cells = (
+        deepest.select("*", levels)
+        .groupBy(
+            "level", "series",
+            F.call_function("shiftright", F.col("ix"), shift).alias("cx"),
+            F.call_function("shiftright", F.col("iy"), shift).alias("cy"),
+        )
+        .agg(F.sum("held").alias("held"))
+    )
+    counted = cells.groupBy("level").agg(F.max("held").alias("most"), F.count(F.lit(1)).alias("n")).collect()
+    occupied = {r["level"]: r["n"] for r in counted}
+    depth = min((r["level"] for r in counted if r["most"] <= PER_LEAF), default=DEEPEST)
+    return depth, occupied
 
 
 def _cells(points: DataFrame, level: int) -> DataFrame:

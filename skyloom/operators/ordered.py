@@ -10,7 +10,7 @@ all of them, take the plain window path: one cheap count decides.
 
 from __future__ import annotations
 
-import math
+import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -23,7 +23,6 @@ from skyloom.session import cut_lineage
 CHUNK_ROWS = 2_000_000
 CELLS_PER_CHUNK = 16
 BROADCAST_ROWS = 500_000
-MAX_CUTS = 8
 ONE_GROUP = "_one_group"
 NULLS_LAST_CELL = 1 << 60
 
@@ -106,7 +105,8 @@ def split_groups(
             break
         positions.append(position)
     chunks: list[str] = []
-    for depth in range(MAX_CUTS if positions else 0):
+    # Every round leaves chunks that are small or span less, so the rounds come to an end.
+    for depth in itertools.count() if positions else ():
         parents = groups + chunks
         large = _groups_to_cut(df, parents, positions, chunk_rows if depth == 0 else 2 * chunk_rows)
         found, rows = large.agg(F.count(F.lit(1)), F.sum("_rows")).first()
@@ -311,8 +311,3 @@ def average_ranks(
         ).select(*groups, value, (F.col("_before") + (F.col("_count") + 1) / 2.0).alias(name))
         out = match_null_safe(out, table, [*groups, value])
     return out.drop(ONE_GROUP)
-
-
-def quadrant_depth(items: int, per_leaf: int, fan_out: int) -> int:
-    """Levels of a ``fan_out``-way split that bring ``items`` down to ``per_leaf``."""
-    return max(1, math.ceil(math.log(max(items / per_leaf, 1.0), fan_out) or 1))

@@ -198,13 +198,15 @@ def quality_chain(
     fill_in_time: bool = True,
     lat: str | None = None,
     lon: str | None = None,
+    pool: Sequence[str] = (),
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Flag every metric and fill what was missing.
 
     Adds ``<name>_clean``, ``<name>_imputed`` and ``<name>_qc_flag`` per rule. The clean column
     keeps flagged readings; gaps are filled along the series and then, where coordinates are
-    named, from the nearest known points. ``order`` must be a total order of a series.
+    named, from the nearest known points of the same ``pool`` (a run, a day). ``order`` must be a
+    total order of a series.
     """
     columns = [r.column for r in rules]
     out = neighbourhood(df, columns, groups=groups, order=order, chunk_rows=chunk_rows)
@@ -233,7 +235,7 @@ def quality_chain(
     if lat and lon:
         # The windows above are read several times below.
         out = store(out, "series")
-        out = fill_from_nearest(out, [r.clean for r in rules], lat=lat, lon=lon, tie=order)
+        out = fill_from_nearest(out, [r.clean for r in rules], lat=lat, lon=lon, tie=order, pool=pool)
     return out.withColumns(
         {
             rule.imputed: (F.col(rule.column).isNull() & F.col(rule.clean).isNotNull()).cast("int")

@@ -37,11 +37,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 def upsert(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
-    """Merge a batch into a table: the batch beats the table, later batch rows beat earlier."""
-    both = existing.withColumn("_age", F.lit(0)).unionByName(
-        batch.withColumn("_age", F.lit(1)), allowMissingColumns=True
-    )
-    return keep_last(both, keys, ["_age", *order]).drop("_age")
+    """Merge a batch into a table: the batch beats the table, later batch rows beat earlier.
+
+    Stored rows hold a key once, so only the batch is aggregated; of the table the rows stay
+    whose key the batch lacks. NULL keys are equal.
+    """
+    latest = keep_last(batch, keys, order)
+    untouched = match_null_safe(existing, latest.select(*keys), keys, "left_anti")
+    return untouched.unionByName(latest, allowMissingColumns=True)
 
 
 def insert_ignore(

@@ -14,11 +14,12 @@ def chain_ctes(
     part: str,
     order: str,
     tie: str | None = None,
+    pool: str = "1",
 ) -> str:
     """CTEs ending in ``chained``: every column of ``source`` plus clean, flag and imputed.
 
     ``source`` has a unique ``event_id`` and, where ``tie`` is given, ``lat`` and ``lon``: then
-    what a series leaves missing is filled from the five nearest rows.
+    what a series leaves missing is filled from the five nearest rows of its ``pool``.
     """
     over = f"PARTITION BY {part} ORDER BY {order}"
     ctes, joins, columns = [], [], []
@@ -46,15 +47,15 @@ def chain_ctes(
         filled = f"{p}_4.filled"
         joins.append(f"JOIN {p}_4 ON s.event_id = {p}_4.event_id")
         if tie:
-            ctes.append(f"""{p}_5 AS (SELECT s.lat, s.lon, filled AS x, {tie} FROM {source} s JOIN {p}_4 ON s.event_id = {p}_4.event_id
-    WHERE filled IS NOT NULL QUALIFY row_number() OVER (PARTITION BY s.lat, s.lon ORDER BY {tie}) <= 5),
-  {p}_6 AS (SELECT DISTINCT s.lat AS ulat, s.lon AS ulon FROM {source} s JOIN {p}_4 ON s.event_id = {p}_4.event_id WHERE filled IS NULL),
-  {p}_7 AS (SELECT *, sqrt((lat - ulat) * (lat - ulat) + (lon - ulon) * (lon - ulon)) AS d FROM {p}_6, {p}_5
-    QUALIFY row_number() OVER (PARTITION BY ulat, ulon ORDER BY d, lat, lon, {tie}) <= 5),
-  {p}_8 AS (SELECT ulat, ulon, CASE WHEN count(*) FILTER (d = 0) > 0 THEN avg(x) FILTER (d = 0)
-      ELSE sum(x / d) FILTER (d > 0) / sum(1 / d) FILTER (d > 0) END AS e FROM {p}_7 GROUP BY ulat, ulon)""")
+            ctes.append(f"""{p}_5 AS (SELECT {pool} AS pool, s.lat, s.lon, filled AS x, {tie} FROM {source} s JOIN {p}_4 ON s.event_id = {p}_4.event_id
+    WHERE filled IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {pool}, s.lat, s.lon ORDER BY {tie}) <= 5),
+  {p}_6 AS (SELECT DISTINCT {pool} AS upool, s.lat AS ulat, s.lon AS ulon FROM {source} s JOIN {p}_4 ON s.event_id = {p}_4.event_id WHERE filled IS NULL),
+  {p}_7 AS (SELECT *, sqrt((lat - ulat) * (lat - ulat) + (lon - ulon) * (lon - ulon)) AS d FROM {p}_6 JOIN {p}_5 ON pool = upool
+    QUALIFY row_number() OVER (PARTITION BY upool, ulat, ulon ORDER BY d, lat, lon, {tie}) <= 5),
+  {p}_8 AS (SELECT upool, ulat, ulon, CASE WHEN count(*) FILTER (d = 0) > 0 THEN avg(x) FILTER (d = 0)
+      ELSE sum(x / d) FILTER (d > 0) / sum(1 / d) FILTER (d > 0) END AS e FROM {p}_7 GROUP BY upool, ulat, ulon)""")
             filled = f"coalesce({p}_4.filled, {p}_8.e)"
-            joins.append(f"LEFT JOIN {p}_8 ON s.lat = {p}_8.ulat AND s.lon = {p}_8.ulon")
+            joins.append(f"LEFT JOIN {p}_8 ON {pool} = {p}_8.upool AND s.lat = {p}_8.ulat AND s.lon = {p}_8.ulon")
         columns += [
             f"{filled} AS {p}_clean",
             f"CASE WHEN {p}_4.f = '' THEN 'ok' ELSE {p}_4.f END AS {p}_qc_flag",

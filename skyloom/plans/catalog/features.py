@@ -250,7 +250,7 @@ def silver_model_air(spark, sf):
 
 @query("silver_fire", f"""WITH {READINGS}, src AS (SELECT event_id, lat, lon, ts, {ISO_SQL} AS timestamp, gappy + 210 AS brightness_raw,
     source AS satellite FROM readings),
-  {chain_ctes('src', FIRE, part='1', order='ts, lat, lon, satellite', tie='ts, satellite')}
+  {chain_ctes('src', FIRE, part='1', order='ts, lat, lon, satellite', tie='ts, satellite', pool="strftime(ts, '%Y-%m-%d')")}
   SELECT lat, lon, timestamp, brightness_raw, {output(FIRE)}, satellite, 'n' AS confidence_raw, 'n' AS confidence_clean,
     0 AS confidence_imputed, 'firms' AS source, 0 AS is_synthetic FROM chained WHERE coalesce(brightness_raw BETWEEN 200 AND 600, TRUE)""")
 def silver_fire(spark, sf):
@@ -266,7 +266,7 @@ def silver_fire(spark, sf):
     temperature_clean AS temperature_raw, precipitation_raw, u_wind_clean AS u_wind_raw, v_wind_clean AS v_wind_raw,
     CASE WHEN step > 0 THEN CASE WHEN step % 6 = 0 THEN 6 ELSE 3 END END AS w FROM grid
     QUALIFY row_number() OVER (PARTITION BY lat, lon, cycle, fhr ORDER BY event_id DESC) = 1),
-  {chain_ctes('src', SILVER_GRID, part='(lat, lon)', order='valid_time, cycle, fhr', tie='valid_time, cycle, fhr')}
+  {chain_ctes('src', SILVER_GRID, part='(lat, lon)', order='valid_time, cycle, fhr', tie='valid_time, cycle, fhr', pool='s.cycle')}
   SELECT lat, lon, cycle, fhr, valid_time, fetched_at, temperature_raw, u_wind_raw, v_wind_raw, {output(DRY_GRID)},
     CASE WHEN w > 0 THEN precipitation_raw END AS precipitation_raw, round(CASE WHEN w > 0 THEN precipitation_clean END, 6) AS precipitation_clean,
     CASE WHEN w > 0 THEN precipitation_qc_flag ELSE 'no_accumulation_window' END AS precipitation_qc_flag,

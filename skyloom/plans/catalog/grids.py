@@ -218,14 +218,17 @@ def _totals(r):
     return r.where(F.col("fhr") > 0).groupBy("cycle", "lat", "lon").agg(F.sum("value").alias("run_total"))
 
 
-@query("accumulation_reconcile", f"""WITH {RUNS}, p AS (SELECT cycle, block, sum(value) FILTER (k > 0) AS total FROM runs GROUP BY ALL)
-  SELECT cycle, 0 AS gap_mm, round(greatest(0.25, 0.02 * max(total)), 4) AS tolerance, 1 AS reconciled FROM p GROUP BY cycle""")
+@query("accumulation_reconcile", f"""WITH {RUNS}, p AS (SELECT cycle, block, CASE WHEN max(block % 28) > 3 THEN sum(value) FILTER (k > 0) END AS total FROM runs GROUP BY ALL)
+  SELECT cycle, CASE WHEN count(total) > 0 THEN 0 END AS gap_mm, round(greatest(0.25, 0.02 * max(total)), 4) AS tolerance,
+    count(*) - count(total) AS without_total, CAST(count(total) = count(*) AS INTEGER) AS reconciled FROM p GROUP BY cycle""")
 def accumulation_reconcile(spark, sf):
     r = runs(spark, sf)
     made = A.bucket_increments(r, point=["cycle", "lat", "lon"])
-    out = A.reconcile(made, _totals(r), run=["cycle"], point=["cycle", "lat", "lon"])
+    # The first days' runs come without totals.
+    totals = _totals(r).where(F.substring("cycle", 7, 2).cast("int") > 4)
+    out = A.reconcile(made, totals, run=["cycle"], point=["cycle", "lat", "lon"])
     return out.select(
-        "cycle", F.round("worst_gap", 2).cast("int").alias("gap_mm"), F.round("tolerance", 4).alias("tolerance"),
+        "cycle", F.round("worst_gap", 2).cast("int").alias("gap_mm"), F.round("tolerance", 4).alias("tolerance"), "without_total",
         F.col("reconciled").cast("int").alias("reconciled"),
     )
 
@@ -275,7 +278,7 @@ STEADY = [r for r in FORECAST if r.column != RAIN]
     strftime(strptime(cycle, '%Y%m%d_00z') + to_hours(CAST(k * 3 AS INTEGER)), '%Y-%m-%dT%H:%M:%S+00:00') AS valid_time,
     CASE WHEN event_id % 7 > 1 THEN value / 10 END AS temperature_c, value - 50 AS u_wind_ms, 1.5e0 AS v_wind_ms,
     CASE WHEN k > 0 THEN round(value, 2) END AS {RAIN} FROM runs),
-  {chain_ctes('src', FORECAST, part='(cycle, lat, lon)', order='valid_time', tie='valid_time, cycle')}
+  {chain_ctes('src', FORECAST, part='(cycle, lat, lon)', order='valid_time', tie='valid_time, cycle', pool='s.cycle')}
   SELECT valid_time, cycle, fhr, lat, lon, {', '.join(f"round({r.column}_clean, 4) AS {r.column}, {r.column}_qc_flag, {r.column}_imputed = 1 AS {r.column}_imputed" for r in STEADY)},
     CASE WHEN fhr > 0 THEN {RAIN} END AS {RAIN}, CASE WHEN fhr > 0 THEN {RAIN}_qc_flag ELSE 'no_accumulation_window' END AS {RAIN}_qc_flag,
     FALSE AS {RAIN}_imputed, 'noaa' AS source, FALSE AS is_synthetic, '2024-02-01T00:00:00+00:00' AS fetched_at FROM chained""")

@@ -50,7 +50,7 @@ def stream_dedup(spark, sf):
 
 
 @query("stream_hourly_aqi", f"""WITH {READINGS} SELECT city, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S+00:00') AS hour_start,
-    count(*) AS n_readings, round(avg(gappy), 6) AS pm25_mean, max(value) AS aqi_max
+    count(*) AS n_readings, count(DISTINCT station_id) AS n_stations, round(avg(gappy), 6) AS pm25_mean, max(value) AS aqi_max
   FROM readings WHERE is_synthetic = 0 GROUP BY city, date_trunc('hour', ts)
   HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM readings WHERE is_synthetic = 0) - INTERVAL 2 HOUR""")
 def stream_hourly_aqi(spark, sf):
@@ -63,7 +63,7 @@ def stream_hourly_aqi(spark, sf):
     )
     hours = drain(jobs.hourly_index(stream, delay="2 hours"), spark, "hourly")
     return hours.select(
-        "city", F.date_format("hour_start", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("hour_start"), "n_readings",
+        "city", F.date_format("hour_start", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("hour_start"), "n_readings", "n_stations",
         F.round("pm25_mean", 6).alias("pm25_mean"), "aqi_max",
     )
 

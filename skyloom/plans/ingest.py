@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,13 +16,13 @@ from skyloom.operators.quality import MetricRule
 from skyloom.plans import gold
 from skyloom.plans.silver import qc_with_context, run_status
 from skyloom.schemas import SILVER_AIR, SILVER_GRID, SILVER_WEATHER
-from skyloom.session import cut_lineage, store
+from skyloom.session import cut_lineage, scratch_scoped, store
 from skyloom.sources.lake import (
     append_failures,
     context_window,
     log_run,
-    observation_date,
     scan_table,
+    split_by_time,
     upsert_table,
 )
 
@@ -39,6 +39,7 @@ class Feed:
     station: str
 
 
+@scratch_scoped
 def ingest_series(
     spark: SparkSession,
     batch: DataFrame,
@@ -57,11 +58,16 @@ def ingest_series(
     fails and stores nothing; running it again changes nothing but the log.
     """
     path = f"{root}/{feed.table}"
-    dated = store(batch.withColumn("date", observation_date()))
+    run_id = hashlib.sha256(f"{feed.source}|{started_at}".encode()).hexdigest()[:32]
+    readable, unreadable = split_by_time(store(batch))
+    n_unreadable = unreadable.count()
+    dated = store(readable)
     got, first, last = dated.agg(
         F.count_distinct(feed.station), F.min("date"), F.max("date")
     ).first()
     if not got:
+        if n_unreadable:
+            append_failures(f"{root}/contract_failures", feed.source, run_id, unreadable)
         result = ("failure", 0, "no data retrieved")
         log_run(spark, f"{root}/run_log", feed.source, started_at, finished_at, result)
         return result
@@ -77,21 +83,22 @@ def ingest_series(
         F.count(F.lit(1)), F.count_if(F.size(VIOLATIONS) > 0)
     ).first()
     valid, failures = validate(checked, feed.contract)
-    if dropped:
-        append_failures(failures, f"{root}/contract_failures", feed.source, uuid.uuid4().hex)
+    if dropped or n_unreadable:
+        append_failures(f"{root}/contract_failures", feed.source, run_id, failures, unreadable)
     if dropped == rows:
-        result = ("failure", 0, "all rows failed contract validation")
+        result = ("failure", 0, f"none of {rows + n_unreadable} rows met the contract")
     else:
         upsert_table(
             spark, valid, path, feed.schema, partition="date", keys=[feed.station, "timestamp"],
             order=["timestamp"],
         )
+        dropped, rows = dropped + n_unreadable, rows + n_unreadable
         status = spark.range(1).select(run_status(F.lit(got), F.lit(expected), F.lit(dropped))).first()[0]
         problems = []
         if got < expected:
             problems.append(f"fetched {got} of {expected}")
         if dropped:
-            problems.append(f"{dropped} bad rows dropped due to contract violations")
+            problems.append(f"{dropped} rows broke the contract")
         result = (status, rows - dropped, " | ".join(problems) or None)
     log_run(spark, f"{root}/run_log", feed.source, started_at, finished_at, result)
     return result

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyloom.functions.scalars import iso_utc_text, payload_hash
-from skyloom.operators.upserts import keep_first
+from skyloom.operators.upserts import insert_ignore
 from skyloom.plans.health import reconcile_counts
-from skyloom.session import store
+from skyloom.session import remove_path, scratch_scoped, store
 from skyloom.sources.lake import overwrite_partitions
 
 # The constants of the placeholder grid.
@@ -27,14 +27,15 @@ def evolve_copy(
     old: DataFrame, schema: T.StructType, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Copy a table into a newer schema: shared columns carry over, a hash and a fetch time are
-    derived where they can be, and rows the new unique key forbids are dropped, first kept."""
+    derived where they can be, and rows the new unique key forbids are dropped, first kept. A key
+    with a NULL in it forbids nothing, so all its rows are copied."""
     derived = {}
     if "raw_data_hash" not in old.columns and "raw_data" in old.columns:
         derived["raw_data_hash"] = payload_hash("raw_data")
     if "fetched_at" not in old.columns and "timestamp" in old.columns:
         derived["fetched_at"] = F.col("timestamp")
     full = old.withColumns(derived) if derived else old
-    first = keep_first(full, keys, order)
+    first = insert_ignore(full.limit(0), full, keys, order)
     return first.select(
         *[
             (F.col(f.name) if f.name in full.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -128,17 +129,19 @@ def verify_relabel(before: DataFrame, after: DataFrame, column: str, old: str) -
     )
 
 
-def relabel_partition(
-    spark: SparkSession, path: str, target: str, column: str, old: str, new: str
-) -> None:
-    """Rewrite a table partitioned by ``column`` into ``target`` with one label replaced, and
-    refuse the result when rows went missing."""
-    before = spark.read.parquet(path)
-    after = store(relabel(before, column, old, new), "relabelled")
-    check = verify_relabel(before, after, column, old).first()
-    if not check["verified"]:
-        raise RuntimeError(f"relabel changed row counts: {check.asDict()}")
-    overwrite_partitions(after, target, [column])
+@scratch_scoped
+def relabel_partition(spark: SparkSession, path: str, column: str, old: str, new: str) -> None:
+    """Move the rows of one label of a table partitioned by ``column`` to another label. Only the
+    two partitions are read and written; the old one is removed once its rows are counted in
+    their new place."""
+    two = spark.read.parquet(path).where(F.col(column).isin(old, new))
+    after = store(relabel(two, column, old, new), "relabelled")
+    expected = two.count()
+    overwrite_partitions(after, path, [column])
+    moved = spark.read.parquet(path).where(F.col(column) == new).count()
+    if moved != expected:
+        raise RuntimeError(f"{expected} rows were to carry {new}, {moved} do; {old} is left in place")
+    remove_path(spark, f"{path.rstrip('/')}/{column}={old}")
 
 
 def migrate_to_lake(

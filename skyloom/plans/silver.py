@@ -25,6 +25,7 @@ from skyloom.profiles import (
 )
 
 SORT_TIME = "_sort_time"
+POOL_DAY = "_pool_day"
 
 
 def build_series(
@@ -62,16 +63,20 @@ def silver_model_air(rows: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
 
 def silver_fire(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
     """Detections rarely repeat at a point, so the whole table is one series in time order.
-    The order is total, and the series is cut into chunks like any other large group."""
-    timed = rows.withColumn(SORT_TIME, parse_instant("timestamp"))
+    The order is total, and the series is cut into chunks like any other large group. What time
+    leaves missing is filled from detections of the same day."""
+    timed = rows.withColumn(SORT_TIME, parse_instant("timestamp")).withColumn(
+        POOL_DAY, F.to_date(SORT_TIME)
+    )
     out = quality_chain(
         timed,
         FIRE,
         order=[SORT_TIME, "lat", "lon", "satellite"],
         lat="lat",
         lon="lon",
+        pool=[POOL_DAY],
         chunk_rows=chunk_rows,
-    ).drop(SORT_TIME)
+    ).drop(SORT_TIME, POOL_DAY)
     tagged = out.withColumns(
         {
             "confidence_clean": F.col("confidence_raw"),
@@ -84,7 +89,8 @@ def silver_fire(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFram
 
 
 def silver_grid(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Forecast grid: each point is its own series over valid time."""
+    """Forecast grid: each point is its own series over valid time; points fill from points of
+    their own cycle."""
     timed = rows.withColumn(SORT_TIME, parse_instant("valid_time"))
     out = quality_chain(
         timed,
@@ -93,6 +99,7 @@ def silver_grid(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFram
         order=[SORT_TIME, "cycle", "fhr"],
         lat="lat",
         lon="lon",
+        pool=["cycle"],
         chunk_rows=chunk_rows,
     ).drop(SORT_TIME)
     out = null_without_window(
@@ -140,6 +147,7 @@ def silver_forecast(
         order=["valid_time", "cycle"],
         lat="lat",
         lon="lon",
+        pool=["cycle"],
         chunk_rows=chunk_rows,
     )
     at_analysis = F.col("fhr") == 0
@@ -177,16 +185,17 @@ def qc_with_context(
 ) -> DataFrame:
     """Quality chain of a batch that can see the stored rows before it; only new rows return.
 
-    A row fetched again replaces its stored copy first, so it is compared once.
+    A row fetched again replaces its stored copy first, so it is compared once. Time is text in
+    any spelling; rows are ordered by the instant it names, unreadable times first.
     """
     raw = [r.column for r in rules]
     stored = context.select(*[c for c in batch.columns if c in context.columns])
     both = batch.withColumn("_is_new", F.lit(1)).unionByName(
         stored.withColumn("_is_new", F.lit(0)), allowMissingColumns=True
     )
-    once = keep_last(both, [station, time], ["_is_new", *raw])
-    out = quality_chain(once, rules, groups=[station], order=[time], chunk_rows=chunk_rows)
-    return out.where(F.col("_is_new") == 1).drop("_is_new")
+    once = keep_last(both, [station, time], ["_is_new", *raw]).withColumn(SORT_TIME, parse_instant(time))
+    out = quality_chain(once, rules, groups=[station], order=[SORT_TIME, time], chunk_rows=chunk_rows)
+    return out.where(F.col("_is_new") == 1).drop("_is_new", SORT_TIME)
 
 
 def run_status(

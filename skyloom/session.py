@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
+import functools
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,16 +53,15 @@ def load_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder the cluster names; make one only for a local session."""
+    """Use the shared folder the cluster names; where none is named, the session's warehouse,
+    which all executors share as well."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="skyloom-checkpoint-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     context.setCheckpointDir(named)
     return named
 
@@ -70,6 +71,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder in whatever file system holds it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that ``store`` writes inside the block when it ends. For jobs whose
+    results are written before they return; a frame read from such a table must not outlive it."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            remove_path(spark, path)
+
+
+def scratch_scoped(job):
+    """Run a job, whose first argument is the session, inside its own ``scratch_scope``."""
+
+    @functools.wraps(job)
+    def scoped(spark: SparkSession, *args, **kwargs):
+        with scratch_scope(spark):
+            return job(spark, *args, **kwargs)
+
+    return scoped
+
+
 def store(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write ``df`` as a table to the shared checkpoint folder and read it back.
 
@@ -77,6 +112,8 @@ def store(df: DataFrame, name: str = "stored") -> DataFrame:
     they need, and a lost executor costs no recompute.
     """
     path = scratch_path(df.sparkSession, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -6,19 +6,19 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from skyloom.functions.scalars import payload_hash
+from skyloom.functions.scalars import parse_instant, payload_hash, utc_date
+from skyloom.operators.ordered import match_null_safe
 from skyloom.operators.upserts import insert_ignore, upsert
 from skyloom.schemas import BRONZE_PAYLOAD, RUN_LOG
-from skyloom.session import store
-
-MAX_NAMED_PARTITIONS = 1000
-
+from skyloom.session import scratch_scoped, store
 
 def scan_table(
     spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None
@@ -55,8 +55,22 @@ def context_window(df: DataFrame, day: str, days_back: int = 1, partition: str =
 
 
 def observation_date(timestamp: str = "timestamp") -> Column:
-    """Partition value of a row: the date it was observed, never the date it was fetched."""
-    return F.substring(timestamp, 1, 10)
+    """Partition value of a row: the UTC date it was observed, never the date it was fetched.
+    NULL where the time cannot be read."""
+    return utc_date(parse_instant(timestamp))
+
+
+def split_by_time(batch: DataFrame, timestamp: str = "timestamp") -> tuple[DataFrame, DataFrame]:
+    """``(rows with their date, failure cases of rows whose time cannot be read)``."""
+    dated = batch.withColumn("date", observation_date(timestamp))
+    unreadable = dated.where(F.col("date").isNull()).drop("date").withColumns(
+        {
+            "failed_column": F.lit(timestamp),
+            "failed_check": F.lit("readable_time"),
+            "failed_value": F.col(timestamp).cast("string"),
+        }
+    )
+    return dated.where(F.col("date").isNotNull()), unreadable
 
 
 def bronze_rows(df: DataFrame, *, payload: str, timestamp: str, fetched_at: Column) -> DataFrame:
@@ -71,17 +85,25 @@ def bronze_rows(df: DataFrame, *, payload: str, timestamp: str, fetched_at: Colu
     )
 
 
+def _named(partition: str) -> Column:
+    """Partition value as storage keeps it: a blank one is stored as NULL."""
+    return F.nullif(F.col(partition).cast("string"), F.lit(""))
+
+
 def in_touched_partitions(existing: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    """Rows of ``existing`` in the partitions a batch touches.
+    """Rows of ``existing`` in the partitions a batch touches, the NULL partition among them.
 
-    A batch touches few: their names become a filter that prunes directories. Past
-    ``MAX_NAMED_PARTITIONS`` the names stay on the executors and a semi-join selects.
+    The span of the touched names prunes directories, a null-safe semi-join then selects the
+    partitions; both are the same for any number of them.
     """
-    touched = batch.select(F.col(partition).cast("string").alias(partition)).distinct()
-    names = [r[0] for r in touched.limit(MAX_NAMED_PARTITIONS + 1).collect()]
-    if len(names) <= MAX_NAMED_PARTITIONS:
-        return existing.where(F.col(partition).isin([n for n in names if n is not None]))
-    return existing.join(touched, partition, "left_semi")
+    touched = batch.select(_named(partition).alias(partition)).distinct()
+    span = touched.agg(
+        F.min(partition).alias("low"), F.max(partition).alias("high"),
+        F.bool_or(F.col(partition).isNull()).alias("unnamed"),
+    ).first()
+    within = F.col(partition).between(F.lit(span["low"]), F.lit(span["high"]))
+    inside = within | F.col(partition).isNull() if span["unnamed"] else within
+    return match_null_safe(existing.where(inside), touched, [partition], "left_semi")
 
 
 def append_bronze(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame:
@@ -94,6 +116,7 @@ def append_bronze(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame
     return fresh
 
 
+@scratch_scoped
 def upsert_table(
     spark: SparkSession,
     batch: DataFrame,
@@ -112,7 +135,9 @@ def upsert_table(
     columns = [*schema.fieldNames()]
     if partition not in columns:
         columns.append(partition)
-    incoming = batch.select(*columns, *[o for o in order if o not in columns])
+    incoming = batch.select(*columns, *[o for o in order if o not in columns]).withColumn(
+        partition, _named(partition)
+    )
     existing = scan_table(spark, path, schema, partition).select(*columns)
     affected = in_touched_partitions(existing, incoming, partition)
     merged = upsert(affected, incoming, [partition, *keys], order).select(*columns)
@@ -135,6 +160,7 @@ def overwrite_partitions(
     ).parquet(path)
 
 
+@scratch_scoped
 def insert_ignore_table(
     spark: SparkSession, batch: DataFrame, path: str, schema: T.StructType, *,
     partition: str, keys: Sequence[str], order: Sequence[str],
@@ -142,30 +168,60 @@ def insert_ignore_table(
     """Append rows whose key is new; what is stored is never changed. Equal keys must fall into
     equal partitions, so only those the batch touches are read."""
     columns = list(dict.fromkeys([*schema.fieldNames(), partition]))
+    batch = batch.withColumn(partition, _named(partition))
     existing = in_touched_partitions(scan_table(spark, path, schema, partition), batch, partition)
     fresh = store(insert_ignore(existing, batch, keys, order).select(*columns), "fresh")
     fresh.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
-def append_failures(failures: DataFrame, path: str, source: str, run_id: str) -> None:
-    """Keep the failure cases of a run, apart from every other run's."""
-    failures.withColumns({"source_key": F.lit(source), "run_id": F.lit(run_id)}).write.mode(
-        "append"
-    ).partitionBy("source_key", "run_id").parquet(path)
+FAILURE_CASES = "source_key string, run_id string, row string, failed_column string, failed_check string, failed_value string"
+
+
+def failure_rows(failures: DataFrame, source: str, run_id: str) -> DataFrame:
+    """Failure cases of any feed in one schema: the row itself goes in as JSON."""
+    told = ["failed_column", "failed_check", "failed_value"]
+    row = F.to_json(F.struct(*[F.col(c) for c in failures.columns if c not in told]))
+    return failures.select(
+        F.lit(source).alias("source_key"), F.lit(run_id).alias("run_id"), row.alias("row"), *told
+    )
+
+
+def append_failures(path: str, source: str, run_id: str, *failures: DataFrame) -> None:
+    """Keep the failure cases of a run, apart from every other run's; the same run again
+    replaces its own."""
+    rows = reduce(DataFrame.unionByName, [failure_rows(f, source, run_id) for f in failures])
+    overwrite_partitions(rows, path, ["source_key", "run_id"])
+
+
+class Outcome(NamedTuple):
+    """What a run has to say for the log."""
+
+    status: str
+    rows: int = 0
+    error: str | None = None
+
+
+def outcome_of(returned) -> Outcome:
+    """Read a job's return value: an outcome, its fields as a tuple, or a bare row count."""
+    match returned:
+        case (status, rows, error, *_):
+            return Outcome(status, int(rows or 0), error)
+        case int():
+            return Outcome("success", int(returned))
+        case None:
+            return Outcome("failure", error="the job gave no result")
+        case _:
+            return Outcome("success")
 
 
 def run_entry(
     spark: SparkSession, source: str, started_at: str, finished_at: str, result
 ) -> DataFrame:
-    """One log row from whatever a job returned: a triple, a count, nothing, or anything else."""
-    if isinstance(result, tuple) and len(result) >= 3:
-        status, count, error = result[:3]
-    elif result is None:
-        status, count, error = "failure", 0, "main() returned None"
-    else:
-        status, count, error = "success", result if isinstance(result, int) else 0, None
-    row = (str(uuid.uuid4()), source, started_at, finished_at, status, int(count or 0), error)
-    return spark.createDataFrame([row], RUN_LOG)
+    """The log row of one run."""
+    told = outcome_of(result)
+    return spark.createDataFrame(
+        [(str(uuid.uuid4()), source, started_at, finished_at, *told)], RUN_LOG
+    )
 
 
 def log_run(spark: SparkSession, path: str, source: str, started_at: str, finished_at: str, result) -> None:
@@ -187,7 +243,11 @@ def write_export(
             for c in df.columns
         ]
     )
-    described.write.mode("overwrite").option("compression", "zstd").partitionBy(*partitions).parquet(path)
+    dealt = described.hint("rebalance", *partitions)
+    # Static: partitions of an earlier export that this one lacks must go.
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").option(
+        "compression", "zstd"
+    ).partitionBy(*partitions).parquet(path)
     body = json.dumps({"units": units, **notes}, sort_keys=True)
     df.sparkSession.createDataFrame([(body,)], "value string").coalesce(1).write.mode(
         "overwrite"

@@ -120,12 +120,24 @@ def parse_hourly(
 
 
 def csv_bodies(df: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
-    """``(csv, rejected)``: a body whose head names no expected column is an error page."""
-    head = F.lower(F.left(F.col(payload), F.lit(200)))
+    """``(csv, rejected)``: a body whose first line names no expected column is an error page."""
+    head = F.lower(F.regexp_extract(payload, r"^\s*([^\r\n]*)", 1))
     is_csv = F.coalesce(head.contains("latitude") | head.contains("country_id"), F.lit(False))
     return df.where(is_csv), df.where(~is_csv)
 
 
+def csv_cells(line: Column) -> Column:
+    """Cells of one CSV line; a quoted cell may hold commas and doubled quotes."""
+    raw = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(r'(\s*"(?:[^"]|"")*"\s*|[^,]*),'), 1)
+
+    def bare(cell: Column) -> Column:
+        inner = F.regexp_extract(cell, r'^\s*"(.*)"\s*$', 1)
+        quoted = F.rlike(cell, F.lit(r'^\s*".*"\s*$'))
+        return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(cell)
+
+    return F.transform(raw, bare)
+
+
 def parse_fire_csv(
     df: DataFrame, payload: str = "payload", *, fallback: Column, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -136,7 +148,7 @@ def parse_fire_csv(
     """
     bodies, _ = csv_bodies(df, payload)
     lines = F.split(F.regexp_replace(F.trim(F.col(payload)), r"[\r\n]+", "\n"), "\n")
-    header = F.split(F.lower(F.get(F.col("_lines"), F.lit(0))), r"\s*,\s*")
+    header = F.transform(csv_cells(F.get(F.col("_lines"), F.lit(0))), lambda c: F.trim(F.lower(c)))
     names = [c.split()[0] for c in FIRE_CSV.split(", ")] + ["bright_ti4"]
     parts = (
         bodies.select(*keep, fallback.alias("_fallback"), lines.alias("_lines"))
@@ -146,7 +158,7 @@ def parse_fire_csv(
         .select("*", F.posexplode("_lines").alias("line_no", "_line"))
         .where((F.col("line_no") > 0) & (F.trim("_line") != ""))
         .withColumn("line_no", F.col("line_no") - 1)
-        .withColumn("_cells", F.split("_line", ","))
+        .withColumn("_cells", csv_cells(F.col("_line")))
     )
 
     def cell(name: str) -> Column:

@@ -13,13 +13,14 @@ from skyloom.functions.scalars import air_quality_index, index_category, parse_i
 from skyloom.operators.contracts import Contract, validate
 from skyloom.operators.quality import MetricRule
 from skyloom.plans.silver import qc_with_context
-from skyloom.session import cut_lineage, store
+from skyloom.session import cut_lineage, scratch_scope, store
 from skyloom.sources.lake import (
     append_failures,
     context_window,
     observation_date,
     overwrite_partitions,
     scan_table,
+    split_by_time,
     upsert_table,
 )
 
@@ -38,26 +39,44 @@ def dedup_payloads(stream: DataFrame, *, timestamp: str, payload: str, delay: st
 def hourly_index(stream: DataFrame, *, delay: str = "2 hours") -> DataFrame:
     """Hourly index per city; late readings count until the watermark passes their hour.
 
-    ``stream``: ``ts, city, station_id, pm25_clean, pm10_clean, source, is_synthetic``. State per
-    city and hour is a few numbers: each task combines its rows first. A stream cannot count
-    distinct values, so stations are counted approximately here; the batch table is exact.
+    ``stream``: ``ts, city, station_id, pm25_clean, pm10_clean, source, is_synthetic``. Readings
+    are summed per station first, so the hour counts its stations exactly; state is a few
+    numbers per station and hour, then per city and hour.
     """
     rows = stream.where((F.col("is_synthetic") == 0) & F.col("city").isNotNull()).withColumn(
         "aqi", air_quality_index("pm25_clean", "pm10_clean", "source")
     )
-    hours = rows.withWatermark("ts", delay).groupBy(F.window("ts", "1 hour"), "city").agg(
-        F.avg("pm25_clean").alias("pm25_mean"),
-        F.avg("pm10_clean").alias("pm10_mean"),
+    means = ("pm25", "pm10")
+    stations = rows.withWatermark("ts", delay).groupBy(F.window("ts", "1 hour"), "city", "station_id").agg(
+        *[F.sum(f"{m}_clean").alias(f"{m}_sum") for m in means],
+        *[F.count(f"{m}_clean").alias(f"{m}_n") for m in means],
+        F.max("aqi").alias("aqi"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    hours = stations.groupBy(F.window(F.window_time("window"), "1 hour"), "city").agg(
+        *[(F.sum(f"{m}_sum") / F.nullif(F.sum(f"{m}_n"), F.lit(0))).alias(f"{m}_mean") for m in means],
         F.max("aqi").alias("aqi_max"),
-        F.approx_count_distinct("station_id").alias("n_stations_approx"),
-        F.count(F.lit(1)).alias("n_readings"),
+        F.count("station_id").alias("n_stations"),
+        F.sum("n").alias("n_readings"),
     )
     return hours.select(
         "city", F.col("window.start").alias("hour_start"), "pm25_mean", "pm10_mean", "aqi_max",
-        index_category("aqi_max").alias("aqi_category"), "n_stations_approx", "n_readings",
+        index_category("aqi_max").alias("aqi_category"), "n_stations", "n_readings",
     )
 
 
+def scratch_batch(
+    spark: SparkSession, run: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """The batch function with its intermediate tables removed after every batch."""
+
+    def scoped(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(spark):
+            run(batch, batch_id)
+
+    return scoped
+
+
 def quality_sink(
     spark: SparkSession,
     path: str,
@@ -73,20 +92,25 @@ def quality_sink(
     flatline window looks back. A batch is checked behind those rows by the batch operator,
     which also splits a series that floods a batch. Rows already written are not flagged
     after the fact, so the first readings of a long run stay unflagged; the batch build is
-    the reference for them. A replayed batch rewrites its own partition and reads the tail
-    of the batch before it, hence yields the same rows.
+    the reference for them. Flags are keyed by station and time: a reading polled again, or a
+    stream begun anew, replaces its row. The tails table has two slots, so a replayed batch
+    still finds the tail of the batch before it.
     """
     back = max([r.flat_window or 1 for r in rules] + [2]) - 1
     raw = [station, time, *[r.column for r in rules]]
+    tail_schema = T.StructType([*[schema[c] for c in raw], T.StructField("batch_id", T.LongType())])
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        tail_schema = T.StructType([schema[c] for c in raw])
-        tails = scan_table(spark, f"{path}/tails", tail_schema, "batch_id")
-        context = tails.where(F.col("batch_id") == str(batch_id - 1)).drop("batch_id")
+        tails = scan_table(spark, f"{path}/tails", tail_schema, "slot")
+        own = str(batch_id % 2)
+        # The first batch of a stream follows whatever an earlier stream left.
+        before = F.lit(True) if batch_id == 0 else (F.col("slot") != own) & (F.col("batch_id") == batch_id - 1)
+        context = store(tails.where(before).select(*raw).dropDuplicates([station, time]))
         incoming = store(batch.select(*raw))
         flagged = qc_with_context(incoming, context, rules, station=station, time=time)
-        overwrite_partitions(
-            flagged.withColumn("batch_id", F.lit(str(batch_id))), f"{path}/flags", ["batch_id"]
+        dated = store(flagged.withColumn("date", observation_date(time)))
+        upsert_table(
+            spark, dated, f"{path}/flags", dated.schema, partition="date", keys=[station, time], order=[time]
         )
         newest = Window.partitionBy(station).orderBy(F.desc(time))
         # A rank below a constant is cut inside every task before rows are shuffled.
@@ -97,11 +121,10 @@ def quality_sink(
             .where(F.col("_rank") <= back)
             .drop("_rank")
         )
-        overwrite_partitions(
-            cut_lineage(kept).withColumn("batch_id", F.lit(str(batch_id))), f"{path}/tails", ["batch_id"]
-        )
+        told = cut_lineage(kept).withColumns({"batch_id": F.lit(batch_id).cast("long"), "slot": F.lit(own)})
+        overwrite_partitions(told, f"{path}/tails", ["slot"])
 
-    return run
+    return scratch_batch(spark, run)
 
 
 def silver_sink(
@@ -119,10 +142,12 @@ def silver_sink(
     contract, then a keyed upsert that a replay leaves unchanged."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        dated = store(batch.withColumn("date", observation_date()))
+        dated, unreadable = split_by_time(store(batch))
         first, last = dated.agg(F.min("date"), F.max("date")).first()
+        if first is None:
+            if failures_path and not unreadable.isEmpty():
+                append_failures(failures_path, path.rsplit("/", 1)[-1], str(batch_id), unreadable)
+            return
         stored = scan_table(spark, path, schema, "date").where(F.col("date") <= last)
         context = context_window(stored, last, _days_between(first, last) + 1)
         # Read by the valid and by the failed side.
@@ -133,13 +158,15 @@ def silver_sink(
             checked.withColumns({c: F.lit(v) for c, v in tags.items()}), contract
         )
         if failures_path:
-            append_failures(failed, failures_path, path.rsplit("/", 1)[-1], str(batch_id))
+            append_failures(
+                failures_path, path.rsplit("/", 1)[-1], str(batch_id), failed, unreadable
+            )
         upsert_table(
             spark, valid, path, schema, partition="date", keys=[station, "timestamp"],
             order=["timestamp"],
         )
 
-    return run
+    return scratch_batch(spark, run)
 
 
 def _days_between(first: str, last: str) -> int:

@@ -27,7 +27,7 @@ def test_runs_across_midnight(spark, tmp_path):
         ("8", "agra", "2026-01-01T23:00:00+00:00", 50.0)]
     assert run(spark, root, day1) == ("success", 4, None)
     day2 = [("7", "delhi", "2026-01-02T00:00:00+00:00", 450.0), ("8", "agra", "2026-01-02T00:00:00+00:00", 1500.0)]
-    expected = ("partial", 1, "1 bad rows dropped due to contract violations")
+    expected = ("partial", 1, "1 rows broke the contract")
     assert run(spark, root, day2) == expected
     assert run(spark, root, day2) == expected
     stored = scan_table(spark, f"{root}/cleaned_cpcb", SILVER_AIR, "date")
