@@ -105,15 +105,17 @@ def scratch_scoped(job):
     return scoped
 
 
-def store(df: DataFrame, name: str = "stored") -> DataFrame:
+def store(df: DataFrame, name: str = "stored", outlive: bool = False) -> DataFrame:
     """Write ``df`` as a table to the shared checkpoint folder and read it back.
 
     For wide frames that are read several times: later reads take only the columns and rows
-    they need, and a lost executor costs no recompute.
+    they need, and a lost executor costs no recompute. With ``outlive`` the table is left to the
+    scope around the innermost one.
     """
     path = scratch_path(df.sparkSession, name)
-    if _scopes:
-        _scopes[-1].append(path)
+    holding = _scopes[:-1] if outlive else _scopes
+    if holding:
+        holding[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
