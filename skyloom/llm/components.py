@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.session import store
+from skyloom.session import scratch_scope, store
 
 
 def _both(links: DataFrame) -> DataFrame:
@@ -42,11 +42,12 @@ def components(links: DataFrame) -> DataFrame:
     def shape(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
-    now = clean(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-    before, seen = None, shape(now)
-    while seen[0] and seen != before:
-        now = clean(_small_star(_large_star(now)))
-        before, seen = seen, shape(now)
-    stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    centres = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return store(stars.unionByName(centres), "components")
+    with scratch_scope(links.sparkSession):
+        now = clean(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+        before, seen = None, shape(now)
+        while seen[0] and seen != before:
+            now = clean(_small_star(_large_star(now)))
+            before, seen = seen, shape(now)
+        stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        centres = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+        return store(stars.unionByName(centres), "components", outlive=True)

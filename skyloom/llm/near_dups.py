@@ -7,8 +7,11 @@ below ``MISS``. What survives is compared on the full sets.
 
 A bucket is not expanded into all its pairs. Its members meet one hub first; what links to the hub
 is one component and needs no further comparison inside itself. Buckets that still hold several
-components get another hub, and when the open pairs are few, or after ``HUB_ROUNDS``, all pairs of
-different components are compared. So no pair that could join two components stays unasked.
+components get another hub. The members of those that are open after ``HUB_ROUNDS`` are compared
+where they share one of their rarest shingles, which two sets of the asked similarity must: members
+that merely share a common passage are never written out as pairs, and none that could join two
+components stays unasked. The first look at a pair, by one bit of each hash value, is part of the
+join's condition.
 
 At a similarity of just the threshold a pair shares no band with probability (1 - 0.8^6)^40 = 5e-6.
 
@@ -21,21 +24,24 @@ an empty result; other columns are ignored. Sets are told apart by 64-bit hashes
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.components import components
 from skyloom.llm.exchange import binaries, joined
 from skyloom.llm.frames import sieve_of, sieved
 from skyloom.llm.text import Words, mix, slabs, windows, word_hashes, words_of
-from skyloom.session import store
+from skyloom.session import scratch_scope, store
 
 BANDS, ROWS = 40, 6
 BATCH, MISS = 24, 1e-5
-HUB_ROUNDS = 6
+HUB_ROUNDS = 2
+RARITY_CELLS = 1 << 16
+BITS = ["bits0", "bits1", "bits2", "bits3"]  # one bit of each hash value, 240 of 256 used
 _CHUNK = 1 << 14
 _random = np.random.default_rng(3)
 _FACTORS = _random.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,20 +100,28 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def fewest_matches(threshold: float) -> list[int]:
-    """For each number of compared batches, the fewest equal values at which the posterior
-    probability (uniform prior) of a similarity of ``threshold`` or more is at least ``MISS``.
-    Signatures are compared by one byte, so different values agree once in 256."""
+def _fewest(threshold: float, n: int, by_chance: float) -> int:
+    """Of ``n`` compared values, the fewest equal ones at which the posterior probability (uniform
+    prior) of a similarity of ``threshold`` or more is at least ``MISS``."""
     p = np.linspace(0, 1, 4001)[1:-1]
-    agree = p + (1 - p) / 256
-    out = []
-    for n in range(BATCH, BANDS * ROWS + 1, BATCH):
-        m = np.arange(n + 1)[:, None]
-        weight = m * np.log(agree) + (n - m) * np.log1p(-agree)
-        weight = np.exp(weight - weight.max(axis=1, keepdims=True))
-        above = weight[:, p >= threshold].sum(axis=1) / weight.sum(axis=1)
-        out.append(int(np.argmax(above >= MISS)))
-    return out
+    agree = p + (1 - p) * by_chance
+    m = np.arange(n + 1)[:, None]
+    weight = m * np.log(agree) + (n - m) * np.log1p(-agree)
+    weight = np.exp(weight - weight.max(axis=1, keepdims=True))
+    return int(np.argmax(weight[:, p >= threshold].sum(axis=1) / weight.sum(axis=1) >= MISS))
+
+
+def fewest_matches(threshold: float) -> list[int]:
+    """The limit after each batch. Signatures are compared by one byte, so different values agree
+    once in 256."""
+    return [_fewest(threshold, n, 1 / 256) for n in range(BATCH, BANDS * ROWS + 1, BATCH)]
+
+
+def _alike(threshold: float, one: str, two: str) -> Column:
+    """Whether the one-bit signatures (columns of a join's sides) leave the threshold possible."""
+    most = BANDS * ROWS - _fewest(threshold, BANDS * ROWS, 1 / 2)
+    differ = [F.bit_count(F.col(f"{one}{b}").bitwiseXOR(F.col(f"{two}{b}"))) for b in BITS]
+    return reduce(Column.__add__, differ) <= most
 
 
 def _sign(n: int):
@@ -119,13 +133,18 @@ def _sign(n: int):
             least = signatures(found, bounds[np.append(full, full[-1] + 1)] if len(full) else bounds[:1])
             keys = np.zeros((len(size), BANDS), dtype=np.int64)
             bytes_ = np.zeros((len(size), BANDS * ROWS), dtype=np.uint8)
+            bits = np.zeros((len(size), len(BITS)), dtype=np.int64)
             if len(full):
                 keys[full] = band_keys(least)
-                bytes_[full] = (mix(least) & np.uint64(255)).astype(np.uint8)
+                mixed = mix(least)
+                bytes_[full] = (mixed & np.uint64(255)).astype(np.uint8)
+                packed = np.packbits(((mixed >> np.uint64(8)) & np.uint64(1)).astype(np.uint8), axis=1)
+                bits[full] = np.pad(packed, ((0, 0), (0, 8 * len(BITS) - packed.shape[1]))).view(np.int64)
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
             signature = binaries(bytes_.reshape(-1).view(np.uint64), np.arange(len(size) + 1) * (BANDS * ROWS // 8))
             columns = [batch.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(set_codes(found, bounds)), bands, signature]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "bands", "signature"])
+            columns += [pa.array(np.ascontiguousarray(b)) for b in bits.T]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "bands", "signature", *BITS])
 
     return sign
 
@@ -170,48 +189,102 @@ def _confirmed(percent: int):
 
 def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, distinct) whose similarity reaches the threshold."""
+    pairs = store(pairs, "pairs")
     signs = nodes.select("node", "signature")
     pairs = pairs.join(signs.withColumnsRenamed({"node": "a", "signature": "sa"}), "a").join(signs.withColumnsRenamed({"node": "b", "signature": "sb"}), "b")
     likely = pairs.select("a", "b", "sa", "sb").mapInArrow(_likely(percent / 100), "a long, b long")
     # b is the hub, which many pairs share: its set is joined last and goes no further.
     held = likely.join(sets.withColumnsRenamed({"node": "a", "members": "ma"}), "a").join(sets.withColumnsRenamed({"node": "b", "members": "mb"}), "b")
-    return store(held.select("a", "b", "ma", "mb").mapInArrow(_confirmed(percent), "a long, b long"), "linked")
+    return store(held.select("a", "b", "ma", "mb").mapInArrow(_confirmed(percent), "a long, b long"), "linked", outlive=True)
 
 
 def _fits(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """node, shingle for the rarest shingles of each set, as many as two sets of the asked
+    similarity cannot both lack. Rare is what a table of fixed size counts least; any order is
+    right, this one leaves shared passages to the end of it."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(RARITY_CELLS, dtype=np.int64)
+        for batch in batches:
+            counts += np.bincount(joined(batch.column("members"), np.uint64) % RARITY_CELLS, minlength=RARITY_CELLS)
+        cell = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(1, np.int32)), binaries(np.stack([cell, counts[cell]]).ravel(), [0, 2 * len(cell)])], ["at", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(RARITY_CELLS, dtype=np.int64)
+        for batch in batches:
+            for one in batch.column("counts"):
+                cell, n = np.frombuffer(one.as_buffer(), dtype=np.int64).reshape(2, -1)
+                total[cell] += n
+        yield pa.RecordBatch.from_arrays([binaries(total, [0, len(total)])], ["total"])
+
+    counted = sets.select("members").mapInArrow(count, "at int, counts binary")
+    # One small row per task; a few tasks add them up before the last one does.
+    for parts in (8, 1):
+        counted = counted.repartition(parts).mapInArrow(add, "total binary")
+        if parts > 1:
+            counted = counted.mapInArrow(_sparse, "at int, counts binary")
+    total = np.frombuffer(counted.first()["total"], dtype=np.int64)
+    shared = sets.sparkSession.sparkContext.broadcast(total)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, one in zip(batch.column("node"), batch.column("members"), strict=True):
+                h = np.frombuffer(one.as_buffer(), dtype=np.uint64)
+                n = len(h) - -(-percent * len(h) // 100) + 1
+                chosen = h[np.lexsort((h, shared.value[h % RARITY_CELLS]))[:n]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, node.as_py())), pa.array(chosen.view(np.int64))], ["node", "shingle"])
+
+    return sets.select("node", "members").mapInArrow(rarest, "node long, shingle long")
+
+
+def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for one in batch.column("total"):
+            total = np.frombuffer(one.as_buffer(), dtype=np.int64)
+            cell = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(1, np.int32)), binaries(np.stack([cell, total[cell]]).ravel(), [0, 2 * len(cell)])], ["at", "counts"])
+
+
 def node_components(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """node, component of the nodes that link to any other. ``members`` has key, node, n_shingles of
-    every bucket with several nodes."""
+    """node, component of the nodes that link to any other. ``members`` has key, node, n_shingles
+    and ``BITS`` of every bucket with several nodes."""
+    facts = ["node", "n_shingles", *BITS]
+    # The original of many edited copies shares more buckets with them than they do among
+    # themselves: the most crowded member makes the best hub.
+    crowd = members.join(members.groupBy("key").agg(F.count("*").alias("c")), "key").groupBy("node").agg(F.sum("c").alias("crowd"))
+    left = store(members.join(crowd, "node").withColumn("component", F.col("node")), "members")
+    found = members.select("node", F.col("node").alias("component")).limit(0)
     links: DataFrame | None = None
-    found: DataFrame | None = None
-    left = members.withColumn("component", F.col("node"))
+    possible = _fits("a_n_shingles", "b_n_shingles", percent) & _alike(percent / 100, "a_", "b_") & (F.col("a_component") != F.col("b_component"))
     for round_ in range(HUB_ROUNDS + 1):
-        per = left.groupBy("key", "component").agg(F.count("*").alias("c"))
-        open_ = per.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("q")).filter("m * m > q")
-        totals = open_.agg(F.sum((F.col("m") * F.col("m") - F.col("q")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
-        if not totals["pairs"]:
+        # Buckets that still hold several components.
+        open_ = left.groupBy("key").agg((F.min("component") != F.max("component")).alias("open")).filter("open").select("key")
+        left = store(left.join(open_, "key", "left_semi"), "members")
+        if left.isEmpty():
             break
-        last = totals["pairs"] <= 2 * totals["rows"] or round_ == HUB_ROUNDS
-        if last:
-            one = left.withColumnsRenamed({"node": "a", "n_shingles": "n", "component": "p"})
-            two = left.withColumnsRenamed({"node": "b", "n_shingles": "m", "component": "q"})
-            pairs = one.join(two, "key").filter((F.col("p") != F.col("q")) & (F.col("a") < F.col("b")) & _fits("n", "m", percent))
+        if round_ == HUB_ROUNDS:
+            rest = store(left.select(*facts, "component").distinct(), "rest")
+            prefixes = store(_prefixes(sets.join(rest.select("node"), "node", "left_semi"), percent).join(rest, "node"), "prefixes")
+            one, two = (prefixes.withColumnsRenamed({c: f"{side}_{c}" for c in [*facts, "component"]}) for side in "ab")
+            pairs = one.join(two, "shingle").filter(possible & (F.col("a_node") < F.col("b_node")))
         else:
-            drawn = F.min(F.struct(F.xxhash64("node", F.lit(round_)).alias("h"), "node", "n_shingles", "component")).alias("hub")
-            hubs = left.join(open_.select("key"), "key", "left_semi").groupBy("key").agg(drawn).select("key", F.col("hub.node").alias("b"), F.col("hub.n_shingles").alias("m"), F.col("hub.component").alias("q"))
-            left = store(left.join(hubs, "key").filter("node != b"), "members")
-            pairs = left.filter((F.col("component") != F.col("q")) & _fits("n_shingles", "m", percent)).select(F.col("node").alias("a"), "b")
-        fresh = _linked(pairs.select("a", "b").distinct(), nodes, sets, percent)
+            drawn = F.max(F.struct("crowd", F.xxhash64("node").alias("h"), *facts, "component")).alias("hub")
+            hubs = left.groupBy("key").agg(drawn).select("key", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in [*facts, "component"]])
+            hubs = store(hubs, "hubs")
+            pairs = left.withColumnsRenamed({c: f"a_{c}" for c in [*facts, "component"]}).join(hubs, "key").filter(possible)
+            left = left.join(hubs.select("key", "b_node"), "key").filter("node != b_node").drop("b_node")
+        with scratch_scope(members.sparkSession):
+            fresh = _linked(pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), nodes, sets, percent)
         links = fresh if links is None else links.unionByName(fresh)
         found = components(links)
-        if last:
-            break
-        left = left.select("key", "node", "n_shingles").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        left = store(left, "members")
-    return found if found is not None else members.select("node", F.col("node").alias("component")).limit(0)
+        if round_ < HUB_ROUNDS:
+            left = left.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return store(found, "components", outlive=True)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -219,17 +292,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     percent * all`` of their shingles, and the component is the smallest doc_id reachable."""
     texts = docs.select("doc_id", "text")
     kind = dict(docs.dtypes)["doc_id"]
-    signed = store(texts.mapInArrow(_sign(shingle), f"doc_id {kind}, n_shingles long, node long, bands array<long>, signature binary"))
+    signed = store(texts.mapInArrow(_sign(shingle), f"doc_id {kind}, n_shingles long, node long, bands array<long>, signature binary, {', '.join(f'{b} long' for b in BITS)}"))
     able = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    nodes = store(able.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("signature").alias("signature")))
-    keyed = nodes.select(F.explode("bands").alias("key"), "node", "n_shingles")
+    nodes = store(able.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("signature").alias("signature"), *[F.first(b).alias(b) for b in BITS]))
+    keyed = nodes.select(F.explode("bands").alias("key"), "node", "n_shingles", *BITS)
     shared = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     members = store(keyed.join(shared, "key"), "members")
     asked = members.select("node").distinct().join(nodes.select("node", "least_id"), "node")
     ids = asked.select(F.col("least_id").alias("_id"))
     some = sieved(texts, sieve_of(ids, F.xxhash64("_id")), F.xxhash64("doc_id")).filter("_maybe").select("text")
     sets = store(some.mapInArrow(_full_sets(shingle), "node long, members binary").join(asked.select("node"), "node", "left_semi"), "sets")
-    found = node_components(members, nodes, sets, percent)
+    with scratch_scope(docs.sparkSession):
+        found = node_components(members, nodes, sets, percent)
     named = nodes.select("node", "least_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_node = store(named.join(least, "component").select("node", "component_id"), "components")
