@@ -7,11 +7,12 @@ below ``MISS``. What survives is compared on the full sets.
 
 A bucket is not expanded into all its pairs. Its members meet one hub first; what links to the hub
 is one component and needs no further comparison inside itself. Buckets that still hold several
-components get another hub. The members of those that are open after ``HUB_ROUNDS`` are compared
-where they share one of their rarest shingles, which two sets of the asked similarity must: members
-that merely share a common passage are never written out as pairs, and none that could join two
-components stays unasked. The first look at a pair, by one bit of each hash value, is part of the
-join's condition.
+components get another hub. What is open after ``HUB_ROUNDS`` falls into clusters around hubs. Inside
+a cluster sets are compared block by block in a task, which writes out the links that join
+components and no pairs. Across clusters nodes meet where they share one of their rarest shingles,
+which two sets of the asked similarity must. Members that merely share a common passage are never
+written out as pairs, and none that could join two components stays unasked. The first look at a
+pair, by one bit of each hash value, is part of the join's condition.
 
 At a similarity of just the threshold a pair shares no band with probability (1 - 0.8^6)^40 = 5e-6.
 
@@ -41,6 +42,7 @@ BANDS, ROWS = 40, 6
 BATCH, MISS = 24, 1e-5
 HUB_ROUNDS = 2
 RARITY_CELLS = 1 << 16
+BLOCK_NODES = 256
 BITS = ["bits0", "bits1", "bits2", "bits3"]  # one bit of each hash value, 240 of 256 used
 _CHUNK = 1 << 14
 _random = np.random.default_rng(3)
@@ -250,6 +252,68 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(1, np.int32)), binaries(np.stack([cell, total[cell]]).ravel(), [0, 2 * len(cell)])], ["at", "counts"])
 
 
+def _common(members: pa.ChunkedArray) -> np.ndarray:
+    """Number of common shingles of each two sets; values found in one set alone do not count."""
+    sets = [np.frombuffer(m.as_buffer(), dtype=np.uint64) for m in members]
+    values, inverse, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    place = np.cumsum(times > 1) - 1
+    several = times[inverse] > 1
+    owner, column = owner[several], place[inverse[several]]
+    common = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    width = 1 << 14  # columns at a time, so that a matrix stays small
+    for low in range(0, int((times > 1).sum()), width):
+        part = (column >= low) & (column < low + width)
+        matrix = np.zeros((len(sets), width), dtype=np.float32)
+        matrix[owner[part], column[part] - low] = 1
+        common += (matrix @ matrix.T).astype(np.int64)
+    return common
+
+
+def _forest(percent: int):
+    """Links of one block of a cluster that join two components, no more than a spanning forest."""
+
+    def links(table: pa.Table) -> pa.Table:
+        size = table.column("n_shingles").to_numpy()
+        component, block = table.column("component").to_numpy(), table.column("block").to_numpy()
+        common = _common(table.column("members"))
+        fits = 100 * common >= percent * (size[:, None] + size[None, :] - common)
+        fits &= component[:, None] != component[None, :]
+        if len(np.unique(block)) > 1:  # pairs inside one block are another group's
+            fits &= block[:, None] != block[None, :]
+        root = {c: c for c in component.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        chosen = []
+        for i, j in np.argwhere(np.triu(fits)).tolist():
+            one, two = find(int(component[i])), find(int(component[j]))
+            if one != two:
+                root[one] = two
+                chosen.append((i, j))
+        at = np.array(chosen, dtype=np.int64).reshape(-1, 2)
+        node = table.column("node").to_numpy()
+        return pa.table({"a": node[at[:, 0]], "b": node[at[:, 1]]})
+
+    return links
+
+
+def _linked_in_clusters(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one cluster, compared block by block inside tasks: pairs are not
+    written out. A cluster of n nodes sends each of them to n / ``BLOCK_NODES`` groups."""
+    blocks = rest.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"), F.count("*").alias("n")).filter("n > 1")
+    dealt = rest.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    placed = dealt.select("cluster", "node", "n_shingles", "component", "block", other)
+    placed = placed.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    held = placed.join(sets.select("node", "members"), "node")
+    return held.groupBy("cluster", "low", "high").applyInArrow(_forest(percent), "a long, b long")
+
+
 def node_components(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """node, component of the nodes that link to any other. ``members`` has key, node, n_shingles
     and ``BITS`` of every bucket with several nodes."""
@@ -257,7 +321,8 @@ def node_components(members: DataFrame, nodes: DataFrame, sets: DataFrame, perce
     # The original of many edited copies shares more buckets with them than they do among
     # themselves: the most crowded member makes the best hub.
     crowd = members.join(members.groupBy("key").agg(F.count("*").alias("c")), "key").groupBy("node").agg(F.sum("c").alias("crowd"))
-    left = store(members.join(crowd, "node").withColumn("component", F.col("node")), "members")
+    left = members.join(crowd, "node").withColumns({"component": F.col("node"), "hub": F.col("key"), "hub_crowd": F.lit(0).cast("long")})
+    left = store(left, "members")
     found = members.select("node", F.col("node").alias("component")).limit(0)
     links: DataFrame | None = None
     possible = _fits("a_n_shingles", "b_n_shingles", percent) & _alike(percent / 100, "a_", "b_") & (F.col("a_component") != F.col("b_component"))
@@ -268,16 +333,22 @@ def node_components(members: DataFrame, nodes: DataFrame, sets: DataFrame, perce
         if left.isEmpty():
             break
         if round_ == HUB_ROUNDS:
-            rest = store(left.select(*facts, "component").distinct(), "rest")
+            cluster = F.max(F.struct("hub_crowd", "hub")).alias("c")
+            rest = left.groupBy(*facts, "component").agg(cluster).select(*facts, "component", F.col("c.hub").alias("cluster"))
+            rest = store(rest, "rest")
             prefixes = store(_prefixes(sets.join(rest.select("node"), "node", "left_semi"), percent).join(rest, "node"), "prefixes")
-            one, two = (prefixes.withColumnsRenamed({c: f"{side}_{c}" for c in [*facts, "component"]}) for side in "ab")
-            pairs = one.join(two, "shingle").filter(possible & (F.col("a_node") < F.col("b_node")))
+            one, two = (prefixes.withColumnsRenamed({c: f"{side}_{c}" for c in [*facts, "component", "cluster"]}) for side in "ab")
+            apart = F.col("a_cluster") != F.col("b_cluster")
+            pairs = one.join(two, "shingle").filter(possible & apart & (F.col("a_node") < F.col("b_node")))
+            inside = store(_linked_in_clusters(rest, sets, percent), "linked")
+            links = inside if links is None else links.unionByName(inside)
         else:
             drawn = F.max(F.struct("crowd", F.xxhash64("node").alias("h"), *facts, "component")).alias("hub")
-            hubs = left.groupBy("key").agg(drawn).select("key", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in [*facts, "component"]])
+            hubs = left.groupBy("key").agg(drawn).select("key", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in [*facts, "component", "crowd"]])
             hubs = store(hubs, "hubs")
             pairs = left.withColumnsRenamed({c: f"a_{c}" for c in [*facts, "component"]}).join(hubs, "key").filter(possible)
-            left = left.join(hubs.select("key", "b_node"), "key").filter("node != b_node").drop("b_node")
+            named = hubs.select("key", F.col("b_node").alias("hub"), F.col("b_crowd").alias("hub_crowd"))
+            left = left.drop("hub", "hub_crowd").join(named, "key").filter("node != hub")
         with scratch_scope(members.sparkSession):
             fresh = _linked(pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), nodes, sets, percent)
         links = fresh if links is None else links.unionByName(fresh)
