@@ -25,7 +25,7 @@ def _message(data: Column, field, *, surface, level, rows, nbits=16, reference="
     """Hex text of one message over a grid of four columns."""
     zeros = lambda n: F.lit("00" * n)
     grid_part = [
-        _hex(72, 4), _hex(3, 1), zeros(25), _hex(4, 4), _hex(rows, 4), zeros(8),
+        _hex(72, 4), _hex(3, 1), zeros(1), _hex(rows * 4, 4), zeros(20), _hex(4, 4), _hex(rows, 4), zeros(8),
         _hex(10_000_000, 4), _hex(70_000_000, 4), zeros(1),
         _hex(10_000_000 + (rows - 1) * 250_000, 4), _hex(70_750_000, 4),
         _hex(250_000, 4), _hex(250_000, 4), _hex(G.SCAN_SOUTH_TO_NORTH, 1),
@@ -45,8 +45,8 @@ def _message(data: Column, field, *, surface, level, rows, nbits=16, reference="
 
 
 def message_files(spark, sf):
-    """One file per sixteen events: six messages, junk ahead and a cut-off message behind; every
-    tenth file is an error page."""
+    """One file per sixteen events: six messages, junk ahead, a damaged and a cut-off message
+    behind; every tenth file is an error page."""
     e = load_table(spark, sf, "events")
     value = F.col("value")
     packed = {
@@ -73,7 +73,9 @@ def message_files(spark, sf):
         _message(data["rain"], (1, 8), surface=1, level=0, rows=n_rows, binary=0x8004, hour=0, span=hour),
         _message(data["rain"], (1, 8), surface=1, level=0, rows=n_rows, binary=0x8004, hour=hour - span, span=span),
     ]
-    body = F.unhex(F.concat(messages[0], F.lit("0A0B"), *messages[1:], F.lit("47524942000000020000000000FFFFFF")))
+    damaged = F.lit("47524942" + "00000002" + "0000000000000019" + "0000000504" + "37373737")
+    cut_off = F.lit("47524942000000020000000000FFFFFF")
+    body = F.unhex(F.concat(messages[0], F.lit("0A0B"), *messages[1:], damaged, cut_off))
     page = F.encode(F.concat(F.lit("<html>no such cycle "), F.col("block"), F.lit("</html>")), "utf-8")
     return blocks.select(
         F.concat(F.lit("run/"), F.col("block")).alias("file"),
@@ -96,8 +98,7 @@ def payload_guard(spark, sf):
 
 def decoded(spark, sf):
     good, _ = G.guard_payload(message_files(spark, sf))
-    # Files read from storage come in many splits; these come from one small aggregate.
-    return G.decode_messages(good.repartition(spark.sparkContext.defaultParallelism, "file"))
+    return G.decode_messages(good)
 
 
 @query("grid_message_scan", f"""WITH {FILES_SQL}
@@ -109,7 +110,7 @@ def decoded(spark, sf):
   UNION ALL SELECT file, 4, 1, 8, 1, 0e0, CAST(hour AS INTEGER), point, lat, lon, trunc(value * 16) * 0.0625e0 FROM f
   UNION ALL SELECT file, 5, 1, 8, 1, 0e0, span, point, lat, lon, trunc(value * 16) * 0.0625e0 FROM f""")
 def grid_message_scan(spark, sf):
-    return decoded(spark, sf).select(
+    return decoded(spark, sf).where("error IS NULL").select(
         "file", "msg", "category", "number", "surface", "level", "span_h", "point", "lat", "lon", "value"
     )
 

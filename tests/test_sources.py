@@ -111,9 +111,10 @@ def test_fire_csv(spark):
 
 
 def message(field=(0, 0), surface=103, level=2, values=(1, 2, 3, 4), nbits=12, reference=0.0, binary=0, decimal=0,
-            template=0, span=0, rows_=2, columns=2, scan=0x40, packing=0, cut=0):
+            template=0, span=0, rows_=2, columns=2, scan=0x40, packing=0, cut=0, points=None, level_scale=0, sections=(3, 4, 5, 7)):
     grid = bytearray(72)
     grid[0:5] = struct.pack(">IB", 72, 3)
+    grid[6:10] = struct.pack(">I", columns * rows_ if points is None else points)
     grid[30:38] = struct.pack(">II", columns, rows_)
     grid[46:54] = struct.pack(">ii", 28_250_000, 77_000_000)
     grid[55:71] = struct.pack(">iiII", 28_500_000, 77_250_000, 250_000, 250_000)
@@ -122,13 +123,15 @@ def message(field=(0, 0), surface=103, level=2, values=(1, 2, 3, 4), nbits=12, r
     product[0:5] = struct.pack(">IB", 58, 4)
     product[7:11] = struct.pack(">HBB", template, *field)
     product[22] = surface
+    product[23] = level_scale
     product[24:28] = struct.pack(">I", level)
     product[49:53] = struct.pack(">I", span)
     bits = "".join(f"{v:0{nbits}b}" for v in values) if nbits else ""
     bits += "0" * (-len(bits) % 8)
     data = bytes(int(bits[i:i + 8], 2) for i in range(0, len(bits), 8))[: len(bits) // 8 - cut]
     pack = struct.pack(">IBIHfHHBB", 21, 5, len(values), packing, reference, binary, decimal, nbits, 0)
-    body = bytes(grid) + bytes(product) + pack + struct.pack(">IB", len(data) + 5, 7) + data + b"7777"
+    parts = {3: bytes(grid), 4: bytes(product), 5: pack, 7: struct.pack(">IB", len(data) + 5, 7) + data}
+    body = b"".join(parts[n] for n in sections) + b"7777"
     return b"GRIB" + bytes(4) + struct.pack(">Q", len(body) + 16) + body
 
 
@@ -152,6 +155,17 @@ def test_grid_messages(spark, tmp_path):
     assert points.where("file = 'c.bin'").count() == 0
 
 
+def test_damaged_messages_become_error_rows(spark):
+    short = message()
+    short = short.replace(struct.pack(">IB", 58, 4), struct.pack(">IB", 9, 4))
+    bad = [message(points=5), message(points=2**32 - 1, rows_=65537, columns=65535, nbits=0, values=()), message(sections=(3, 4, 5)), message(sections=()), short]
+    files = spark.createDataFrame([("f", b"".join(bad) + message(level_scale=0x81))], "file string, content binary")
+    got = rows(G.decode_messages(files).select("msg", "error", "level", "value"), "msg", "value")
+    assert [r[1] is None for r in got] == [False] * 5 + [True] * 4
+    assert [r[1] for r in got[:3]] == ["point count out of bounds"] * 2 + ["section 7 is missing"]
+    assert {r[2] for r in got[5:]} == {20.0}
+
+
 def test_fields_are_chosen_by_level(spark):
     skin, air = message(surface=1, level=0, values=(3000,) * 4, decimal=1), message(values=(2801,) * 4, decimal=1)
     files = spark.createDataFrame([("f", air + skin), ("g", skin)], "file string, content binary")
@@ -173,16 +187,28 @@ def test_standard_grid(spark):
 def test_quality_sink_sees_the_batch_before(spark, tmp_path):
     from pyspark.sql import types as T
 
-    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("t", T.IntegerType()), T.StructField("v", T.DoubleType())])
+    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("t", T.StringType()), T.StructField("v", T.DoubleType())])
     path = str(tmp_path / "qc")
     sink = jobs.quality_sink(spark, path, schema, [MetricRule("v", max_step=10, flat_window=3)], station="s", time="t")
-    first = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 5.0), ("b", 1, 1.0)], schema)
-    second = spark.createDataFrame([("a", 3, 5.0), ("b", 2, 50.0)], schema)
-    sink(first, 0)
+
+    def batch(*data):
+        return spark.createDataFrame([(s, f"2024-01-01T{t:02d}:00:00+00:00", v) for s, t, v in data], schema)
+
+    def flags():
+        got = spark.read.parquet(f"{path}/flags").select("s", F.substring("t", 12, 2).cast("int"), "v_qc_flag")
+        return rows(got, "s", "t")
+
+    second = batch(("a", 3, 5.0), ("b", 2, 50.0))
+    sink(batch(("a", 1, 5.0), ("a", 2, 5.0), ("b", 1, 1.0)), 0)
     for _ in range(2):  # a replay writes the same rows
         sink(second, 1)
-    got = rows(spark.read.parquet(f"{path}/flags").where("batch_id = 1").select("s", "t", "v_qc_flag"), "s")
-    assert got == [("a", 3, "flatline"), ("b", 2, "step_fail")]
+    want = [("a", 1, "ok"), ("a", 2, "ok"), ("a", 3, "flatline"), ("b", 1, "ok"), ("b", 2, "step_fail")]
+    assert flags() == want
+    # A reading polled again and a stream begun anew leave one row per reading.
+    sink(second, 2)
+    assert flags() == want
+    sink(batch(("b", 3, 51.0)), 0)
+    assert flags() == [*want, ("b", 3, "ok")]
 
 
 # Registry.
