@@ -11,12 +11,14 @@ from pyspark.sql import types as T
 
 from skyloom.functions.scalars import air_quality_index, index_category, parse_instant, payload_hash
 from skyloom.operators.contracts import Contract, validate
+from skyloom.operators.ordered import match_null_safe
 from skyloom.operators.quality import MetricRule
 from skyloom.plans.silver import qc_with_context
 from skyloom.session import cut_lineage, scratch_scope, store
 from skyloom.sources.lake import (
     append_failures,
     context_window,
+    in_touched_partitions,
     observation_date,
     overwrite_partitions,
     scan_table,
@@ -106,8 +108,13 @@ def quality_sink(
         # The first batch of a stream follows whatever an earlier stream left.
         before = F.lit(True) if batch_id == 0 else (F.col("slot") != own) & (F.col("batch_id") == batch_id - 1)
         context = store(tails.where(before).select(*raw).dropDuplicates([station, time]))
-        incoming = store(batch.select(*raw))
-        flagged = qc_with_context(incoming, context, rules, station=station, time=time)
+        incoming = store(batch.select(*raw).withColumn("date", observation_date(time)))
+        # A reading that is stored as it comes keeps the flags it has.
+        flags = scan_table(spark, f"{path}/flags", T.StructType([schema[c] for c in raw]), "date")
+        touched = in_touched_partitions(flags, incoming, "date")
+        incoming = incoming.drop("date")
+        fresh = store(match_null_safe(incoming, touched.select(*raw), raw, "left_anti"))
+        flagged = qc_with_context(fresh, context, rules, station=station, time=time)
         dated = store(flagged.withColumn("date", observation_date(time)))
         upsert_table(
             spark, dated, f"{path}/flags", dated.schema, partition="date", keys=[station, time], order=[time]
