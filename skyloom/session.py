@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import contextlib
 import functools
+import os
 import uuid
+import zipfile
 from collections.abc import Iterator
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +35,25 @@ def build_session(app: str = "skyloom", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in {**START_CONF, **SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not find it where they run."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = os.path.join(SparkFiles.getRootDirectory(), "package")
+    os.makedirs(folder, exist_ok=True)
+    archive = os.path.join(folder, "skyloom.zip")
+    if os.path.exists(archive):
+        return
+    with zipfile.ZipFile(archive, "w") as out:
+        for base, _, names in os.walk(here):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(base, name)
+                out.write(full, os.path.relpath(full, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(archive)
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
