@@ -40,7 +40,7 @@ from skyloom.session import scratch_scope, store
 
 BANDS, ROWS = 40, 6
 BATCH, MISS = 24, 1e-5
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 RARITY_CELLS = 1 << 16
 BLOCK_NODES = 256
 BITS = ["bits0", "bits1", "bits2", "bits3"]  # one bit of each hash value, 240 of 256 used
