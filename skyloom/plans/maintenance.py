@@ -134,11 +134,17 @@ def relabel_partition(spark: SparkSession, path: str, column: str, old: str, new
     """Move the rows of one label of a table partitioned by ``column`` to another label. Only the
     two partitions are read and written; the old one is removed once its rows are counted in
     their new place."""
-    two = spark.read.parquet(path).where(F.col(column).isin(old, new))
+    kinds = [
+        T.StructField(f.name, T.StringType()) if f.name == column else f
+        for f in spark.read.parquet(path).schema
+    ]
+    # Labels are text even where all of them look like numbers.
+    table = spark.read.schema(T.StructType(kinds))
+    two = table.parquet(path).where(F.col(column).isin(old, new))
     after = store(relabel(two, column, old, new), "relabelled")
     expected = two.count()
     overwrite_partitions(after, path, [column])
-    moved = spark.read.parquet(path).where(F.col(column) == new).count()
+    moved = table.parquet(path).where(F.col(column) == new).count()
     if moved != expected:
         raise RuntimeError(f"{expected} rows were to carry {new}, {moved} do; {old} is left in place")
     remove_path(spark, f"{path.rstrip('/')}/{column}={old}")

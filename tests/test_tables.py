@@ -109,7 +109,7 @@ def test_bronze_keeps_each_content_once(spark, tmp_path):
 
 @pytest.mark.parametrize("result,status,n,error", [
     (("partial", 3, "x"), "partial", 3, "x"), (7, "success", 7, None),
-    (None, "failure", 0, "main() returned None"), ("odd", "success", 0, None)])
+    (None, "failure", 0, "the job gave no result"), ("odd", "success", 0, None)])
 def test_run_log(spark, result, status, n, error):
     row = lake.run_entry(spark, "cpcb", "a", "b", result).first()
     assert (row["status"], row["rows_inserted"], row["error_message"]) == (status, n, error)
@@ -241,9 +241,23 @@ def test_clearing_keeps_boolean_columns_boolean(spark):
 
 
 def test_relabel_partition(spark, tmp_path):
-    src, dst = str(tmp_path / "a"), str(tmp_path / "b")
+    path = str(tmp_path / "a")
     df = spark.createDataFrame([(1, "00"), (2, "00"), (3, "20260906_00z")], "id int, cycle string")
-    df.write.partitionBy("cycle").parquet(src)
-    maintenance.relabel_partition(spark, src, dst, "cycle", "00", "20260905_00z")
-    assert rows(spark.read.parquet(dst).groupBy("cycle").count(), "cycle") == [
+    df.write.partitionBy("cycle").parquet(path)
+    maintenance.relabel_partition(spark, path, "cycle", "00", "20260905_00z")
+    assert not (tmp_path / "a" / "cycle=00").exists()
+    assert rows(spark.read.parquet(path).groupBy("cycle").count(), "cycle") == [
         ("20260905_00z", 2), ("20260906_00z", 1)]
+
+
+def test_stored_rows_of_null_and_blank_partitions_survive(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType())])
+    path, other = str(tmp_path / "t"), str(tmp_path / "u")
+    for batch in ([(1, 1, None), (2, 1, "")], [(3, 1, None), (4, 1, "2024-01-01")], [(2, 2, None), (2, 2, "")]):
+        df = spark.createDataFrame(batch, "k long, v long, date string")
+        lake.upsert_table(spark, df, path, schema, partition="date", keys=["k"], order=["v"])
+        lake.insert_ignore_table(spark, df, other, schema, partition="date", keys=["k"], order=["v"])
+    assert rows(spark.read.parquet(path).select("k", "v"), "k") == [(1, 1), (2, 2), (3, 1), (4, 1)]
+    assert rows(spark.read.parquet(other).select("k", "v"), "k") == [(1, 1), (2, 1), (3, 1), (4, 1)]
