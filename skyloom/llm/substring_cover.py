@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from skyloom.llm.exchange import DECIDED, PACKED, PAIRS, SHARED, judged, packed
 from skyloom.llm.frames import fan_out, sieve_of, sieved
-from skyloom.llm.text import Words, slabs, windows, word_hashes, words_of
+from skyloom.llm.text import LARGE_SLAB_BYTES, Words, slabs, windows, word_hashes, words_of
 from skyloom.session import store
 
 WINDOW, PERIOD = 13, 7
@@ -59,7 +59,7 @@ def _by(values: np.ndarray, parts: int) -> np.ndarray:
 
 def _send_anchors(parts: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches):
+        for batch in slabs(batches, LARGE_SLAB_BYTES):
             words = words_of(batch.column("text"))
             ids = batch.column("doc_id").to_numpy()
             at, h = anchors(word_hashes(words), words)
@@ -104,7 +104,7 @@ def _answered(batch: pa.RecordBatch, hashes: np.ndarray, doc: np.ndarray) -> np.
 
 def _send_windows(parts: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches):
+        for batch in slabs(batches, LARGE_SLAB_BYTES):
             words = words_of(batch.column("text"))
             ids = batch.column("doc_id").to_numpy()
             hashes = word_hashes(words)
@@ -152,7 +152,7 @@ def _with_answers(docs: DataFrame, found: DataFrame, every: bool) -> DataFrame:
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slabs(batches):
+    for batch in slabs(batches, LARGE_SLAB_BYTES):
         answers = batch.column("hashes")
         texts, n_words, n_removed = [], [], []
         for row, text in enumerate(batch.column("text")):

@@ -12,7 +12,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLAB_BYTES = 4 << 20
+SLAB_BYTES = 1 << 20
+#: For work that is shared between equal words or windows of a slab.
+LARGE_SLAB_BYTES = 4 << 20
 _BLOCK_BYTES = 1 << 18
 
 SEPARATOR = np.zeros(256, dtype=bool)
@@ -75,16 +77,18 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, bounds - bounds[0]
 
 
-def slabs(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Split batches so that each holds about ``SLAB_BYTES`` of text, or one longer document."""
+def slabs(batches: Iterable[pa.RecordBatch], size: int | None = None, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Split batches so that each holds about ``size`` (``SLAB_BYTES``) bytes of text, or one longer
+    document."""
     for batch in batches:
         if not batch.num_rows:
             continue
         lengths = np.diff(text_bytes(batch.column(column))[1])
-        part = np.cumsum(lengths) // SLAB_BYTES
+        part = np.cumsum(lengths) // (size or SLAB_BYTES)
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()  # workers live on, and two share an executor
 
 
 def words_of(texts: pa.Array, lower: bool = False) -> Words:

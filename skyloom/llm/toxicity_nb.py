@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyloom.llm.labels import sample_labels
-from skyloom.llm.text import Words, mix, powers, slabs, word_hashes, words_of
+from skyloom.llm.text import LARGE_SLAB_BYTES, Words, mix, powers, slabs, word_hashes, words_of
 
 #: Labelled rows of each class a model is fitted on, at most; the least by hash are taken.
 SAMPLE_ROWS = 6_000
@@ -133,7 +133,7 @@ def fit(doc: np.ndarray, bucket: np.ndarray, y: np.ndarray, share: float) -> Lin
 
 
 def _pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slabs(batches):
+    for batch in slabs(batches, LARGE_SLAB_BYTES):
         doc, bucket = features(words_of(batch.column("text"), lower=True))
         bounds = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
         held = pa.ListArray.from_arrays(pa.array(bounds), pa.array(bucket.astype(np.int32)))
@@ -182,7 +182,7 @@ def with_toxicity(docs: DataFrame, model: Linear, keep: bool = True) -> DataFram
     columns = docs.columns if keep else ["doc_id"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches):
+        for batch in slabs(batches, LARGE_SLAB_BYTES):
             scores = shared.value.scores(words_of(batch.column("text"), lower=True))
             yield pa.RecordBatch.from_arrays([pa.array(scores), *(batch.column(c) for c in columns)], ["_score", *columns])
 

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from skyloom.llm.text import slabs, word_hashes, words_of
+from skyloom.llm.text import LARGE_SLAB_BYTES, slabs, word_hashes, words_of
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 WORD_MARK = "▁"
@@ -109,7 +109,7 @@ def count_tokens(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(shared.value)
-        for batch in slabs(batches):
+        for batch in slabs(batches, LARGE_SLAB_BYTES):
             words = words_of(batch.column("text"))
             _, first, which = np.unique(word_hashes(words), return_index=True, return_inverse=True)
             data = words.data.tobytes()
