@@ -8,6 +8,12 @@ doc_id, then position) and goes everywhere else.
 Chunks are first counted by hash; texts of the repeated ones alone are compared, and grouped by the
 bytes themselves, each task bringing one copy of a chunk. Only documents that lose a chunk move.
 
+``dedup_passages`` leaves nothing to the boundaries. There a chunk is a pair: a line with a word, the
+next one, and blank lines between. Each pair that stands at an earlier place goes, so of a passage of
+two or more such lines every line goes wherever its surroundings differ; overlapping pairs carry a
+match on to the passage's ends. A pair that overlaps its own first place stays. Blank lines at a
+passage's ends stay.
+
 Defined cases: null and empty texts lose nothing; rows with a null doc_id keep everything and shield
 nothing; rows that share a doc_id are one document's parts in the order of their texts, equal rows
 count once (each gets the same answer); an empty table gives an empty result; other columns stay.
@@ -15,6 +21,8 @@ count once (each gets the same answer); an empty table gives an empty result; ot
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,20 +95,90 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return later.groupBy("m.id", "m.part").agg(F.sort_array(F.collect_set("m.at")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs``, the text without its repeated chunks, and ``_removed``,
-    the number of these. A text that lost nothing is returned as it was."""
-    gone = store(repeated_chunks(docs))
+def _applied(docs: DataFrame, gone: DataFrame, kept: Callable[[Column], Column], removed: Column) -> DataFrame:
+    """``docs`` with ``kept`` of each text that ``gone`` names, and ``removed`` as ``_removed``."""
     packed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_part"))
     key = F.xxhash64("_id", "_part")
     marked = sieved(packed, sieve_of(gone, F.xxhash64("id", "part")), key)
     asked = marked.filter("_maybe").join(gone, (F.col("_id") == F.col("id")) & (F.col("_part") == F.col("part")), "left")
     clear = marked.filter(~F.col("_maybe")).withColumn("gone", F.lit(None).cast("array<int>"))
     both = clear.select("_row", "gone").unionByName(asked.select("_row", "gone"))
-    kept = let(F.col("_row.text"), lambda t: let(chunks_of(t), lambda c: F.array_join(F.filter(c, lambda x, i: ~F.array_contains("gone", i)), "\n")))
-    lost = F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(F.size("gone").cast("long"))
-    text = F.when(F.col("gone").isNull(), F.col("_row.text")).otherwise(kept)
+    lost = F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(removed)
+    text = F.when(F.col("gone").isNull(), F.col("_row.text")).otherwise(kept(F.col("_row.text")))
     return both.select(
         *[(text if c == "text" else F.col("_row").getField(c)).alias(c) for c in docs.columns],
         lost.alias("_removed"),
     )
+
+
+def dedup_lines(docs: DataFrame) -> DataFrame:
+    """All rows and columns of ``docs``, the text without its repeated chunks, and ``_removed``,
+    the number of these. A text that lost nothing is returned as it was."""
+    gone = store(repeated_chunks(docs))
+
+    def kept(text: Column) -> Column:
+        return let(text, lambda t: let(chunks_of(t), lambda c: F.array_join(F.filter(c, lambda x, i: ~F.array_contains("gone", i)), "\n")))
+
+    return _applied(docs, gone, kept, F.size("gone").cast("long"))
+
+
+def _word_lines(lines: Column) -> Column:
+    """Indexes of the lines with a word."""
+    return F.filter(F.transform(lines, lambda x, i: F.when(_has_word(x), i)), lambda i: i.isNotNull())
+
+
+def line_pairs(text: Column) -> Column:
+    """Each line with a word and the next one, with what stands between, as arrays of lines."""
+
+    def paired(lines: Column) -> Column:
+        return let(
+            _word_lines(lines),
+            lambda w: F.transform(
+                F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, k: F.slice(lines, a + 1, F.get(w, k + 1) - a + 1)
+            ),
+        )
+
+    return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), paired)
+
+
+def _pair_places(docs: DataFrame) -> DataFrame:
+    """One row per pair of lines: id, part, at, pair, hash."""
+    known = docs.filter(F.col("doc_id").isNotNull())
+    cut = known.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("part"), F.posexplode(line_pairs(F.col("text"))).alias("at", "pair"))
+    return cut.withColumn("hash", F.xxhash64("pair"))
+
+
+def repeated_pairs(docs: DataFrame) -> DataFrame:
+    """Pairs to remove, as ``repeated_chunks`` has them for chunks. The texts of pairs with one
+    128-bit hash are compared where they are grouped, and do not move again."""
+    place = F.struct("id", "part", "at")
+    counted = _pair_places(docs).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
+    asked = sieved(_pair_places(docs), sieve_of(counted, F.col("hash")), F.col("hash")).filter("_maybe")
+    text = F.array_join("pair", "\n")
+    maybe = store(asked.select("id", "part", "at", "hash", F.xxhash64(F.lit(1), text).alias("check"), text.alias("chunk")))
+    met = maybe.groupBy("hash", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.min("chunk").alias("low"), F.max("chunk").alias("high"))
+    first = met.filter("first != last AND low = high").select("hash", "check", "first")
+    spots = maybe.select("id", "part", "at", "hash", "check")
+    later = spots.alias("m").join(first.alias("f"), (F.col("m.hash") == F.col("f.hash")) & (F.col("m.check") == F.col("f.check")))
+    beside = (F.col("f.first.id") == F.col("m.id")) & (F.col("f.first.part") == F.col("m.part")) & (F.col("m.at") - F.col("f.first.at")).isin(0, 1)
+    return later.filter(~beside).groupBy("m.id", "m.part").agg(F.sort_array(F.collect_set("m.at")).alias("gone"))
+
+
+def _without_pairs(text: Column, gone: Column) -> Column:
+    def kept(lines: Column) -> Column:
+        def left(w: Column) -> Column:
+            lost = F.flatten(F.transform(gone, lambda k: F.sequence(F.get(w, k), F.get(w, k + 1))))
+            stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost)
+            return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+
+        return let(_word_lines(lines), left)
+
+    return let(F.split(text, "\n", -1), kept)
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """All rows and columns of ``docs``, the text without its repeated passages, and ``_removed``,
+    the number of these. A text that lost nothing is returned as it was."""
+    gone = store(repeated_pairs(docs))
+    runs = F.size(F.filter("gone", lambda k, i: (i == 0) | (F.get("gone", i - 1) != k - 1))).cast("long")
+    return _applied(docs, gone, lambda t: _without_pairs(t, F.col("gone")), runs)

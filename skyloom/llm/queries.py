@@ -116,8 +116,8 @@ def op8_toxicity_nb(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op9_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """Per document what is left of it: lines, removed chunks and the digest of the text."""
-    left = line_chunks.dedup_lines(load_table(spark, sf, "documents").select("doc_id", "text"))
+    """Per document what is left of it: lines, removed passages and the digest of the text."""
+    left = line_chunks.dedup_passages(load_table(spark, sf, "documents").select("doc_id", "text"))
     return left.select(
         "doc_id",
         F.col("_removed").alias("n_chunks_removed"),

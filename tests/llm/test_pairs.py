@@ -219,6 +219,45 @@ def test_line_chunks_match_brute_force(spark):
     assert sorted(map(tuple, got.collect())) == want and sum(x[2] for x in want) > 30
 
 
+def brute_passages(rows):
+    """Lines left of each row: every pair of lines with words that stands earlier goes."""
+    first, out = {}, []
+    for d, text in sorted(rows):
+        lines = text.split("\n")
+        w = [i for i, x in enumerate(lines) if words_of(x)]
+        lost, runs, last = set(), 0, None
+        for k, (a, b) in enumerate(zip(w, w[1:])):
+            at = first.setdefault("\n".join(lines[a : b + 1]), (d, k))
+            if at != (d, k) and at != (d, k - 1):
+                lost.update(range(a, b + 1))
+                runs += last != k - 1
+                last = k
+        out.append((d, "\n".join(x for i, x in enumerate(lines) if i not in lost), runs))
+    return out
+
+
+def test_passages_lose_every_repeated_line(spark):
+    r = random.Random(11)
+    lines = [prose(k, 6).replace("\n", " ") for k in range(200)]
+    runs = [lines[10 * k : 10 * k + 2 + k % 5] for k in range(20)]  # of 2 to 6 lines
+    rows = []
+    for k in range(80):
+        rows.append((k, "\n".join([f"own {k} a", *runs[k % 20], f"own {k} b", "", *runs[r.randrange(20)], f"own {k} c"])))
+    rows += [(100, "a\n\nb\nc"), (101, "x\na\n\nb"), (102, "a\nb"), (103, "q q\n" * 3), (104, "\n" * 3), (105, "z z\n" * 5)]
+    got = sorted(map(tuple, line_chunks.dedup_passages(frame(spark, rows)).select("doc_id", "text", "_removed").collect()))
+    assert got == brute_passages(rows)
+    assert all(text.split("\n") == [f"own {d} a", f"own {d} b", "", f"own {d} c"] for d, text, _ in got if 20 <= d < 80)
+
+
+def test_passages_hard_cases(spark, hard, empty):
+    got = line_chunks.dedup_passages(hard)
+    assert got.columns == [*hard.columns, "_removed"] and got.count() == hard.count()
+    by = {r["doc_id"]: r for r in got.collect() if r["doc_id"] is not None}
+    assert by[1]["_removed"] == 0 and by[2]["text"].strip() == "" and by[4]["text"] is None and by[3]["_removed"] == 0
+    assert got.filter("doc_id IS NULL AND _removed > 0").count() == 0
+    assert line_chunks.dedup_passages(empty).count() == 0
+
+
 def test_boundaries_resist_shifts(spark):
     lines = [f"line {k} {hashlib.md5(str(k).encode()).hexdigest()}" for k in range(200)]
     rows = frame(spark, [(1, "\n".join(lines)), (2, "\n".join(["new", *lines[:100], "more", *lines[100:]]))])
