@@ -2,6 +2,8 @@
 
 Texts and benchmark items become templates: numbers, names (capitalised words inside a sentence) and
 units turn into typed placeholders, other words are lower-cased and lose punctuation at their ends.
+A capitalised word that may open a sentence (after its end, or first in a line) is read both ways, as
+name and as literal, on both sides; an item's window counts once, whichever reading hits.
 Windows of ``WINDOW`` template words are joined by hash. A question asked again with other
 parameters has the same templates; its slots must also be filled consistently, so that equal values
 of the item are equal in the text and different ones differ. Within a window that holds exactly if
@@ -28,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.frames import without_ids
-from skyloom.llm.text import LOWER, Words, mix, slabs, span_hashes, windows, words_of
+from skyloom.llm.text import LOWER, Words, mix, slabs, span_hashes, window_sums, window_weights, words_of
 from skyloom.session import store
 
 WINDOW, LEAST_WORDS, LEAST_LITERALS = 8, 5, 4
 COVERAGE = 0.5
 BITMAP_BITS = 1 << 26
+#: Readings of windows that are held at once.
+BLOCK_READINGS = 1 << 18
 
 # Unit words.
 UNITS = (
@@ -59,11 +63,12 @@ def _unit_codes() -> np.ndarray:
     return np.sort(span_hashes(data, starts, ends))
 
 
-def template(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per word its template code, the hash of its own value, and whether it is a placeholder."""
+def template(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per word its template code, the hash of its own value, whether it is a placeholder, and
+    whether it may be a name as well: a capitalised word that may open a sentence, here a literal."""
     data, s, e = words.data, words.starts.copy(), words.ends.copy()
     if not len(s):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool)
     ended = _ENDS[data[e - 1]]
     while (trim := (s < e) & _PUNCT[data[np.minimum(s, len(data) - 1)]]).any():
         s[trim] += 1
@@ -78,52 +83,85 @@ def template(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     opens[1:] = ended[:-1] | (lines[1:] != lines[:-1])
     opens[words.first[:-1][np.diff(words.first) > 0]] = True
     latin = (head == 0xC3) & (second >= 0x80) & (second <= 0x9E)
-    titled = ((_UPPER[head] & (e - s > 1) & ~_UPPER[second]) | latin) & ~opens
+    capital = (_UPPER[head] & (e - s > 1) & ~_UPPER[second]) | latin
+    titled = capital & ~opens
     known = _unit_codes()
     unit = known[np.minimum(np.searchsorted(known, value), len(known) - 1)] == value
     code = value.copy()
     code[titled], code[unit], code[number] = _NAME, _UNIT, _NUMBER
-    return code, value, number | titled | unit
+    return code, value, number | titled | unit, capital & opens & ~unit & ~number
 
 
-def window_codes(words: Words, lengths: Sequence[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, "Slots"]]:
-    """For each length: starts and template hashes of the usable windows, and their slots."""
-    code, value, slot = template(words)
+def window_codes(words: Words, lengths: Sequence[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, "Slots"]]:
+    """For each length, in blocks: starts of the usable windows, the words of each that are read as
+    names though they may open a sentence (bits), template hashes, and slots. A window comes once for
+    each choice of such words; the one with none is its plain reading."""
+    code, value, slot, either = template(words)
     literal = np.concatenate([[0], np.cumsum(~slot)])
+    open_words = np.concatenate([[0], np.cumsum(either)])
+    mixed = mix(code)
+    as_name = mix(np.full(1, _NAME)) - mixed
     for n in lengths:
-        at, h = windows(mix(code), words.first, n)
-        enough = literal[at + n] - literal[at] >= min(LEAST_LITERALS, n)
-        yield n, at[enough], mix(h[enough] + np.uint64(n)), Slots(value, slot)
+        at, sums = window_sums(mixed, words.first, n)
+        least = min(LEAST_LITERALS, n)
+        enough = literal[at + n] - literal[at] >= least
+        at, sums = at[enough], sums[enough]
+        weight = window_weights(n)
+        readings = np.cumsum(1 << (open_words[at + n] - open_words[at]))
+        cuts = [0, *(np.flatnonzero(np.diff(readings // BLOCK_READINGS)) + 1), len(at)]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            a, h = at[low:high], sums[low:high]
+            names = np.zeros(len(a), dtype=np.int64)
+            spare = literal[a + n] - literal[a] - least
+            for j in range(n):
+                more = np.flatnonzero(either[a + j] & (spare > 0))
+                if len(more):
+                    h = np.concatenate([h, h[more] + as_name[a[more] + j] * weight[j]])
+                    names = np.concatenate([names, names[more] | (1 << j)])
+                    spare = np.concatenate([spare, spare[more] - 1])
+                    a = np.concatenate([a, a[more]])
+            yield n, a, names, mix(mix(h) + np.uint64(n)), Slots(value, slot)
 
 
 class Slots:
     def __init__(self, value: np.ndarray, slot: np.ndarray) -> None:
         self.value, self.slot = value, slot
 
-    def with_pattern(self, at: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    def with_pattern(self, at: np.ndarray, names: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
         """Template hashes joined with the pattern in which slot values recur: for each slot the
         number of the first slot of the window with its value."""
         out = h
+        slots = [self.slot[at + j] | (names >> j & 1 == 1) for j in range(n)]
         for j in range(n):
             first = np.full(len(at), j, dtype=np.uint64)
             for k in range(j - 1, -1, -1):
-                same = self.slot[at + k] & (self.value[at + k] == self.value[at + j])
+                same = slots[k] & (self.value[at + k] == self.value[at + j])
                 first[same] = k
-            out = np.where(self.slot[at + j], mix(out ^ (first + np.uint64(1))), out)
+            out = np.where(slots[j], mix(out ^ (first + np.uint64(1))), out)
         return out
 
 
-def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _item_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All readings of the items' windows; ``window`` is the code of the plain one."""
     for batch in slabs(batches):
         words = words_of(batch.column("text"))
         size = np.diff(words.first)
-        for n, at, h, slots in window_codes(words, range(LEAST_WORDS, WINDOW + 1)):
-            doc = words.doc[at]
+        doc_of = words.doc
+        for n, at, names, h, slots in window_codes(words, range(LEAST_WORDS, WINDOW + 1)):
+            doc = doc_of[at]
             mine = (size[doc] == n) | (n == WINDOW)
-            at, h, doc = at[mine], h[mine], doc[mine]
-            code = slots.with_pattern(at, h, n)
-            columns = [batch.column("item_id").take(pa.array(doc)), pa.array(np.full(len(at), n, dtype=np.int32)), pa.array(h.view(np.int64)), pa.array(code.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["item_id", "n", "template", "code"])
+            at, names, h, doc = at[mine], names[mine], h[mine], doc[mine]
+            code = slots.with_pattern(at, names, h, n)
+            plain = np.zeros(len(doc_of), dtype=np.uint64)
+            plain[at[names == 0]] = code[names == 0]
+            columns = [batch.column("item_id").take(pa.array(doc)), pa.array(np.full(len(at), n, dtype=np.int32))]
+            columns += [pa.array(x.view(np.int64)) for x in (h, code, plain[at])]
+            yield pa.RecordBatch.from_arrays(columns, ["item_id", "n", "template", "code", "window"])
+
+
+def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _item_codes(batches):
+        yield batch.select(["item_id", "n", "template", "code"])
 
 
 def _bitmap(items: DataFrame) -> np.ndarray:
@@ -141,9 +179,10 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     windows_of_items = benchmark.select("item_id", "text").filter(F.col("item_id").isNotNull())
     kind = dict(benchmark.dtypes)["item_id"]
-    items = store(windows_of_items.mapInArrow(_item_windows, f"item_id {kind}, n int, template long, code long"))
-    owned = store(items.groupBy("code").agg(F.min("item_id").alias("item_id")))
-    total = owned.groupBy("item_id").agg(F.count("*").alias("of"))
+    items = store(windows_of_items.mapInArrow(_item_codes, f"item_id {kind}, n int, template long, code long, window long"))
+    owner = store(items.groupBy("window").agg(F.min("item_id").alias("item_id")))
+    owned = store(items.select("item_id", "code", "window").distinct().join(owner, ["window", "item_id"], "left_semi"))
+    total = owner.groupBy("item_id").agg(F.count("*").alias("of"))
     lengths = sorted(r["n"] for r in items.select("n").distinct().collect())
     bitmap = spark.sparkContext.broadcast(_bitmap(items))
 
@@ -152,11 +191,12 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for batch in slabs(batches):
             words = words_of(batch.column("text"))
             docs_, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            for n, at, h, slots in window_codes(words, lengths):
+            doc_of = words.doc
+            for n, at, names, h, slots in window_codes(words, lengths):
                 place = (h % np.uint64(BITMAP_BITS)).astype(np.int64)
                 held = (bits[place >> 6] >> (place & 63)) & 1 == 1
-                codes.append(slots.with_pattern(at[held], h[held], n))
-                docs_.append(words.doc[at[held]])
+                codes.append(slots.with_pattern(at[held], names[held], h[held], n))
+                docs_.append(doc_of[at[held]])
             code, doc = np.concatenate(codes), np.concatenate(docs_)
             if len(code):
                 pairs = np.unique(np.rec.fromarrays([doc, code]))
@@ -165,7 +205,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     known = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     found = known.mapInArrow(asked, f"doc_id {dict(docs.dtypes)['doc_id']}, code long")
-    counted = found.join(owned, "code").groupBy("doc_id", "item_id").agg(F.count_distinct("code").alias("n_windows"))
+    counted = found.join(owned, "code").groupBy("doc_id", "item_id").agg(F.count_distinct("window").alias("n_windows"))
     share = counted.join(total, "item_id").withColumn("share", F.col("n_windows") / F.col("of"))
     return share.filter(F.col("share") >= COVERAGE).select("doc_id", "item_id", "n_windows", "share")
 

@@ -132,8 +132,9 @@ def word_hashes(words: Words, salt: int = 0) -> np.ndarray:
     return span_hashes(words.data, words.starts, words.ends, salt)
 
 
-def windows(hashes: np.ndarray, first: np.ndarray, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the first word and hash of every run of ``n`` words inside one document."""
+def window_sums(hashes: np.ndarray, first: np.ndarray, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the first word of every run of ``n`` words inside one document, and the sum of its
+    hashes, each times the weight of its place (``powers`` of the base)."""
     if len(hashes) < n:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -141,4 +142,14 @@ def windows(hashes: np.ndarray, first: np.ndarray, n: int, salt: int = 0) -> tup
     sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
     np.cumsum(hashes * power, out=sums[1:])
     whole = np.flatnonzero(doc[: len(doc) - n + 1] == doc[n - 1 :])
-    return whole, mix((sums[whole + n] - sums[whole]) * inverse[whole])
+    return whole, (sums[whole + n] - sums[whole]) * inverse[whole]
+
+
+def windows(hashes: np.ndarray, first: np.ndarray, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the first word and hash of every run of ``n`` words inside one document."""
+    whole, sums = window_sums(hashes, first, n, salt)
+    return whole, mix(sums)
+
+
+def window_weights(n: int, salt: int = 0) -> np.ndarray:
+    return powers(n, _BASES[salt])[0]

@@ -289,6 +289,41 @@ def test_decontamination_finds_templates(spark):
     assert pattern[0] == pattern[1] and pattern[2] != pattern[0]
 
 
+def marked(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = template_decontam.mark_contaminated(frame(spark, list(enumerate(texts))), bench).collect()
+    return {r["doc_id"]: r for r in got}
+
+
+def test_names_at_sentence_starts_quotes_and_wraps(spark):
+    apples = "Janet has 3 apples. Tom gives her 5 more. How many apples does she have now?"
+    france = "What is the capital of France?"
+    walk = "we saw that Alice and Robert went with Maria and Peter to the market near Vienna before Susan came"
+    names = ["Alice", "Robert", "Maria", "Peter", "Vienna", "Susan"]
+    wrapped = walk
+    for name in names:
+        wrapped = wrapped.replace(f" {name}", f"\n{name}")
+    texts = [
+        prose(1, 30) + " " + apples.replace("Janet", "Olga").replace("Tom", "Henry").replace("3", "8").replace("5", "2"),
+        f'The quiz asked, "{france}" and nobody knew',
+        prose(2, 30) + " " + wrapped,
+        "so what is the capital of Spain he said",
+        prose(3, 60),
+        prose(5, 20) + " they ask: what is the capital of Peru? Nobody knows",
+        "What Is The Capital Of France " * 3,
+    ]
+    got = marked(spark, [apples, france, walk], texts)
+    assert [got[k]["first_item"] for k in range(6)] == [0, 1, 2, 1, None, 1]
+
+
+def test_readings_of_crowded_openers_stay_bounded(monkeypatch):
+    batch = pa.array(["Yes we. No they. " * 300, "Go. " * 50])
+    whole = [np.concatenate(x) for x in zip(*[(a, m, h) for _, a, m, h, _ in template_decontam.window_codes(text.words_of(batch), [8])])]
+    monkeypatch.setattr(template_decontam, "BLOCK_READINGS", 64)
+    small = [np.concatenate(x) for x in zip(*[(a, m, h) for _, a, m, h, _ in template_decontam.window_codes(text.words_of(batch), [8])])]
+    assert sorted(zip(*map(list, whole))) == sorted(zip(*map(list, small))) and len(whole[0]) > 1000
+
+
 def test_decontamination_hard_cases(spark, hard, empty):
     bench = spark.createDataFrame([(1, prose(2, 90))], "item_id long, text string")
     got = template_decontam.mark_contaminated(hard, bench)
