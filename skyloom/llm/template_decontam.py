@@ -9,14 +9,16 @@ parameters has the same templates; its slots must also be filled consistently, s
 of the item are equal in the text and different ones differ. Within a window that holds exactly if
 both have the same pattern of first occurrences, which is part of the join key.
 
-A document is contaminated if it holds at least ``COVERAGE`` of an item's windows. A window that
-several items share counts for the smallest of them, so a join never multiplies.
+A document is contaminated if it holds at least ``COVERAGE`` of an item's windows. A window counts
+for all items that have it; items of the same windows are judged once, as a group.
 
 Documents' windows are first asked of a bitmap of fixed size; few others than real hits leave a task.
 
 Defined cases: null and empty texts are clean; an item of fewer than ``WINDOW`` words is one window
-of its own length, one of fewer than ``LEAST_WORDS`` is not looked for; windows with fewer than
-``LEAST_LITERALS`` literal words are not used; a row with a null doc_id is clean; rows that share a
+of its own length; windows with fewer than ``LEAST_LITERALS`` literal words are not used. An item of
+fewer than ``LEAST_WORDS`` words or without a usable window is found by its whole sequence of words
+or, in scripts without spaces, of characters; one without words never.
+Further cases: a row with a null doc_id is clean; rows that share a
 doc_id are judged together; empty tables give empty or clean results; other columns are ignored.
 """
 
@@ -26,15 +28,18 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.frames import without_ids
-from skyloom.llm.text import LOWER, Words, mix, slabs, span_hashes, window_sums, window_weights, words_of
+from skyloom.llm.text import LOWER, SEPARATOR, Words, mix, slabs, span_hashes, window_sums, window_weights, windows, words_of
 from skyloom.session import store
 
 WINDOW, LEAST_WORDS, LEAST_LITERALS = 8, 5, 4
 COVERAGE = 0.5
+#: What a code stands for: a template window, or an item's whole sequence of words or characters.
+TEMPLATE, SEQUENCE, CHARACTERS = 0, 1, 2
 BITMAP_BITS = 1 << 26
 #: Readings of windows that are held at once.
 BLOCK_READINGS = 1 << 18
@@ -141,12 +146,70 @@ class Slots:
         return out
 
 
+def _unspaced(data: np.ndarray) -> np.ndarray:
+    """Whether a character of a script without spaces starts at each byte: Han, kana, Thai, Lao,
+    Burmese, Khmer."""
+    second = np.append(data[1:], np.uint8(0))
+    han = ((data >= 0xE4) & (data <= 0xE9)) | ((data == 0xE3) & (second > 0x80)) | ((data == 0xF0) & (second >= 0xA0))
+    thai = (data == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    return han | thai | ((data == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F)))
+
+
+def _characters(data: np.ndarray, bounds: np.ndarray) -> Words:
+    """Characters as words, without blanks and the punctuation of ASCII and of Han scripts."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    ends = np.append(starts[1:], len(data))
+    head, second, third = (data[np.minimum(starts + k, len(data) - 1)] for k in range(3))
+    wide = (head == 0xEF) & (second == 0xBC) & ((third <= 0x8F) | ((third >= 0x9A) & (third <= 0xA0)))
+    skip = SEPARATOR[head] | _PUNCT[head] | ((head == 0xE3) & (second == 0x80)) | ((head == 0xE2) & (second == 0x80)) | wide
+    starts, ends = starts[~skip], ends[~skip]
+    return Words(data, bounds, starts, ends, np.searchsorted(starts, bounds))
+
+
+def _exact(units: Words, value: np.ndarray, kind: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    at, h = windows(mix(value), units.first, n)
+    return at, mix(h ^ np.uint64((kind << 56) + n))
+
+
+def _whole_codes(texts: pa.Array, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Items, their number of words or characters, and the code of that whole sequence."""
+    words = words_of(texts)
+    if kind == CHARACTERS:
+        words = _characters(words.data, words.bounds)
+        told = np.concatenate([[0], np.cumsum(_unspaced(words.data))])
+        fits = told[words.bounds[1:]] > told[words.bounds[:-1]]
+        value = span_hashes(LOWER[words.data], words.starts, words.ends)
+    else:
+        value = template(words)[1]
+        told = np.concatenate([[0], np.cumsum(value != 0)])  # 0: nothing but punctuation
+        fits = told[words.first[1:]] > told[words.first[:-1]]
+    size = np.diff(words.first)
+    found: tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]] = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)])
+    for n in np.unique(size[fits & (size > 0)]):
+        item = np.flatnonzero(fits & (size == n))
+        at, h = _exact(words, value, kind, int(n))
+        code = h[np.searchsorted(at, words.first[item])]
+        for out, x in zip(found, (item, np.full(len(item), n), code), strict=True):
+            out.append(x)
+    item, n, code = (np.concatenate(x) for x in found)
+    return item, n, code
+
+
 def _item_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All readings of the items' windows; ``window`` is the code of the plain one."""
+    """All readings of the items' windows; ``window`` is the code of the plain one. Items of up to
+    ``WINDOW`` words, and those without a usable window, also come as their whole sequence."""
     for batch in slabs(batches):
         words = words_of(batch.column("text"))
         size = np.diff(words.first)
         doc_of = words.doc
+
+        def rows(doc: np.ndarray, kind: int, n: np.ndarray, *codes: np.ndarray, batch: pa.RecordBatch = batch) -> pa.RecordBatch:
+            columns = [batch.column("item_id").take(pa.array(doc)), pa.array(np.full(len(doc), kind, dtype=np.int32)), pa.array(n.astype(np.int32))]
+            columns += [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in codes]
+            return pa.RecordBatch.from_arrays(columns, ["item_id", "kind", "n", "template", "code", "window"])
+
+        window = np.zeros(len(size), dtype=np.uint64)
+        usable = np.zeros(len(size), dtype=bool)
         for n, at, names, h, slots in window_codes(words, range(LEAST_WORDS, WINDOW + 1)):
             doc = doc_of[at]
             mine = (size[doc] == n) | (n == WINDOW)
@@ -154,14 +217,20 @@ def _item_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             code = slots.with_pattern(at, names, h, n)
             plain = np.zeros(len(doc_of), dtype=np.uint64)
             plain[at[names == 0]] = code[names == 0]
-            columns = [batch.column("item_id").take(pa.array(doc)), pa.array(np.full(len(at), n, dtype=np.int32))]
-            columns += [pa.array(x.view(np.int64)) for x in (h, code, plain[at])]
-            yield pa.RecordBatch.from_arrays(columns, ["item_id", "n", "template", "code", "window"])
+            usable[doc], window[doc] = True, plain[at]
+            yield rows(doc, TEMPLATE, np.full(len(at), n), h, code, plain[at])
+        item, n, code = _whole_codes(batch.column("text"), SEQUENCE)
+        window[item[~usable[item]]] = code[~usable[item]]
+        short = ~usable[item] | (size[item] <= WINDOW)
+        yield rows(item[short], SEQUENCE, n[short], code[short], code[short], window[item[short]])
+        item, n, code = _whole_codes(batch.column("text"), CHARACTERS)
+        short = ~usable[item] | (size[item] <= WINDOW)
+        yield rows(item[short], CHARACTERS, n[short], code[short], code[short], window[item[short]])
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _item_codes(batches):
-        yield batch.select(["item_id", "n", "template", "code"])
+        yield batch.filter(pc.equal(batch.column("kind"), TEMPLATE)).select(["item_id", "n", "template", "code"])
 
 
 def _bitmap(items: DataFrame) -> np.ndarray:
@@ -174,16 +243,19 @@ def _bitmap(items: DataFrame) -> np.ndarray:
     return bits
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_windows, share of every item that a document covers far enough."""
+def _group_hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, group, size, n_windows, share of every group that a document covers far enough, and
+    the items of each group. Items of the same windows are a group, named by the smallest of them."""
     spark = docs.sparkSession
     windows_of_items = benchmark.select("item_id", "text").filter(F.col("item_id").isNotNull())
     kind = dict(benchmark.dtypes)["item_id"]
-    items = store(windows_of_items.mapInArrow(_item_codes, f"item_id {kind}, n int, template long, code long, window long"))
-    owner = store(items.groupBy("window").agg(F.min("item_id").alias("item_id")))
-    owned = store(items.select("item_id", "code", "window").distinct().join(owner, ["window", "item_id"], "left_semi"))
-    total = owner.groupBy("item_id").agg(F.count("*").alias("of"))
-    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())
+    items = store(windows_of_items.mapInArrow(_item_codes, f"item_id {kind}, kind int, n int, template long, code long, window long"))
+    members = store(items.groupBy("item_id").agg(F.sort_array(F.collect_set(F.struct("window", "code"))).alias("codes")))
+    groups = store(members.groupBy("codes").agg(F.min("item_id").alias("group"), F.count("*").alias("size")))
+    held_by = groups.select("group", F.inline("codes"))
+    total = groups.select("group", "size", F.size(F.array_distinct("codes.window")).alias("of"))
+    asked_for = sorted((r["kind"], r["n"]) for r in items.select("kind", "n").distinct().collect())
+    lengths = {k: [n for kind, n in asked_for if kind == k] for k in (TEMPLATE, SEQUENCE, CHARACTERS)}
     bitmap = spark.sparkContext.broadcast(_bitmap(items))
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,12 +263,27 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for batch in slabs(batches):
             words = words_of(batch.column("text"))
             docs_, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            doc_of = words.doc
-            for n, at, names, h, slots in window_codes(words, lengths):
+
+            def known_to(h: np.ndarray) -> np.ndarray:
                 place = (h % np.uint64(BITMAP_BITS)).astype(np.int64)
-                held = (bits[place >> 6] >> (place & 63)) & 1 == 1
+                return (bits[place >> 6] >> (place & 63)) & 1 == 1
+
+            doc_of = words.doc
+            for n, at, names, h, slots in window_codes(words, lengths[TEMPLATE]):
+                held = known_to(h)
                 codes.append(slots.with_pattern(at[held], names[held], h[held], n))
                 docs_.append(doc_of[at[held]])
+            for k in (SEQUENCE, CHARACTERS):
+                if not lengths[k] or (k == CHARACTERS and not _unspaced(words.data).any()):
+                    continue
+                units = words if k == SEQUENCE else _characters(words.data, words.bounds)
+                value = template(units)[1] if k == SEQUENCE else span_hashes(LOWER[units.data], units.starts, units.ends)
+                of_unit = units.doc
+                for n in lengths[k]:
+                    at, h = _exact(units, value, k, n)
+                    held = known_to(h)
+                    codes.append(h[held])
+                    docs_.append(of_unit[at[held]])
             code, doc = np.concatenate(codes), np.concatenate(docs_)
             if len(code):
                 pairs = np.unique(np.rec.fromarrays([doc, code]))
@@ -205,18 +292,24 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     known = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     found = known.mapInArrow(asked, f"doc_id {dict(docs.dtypes)['doc_id']}, code long")
-    counted = found.join(owned, "code").groupBy("doc_id", "item_id").agg(F.count_distinct("window").alias("n_windows"))
-    share = counted.join(total, "item_id").withColumn("share", F.col("n_windows") / F.col("of"))
-    return share.filter(F.col("share") >= COVERAGE).select("doc_id", "item_id", "n_windows", "share")
+    counted = found.join(held_by, "code").groupBy("doc_id", "group").agg(F.count_distinct("window").alias("n_windows"))
+    share = counted.join(total, "group").withColumn("share", F.col("n_windows") / F.col("of"))
+    return share.filter(F.col("share") >= COVERAGE).select("doc_id", "group", "size", "n_windows", "share"), members.join(groups, "codes").select("group", "item_id")
+
+
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, n_windows, share of every item that a document covers far enough."""
+    hits, members = _group_hits(docs, benchmark)
+    return hits.join(members, "group").select("doc_id", "item_id", "n_windows", "share")
 
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, n_items and first_item (the smallest covered one) for every row."""
-    hits = benchmark_hits(docs, benchmark).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n_items"), F.min("item_id").alias("first_item"))
+    hits = _group_hits(docs, benchmark)[0].groupBy(F.col("doc_id").alias("_id")).agg(F.sum("size").alias("n_items"), F.min("group").alias("first_item"))
     marked = docs.select("doc_id").join(hits, F.col("doc_id") == F.col("_id"), "left")
     return marked.select("doc_id", F.col("_id").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), "first_item")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` that cover no item of the benchmark."""
-    return without_ids(docs, store(benchmark_hits(docs, benchmark).select("doc_id").distinct()))
+    return without_ids(docs, store(_group_hits(docs, benchmark)[0].select("doc_id").distinct()))

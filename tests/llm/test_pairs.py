@@ -316,6 +316,15 @@ def test_names_at_sentence_starts_quotes_and_wraps(spark):
     assert [got[k]["first_item"] for k in range(6)] == [0, 1, 2, 1, None, 1]
 
 
+def test_every_item_is_found_word_for_word(spark):
+    inner = "these seven quiet birds sang below that old bridge"
+    items = [prose(1, 40) + " " + inner + " " + prose(2, 40), inner, "Paris, Lima", "Alice Bob Carol Dave Erin Frank Grace Heidi Ivan 12 kg 5", "法国的首都是哪里？", prose(1, 40) + " " + inner + " " + prose(2, 40), "Who wrote the novel Emma?", " ... "]
+    texts = [prose(3, 30) + " " + inner + " " + prose(4, 30), "to paris lima", "x " + items[3] + " y", "请问法国的\n首都是哪里？谢谢", items[0], 'asked, "Who wrote the novel Emma?" twice', "Lima Paris 法国的首都", "... , ...", ""]
+    got = marked(spark, items, texts)
+    assert [got[k]["first_item"] for k in range(9)] == [1, 2, 3, 4, 0, 6, None, None, None]
+    assert got[4]["n_items"] == 3 and got[0]["n_items"] == 1
+
+
 def test_readings_of_crowded_openers_stay_bounded(monkeypatch):
     batch = pa.array(["Yes we. No they. " * 300, "Go. " * 50])
     whole = [np.concatenate(x) for x in zip(*[(a, m, h) for _, a, m, h, _ in template_decontam.window_codes(text.words_of(batch), [8])])]
