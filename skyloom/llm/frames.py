@@ -63,3 +63,20 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     stay = marked.filter(~F.col("_maybe"))
     asked = marked.filter("_maybe").join(ids, F.col("_id") == F.col("_gone"), "left_anti")
     return stay.unionByName(asked).select(*[F.col("_row").getField(c).alias(c) for c in columns])
+
+
+def join_totals(df: DataFrame, key: str, totals: dict[str, Column]) -> DataFrame:
+    """``df`` with aggregates over the rows of equal ``key``, nulls together, however many share one.
+
+    Keys that hold more than their share of the rows are few by arithmetic, so their totals are
+    broadcast and their rows stay where they are; all other keys are joined by hash.
+    """
+    parts = 8 * fan_out(df.sparkSession)
+    of_key = cut_lineage(df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), *[c.alias(n) for n, c in totals.items()]))
+    n = of_key.agg(F.sum("_n")).first()[0] or 0
+    hot = of_key.filter(F.col("_n") * parts >= n).drop("_n")  # at most `parts` rows
+    marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), F.col(key).eqNullSafe(F.col("_key")), "left")
+    done = marked.filter("_hot").select(*df.columns, *totals)
+    rest = marked.filter("_hot IS NULL").select(*df.columns)
+    cold = rest.join(of_key.filter(F.col("_n") * parts < n), F.col(key).eqNullSafe(F.col("_key")))
+    return done.unionByName(cold.select(*df.columns, *totals))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skyloom.llm import cube_mix, line_chunks, near_dups, quality_trees, rule_lists, substring_cover, template_decontam, toxicity_nb, trie_tokens, url_cascade
+from skyloom.llm import cube_mix, filter_audit, line_chunks, near_dups, quality_trees, rule_lists, substring_cover, template_decontam, toxicity_nb, trie_tokens, url_cascade, vector_codes
 from skyloom.llm.labels import held_out
 from skyloom.session import load_table
 
@@ -133,6 +133,73 @@ def op10_rule_lists(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("doc_id", *rule_lists.BASE, "base_failed", "kept", "rule")
 
 
+@query
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    coded = vector_codes.compress_vectors(load_table(spark, sf, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+# A part's position is its 16th of the vector; books hold (part, entry, position, value).
+_ASSIGN = """
+apart{k} AS (SELECT v.n, v.part, b.entry, sum((v.x - b.x) * (v.x - b.x)) AS d FROM cut v JOIN book{k} b USING (part, pos) GROUP BY v.n, v.part, b.entry),
+near{k} AS (SELECT n, part, min(d) AS d, min_by(entry, (d, entry)) AS entry FROM apart{k} GROUP BY n, part),
+"""
+_MOVE = """
+mean{k} AS (SELECT a.part, a.entry, v.pos, sum(v.x) AS s, count(*) AS n FROM near{k} a JOIN cut v USING (n, part) GROUP BY a.part, a.entry, v.pos),
+book{j} AS (SELECT b.part, b.entry, b.pos, CASE WHEN m.n IS NULL THEN b.x ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS x
+  FROM book{k} b LEFT JOIN mean{k} m USING (part, entry, pos)),
+"""
+ORACLES["op11_vector_codes"] = (
+    """
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS v, row_number() OVER (ORDER BY vec_id, embedding) AS n
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+spot AS (SELECT n, len(v) // 16 AS w, v, unnest(range(len(v))) AS i FROM kept),
+cut AS (SELECT n, i // w AS part, i % w AS pos, v[i + 1] AS x FROM spot),
+book0 AS (SELECT part, n - 1 AS entry, pos, x FROM cut WHERE n <= 64),
+"""
+    + _ASSIGN.format(k=0)
+    + _MOVE.format(k=0, j=1)
+    + _ASSIGN.format(k=1)
+    + _MOVE.format(k=1, j=2)
+    + _ASSIGN.format(k=2)
+    + """
+code AS (SELECT n, string_agg(printf('%02x', entry::INT), '' ORDER BY part) AS code, sum(d) AS error FROM near2 GROUP BY n)
+SELECT vec_id, code, error::BIGINT AS error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) FROM book2) AS codebooks_sha256
+FROM kept JOIN code USING (n)
+"""
+)
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit_filters(load_table(spark, sf, "documents"), load_table(spark, sf, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM texts),
+masks AS (SELECT part, doc_id, CASE WHEN len(w) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+  || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+  || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+  || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS m FROM words),
+cells AS (SELECT part, m, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM masks LEFT JOIN marks USING (doc_id) GROUP BY part, m),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT part, o AS filter_order, s::INT AS step, o[s:s] AS f,
+    sum(CASE WHEN translate(m, o[1:s], '') = m THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN contains(m, o[s:s]) AND translate(m, o[1:s - 1], '') = m THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(m, o[s:s]) AND translate(m, o[1:s - 1], '') <> m THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN m = o[s:s] THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN contains(m, o[s:s]) AND translate(m, o[1:s - 1], '') = m THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN contains(m, o[s:s]) AND translate(m, o[1:s - 1], '') = m THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, orders, range(1, 6) r(s) GROUP BY part, o, s)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM steps
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
