@@ -2,7 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps; ``run`` writes every result as
 Parquet into the session's shared checkpoint folder and reads it back for the next stage. All but
-the last return the columns they were given.
+the last return the columns they were given, whatever their names.
+
+Defined cases, beside those of each operator: a null or empty text is scored as a text without words,
+loses no line, is no near-duplicate and no leak, and has size 0; a row with a null doc_id is scored by
+its text and then stays as it is; repeated rows are judged each, except that near-duplicates and leaks
+go by doc_id, so rows that share one go together if any is to go; of equal documents the smallest doc_id
+stays; with labels of one kind only, the classifier keeps or rejects all; an empty table passes through
+every stage as an empty table.
 """
 
 from __future__ import annotations
@@ -21,17 +28,20 @@ from skyloom.session import load_table, store
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     labels = load_table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 3, 1))
-    scored = quality_trees.with_quality(docs, quality_trees.fit_quality(docs, labels))
-    return scored.filter("_score >= 0.5").select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("row"), "text")
+    scored = quality_trees.with_quality(packed, quality_trees.fit_quality(docs, labels))
+    return scored.filter("_score >= 0.5").select("row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go from the texts; a document of which no word is left goes too."""
-    left = line_chunks.dedup_lines(docs)
-    emptied = (F.col("_removed") > 0) & ~F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
-    counted = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
-    changed = {c: F.when(F.col("_removed") > 0, n).otherwise(F.col(c)) for c, n in counted.items()}
-    return left.filter(~emptied).withColumns(changed).select(*docs.columns)
+    """Repeated passages of lines go from the texts; a document of which no word is left goes too."""
+    left = line_chunks.without_repeats(docs)
+    emptied = (F.col("removed") > 0) & ~F.rlike("kept", F.lit(r"[^\x20\x09-\x0D]"))
+    changed = {"text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        n = F.length("kept").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("removed") > 0, n).otherwise(F.col("row.n_chars"))
+    return left.filter(~emptied).select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

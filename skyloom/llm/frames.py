@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.session import cut_lineage
+from skyloom.session import cut_lineage, store
 
 #: A sieve has this many rows of 64 bits, whatever it was made from.
 SIEVE_ROWS = 1 << 16
@@ -72,7 +72,7 @@ def join_totals(df: DataFrame, key: str, totals: dict[str, Column]) -> DataFrame
     broadcast and their rows stay where they are; all other keys are joined by hash.
     """
     parts = 8 * fan_out(df.sparkSession)
-    of_key = cut_lineage(df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), *[c.alias(n) for n, c in totals.items()]))
+    of_key = store(df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), *[c.alias(n) for n, c in totals.items()]), "totals")
     n = of_key.agg(F.sum("_n")).first()[0] or 0
     hot = of_key.filter(F.col("_n") * parts >= n).drop("_n")  # at most `parts` rows
     marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), F.col(key).eqNullSafe(F.col("_key")), "left")

@@ -1,22 +1,25 @@
-"""Line dedup by content-defined chunks, in DataFrame functions throughout.
+"""Line dedup by content-defined line chunks, in DataFrame functions throughout.
 
-A text is cut into chunks of lines where a rolling hash over the last ``WINDOW`` lines hits a fixed
-residue, so an insertion moves the boundaries near it and no others. A chunk of two or more lines
-with a word, found anywhere else in the corpus byte for byte, stays at its first place (smallest
-doc_id, then position) and goes everywhere else.
+A rolling hash over the hashes of the last ``WINDOW`` lines makes a line a boundary or not; as it looks
+at nothing else, a passage has the same boundaries wherever it stands. A chunk runs from one boundary to
+the next, both included, so it is always closed by its own content; a text's first and last lines with a
+word close a chunk as well. Boundaries are as frequent as ``HITS`` in ``OF``, blank lines are none.
 
-Chunks are first counted by hash; texts of the repeated ones alone are compared, and grouped by the
-bytes themselves, each task bringing one copy of a chunk. Only documents that lose a chunk move.
+Chunks of two or more lines that stand in several places are found by hash first. Each stays at its first
+place (smallest doc_id, then position) and goes elsewhere, once the lines of the repeated ones are compared
+byte by byte: each task brings one copy of a line, and a chunk with a line whose 128-bit code belongs to
+different bytes stays. From a chunk a match is carried on line by line, up to the next boundary on either
+side, as far as the lines there are the ones at the first place. Thus a repeated passage with two boundaries
+in it goes from its first to its last line, whatever is around it. What stays: passages with fewer (shares
+are in the README), single lines, and a chunk that overlaps its own first place.
 
-``dedup_passages`` leaves nothing to the boundaries. There a chunk is a pair: a line with a word, the
-next one, and blank lines between. Each pair that stands at an earlier place goes, so of a passage of
-two or more such lines every line goes wherever its surroundings differ; overlapping pairs carry a
-match on to the passage's ends. A pair that overlaps its own first place stays. Blank lines at a
-passage's ends stay.
+Only hashes and places are shuffled for all lines. Documents move if they lose a line, by id; a chunk
+that countless documents share is joined to its few facts without moving them.
 
 Defined cases: null and empty texts lose nothing; rows with a null doc_id keep everything and shield
-nothing; rows that share a doc_id are one document's parts in the order of their texts, equal rows
-count once (each gets the same answer); an empty table gives an empty result; other columns stay.
+nothing; rows that share a doc_id are one document's parts in the order of their texts' hashes, equal rows
+count once (each gets the same answer); very long texts are cut whole; an empty table gives an empty
+result; a column named _removed is replaced, other columns stay.
 """
 
 from __future__ import annotations
@@ -26,159 +29,185 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.frames import let, sieve_of, sieved
-from skyloom.session import store
+from skyloom.llm.frames import join_totals, let, sieve_of, sieved
+from skyloom.session import cut_lineage, store
 
-#: Lines that the rolling hash sees, mean lines between boundaries, fewest and most lines in a chunk.
-WINDOW, MEAN, FEWEST, MOST = 2, 3, 2, 64
+#: Lines that the rolling hash sees, and the share of lines that are boundaries.
+WINDOW, HITS, OF = 1, 15, 16
 
 
-def _has_word(line: Column) -> Column:
-    return F.rlike(line, F.lit(r"[^\x20\x09-\x0D]"))
+def line_hash(line: Column, salt: int = 0) -> Column:
+    return F.xxhash64(F.lit(salt), line)
 
 
-def chunk_starts(lines: Column) -> Column:
-    """Index of the first line of each chunk. Every chunk has at least ``FEWEST`` lines, the last
-    one too, unless the whole text has fewer; none has over ``MOST`` + ``FEWEST``."""
+def line_hashes(lines: Column, salt: int = 0) -> Column:
+    return F.transform(lines, lambda x: line_hash(x, salt))
 
-    def cuts(h: Column) -> Column:
-        def fits(at: Column, i: Column) -> Column:
-            rolled = F.xxhash64(*[F.get(h, i - k) for k in range(1, WINDOW + 1)])
-            room = (i - at >= FEWEST) & (F.size(h) - i >= FEWEST)
-            return room & ((F.pmod(rolled, F.lit(MEAN)) == 0) | (i - at >= MOST))
 
-        def take(state: Column, i: Column) -> Column:
-            return F.when(fits(F.element_at(state, -1), i), F.array_append(state, i)).otherwise(state)
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(h)), F.array(F.lit(0)), take)
 
-    return let(F.transform(lines, lambda x: F.xxhash64(x)), cuts)
+def _word_lines(lines: Column) -> Column:
+    """Indexes of the lines with a word."""
+    return F.filter(F.transform(lines, lambda x, i: F.when(F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")), i)), lambda i: i.isNotNull())
+
+
+def boundaries(hashes: Column, worded: Column) -> Column:
+    """Those of the lines ``worded`` at which the rolling hash hits."""
 
+    def hit(i: Column) -> Column:
+        rolled = F.xxhash64(*[F.get(hashes, i - k) for k in range(WINDOW)])
+        return F.pmod(rolled, F.lit(OF)) < HITS
 
-def chunks_of(text: Column) -> Column:
-    """The text's chunks as an array of strings; joined by newlines they are the text again."""
+    return F.filter(worded, hit)
 
-    def sliced(lines: Column) -> Column:
+
+def chunks(hashes: Column, worded: Column) -> Column:
+    """The chunks of a text: at and to (first and last line), low and high (the boundary before and
+    after it, or the text's ends)."""
+
+    def chunk(cuts: Column, ends: Column, at: Column, k: Column) -> Column:
+        # The first and the last of the ends need not be boundaries.
+        last = F.size(ends) - 1
+        before = F.when((k > 1) | ((k == 1) & (F.get(cuts, F.lit(0)) == F.get(ends, F.lit(0)))), F.get(ends, k - 1))
+        after = F.when((k + 2 < last) | ((k + 2 == last) & (F.element_at(cuts, -1) == F.get(ends, last))), F.get(ends, k + 2))
+        return F.struct(
+            at.alias("at"), F.get(ends, k + 1).alias("to"),
+            F.coalesce(before, F.lit(-1)).alias("low"), F.coalesce(after, F.size(hashes)).alias("high"),
+        )
+
+    def closed(cuts: Column) -> Column:
+        first, last = F.slice(worded, 1, 1), F.slice(worded, F.greatest(F.size(worded), F.lit(1)), 1)
         return let(
-            chunk_starts(lines),
-            lambda s: F.transform(
-                s, lambda a, k: F.array_join(F.slice(lines, a + 1, F.coalesce(F.get(s, k + 1), F.size(lines)) - a), "\n")
-            ),
+            F.array_distinct(F.concat(first, cuts, last)),
+            lambda ends: F.transform(F.slice(ends, 1, F.greatest(F.size(ends) - 1, F.lit(0))), lambda at, k: chunk(cuts, ends, at, k)),
         )
 
-    return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), sliced)
+    return let(boundaries(hashes, worded), closed)
 
 
-def _eligible(chunk: Column) -> Column:
-    """Two or more lines with a word."""
-    return F.size(F.filter(F.split(chunk, "\n", -1), _has_word)) > 1
+def _between(values: Column, low: Column, high: Column) -> Column:
+    """Values after ``low`` and before ``high``."""
+    return F.slice(values, low + 2, F.greatest(high - low - 1, F.lit(0)))
 
 
-def _places(docs: DataFrame) -> DataFrame:
-    """One row per chunk that may be removed: id, part, at, chunk, hash."""
-    cut = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("part"), F.posexplode(chunks_of(F.col("text"))).alias("at", "chunk"))
-    return cut.filter(F.col("id").isNotNull() & _eligible(F.col("chunk"))).withColumn("hash", F.xxhash64("chunk"))
+def _own(values: Column, c: Column) -> Column:
+    return F.slice(values, c["at"] + 1, c["to"] - c["at"] + 1)
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """Chunks to remove: id, part (hash of the text), gone (their positions), for each document
-    that loses any."""
-    place = F.struct("id", "part", "at")
-    counted = _places(docs).select("id", "part", "at", "hash").groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("z"))
-    sieve = sieve_of(counted.filter("a != z"), F.col("hash"))
-    maybe = store(sieved(_places(docs), sieve, F.col("hash")).filter("_maybe").drop("_maybe"))
-    first = maybe.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last")
-    later = maybe.alias("m").join(
-        first.alias("f"),
-        (F.col("m.hash") == F.col("f.hash")) & (F.col("m.chunk") == F.col("f.chunk")) & (F.col("f.first") != F.struct("m.id", "m.part", "m.at")),
-    )
-    return later.groupBy("m.id", "m.part").agg(F.sort_array(F.collect_set("m.at")).alias("gone"))
+def _split(docs: DataFrame) -> DataFrame:
+    known = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    return known.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("part"), _lines(F.col("text")).alias("lines"))
 
 
-def _applied(docs: DataFrame, gone: DataFrame, kept: Callable[[Column], Column], removed: Column) -> DataFrame:
-    """``docs`` with ``kept`` of each text that ``gone`` names, and ``removed`` as ``_removed``."""
-    packed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_part"))
-    key = F.xxhash64("_id", "_part")
-    marked = sieved(packed, sieve_of(gone, F.xxhash64("id", "part")), key)
-    asked = marked.filter("_maybe").join(gone, (F.col("_id") == F.col("id")) & (F.col("_part") == F.col("part")), "left")
-    clear = marked.filter(~F.col("_maybe")).withColumn("gone", F.lit(None).cast("array<int>"))
-    both = clear.select("_row", "gone").unionByName(asked.select("_row", "gone"))
-    lost = F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(removed)
-    text = F.when(F.col("gone").isNull(), F.col("_row.text")).otherwise(kept(F.col("_row.text")))
-    return both.select(
-        *[(text if c == "text" else F.col("_row").getField(c)).alias(c) for c in docs.columns],
-        lost.alias("_removed"),
-    )
+def _cut(docs: DataFrame, facts: Callable[[Column, Column], Column]) -> DataFrame:
+    """One row per chunk: id, part, and the fields of ``facts``, an array of structs made of a text's
+    line hashes and chunks. Only what is asked for leaves the text."""
 
+    def every(hashes: Column) -> Column:
+        return let(let(_word_lines(F.col("lines")), lambda w: chunks(hashes, w)), lambda found: facts(hashes, found))
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs``, the text without its repeated chunks, and ``_removed``,
-    the number of these. A text that lost nothing is returned as it was."""
-    gone = store(repeated_chunks(docs))
+    return _split(docs).select("id", "part", F.inline(let(line_hashes(F.col("lines")), every)))
 
-    def kept(text: Column) -> Column:
-        return let(text, lambda t: let(chunks_of(t), lambda c: F.array_join(F.filter(c, lambda x, i: ~F.array_contains("gone", i)), "\n")))
 
-    return _applied(docs, gone, kept, F.size("gone").cast("long"))
+def _hash(hashes: Column, c: Column) -> Column:
+    return F.xxhash64(_own(hashes, c)).alias("hash")
 
 
-def _word_lines(lines: Column) -> Column:
-    """Indexes of the lines with a word."""
-    return F.filter(F.transform(lines, lambda x, i: F.when(_has_word(x), i)), lambda i: i.isNotNull())
+def _only_hashes(hashes: Column, found: Column) -> Column:
+    return F.transform(found, lambda c: F.struct(_hash(hashes, c)))
 
 
-def line_pairs(text: Column) -> Column:
-    """Each line with a word and the next one, with what stands between, as arrays of lines."""
+def _with_lines(hashes: Column, found: Column) -> Column:
+    return F.transform(found, lambda c: F.struct(_hash(hashes, c), c["at"].alias("at"), _own(F.col("lines"), c).alias("own")))
 
-    def paired(lines: Column) -> Column:
-        return let(
-            _word_lines(lines),
-            lambda w: F.transform(
-                F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, k: F.slice(lines, a + 1, F.get(w, k + 1) - a + 1)
+
+def _with_places(hashes: Column, found: Column) -> Column:
+    """Where a chunk is, a second hash of it, and two hashes of each line up to its neighbours."""
+
+    def placed(checks: Column) -> Column:
+        def side(c: Column, low: str, high: str, turn: Callable[[Column], Column]) -> Column:
+            return F.struct(*[turn(_between(x, c[low], c[high])).alias(n) for n, x in (("one", hashes), ("two", checks))])
+
+        return F.transform(
+            found,
+            lambda c: F.struct(
+                _hash(hashes, c), F.xxhash64(_own(checks, c)).alias("check"), c["at"].alias("at"), c["to"].alias("to"),
+                side(c, "low", "at", F.reverse).alias("before"), side(c, "to", "high", lambda x: x).alias("after"),
             ),
-        )
+        )
 
-    return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), paired)
+    return let(line_hashes(F.col("lines"), 1), placed)
 
 
-def _pair_places(docs: DataFrame) -> DataFrame:
-    """One row per pair of lines: id, part, at, pair, hash."""
-    known = docs.filter(F.col("doc_id").isNotNull())
-    cut = known.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("part"), F.posexplode(line_pairs(F.col("text"))).alias("at", "pair"))
-    return cut.withColumn("hash", F.xxhash64("pair"))
+def _equal_lines(one: Column, two: Column) -> Column:
+    """Number of leading lines in which two sequences agree by both hashes."""
 
+    def leading(a: Column, b: Column) -> Column:
+        agree = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
+        return let(agree, lambda x: F.when(F.array_contains(x, False), F.array_position(x, False).cast("int") - 1).otherwise(F.size(x)))
 
-def repeated_pairs(docs: DataFrame) -> DataFrame:
-    """Pairs to remove, as ``repeated_chunks`` has them for chunks. The texts of pairs with one
-    128-bit hash are compared where they are grouped, and do not move again."""
-    place = F.struct("id", "part", "at")
-    counted = _pair_places(docs).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
-    asked = sieved(_pair_places(docs), sieve_of(counted, F.col("hash")), F.col("hash")).filter("_maybe")
-    text = F.array_join("pair", "\n")
-    maybe = store(asked.select("id", "part", "at", "hash", F.xxhash64(F.lit(1), text).alias("check"), text.alias("chunk")))
-    met = maybe.groupBy("hash", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.min("chunk").alias("low"), F.max("chunk").alias("high"))
-    first = met.filter("first != last AND low = high").select("hash", "check", "first")
-    spots = maybe.select("id", "part", "at", "hash", "check")
-    later = spots.alias("m").join(first.alias("f"), (F.col("m.hash") == F.col("f.hash")) & (F.col("m.check") == F.col("f.check")))
-    beside = (F.col("f.first.id") == F.col("m.id")) & (F.col("f.first.part") == F.col("m.part")) & (F.col("m.at") - F.col("f.first.at")).isin(0, 1)
-    return later.filter(~beside).groupBy("m.id", "m.part").agg(F.sort_array(F.collect_set("m.at")).alias("gone"))
+    return F.least(leading(one["one"], two["one"]), leading(one["two"], two["two"]))
 
 
-def _without_pairs(text: Column, gone: Column) -> Column:
-    def kept(lines: Column) -> Column:
-        def left(w: Column) -> Column:
-            lost = F.flatten(F.transform(gone, lambda k: F.sequence(F.get(w, k), F.get(w, k + 1))))
-            stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost)
-            return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+def _clashing(docs: DataFrame, sieve: DataFrame) -> DataFrame | None:
+    """Chunks (id, part, at) with a line whose two hashes belong to different bytes, if there are any.
+    This is where the lines of repeated chunks are compared."""
+    asked = sieved(_cut(docs, _with_lines), sieve, F.col("hash")).filter("_maybe")
+    lines = asked.select("id", "part", "at", F.explode("own").alias("line"))
+    lines = lines.withColumns({"one": line_hash(F.col("line")), "two": line_hash(F.col("line"), 1)})
+    met = lines.groupBy("one", "two").agg(F.min("line").alias("low"), F.max("line").alias("high"))
+    told = cut_lineage(met.filter("low != high").select("one", "two"))
+    return None if told.isEmpty() else lines.join(told, ["one", "two"]).select("id", "part", "at").distinct()
 
-        return let(_word_lines(lines), left)
 
-    return let(F.split(text, "\n", -1), kept)
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """Lines to remove: id, part (hash of the text), gone (their indexes in order), for each document
+    that loses any."""
+    counted = _cut(docs, _only_hashes).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
+    sieve = sieve_of(counted, F.col("hash"))
+    asked = sieved(_cut(docs, _with_places), sieve, F.col("hash")).filter("_maybe")
+    spots = asked.select("id", "part", "at", "to", "before", "after", F.struct("hash", "check").alias("key"))
+    clashing = _clashing(docs, sieve)
+    if clashing is not None:
+        spots = spots.join(clashing, ["id", "part", "at"], "left_anti")
+    met = join_totals(store(spots, "chunks"), "key", {"first": F.min(F.struct("id", "part", "at", "to", "before", "after"))})
+    moved = F.struct("id", "part", "at") != F.struct("first.id", "first.part", "first.at")
+    beside = (F.col("first.id") == F.col("id")) & (F.col("first.part") == F.col("part")) & (F.col("at") <= F.col("first.to"))
+    low = F.col("at") - _equal_lines(F.col("before"), F.col("first.before"))
+    high = F.col("to") + _equal_lines(F.col("after"), F.col("first.after"))
+    lost = met.filter(moved & ~beside).select("id", "part", F.struct(low.alias("low"), high.alias("high")).alias("span"))
+    spans = lost.groupBy("id", "part").agg(F.collect_set("span").alias("spans"))
+    every = F.flatten(F.transform("spans", lambda s: F.sequence(s["low"], s["high"])))
+    return spans.select("id", "part", F.array_sort(F.array_distinct(every)).alias("gone"))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: row (all its columns), kept (its text without repeated passages) and removed,
+    the number of these. A text that lost nothing is as it was."""
+    gone = store(repeated_lines(docs.select("doc_id", "text")))
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_part"))
+    marked = sieved(packed, sieve_of(gone, F.xxhash64("id", "part")), F.xxhash64("_id", "_part"))
+    asked = marked.filter("_maybe").join(gone, (F.col("_id") == F.col("id")) & (F.col("_part") == F.col("part")), "left")
+    clear = marked.filter(~F.col("_maybe")).withColumn("gone", F.lit(None).cast("array<int>"))
+    both = clear.select("row", "gone").unionByName(asked.select("row", "gone"))
+    lost = F.col("gone").isNotNull()
 
+    def left(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+        return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
 
-def dedup_passages(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs``, the text without its repeated passages, and ``_removed``,
-    the number of these. A text that lost nothing is returned as it was."""
-    gone = store(repeated_pairs(docs))
-    runs = F.size(F.filter("gone", lambda k, i: (i == 0) | (F.get("gone", i - 1) != k - 1))).cast("long")
-    return _applied(docs, gone, lambda t: _without_pairs(t, F.col("gone")), runs)
+    runs = F.size(F.filter("gone", lambda i, k: (k == 0) | (F.get("gone", k - 1) != i - 1)))
+    return both.select(
+        "row",
+        F.when(lost, let(_lines(F.col("row.text")), left)).otherwise(F.col("row.text")).alias("kept"),
+        F.when(lost, runs).otherwise(0).cast("long").alias("removed"),
+    )
+
+
+def dedup_lines(docs: DataFrame) -> DataFrame:
+    """All rows and columns of ``docs``, the text without its repeated passages, and ``_removed``, the
+    number of these."""
+    columns = [c for c in docs.columns if c != "_removed"]
+    return without_repeats(docs).select(*[(F.col("kept") if c == "text" else F.col("row").getField(c)).alias(c) for c in columns], F.col("removed").alias("_removed"))

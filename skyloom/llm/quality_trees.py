@@ -182,9 +182,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
 
 
 def with_quality(docs: DataFrame, forest: Forest, keep: bool = True) -> DataFrame:
-    """``docs`` with a double ``_score`` in front; with ``keep`` off only doc_id goes with it."""
+    """``docs`` with a double ``_score`` in front, in place of any it had; with ``keep`` off only doc_id
+    goes with it."""
     shared = docs.sparkSession.sparkContext.broadcast(forest)
-    columns = docs.columns if keep else ["doc_id"]
+    columns = [c for c in docs.columns if c != "_score"] if keep else ["doc_id"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches):

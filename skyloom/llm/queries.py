@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skyloom.llm import cube_mix, filter_audit, line_chunks, near_dups, quality_trees, rule_lists, substring_cover, template_decontam, toxicity_nb, trie_tokens, url_cascade, vector_codes
+from skyloom.llm import cube_mix, filter_audit, language_id, line_chunks, near_dups, quality_trees, rule_lists, substring_cover, template_decontam, toxicity_nb, trie_tokens, url_cascade, vector_codes
 from skyloom.llm.labels import held_out
 from skyloom.session import load_table
 
@@ -117,7 +117,7 @@ def op8_toxicity_nb(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Per document what is left of it: lines, removed passages and the digest of the text."""
-    left = line_chunks.dedup_passages(load_table(spark, sf, "documents").select("doc_id", "text"))
+    left = line_chunks.dedup_lines(load_table(spark, sf, "documents").select("doc_id", "text"))
     return left.select(
         "doc_id",
         F.col("_removed").alias("n_chunks_removed"),
@@ -171,6 +171,13 @@ FROM kept JOIN code USING (n)
 )
 
 
+@query
+def op12_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load_table(spark, sf, "documents").select("doc_id", "text", "lang", held_out(F.col("doc_id"), 3, 1).alias("held_out"))
+    model = language_id.fit_languages(docs.filter("NOT held_out"))
+    return language_id.with_language(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit_filters(load_table(spark, sf, "documents"), load_table(spark, sf, "labels"))

@@ -163,7 +163,7 @@ def _of_width(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray
     rows, bounds, values = vectors_of(batch)
     fits = np.diff(bounds) == width
     inside = np.repeat(fits, np.diff(bounds))
-    return rows, fits, values[inside].reshape(-1, width)
+    return rows, fits, values[inside].reshape(fits.sum(), max(width, 0))
 
 
 @dataclass
@@ -243,7 +243,7 @@ def encode(vectors: DataFrame, books: Codebooks | None) -> DataFrame:
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in _small(batches):
-            rows, fits, found = _of_width(batch, own.width if own else -1)
+            rows, fits, found = _of_width(batch, own.width if own else -1)  # no vector has that width
             code, error = np.full(len(rows), None, dtype=object), np.zeros(len(rows), dtype=np.int64)
             if len(found):
                 entry, apart = own.assign(found)

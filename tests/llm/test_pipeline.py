@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from skyloom.llm import queries
+from skyloom.llm import line_chunks, queries
 
 from .conftest import frame, prose, words_of
 from .test_pairs import brute_chunks, brute_near, edited
@@ -47,8 +47,11 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
     kept = [sorted((r["doc_id"], r["text"]) for r in s.select("doc_id", "text").collect()) for s in states[:4]]
     bad = {d for d, good, _ in marks if not good}
     assert {d for d, _ in kept[0]} == {d for d, _, _ in rows} - bad
-    chunked = [(d, t) for d, t, gone in brute_chunks(spark, kept[0]) if words_of(t) or not gone]
-    assert kept[1] == sorted(chunked)
+    left = brute_chunks(spark, kept[0])
+    assert kept[1] == sorted((d, t) for d, t, gone in left if words_of(t) or not gone)
+    # The stage and the query of the operator remove the same.
+    whole = {r["doc_id"]: r for r in line_chunks.dedup_lines(spark.read.parquet(f"{sf}/stage0")).collect()}
+    assert {d: t for d, t in kept[1]}.items() <= {d: r["text"] for d, r in whole.items()}.items()
     assert all(r["n_chars"] == len(r["text"]) for r in states[1].select("n_chars", "text").collect())
     stay = {d for d, _, _, own in brute_near(kept[1], 5, 80) if own}
     assert kept[2] == [x for x in kept[1] if x[0] in stay] and len(kept[2]) < len(kept[1])
@@ -74,8 +77,12 @@ def test_stages_take_empty_and_hard_tables(spark, tmp_path, hard, empty):
         if name != "source_mix":
             assert out.columns == hard.columns and out.filter(F.col("doc_id") == 1).count() == 1
         assert stage(spark, empty, sf).count() == 0
+        named = hard.selectExpr("*", "0.1D AS _score", "'z' AS _removed", "1 AS removed", "2 AS `row`", "3 AS _id", "4 AS contaminated")
+        clashing = stage(spark, named, sf)
+        assert name == "source_mix" or clashing.columns == named.columns
+        assert clashing.count() == out.count()
 
 
 def test_every_operator_has_its_query():
-    assert [sum(q.startswith(f"op{n}_") for q in queries.QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in queries.QUERIES) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in queries.QUERIES and set(queries.ORACLES) <= set(queries.QUERIES)
