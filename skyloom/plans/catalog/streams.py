@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyloom.plans.catalog.base import ISO_SQL, READINGS, query
+from skyloom.plans.catalog.base import ISO_SQL, ORACLES, READINGS, query
+from skyloom.plans.catalog.tables import REPORT_AT, as_run_log, run_log, watched
 from skyloom.profiles import CONTRACTS, STATION_AIR
 from skyloom.operators.quality import MetricRule
 from skyloom.schemas import SILVER_AIR
@@ -18,6 +19,12 @@ def event_stream(spark, sf):
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def order_stream(spark, sf):
+    schema = spark.read.parquet(f"{sf}/orders.parquet").schema
+    raw = spark.readStream.schema(schema).parquet(f"{sf}/orders.parque[t]")
+    return raw.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+
+
 def drain(stream, spark, name: str, mode: str = "append"):
     """Run a stream over everything available into a table and read that table."""
     path = scratch_path(spark, name)
@@ -27,9 +34,9 @@ def drain(stream, spark, name: str, mode: str = "append"):
     return spark.read.parquet(f"{path}/table")
 
 
-def drain_each(stream, spark, name: str, sink) -> None:
+def drain_each(stream, spark, name: str, sink, mode: str = "append") -> None:
     path = scratch_path(spark, name)
-    run = stream.writeStream.foreachBatch(sink).option("checkpointLocation", path)
+    run = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", path)
     run.trigger(availableNow=True).start().awaitTermination()
 
 
@@ -103,3 +110,14 @@ def stream_silver(spark, sf):
     drain_each(rows, spark, "silver-state-1", sink)
     drain_each(rows, spark, "silver-state-2", sink)
     return spark.read.parquet(path).select("timestamp", "station_id", "pm25_clean")
+
+
+@query("stream_freshness", ORACLES["freshness_report"])
+def stream_freshness(spark, sf):
+    """The freshness report from what two streams over the run log keep."""
+    path = scratch_path(spark, "freshness")
+    log = as_run_log(order_stream(spark, sf))
+    sources = watched(spark, run_log(spark, sf))
+    drain_each(jobs.newest_runs(log, ["run_id"]), spark, "newest", jobs.newest_sink(spark, path, sources), "update")
+    drain_each(log, spark, "recent", jobs.recent_sink(spark, path, 9600))
+    return jobs.streamed_freshness(spark, path, sources, F.lit(REPORT_AT).cast("timestamp"), window_hours=9600)

@@ -50,33 +50,48 @@ def freshness_report(
     ``sources``: ``source, threshold_min``; ``log`` times are text or instants. The report is a
     function of ``as_of``, so it can be repeated.
     """
-    instant = {
-        c: parse_instant(c) if dict(log.dtypes)[c] == "string" else F.col(c)
-        for c in ("run_started_at", "run_finished_at")
-    }
-    rows = log.withColumns({f"_{c}": e for c, e in instant.items()})
+    rows = with_instants(log)
     recent = F.unix_seconds("_run_started_at") >= F.unix_seconds(as_of) - window_hours * 3600
-    good = F.col("status") == "success"
-    bad = F.col("status").isin("failure", "partial")
-    by = F.struct(*order)
-    stats = rows.groupBy("source").agg(
-        F.count_if(good & recent).alias("successes"),
+    stats = rows.groupBy("source").agg(*recent_outcomes(recent), *newest_outcomes(order))
+    return freshness_of(stats, sources, as_of)
+
+
+def with_instants(log: DataFrame) -> DataFrame:
+    """The log with ``_run_started_at`` and ``_run_finished_at`` as instants; its times may be text."""
+    kinds = dict(log.dtypes)
+    times = ("run_started_at", "run_finished_at")
+    return log.withColumns({f"_{c}": parse_instant(c) if kinds[c] == "string" else F.col(c) for c in times})
+
+
+def recent_outcomes(recent: Column) -> list[Column]:
+    """Aggregates over the runs for which ``recent`` holds."""
+    good = (F.col("status") == "success") & recent
+    return [
+        F.count_if(good).alias("successes"),
         F.count_if((F.col("status") == "partial") & recent).alias("partials"),
         F.count_if((F.col("status") == "failure") & recent).alias("failures"),
-        F.coalesce(
-            F.round(F.avg(F.when(good & recent, F.col("rows_inserted"))), 1), F.lit(0.0)
-        ).alias("avg_rows"),
-        F.max_by("_run_finished_at", F.when(good, by)).alias("_last_success"),
+        F.coalesce(F.round(F.avg(F.when(good, F.col("rows_inserted"))), 1), F.lit(0.0)).alias("avg_rows"),
+    ]
+
+
+def newest_outcomes(order: Sequence[str]) -> list[Column]:
+    """Aggregates over all runs: when the newest success ended, and what the newest problem was."""
+    by = F.struct(*order)
+    bad = F.col("status").isin("failure", "partial")
+    return [
+        F.max_by("_run_finished_at", F.when(F.col("status") == "success", by)).alias("_last_success"),
         F.max_by("status", F.when(bad, by)).alias("last_error_status"),
-        F.max_by(
-            F.coalesce("error_message", F.lit("Unknown error")), F.when(bad, by)
-        ).alias("last_error"),
-    )
+        F.max_by(F.coalesce("error_message", F.lit("Unknown error")), F.when(bad, by)).alias("last_error"),
+    ]
+
+
+def freshness_of(stats: DataFrame, sources: DataFrame, as_of: Column) -> DataFrame:
+    """Every monitored source with its outcomes, zero where it has none, and its freshness."""
     joined = sources.join(stats, "source", "left")
     minutes = F.floor((F.unix_seconds(as_of) - F.unix_seconds("_last_success")) / 60)
-    zero = {c: F.coalesce(c, F.lit(0)) for c in ("successes", "partials", "failures")}
+    counted = [c for c in ("successes", "partials", "failures", "avg_rows") if c in stats.columns]
     return (
-        joined.withColumns({**zero, "avg_rows": F.coalesce("avg_rows", F.lit(0.0))})
+        joined.withColumns({c: F.coalesce(c, F.lit(0.0 if c == "avg_rows" else 0)) for c in counted})
         .withColumn("minutes_ago", minutes)
         .withColumn(
             "freshness",

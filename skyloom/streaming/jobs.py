@@ -1,5 +1,5 @@
 """The polling jobs as Structured Streaming: payload dedup, hourly index, incremental quality
-control and silver upserts."""
+control, silver upserts and freshness of the monitored jobs."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from skyloom.functions.scalars import air_quality_index, index_category, parse_i
 from skyloom.operators.contracts import Contract, validate
 from skyloom.operators.ordered import match_null_safe
 from skyloom.operators.quality import MetricRule
+from skyloom.plans.health import freshness_of, newest_outcomes, recent_outcomes, with_instants
 from skyloom.plans.silver import qc_with_context
 from skyloom.session import cut_lineage, scratch_scope, store
 from skyloom.sources.lake import (
@@ -79,6 +80,13 @@ def scratch_batch(
     return scoped
 
 
+def run_name(spark: SparkSession, batch_id: int) -> str:
+    """Name of the batch that is being run: the stream's own id, which lives in its checkpoint, and the
+    batch's. A replayed batch has the same name, another stream's batch of that number has not."""
+    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{stream}-{batch_id}" if stream else str(batch_id)
+
+
 def quality_sink(
     spark: SparkSession,
     path: str,
@@ -153,7 +161,7 @@ def silver_sink(
         first, last = dated.agg(F.min("date"), F.max("date")).first()
         if first is None:
             if failures_path and not unreadable.isEmpty():
-                append_failures(failures_path, path.rsplit("/", 1)[-1], str(batch_id), unreadable)
+                append_failures(failures_path, path.rsplit("/", 1)[-1], run_name(spark, batch_id), unreadable)
             return
         stored = scan_table(spark, path, schema, "date").where(F.col("date") <= last)
         context = context_window(stored, last, _days_between(first, last) + 1)
@@ -166,7 +174,7 @@ def silver_sink(
         )
         if failures_path:
             append_failures(
-                failures_path, path.rsplit("/", 1)[-1], str(batch_id), failed, unreadable
+                failures_path, path.rsplit("/", 1)[-1], run_name(spark, batch_id), failed, unreadable
             )
         upsert_table(
             spark, valid, path, schema, partition="date", keys=[station, "timestamp"],
@@ -176,6 +184,92 @@ def silver_sink(
     return scratch_batch(spark, run)
 
 
+_NEWEST = "source string, _last_success timestamp, last_error_status string, last_error string, clock timestamp, batch_id long"
+_RECENT = "source string, _run_started_at timestamp, status string, rows_inserted bigint, batch_id long"
+
+
+def newest_runs(log: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Newest success and newest problem of each source, for a stream in update mode: the state is one
+    row per source however long the log is. ``clock`` is the latest start seen."""
+    return with_instants(log).groupBy("source").agg(
+        *newest_outcomes(order), F.max("_run_started_at").alias("clock")
+    )
+
+
+def newest_sink(spark: SparkSession, path: str, sources: DataFrame) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` of ``newest_runs``: keeps the newest row of every source and writes, after each
+    batch, the freshness of all monitored ``sources``, also of those that never ran, as of the latest
+    start seen so far."""
+
+    def run(changed: DataFrame, batch_id: int) -> None:
+        before = _slot_before(spark, f"{path}/newest", _NEWEST, batch_id)
+        fresh = store(changed)
+        rows = store(before.join(fresh, "source", "left_anti").unionByName(fresh))
+        _write_slot(rows, f"{path}/newest", batch_id)
+        clock = rows.agg(F.max("clock")).first()[0]
+        if clock is not None:
+            report = freshness_of(rows.drop("clock"), sources, F.lit(clock)).withColumn("as_of", F.lit(clock))
+            report.coalesce(1).write.mode("overwrite").parquet(f"{path}/report")
+
+    return scratch_batch(spark, run)
+
+
+def recent_sink(spark: SparkSession, path: str, window_hours: int = 24) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` of the run log itself: keeps the runs of the last ``window_hours`` before the
+    latest start seen, which is all that a report of that moment or a later one counts. No run is lost
+    for coming late."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        kept = ["source", "_run_started_at", "status", "rows_inserted"]
+        before = _slot_before(spark, f"{path}/recent", _RECENT, batch_id)
+        rows = store(before.unionByName(with_instants(batch).select(*kept)))
+        clock = rows.agg(F.max(F.unix_seconds("_run_started_at"))).first()[0]
+        if clock is not None:
+            in_window = F.unix_seconds("_run_started_at") >= clock - window_hours * 3600
+            _write_slot(rows.where(in_window), f"{path}/recent", batch_id)
+
+    return scratch_batch(spark, run)
+
+
+def streamed_freshness(
+    spark: SparkSession, path: str, sources: DataFrame, as_of: Column | None = None, *, window_hours: int = 24
+) -> DataFrame:
+    """The report of ``health.freshness_report`` from what the two sinks keep. ``as_of`` must not lie
+    before the latest start seen, which is its default."""
+    newest = _slot_now(spark, f"{path}/newest", _NEWEST)
+    if as_of is None:
+        as_of = F.lit(newest.agg(F.max("clock")).first()[0]).cast("timestamp")
+    recent = _slot_now(spark, f"{path}/recent", _RECENT)
+    in_window = F.unix_seconds("_run_started_at") >= F.unix_seconds(as_of) - window_hours * 3600
+    counted = recent.groupBy("source").agg(*recent_outcomes(in_window))
+    return freshness_of(newest.drop("clock").join(counted, "source", "left"), sources, as_of)
+
+
+def _slots(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return scan_table(spark, path, T.StructType.fromDDL(schema), "slot")
+
+
+def _slot_before(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """What the batch before this one left, nothing for the first of a stream. A batch writes the other
+    of two slots, so one that is replayed still finds it."""
+    rows = _slots(spark, path, schema)
+    return rows.where((F.col("slot") != str(batch_id % 2)) & (F.col("batch_id") == batch_id - 1)).drop("slot", "batch_id")
+
+
+def _write_slot(rows: DataFrame, path: str, batch_id: int) -> None:
+    told = rows.withColumns({"batch_id": F.lit(batch_id).cast("long"), "slot": F.lit(str(batch_id % 2))})
+    if batch_id == 0:  # a stream begun anew has nothing to do with what an earlier one left
+        told.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("slot").parquet(path)
+    else:
+        overwrite_partitions(told, path, ["slot"])
+
+
+def _slot_now(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    rows = _slots(spark, path, schema)
+    newest = rows.agg(F.max("batch_id")).first()[0]
+    return rows.where(F.col("batch_id") == F.lit(newest)).drop("slot", "batch_id")
+
+
 def _days_between(first: str, last: str) -> int:
     import datetime as dt
 
