@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from skyloom.plans.catalog.base import ISO_SQL, READINGS, iso_text, query, readings, rounded
 from skyloom.profiles import STATIONS
-from skyloom.session import load_table
+from skyloom.session import load_table, scratch_path
 from skyloom.sources import lake
 from skyloom.sources import payloads as P
 
@@ -17,8 +17,13 @@ def scan_parquet(spark, sf):
 @query("context_window_scan", """SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n_rows, round(sum(value), 4) AS total
   FROM events WHERE ts >= TIMESTAMP '2024-01-13' AND ts < TIMESTAMP '2024-01-16' GROUP BY ALL""")
 def context_window_scan(spark, sf):
-    dated = readings(spark, sf).withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
-    out = lake.context_window(dated, "2024-01-15", days_back=2)
+    """The table is stored by date; the day comes from a table of runs, so it is known at run time only."""
+    dated = readings(spark, sf).select("event_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("date"))
+    path = scratch_path(spark, "by-date")
+    lake.overwrite_partitions(dated, path, ["date"])
+    runs = dated.groupBy("date").agg(F.min("event_id").alias("first_event"))
+    stored = lake.scan_table(spark, path, dated.drop("date").schema, "date")
+    out = lake.context_of(stored, runs.where(F.col("date") == "2024-01-15"), days_back=2)
     return rounded(
         out.groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total")), "total", digits=4
     )
@@ -152,6 +157,37 @@ def csv_payload_parse(spark, sf):
     return out.select("block", "line_no", "lat", "lon", "brightness_raw", "timestamp", "satellite")
 
 
+@query("payload_rejects", """WITH k AS (SELECT event_id, event_id % 5 AS m FROM events), j AS (SELECT event_id, CASE m WHEN 1 THEN 'empty_body' WHEN 2 THEN 'readable_json'
+      WHEN 3 THEN 'expected_fields' WHEN 4 THEN 'empty_body' END AS failed_check FROM k)
+  SELECT kind, failed_check, count(*) AS n, sum(event_id) AS total FROM j, (VALUES ('current'), ('feed'), ('hourly')) t(kind) GROUP BY ALL
+  UNION ALL SELECT 'csv', CASE WHEN m = 0 THEN NULL WHEN m IN (1, 4) THEN 'empty_body' ELSE 'known_header' END, count(*), sum(event_id) FROM k GROUP BY ALL""")
+def payload_rejects(spark, sf):
+    """Of every five bodies one is good, two are empty, one is cut off and one is an error message:
+    what each parser reads, and the failure cases of the others."""
+    kind = F.col("event_id") % 5
+    good = {
+        "feed": F.to_json(F.struct(F.col("user_id").alias("idx"))),
+        "current": F.to_json(F.struct(F.struct(F.col("value").alias("temperature_2m")).alias("current"))),
+        "hourly": F.to_json(F.struct(F.struct(F.array(iso_text("ts")).alias("time")).alias("hourly"))),
+        "csv": F.concat(F.lit("latitude,longitude\n"), F.col("lat"), F.lit(","), F.col("lon")),
+    }
+    parsers = {
+        "feed": lambda df: P.split_station_feed(df, fetched_at=F.lit(""), keep=["event_id"]),
+        "current": lambda df: P.split_current(df, fetched_at=F.lit(""), keep=["event_id"]),
+        "hourly": lambda df: P.split_hourly(df, P.WEATHER_VARIABLES, keep=["event_id"]),
+        "csv": lambda df: P.split_fire_csv(df, fallback=F.lit(""), keep=["event_id"]),
+    }
+    told = []
+    for name, body in good.items():
+        bad = F.when(kind == 1, "").when(kind == 2, F.lit('{"status": ')).when(kind == 3, F.lit('{"status": "error", "data": "no such station"}'))
+        bodies = readings(spark, sf).select("event_id", F.when(kind == 0, body).otherwise(bad).alias("payload"))
+        rows, rejected = parsers[name](bodies)
+        told.append(rows.select("event_id", F.lit(None).cast("string").alias("failed_check")).withColumn("kind", F.lit(name)))
+        told.append(rejected.select("event_id", "failed_check").withColumn("kind", F.lit(name)))
+    counts = [t.groupBy("kind", "failed_check").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total")) for t in told]
+    return P.union_sensors(*counts)
+
+
 def two_sensors(spark, sf):
     r = readings(spark, sf)
     odd = F.col("event_id") % 2 == 1

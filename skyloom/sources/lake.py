@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from skyloom.functions.scalars import parse_instant, payload_hash, utc_date
-from skyloom.operators.ordered import match_null_safe
+from skyloom.operators.ordered import BROADCAST_ROWS, match_null_safe
 from skyloom.operators.upserts import insert_ignore, upsert
 from skyloom.schemas import BRONZE_PAYLOAD, RUN_LOG
 from skyloom.session import scratch_scoped, store
@@ -46,6 +46,43 @@ def scan_jdbc(
     ).load()
 
 
+# Columns of the availability catalogue.
+CATALOGUE = {"data_id": "source", "min_date": "min_date", "max_date": "max_date"}
+
+
+def scan_catalogue(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(catalogue, rejected)`` of a CSV file or folder that says which source has which dates.
+
+    The header is looked at first: a missing column raises, order and further columns do not
+    matter, and files of one folder must agree. Rows whose cells do not fit the header, or whose
+    source or dates cannot be read, are failure cases.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    named = [h.strip().lower() for h in header]
+    missing = [c for c in CATALOGUE if c not in named]
+    if missing:
+        raise ValueError(f"{path}: columns are absent: {missing}")
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, "_corrupt"]])
+    options = {"header": True, "enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    rows = spark.read.schema(schema).options(**options).csv(path).toDF(*named, "_corrupt")
+    text = {c: F.nullif(F.trim(c), F.lit("")) for c in CATALOGUE}
+    read = rows.select(
+        "_corrupt",
+        F.to_json(F.struct(*named)).alias("_row"),
+        text["data_id"].alias("source"),
+        *[text[c].try_cast("date").alias(c) for c in ("min_date", "max_date")],
+    )
+    failed = F.when(F.col("_corrupt").isNotNull(), "fits_header").when(F.col("source").isNull(), "not_null")
+    for c in ("min_date", "max_date"):
+        failed = failed.when(F.col(c).isNull(), "readable_date")
+    judged = read.withColumn("_failed", failed)
+    rejected = judged.where(F.col("_failed").isNotNull()).select(
+        F.lit("catalogue").alias("failed_column"), F.col("_failed").alias("failed_check"),
+        F.coalesce("_corrupt", "_row").alias("failed_value"),
+    )
+    return judged.where(F.col("_failed").isNull()).select(*CATALOGUE.values()), rejected
+
+
 def context_window(df: DataFrame, day: str, days_back: int = 1, partition: str = "date") -> DataFrame:
     """Rows of the day and the ``days_back`` days before it; on a partition column this prunes
     directories."""
@@ -54,6 +91,20 @@ def context_window(df: DataFrame, day: str, days_back: int = 1, partition: str =
     return df.where(F.col(partition).between(first.isoformat(), last.isoformat()))
 
 
+def context_of(df: DataFrame, runs: DataFrame, days_back: int = 1, partition: str = "date") -> DataFrame:
+    """Rows of each day of ``runs`` (a column named like the partition) and the ``days_back`` days before.
+
+    The days are joined on the partition column, so a scan reads their folders alone although they are
+    known only once ``runs`` has been read; their number is checked before they are sent to all tasks.
+    """
+    day = F.col(partition).cast("date")
+    back = F.sequence(F.date_sub(day, days_back), day)
+    days = runs.where(F.col(partition).isNotNull()).select(F.explode(back).alias("_day"))
+    wanted = days.select(F.date_format("_day", "yyyy-MM-dd").alias(partition)).distinct()
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(wanted) if few else wanted, partition, "left_semi")
+
+
 def observation_date(timestamp: str = "timestamp") -> Column:
     """Partition value of a row: the UTC date it was observed, never the date it was fetched.
     NULL where the time cannot be read."""
@@ -63,14 +114,18 @@ def observation_date(timestamp: str = "timestamp") -> Column:
 def split_by_time(batch: DataFrame, timestamp: str = "timestamp") -> tuple[DataFrame, DataFrame]:
     """``(rows with their date, failure cases of rows whose time cannot be read)``."""
     dated = batch.withColumn("date", observation_date(timestamp))
-    unreadable = dated.where(F.col("date").isNull()).drop("date").withColumns(
+    return dated.where(F.col("date").isNotNull()), unreadable_times(dated, timestamp)
+
+
+def unreadable_times(dated: DataFrame, timestamp: str = "timestamp") -> DataFrame:
+    """Failure cases of the rows of a dated frame that have no date."""
+    return dated.where(F.col("date").isNull()).drop("date").withColumns(
         {
             "failed_column": F.lit(timestamp),
             "failed_check": F.lit("readable_time"),
             "failed_value": F.col(timestamp).cast("string"),
         }
     )
-    return dated.where(F.col("date").isNotNull()), unreadable
 
 
 def bronze_rows(df: DataFrame, *, payload: str, timestamp: str, fetched_at: Column) -> DataFrame:

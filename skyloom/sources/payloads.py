@@ -1,8 +1,13 @@
-"""Payload tables to rows: nested JSON, hourly arrays, CSV bodies, mixed sensors."""
+"""Payload tables to rows: nested JSON, hourly arrays, CSV bodies, mixed sensors.
+
+Each ``split_*`` gives the rows and, apart from them, failure cases of the bodies that are empty, cannot
+be read or are of another kind, such as an error message; ``parse_*`` gives the rows alone. Both frames
+are plans over the same bodies: store these first where parsing twice costs more.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,23 +44,62 @@ FIRE_CSV = (
 )
 
 
-def parse_station_feed(
+_CORRUPT = "_corrupt"
+#: So much of a rejected body goes into its failure case; the whole body stays in bronze.
+PREVIEW = 200
+
+
+def read_json(df: DataFrame, payload: str, schema: str, needed: Callable[[Column], Column]) -> DataFrame:
+    """``df`` with ``_body`` and ``_rejected``, the name of the check a body fails, NULL for a good one.
+
+    ``needed`` tells from the body whether it is of the expected kind. A body that merely holds
+    values of the wrong type is good; these values are NULL.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    body = df.withColumn("_body", F.from_json(payload, f"{schema}, {_CORRUPT} string", options))
+    expected = F.coalesce(needed(F.col("_body")), F.lit(False))
+    blank = F.coalesce(F.rlike(F.col(payload), F.lit(r"^\s*$")), F.lit(True))
+    return body.withColumn(
+        "_rejected",
+        F.when(expected, F.lit(None).cast("string"))
+        .when(blank, "empty_body")
+        .when(F.col(f"_body.{_CORRUPT}").isNotNull(), "readable_json")
+        .otherwise("expected_fields"),
+    )
+
+
+def rejected_bodies(judged: DataFrame, payload: str, keep: Sequence[str]) -> DataFrame:
+    """Failure cases of the bodies that were set aside, with their beginning."""
+    return judged.where(F.col("_rejected").isNotNull()).select(
+        *keep,
+        F.lit(payload).alias("failed_column"),
+        F.col("_rejected").alias("failed_check"),
+        F.substring(payload, 1, PREVIEW).alias("failed_value"),
+    )
+
+
+def _split(judged: DataFrame, payload: str, keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    return judged.where(F.col("_rejected").isNull()), rejected_bodies(judged, payload, keep)
+
+
+def split_station_feed(
     df: DataFrame, payload: str = "payload", *, fetched_at: Column, keep: Sequence[str] = ()
-) -> DataFrame:
-    """One reading per feed body; the time falls back to ``s`` and then to the fetch time."""
+) -> tuple[DataFrame, DataFrame]:
+    """``(readings, rejected)``: one reading per feed body that names its station; the time falls back
+    to ``s`` and then to the fetch time."""
     schema = (
         "idx string, query_city string, time struct<iso:string,s:string>, "
         "iaqi map<string,struct<v:double>>"
     )
-    body = df.withColumn("_body", F.from_json(payload, schema))
+    body, rejected = _split(read_json(df, payload, schema, lambda b: F.trim(b["idx"]) != ""), payload, keep)
     stamp = F.coalesce(
         F.nullif(F.col("_body.time.iso"), F.lit("")),
         F.nullif(F.col("_body.time.s"), F.lit("")),
         fetched_at,
     )
-    return body.select(
+    readings = body.select(
         *keep,
-        F.coalesce(F.col("_body.idx"), F.lit("")).alias("station_id"),
+        F.col("_body.idx").alias("station_id"),
         F.coalesce(F.col("_body.query_city"), F.lit("")).alias("city"),
         stamp.alias("timestamp"),
         *[
@@ -63,17 +107,23 @@ def parse_station_feed(
             for m in AIR_METRICS
         ],
     )
+    return readings, rejected
+
 
+def parse_station_feed(df: DataFrame, payload: str = "payload", **options) -> DataFrame:
+    """The readings of ``split_station_feed``."""
+    return split_station_feed(df, payload, **options)[0]
 
-def parse_current(
+
+def split_current(
     df: DataFrame, payload: str = "payload", *, fetched_at: Column, keep: Sequence[str] = ()
-) -> DataFrame:
-    """One row per body with a flat ``current`` object; no time means the fetch time."""
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)``: one row per body with a flat ``current`` object; no time means the fetch
+    time."""
     fields = ", ".join(f"{v}: double" for v in WEATHER_VARIABLES)
-    body = df.withColumn(
-        "_body", F.from_json(payload, f"current struct<time: string, {fields}>")
-    )
-    return body.select(
+    schema = f"current struct<time: string, {fields}>"
+    body, rejected = _split(read_json(df, payload, schema, lambda b: b["current"].isNotNull()), payload, keep)
+    rows = body.select(
         *keep,
         F.coalesce(F.col("_body.current.time"), fetched_at).alias("timestamp"),
         *[
@@ -81,24 +131,32 @@ def parse_current(
             for v, c in WEATHER_VARIABLES.items()
         ],
     )
+    return rows, rejected
+
 
+def parse_current(df: DataFrame, payload: str = "payload", **options) -> DataFrame:
+    """The rows of ``split_current``."""
+    return split_current(df, payload, **options)[0]
 
-def parse_hourly(
+
+def split_hourly(
     df: DataFrame,
     variables: dict[str, str],
     payload: str = "payload",
     *,
     keep: Sequence[str] = (),
     drop_empty: bool = False,
-) -> DataFrame:
-    """Column-oriented hourly arrays to one row per hour.
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)``: column-oriented hourly arrays to one row per hour.
 
     A missing, empty or short array leaves NULLs. ``drop_empty`` removes hours with no value
-    at all.
+    at all. A body without a ``time`` array is rejected, one with an empty array has no hours.
     """
     fields = ", ".join(f"{v}: array<double>" for v in variables)
-    hourly = F.from_json(payload, f"hourly struct<time: array<string>, {fields}>")["hourly"]
-    body = df.withColumn("_h", hourly).where(F.size("_h.time") > 0)
+    schema = f"hourly struct<time: array<string>, {fields}>"
+    judged = read_json(df, payload, schema, lambda b: b["hourly"]["time"].isNotNull())
+    body, rejected = _split(judged, payload, keep)
+    body = body.withColumn("_h", F.col("_body.hourly")).where(F.size("_h.time") > 0)
     hours = F.transform(
         F.col("_h.time"),
         lambda t, i: F.struct(
@@ -116,13 +174,23 @@ def parse_hourly(
             **{c: missing_to_null(c) for c in variables.values()},
         }
     )
-    return out.dropna("all", subset=list(variables.values())) if drop_empty else out
+    return out.dropna("all", subset=list(variables.values())) if drop_empty else out, rejected
+
+
+def parse_hourly(df: DataFrame, variables: dict[str, str], payload: str = "payload", **options) -> DataFrame:
+    """The rows of ``split_hourly``."""
+    return split_hourly(df, variables, payload, **options)[0]
+
+
+def _csv_head(payload: str) -> Column:
+    """Whether the first line names an expected column."""
+    head = F.lower(F.regexp_extract(payload, r"^\s*([^\r\n]*)", 1))
+    return F.coalesce(head.contains("latitude") | head.contains("country_id"), F.lit(False))
 
 
 def csv_bodies(df: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
     """``(csv, rejected)``: a body whose first line names no expected column is an error page."""
-    head = F.lower(F.regexp_extract(payload, r"^\s*([^\r\n]*)", 1))
-    is_csv = F.coalesce(head.contains("latitude") | head.contains("country_id"), F.lit(False))
+    is_csv = _csv_head(payload)
     return df.where(is_csv), df.where(~is_csv)
 
 
@@ -138,6 +206,16 @@ def csv_cells(line: Column) -> Column:
     return F.transform(raw, bare)
 
 
+def split_fire_csv(
+    df: DataFrame, payload: str = "payload", *, fallback: Column, keep: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """``(detections, rejected)``; see ``parse_fire_csv``."""
+    blank = F.coalesce(F.rlike(F.col(payload), F.lit(r"^\s*$")), F.lit(True))
+    failed = F.when(blank, "empty_body").when(~_csv_head(payload), "known_header")
+    rejected = rejected_bodies(df.withColumn("_rejected", failed), payload, keep)
+    return parse_fire_csv(df, payload, fallback=fallback, keep=keep), rejected
+
+
 def parse_fire_csv(
     df: DataFrame, payload: str = "payload", *, fallback: Column, keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from conftest import rows
 from skyloom.functions import scalars as S
 from skyloom.functions.aggregates import circular_mean
+from skyloom.operators import periods
 from skyloom.operators.quality import MetricRule
 from skyloom.plans import gold
 from skyloom.plans.catalog import ORACLES, QUERIES
 from skyloom.sources import grids as G
+from skyloom.sources import lake
 from skyloom.sources import payloads as P
 from skyloom.streaming import jobs
 
@@ -94,7 +96,72 @@ def test_station_feed(spark):
     df = spark.createDataFrame([(body,), ('{"iaqi": {}}',)], "payload string")
     got = P.parse_station_feed(df, fetched_at=F.lit("now")).collect()
     assert (got[0]["station_id"], got[0]["timestamp"], got[0]["pm25_raw"], got[0]["o3_raw"]) == ("7", "2026-01-01 10:00:00", 112.0, None)
-    assert (got[1]["station_id"], got[1]["timestamp"]) == ("", "now")
+    assert len(got) == 1  # a body that names no station is no reading of station ''
+
+
+GOOD = {
+    "feed": '{"idx": 7, "iaqi": {"pm25": {"v": "-"}, "o3": {"v": 4}}}',  # one unreadable value does not cost the body
+    "current": '{"current": {"temperature_2m": 4.5}}',
+    "hourly": '{"hourly": {"time": ["2026-01-01T00:00"], "precipitation": [1.5]}}',
+    "csv": "latitude,longitude,acq_date,acq_time\n30.5,75.25,2020-11-01,830\n",
+}
+SPLIT = {
+    "feed": lambda df: P.split_station_feed(df, fetched_at=F.lit("now"), keep=["id"]),
+    "current": lambda df: P.split_current(df, fetched_at=F.lit("now"), keep=["id"]),
+    "hourly": lambda df: P.split_hourly(df, P.WEATHER_VARIABLES, keep=["id"]),
+    "csv": lambda df: P.split_fire_csv(df, fallback=F.lit("now"), keep=["id"]),
+}
+
+
+@pytest.mark.parametrize("kind", list(GOOD))
+def test_bad_bodies_become_failure_cases(spark, tmp_path, kind):
+    bodies = [GOOD[kind], None, "", " \n", '{"current": {"tem', "<html>busy</html>", '{"status": "error"}', "[]", "null", "7", "\ufffd\x00"]
+    df = spark.createDataFrame(list(enumerate(bodies)), "id int, payload string")
+    read, rejected = SPLIT[kind](df)
+    assert rows(read.select("id")) == [(0,)]
+    told = dict(rows(rejected.select("id", "failed_check")))
+    assert sorted(told) == list(range(1, 11)) and {told[k] for k in (1, 2, 3)} == {"empty_body"}
+    if kind == "csv":
+        assert {told[k] for k in range(4, 11)} == {"known_header"}
+    else:
+        assert told[4] == told[5] == "readable_json" and told[6] == "expected_fields" and "empty_body" not in {told[k] for k in range(4, 11)}
+    lake.append_failures(str(tmp_path / "f"), kind, "run", rejected)
+    assert spark.read.parquet(str(tmp_path / "f")).where("failed_column = 'payload'").count() == 10
+
+
+def test_unreadable_value_in_a_good_body(spark):
+    df = spark.createDataFrame([(0, GOOD["feed"])], "id int, payload string")
+    got = P.parse_station_feed(df, fetched_at=F.lit("now")).first()
+    assert got["pm25_raw"] is None and got["o3_raw"] == 4.0
+
+
+def test_catalogue(spark, tmp_path):
+    folder = tmp_path / "catalogue"
+    folder.mkdir()
+    (folder / "a.csv").write_text('data_id,min_date,max_date\n"MODIS, NRT",2020-11-01,2021-01-31\nVIIRS,2020-01-01,soon\nX,2020-01-01\n,2020-01-01,2020-02-01\n')
+    good, rejected = lake.scan_catalogue(spark, str(folder))
+    assert [(r[0], str(r[1]), str(r[2])) for r in good.collect()] == [("MODIS, NRT", "2020-11-01", "2021-01-31")]
+    assert sorted(r["failed_check"] for r in rejected.collect()) == ["fits_header", "not_null", "readable_date"]
+    wanted = spark.createDataFrame([("MODIS, NRT", 2020, m) for m in (10, 11, 12)], "source string, year int, month int")
+    assert rows(periods.available_months(good, wanted), "month") == [("MODIS, NRT", 2020, 11), ("MODIS, NRT", 2020, 12)]
+    (tmp_path / "more.csv").write_text("Note,MAX_DATE,data_id,min_date\nx,2020-02-01,V,2020-01-05\n")
+    assert [r[0] for r in lake.scan_catalogue(spark, str(tmp_path / "more.csv"))[0].collect()] == ["V"]
+    (tmp_path / "less.csv").write_text("data_id,min_date\nV,2020-01-05\n")
+    with pytest.raises(ValueError, match="max_date"):
+        lake.scan_catalogue(spark, str(tmp_path / "less.csv"))
+
+
+def test_context_days_known_at_run_time_prune_folders(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    days = spark.range(60).select("id", F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int")), "yyyy-MM-dd").alias("date"))
+    lake.overwrite_partitions(days, path, ["date"])
+    stored = lake.scan_table(spark, path, days.drop("date").schema, "date")
+    runs = spark.createDataFrame([("2024-01-10", "a"), ("2024-01-20", "b"), (None, "a"), ("2024-01-30", "c")], "date string, kind string")
+    out = lake.context_of(stored, runs.where("kind != 'c'"), days_back=1)
+    assert rows(out.select("date").distinct(), "date") == [("2024-01-09",), ("2024-01-10",), ("2024-01-19",), ("2024-01-20",)]
+    out.collect()
+    scan = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in x]
+    assert any("PartitionFilters: [isnotnull(date" in x and "dynamicpruning" in x for x in scan), scan
 
 
 def test_fire_csv(spark):
@@ -166,6 +233,16 @@ def test_damaged_messages_become_error_rows(spark):
     assert {r[2] for r in got[5:]} == {20.0}
 
 
+@pytest.mark.parametrize("bad,error", [
+    (dict(binary=1024), "scale out of bounds"), (dict(decimal=0x8190), "scale out of bounds"), (dict(decimal=400), "scale out of bounds"),
+    (dict(nbits=255), "values wider than 32 bits"), (dict(reference=float("inf")), "scale out of bounds"),
+    (dict(reference=float("nan")), "scale out of bounds"), (dict(reference=3e38, decimal=0x8000 + 290), "values out of bounds")])
+def test_claims_out_of_bounds_are_error_rows(spark, bad, error):
+    files = spark.createDataFrame([("f", message(**bad) + message(values=(5, 6, 7, 8)))], "file string, content binary")
+    got = rows(G.decode_messages(files).select("msg", "error", "value"), "msg", "value")
+    assert [r[1] for r in got] == [error, None, None, None, None] and [r[2] for r in got[1:]] == [5.0, 6.0, 7.0, 8.0]
+
+
 def test_fields_are_chosen_by_level(spark):
     skin, air = message(surface=1, level=0, values=(3000,) * 4, decimal=1), message(values=(2801,) * 4, decimal=1)
     files = spark.createDataFrame([("f", air + skin), ("g", skin)], "file string, content binary")
