@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyloom.session import cut_lineage
+from skyloom.operators.selection import select_ranks
+from skyloom.session import cut_lineage, store
 
 CHUNK_ROWS = 2_000_000
 CELLS_PER_CHUNK = 16
@@ -220,15 +221,6 @@ def running_totals(
     return drop_layout(out.drop(*[f"_base_{n}" for n in weights]), layout)
 
 
-def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """Distinct values with their counts: the shuffle carries no repeated value twice."""
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*groups, value)
-        .agg(F.count(F.lit(1)).alias("_count"))
-    )
-
-
 def exact_quantiles(
     df: DataFrame,
     groups: Sequence[str],
@@ -240,46 +232,58 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group, one output column per name, and ``_n``.
 
-    Works on the histogram of distinct values and on running counts, so no group's values
-    are ever held in one aggregation buffer. ``weight`` names a count column when ``df``
-    already is such a histogram.
+    Groups of up to ``chunk_rows`` rows are counted by value and ranked in a window. The ranks of a
+    larger group are found by radix selection, so nothing that is kept grows with its rows or with
+    its different values. ``weight`` names a count column of rows that stand for several.
     """
-    groups = list(groups)
-    kept = groups
-    if weight is None:
-        counts = cut_lineage(value_counts(df, groups, value))
-    else:
-        counts = df.where(F.col(value).isNotNull()).withColumnRenamed(weight, "_count")
-    if not groups:
-        counts, groups = counts.withColumn(ONE_GROUP, F.lit(0)), [ONE_GROUP]
-    placed = running_totals(
-        counts, groups, [value], {"_before": "_count"}, group_totals={"_n": "_count"},
-        chunk_rows=chunk_rows,
-    )
-
-    def at(index: Column) -> Column:
-        here = (F.col("_before") <= index) & (index < F.col("_before") + F.col("_count"))
-        return F.max(F.when(here, F.col(value)))
-
-    picks = [F.max("_n").alias("_n")]
-    for name, q in quantiles.items():
-        spot = F.lit(float(q)) * (F.col("_n") - 1)
-        picks += [
-            at(F.floor(spot)).alias(f"_low_{name}"),
-            at(F.ceil(spot)).alias(f"_high_{name}"),
-        ]
-    found = placed.groupBy(*groups).agg(*picks)
+    kept = list(groups)
+    rows = df.where(F.col(value).isNotNull())
+    if not kept:
+        rows = rows.withColumn(ONE_GROUP, F.lit(0))
+    groups = kept or [ONE_GROUP]
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    sizes = store(rows.groupBy(*groups).agg(n.alias("_n")), "sizes")
+    large = sizes.where(F.col("_n") > chunk_rows)
+    n_large = large.count()
+    spots = {name: F.lit(float(q)) * (F.col("_n") - 1) for name, q in quantiles.items()}
+    parts = []
+    if n_large < sizes.count():
+        small = match_null_safe(rows, large, groups, "left_anti", n_large) if n_large else rows
+        parts.append(_small_quantiles(small, groups, value, weight, spots))
+    if n_large:
+        ends = F.array(*[F.struct(F.lit(f"{end}_{name}").alias("_name"), whole(spot).alias("_rank")) for name, spot in spots.items() for end, whole in (("low", F.floor), ("high", F.ceil))])
+        found = select_ranks(rows, groups, value, large.select(*groups, F.inline(ends)), weight)
+        picked = [F.max(F.when(F.col("_name") == f"{end}_{q}", F.col("_value"))).alias(f"_{end}_{q}") for q in quantiles for end in ("low", "high")]
+        parts.append(match_null_safe(large, found.groupBy(*groups).agg(*picked), groups, "inner", n_large))
+    if not parts:
+        parts.append(_small_quantiles(rows, groups, value, weight, spots))
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     out = []
-    for name, q in quantiles.items():
-        spot = F.lit(float(q)) * (F.col("_n") - 1)
+    for name, spot in spots.items():
         low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
         out.append((low + (high - low) * (spot - F.floor(spot))).alias(name))
     return found.select(*kept, "_n", *out)
 
 
-def has_large_group(df: DataFrame, groups: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> bool:
-    """Whether any group is too large for one task."""
-    return not df.groupBy(*groups).count().where(F.col("count") > chunk_rows).isEmpty()
+def _small_quantiles(rows: DataFrame, groups: Sequence[str], value: str, weight: str | None, spots: dict[str, Column]) -> DataFrame:
+    """Per group ``_n`` and the values at both ends of each spot, from a window over its counts."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = rows.groupBy(*groups, F.col(value).cast("double").alias("_value")).agg(n.alias("_count"))
+    along = Window.partitionBy(*groups).orderBy("_value")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = counts.withColumns(
+        {
+            "_before": F.sum("_count").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_count"),
+            "_n": F.sum("_count").over(whole),
+        }
+    )
+
+    def at(index: Column) -> Column:
+        here = (F.col("_before") <= index) & (index < F.col("_before") + F.col("_count"))
+        return F.max(F.when(here, F.col("_value")))
+
+    picks = [at(whole(spot)).alias(f"_{end}_{name}") for name, spot in spots.items() for end, whole in (("low", F.floor), ("high", F.ceil))]
+    return placed.groupBy(*groups).agg(F.max("_n").alias("_n"), *picks)
 
 
 def average_ranks(
@@ -290,24 +294,78 @@ def average_ranks(
 ) -> DataFrame:
     """Add, per output name, the rank of its value column in the group; ties share their mean.
 
-    Small groups are ranked by a window. Once one is too large, ranks come from counts of
-    distinct values and are joined back.
+    Groups of up to ``chunk_rows`` rows are ranked by a window, larger ones in ranges of their own
+    order, see ``_ranked_in_ranges``.
     """
-    groups = list(groups)
+    groups, temporary = list(groups), []
     if not groups:
-        df, groups = df.withColumn(ONE_GROUP, F.lit(0)), [ONE_GROUP]
-    if not has_large_group(df, groups, chunk_rows):
-        ranks = {}
-        for name, value in values.items():
-            below = F.rank().over(Window.partitionBy(*groups).orderBy(value))
-            same = F.count(F.lit(1)).over(Window.partitionBy(*groups, value))
-            ranks[name] = F.when(F.col(value).isNotNull(), below + (same - 1) / 2.0)
-        return df.withColumns(ranks).drop(ONE_GROUP)
-    out = df
+        df, groups, temporary = df.withColumn(ONE_GROUP, F.lit(0)), [ONE_GROUP], [ONE_GROUP]
+    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
+    large = cut_lineage(sizes.where(F.col("_rows") > chunk_rows))
+    n_large, n_rows = large.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    if not n_large:
+        return _ranked_in_windows(df, groups, values).drop(*temporary)
+    large = large.select(*groups)
+    out = match_null_safe(df, large, groups, "left_semi", n_large)
     for name, value in values.items():
-        counts = value_counts(df, groups, value)
-        table = running_totals(
-            counts, groups, [value], {"_before": "_count"}, chunk_rows=chunk_rows
-        ).select(*groups, value, (F.col("_before") + (F.col("_count") + 1) / 2.0).alias(name))
-        out = match_null_safe(out, table, [*groups, value])
-    return out.drop(ONE_GROUP)
+        out = _ranked_in_ranges(out, groups, name, value, -(-n_rows // chunk_rows) + n_large)
+    small = match_null_safe(df, large, groups, "left_anti", n_large)
+    return out.unionByName(_ranked_in_windows(small, groups, values)).drop(*temporary)
+
+
+def _ranked_in_windows(df: DataFrame, groups: Sequence[str], values: dict[str, str]) -> DataFrame:
+    ranks = {}
+    for name, value in values.items():
+        below = F.rank().over(Window.partitionBy(*groups).orderBy(F.asc_nulls_last(value)))
+        same = F.count(F.lit(1)).over(Window.partitionBy(*groups, value))
+        ranks[name] = F.when(F.col(value).isNotNull(), below + (same - 1) / 2.0)
+    return df.withColumns(ranks)
+
+
+def _ranked_in_ranges(df: DataFrame, groups: Sequence[str], name: str, value: str, n_ranges: int) -> DataFrame:
+    """Ranks of groups of any size.
+
+    Spark samples splitters and deals the rows to ranges of (group, value, hash), so even equal values
+    that make up a third of the table are spread. A range ranks its rows on its own; a table of one row
+    per range and group then tells how many rows lie in earlier ranges, and how often the value at either
+    end of a range occurs in its neighbours, for only such a value can straddle a splitter. Rows are
+    joined with that table alone, never on their values.
+    """
+    own = list(df.columns)
+    salted = df.withColumn("_salt", F.xxhash64(*own))
+    dealt = salted.repartitionByRange(int(n_ranges), *groups, F.asc_nulls_last(value), "_salt")
+    ranges = store(dealt.withColumn("_range", F.spark_partition_id()).drop("_salt"), "ranges")
+    inside = Window.partitionBy("_range", *groups)
+    rows = ranges.where(F.col(value).isNotNull()).withColumns(
+        {
+            "_below": F.rank().over(inside.orderBy(value)) - 1,
+            "_same": F.count(F.lit(1)).over(Window.partitionBy("_range", *groups, value)),
+        }
+    )
+    ends = cut_lineage(
+        rows.groupBy("_range", *groups).agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min(F.struct(F.col(value).alias("v"), F.col("_same").alias("same"))).alias("_first"),
+            F.max(F.struct(F.col(value).alias("v"), F.col("_same").alias("same"))).alias("_last"),
+        )
+    )
+    n_ends = ends.count()
+    earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ends.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    # What each range knows of the values at its ends; a value that fills the range counts once.
+    low = F.struct(F.col("_first.v").alias("v"), F.col("_first.same").alias("same"), F.col("_offset").alias("below"))
+    high = F.struct(F.col("_last.v").alias("v"), F.col("_last.same").alias("same"), (F.col("_offset") + F.col("_rows") - F.col("_last.same")).alias("below"))
+    known = placed.select(*groups, F.explode(F.array_distinct(F.array(low, high))).alias("_end"))
+    totals = cut_lineage(known.groupBy(*groups, F.col("_end.v").alias("_v")).agg(F.sum("_end.same").alias("_all"), F.min("_end.below").alias("_start")))
+    facts = placed
+    for side in ("_first", "_last"):
+        of = totals.select(*groups, F.col("_v").alias(f"{side}_v"), F.struct("_all", "_start").alias(f"{side}_total"))
+        facts = match_null_safe(facts.withColumn(f"{side}_v", F.col(f"{side}.v")), of, [*groups, f"{side}_v"], "left", 2 * n_ends)
+    facts = facts.select("_range", *groups, "_offset", "_first_v", "_last_v", "_first_total", "_last_total")
+    joined = match_null_safe(rows, cut_lineage(facts), ["_range", *groups], "left", n_ends)
+    at_end = F.when(F.col(value) == F.col("_first_v"), F.col("_first_total")).when(F.col(value) == F.col("_last_v"), F.col("_last_total"))
+    below = F.coalesce(at_end["_start"], F.col("_offset") + F.col("_below"))
+    same = F.coalesce(at_end["_all"], F.col("_same"))
+    ranked = joined.withColumn(name, below + (same + 1) / 2.0).select(*own, name)
+    unranked = ranges.where(F.col(value).isNull()).select(*own).withColumn(name, F.lit(None).cast("double"))
+    return ranked.unionByName(unranked)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.scalars import circular_difference, join_flags
 from skyloom.operators.nearest import fill_from_nearest
-from skyloom.operators.ordered import CHUNK_ROWS, exact_quantiles, match_null_safe, value_counts
+from skyloom.operators.ordered import CHUNK_ROWS, exact_quantiles, match_null_safe
 from skyloom.operators.series import (
     KNOWN_AFTER,
     KNOWN_BEFORE,
@@ -23,7 +23,7 @@ from skyloom.operators.series import (
     RUN,
     neighbourhood,
 )
-from skyloom.session import cut_lineage, store
+from skyloom.session import store
 
 FILL_LIMIT = 3
 MAD_SCALE = 0.6745
@@ -123,32 +123,25 @@ def mad_limits(
 ) -> DataFrame:
     """Per group, the median in log space and the deviation beyond which a value is outlying.
 
-    The limit is NULL when neither the median absolute deviation nor the quartiles spread.
-    Works on counts of distinct values, never on all values of a group at once.
+    The limit is NULL when neither the median absolute deviation nor the quartiles spread. How a
+    large group is ranked: see ``exact_quantiles``.
     """
     groups = list(groups)
-    counts = value_counts(df.where(F.col(column) >= 0), groups, column).withColumn(
-        "_log", F.log1p(F.col(column).cast("double"))
-    )
     keys = groups or ["_g"]
+    rows = df.where(F.col(column) >= 0).withColumn("_log", F.log1p(F.col(column).cast("double")))
     if not groups:
-        counts = counts.withColumn("_g", F.lit(0))
-    counts = cut_lineage(counts)
-    centre = cut_lineage(
+        rows = rows.withColumn("_g", F.lit(0))
+    # Both quantile passes and the choice between them read these two columns.
+    rows = store(rows.select(*keys, "_log"), "logs")
+    centre = store(
         exact_quantiles(
-            counts,
-            keys,
-            "_log",
-            {"_median": 0.5, "_lower": 0.25, "_upper": 0.75},
-            weight="_count",
-            chunk_rows=chunk_rows,
-        ).drop("_n")
+            rows, keys, "_log", {"_median": 0.5, "_lower": 0.25, "_upper": 0.75}, chunk_rows=chunk_rows
+        ).drop("_n"),
+        "centres",
     )
-    spread = match_null_safe(counts, centre.select(*keys, "_median"), keys, "inner")
-    spread = spread.withColumn("_deviation", F.abs(F.col("_log") - F.col("_median")))
-    spread = exact_quantiles(
-        spread, keys, "_deviation", {"_mad": 0.5}, weight="_count", chunk_rows=chunk_rows
-    ).drop("_n")
+    apart = match_null_safe(rows, centre.select(*keys, "_median"), keys, "inner", centre.count())
+    apart = apart.withColumn("_deviation", F.abs(F.col("_log") - F.col("_median")))
+    spread = exact_quantiles(apart, keys, "_deviation", {"_mad": 0.5}, chunk_rows=chunk_rows).drop("_n")
     both = match_null_safe(centre, spread, keys, "inner")
     iqr = F.col("_upper") - F.col("_lower")
     limits = both.select(
@@ -172,13 +165,16 @@ def flag_log_mad(
 ) -> DataFrame:
     """Add a boolean for readings far from their group's median in log space."""
     groups = list(groups)
+    keys = groups or ["_g"]
     limits = mad_limits(df, column, groups, threshold, chunk_rows)
-    if groups:
-        joined = match_null_safe(df, limits, groups)
-    else:
-        joined = match_null_safe(
-            df.withColumn("_g", F.lit(0)), limits.withColumn("_g", F.lit(0)), ["_g"], "left", 1
-        ).drop("_g")
+    rows = df
+    if not groups:
+        rows, limits = df.withColumn("_g", F.lit(0)), limits.withColumn("_g", F.lit(0))
+    limits = store(limits, "limits")
+    # One row per group: below the bound of a broadcast no reading moves.
+    joined = match_null_safe(rows, limits, keys, "left", limits.count())
+    if not groups:
+        joined = joined.drop("_g")
     value = F.when(F.col(column) >= 0, F.col(column).cast("double"))
     deviation = F.abs(F.log1p(value) - F.col("_median"))
     raised = F.when(
