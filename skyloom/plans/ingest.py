@@ -6,11 +6,11 @@ import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyloom.operators.contracts import VIOLATIONS, Contract, check, validate
+from skyloom.operators.contracts import VIOLATIONS, Contract, check, split_checked
 from skyloom.operators.ordered import CHUNK_ROWS
 from skyloom.operators.quality import MetricRule
 from skyloom.plans import gold
@@ -21,8 +21,9 @@ from skyloom.sources.lake import (
     append_failures,
     context_window,
     log_run,
+    observation_date,
     scan_table,
-    split_by_time,
+    unreadable_times,
     upsert_table,
 )
 
@@ -51,48 +52,62 @@ def ingest_series(
     finished_at: str,
     days_back: int = 1,
     chunk_rows: int = CHUNK_ROWS,
+    rejected: DataFrame | None = None,
 ) -> tuple[str, int, str | None]:
     """Quality control behind the stored days, contract, keyed upsert, failure cases, run log.
 
     Returns and logs ``(status, rows, error)``. A run whose every row breaks the contract
-    fails and stores nothing; running it again changes nothing but the log.
+    fails and stores nothing; running it again changes nothing but the log. ``rejected`` are failure
+    cases of bodies the parser set aside; they count as dropped. What is counted is observed in the
+    passes that store the batch and the checked rows, not in passes of its own.
     """
     path = f"{root}/{feed.table}"
     run_id = hashlib.sha256(f"{feed.source}|{started_at}".encode()).hexdigest()[:32]
-    readable, unreadable = split_by_time(store(batch))
-    n_unreadable = unreadable.count()
-    dated = store(readable)
-    got, first, last = dated.agg(
-        F.count_distinct(feed.station), F.min("date"), F.max("date")
-    ).first()
+    seen, done, turned = Observation("batch"), Observation("checked"), Observation("rejected")
+    readable = F.col("date").isNotNull()
+    # One entry per station of the run.
+    stations = F.size(F.collect_set(F.when(readable, F.col(feed.station))))
+    dated = store(
+        batch.withColumn("date", observation_date()).observe(
+            seen, F.count_if(~readable).alias("unreadable"), F.min("date").alias("first"), F.max("date").alias("last"),
+            stations.alias("stations"),
+        )
+    )
+    n_unreadable, first, last, got = (seen.get[c] for c in ("unreadable", "first", "last", "stations"))
+    lost = [unreadable_times(dated)]
+    n_lost = n_unreadable
+    if rejected is not None:
+        lost.append(store(rejected.observe(turned, F.count(F.lit(1)).alias("n"))))
+        n_lost += turned.get["n"]
     if not got:
-        if n_unreadable:
-            append_failures(f"{root}/contract_failures", feed.source, run_id, unreadable)
+        if n_lost:
+            append_failures(f"{root}/contract_failures", feed.source, run_id, *lost)
         result = ("failure", 0, "no data retrieved")
         log_run(spark, f"{root}/run_log", feed.source, started_at, finished_at, result)
         return result
     stored = scan_table(spark, path, feed.schema, "date").where(F.col("date") >= first)
     before = context_window(scan_table(spark, path, feed.schema, "date"), first, days_back)
     context = before.where(F.col("date") < first).unionByName(stored.where(F.col("date") <= last))
+    flagged = qc_with_context(
+        dated.where(readable), context, feed.rules, station=feed.station, time="timestamp", chunk_rows=chunk_rows
+    ).withColumns({"source": F.lit(feed.source), "is_synthetic": F.lit(0)})
     checked = store(
-        qc_with_context(
-            dated, context, feed.rules, station=feed.station, time="timestamp", chunk_rows=chunk_rows
-        ).withColumns({"source": F.lit(feed.source), "is_synthetic": F.lit(0)})
+        check(flagged, feed.contract).observe(
+            done, F.count(F.lit(1)).alias("rows"), F.count_if(F.size(VIOLATIONS) > 0).alias("dropped")
+        )
     )
-    rows, dropped = check(checked, feed.contract).agg(
-        F.count(F.lit(1)), F.count_if(F.size(VIOLATIONS) > 0)
-    ).first()
-    valid, failures = validate(checked, feed.contract)
-    if dropped or n_unreadable:
-        append_failures(f"{root}/contract_failures", feed.source, run_id, failures, unreadable)
+    rows, dropped = done.get["rows"], done.get["dropped"]
+    valid, failures = split_checked(checked)
+    if dropped or n_lost:
+        append_failures(f"{root}/contract_failures", feed.source, run_id, failures, *lost)
     if dropped == rows:
-        result = ("failure", 0, f"none of {rows + n_unreadable} rows met the contract")
+        result = ("failure", 0, f"none of {rows + n_lost} rows met the contract")
     else:
         upsert_table(
             spark, valid, path, feed.schema, partition="date", keys=[feed.station, "timestamp"],
             order=["timestamp"],
         )
-        dropped, rows = dropped + n_unreadable, rows + n_unreadable
+        dropped, rows = dropped + n_lost, rows + n_lost
         status = spark.range(1).select(run_status(F.lit(got), F.lit(expected), F.lit(dropped))).first()[0]
         problems = []
         if got < expected:

@@ -49,3 +49,18 @@ def test_runs_across_midnight(spark, tmp_path):
                             "temp_daily_mean"), "date", "city")
     assert got == [("2026-01-01", "agra", 50.0, "Good", None), ("2026-01-01", "delhi", 100.0, "Satisfactory", None),
                    ("2026-01-02", "delhi", 450.0, "Severe", None)]
+
+
+def test_rejected_bodies_count_as_dropped(spark, tmp_path):
+    root = str(tmp_path)
+    bad = spark.createDataFrame([("payload", "empty_body", "")], "failed_column string, failed_check string, failed_value string")
+    good = parsed(spark, [("7", "delhi", "2026-01-01T10:00:00+00:00", 5.0), ("8", "agra", "soon", 5.0)])
+
+    def once(batch):
+        return ingest_series(spark, batch, FEED, root, expected=1, rejected=bad,
+                             started_at="2026-01-02T00:00:00+00:00", finished_at="2026-01-02T00:01:00+00:00")
+
+    assert once(good) == once(good) == ("partial", 1, "2 rows broke the contract")
+    told = spark.read.parquet(f"{root}/contract_failures")
+    assert rows(told.select("failed_check"), "failed_check") == [("empty_body",), ("readable_time",)]
+    assert once(good.limit(0)) == ("failure", 0, "no data retrieved")
