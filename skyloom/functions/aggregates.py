@@ -26,7 +26,3 @@ def sum_or_zero(c: Column | str) -> Column:
 def first_by(c: Column | str, *order: Column | str) -> Column:
     """Value of the earliest row under an explicit order."""
     return F.min_by(_col(c), F.struct(*[_col(o) for o in order]))
-
-
-def status_count(status: Column | str, wanted: str) -> Column:
-    return F.count_if(_col(status) == wanted)

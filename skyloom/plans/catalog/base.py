@@ -85,19 +85,18 @@ HOUR_SQL = "strftime(ts, '%Y-%m-%dT%H:00:00+00:00')"
 DATE_SQL = "strftime(ts, '%Y-%m-%d')"
 
 
+# Breakpoints as (low, high, index low, index high).
+SQL_BREAKPOINTS = {
+    "pm25": [(0, 30, 0, 50), (30, 60, 51, 100), (60, 90, 101, 200), (90, 120, 201, 300), (120, 250, 301, 400), (250, 500, 401, 500)],
+    "pm10": [(0, 50, 0, 50), (50, 100, 51, 100), (100, 250, 101, 200), (250, 350, 201, 300), (350, 430, 301, 400), (430, 600, 401, 500)],
+}
+
+
 def sub_index_sql(c: str, kind: str) -> str:
     """The piecewise index written out as SQL."""
-    segments = {
-        "pm25": [("0", "30", "50e0/30e0", "0"), ("30", "60", "49e0/30e0", "51"),
-                 ("60", "90", "99e0/30e0", "101"), ("90", "120", "99e0/30e0", "201"),
-                 ("120", "250", "99e0/130e0", "301"), ("250", "500", "99e0/250e0", "401")],
-        "pm10": [("0", "50", "50e0/50e0", "0"), ("50", "100", "49e0/50e0", "51"),
-                 ("100", "250", "99e0/150e0", "101"), ("250", "350", "99e0/100e0", "201"),
-                 ("350", "430", "99e0/80e0", "301"), ("430", "600", "99e0/170e0", "401")],
-    }[kind]
     cases = " ".join(
-        f"WHEN {c} >= {lo} AND {c} <= {hi} THEN ({slope}) * ({c} - {lo}) + {base}"
-        for lo, hi, slope, base in segments
+        f"WHEN {c} >= {low} AND {c} <= {high} THEN (({to} - {base}) / ({high}e0 - {low})) * ({c} - {low}) + {base}"
+        for low, high, base, to in SQL_BREAKPOINTS[kind]
     )
     return f"CASE WHEN {c} IS NULL OR {c} < 0 THEN NULL {cases} ELSE 500e0 END"
 

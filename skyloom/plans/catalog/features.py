@@ -37,9 +37,9 @@ def air(spark, sf):
 
 
 def weather(spark, sf):
-    """The same readings as weather of places spelled another way; one type has no station."""
+    """The same readings as weather of places spelled another way."""
     r = readings(spark, sf)
-    return r.where(F.col("city") != "signup").select(
+    return r.select(
         F.concat(F.lit("  "), F.upper("city")).alias("station"),
         F.col("ts").alias("timestamp"), "is_synthetic",
         (F.col("gappy") / 10).alias("temperature_clean"), (F.col("value") / 5).alias("humidity_clean"),
@@ -48,6 +48,12 @@ def weather(spark, sf):
     )
 
 
+def weather_with_gap(spark, sf):
+    """The same weather for the joins: one city's readings name no station, so it has no weather."""
+    w = weather(spark, sf)
+    return w.withColumn("station", F.when(~F.col("station").contains("SIGNUP"), F.col("station")))
+
+
 HOURLY_SQL = f"""SELECT city, {HOUR_SQL} AS hour_bucket, {DATE_SQL} AS date,
     avg(gappy) AS pm25_mean, avg(value) AS pm10_mean, avg(sparse) AS no2_mean,
     max({index_sql('gappy', 'value', 'source')}) AS aqi_max, count(DISTINCT station_id) AS n_stations
@@ -116,7 +122,8 @@ DAILY_WEATHER = f"""SELECT city AS city_key, {DATE_SQL} AS date, avg(gappy / 10)
     max(gappy / 10) AS temp_daily_max, min(gappy / 10) AS temp_daily_min, avg(value / 5) AS humidity_daily_mean,
     coalesce(sum(sparse), 0) AS rainfall_daily_total, avg(value / 50) AS wind_speed_daily_mean,
     round({circular_sql('bearing')}, 6) % 360 AS wind_dir_daily_mean, count(*) AS n_weather_obs
-  FROM readings WHERE is_synthetic = 0 AND city <> 'signup' GROUP BY ALL"""
+  FROM readings WHERE is_synthetic = 0 GROUP BY ALL"""
+WITHOUT_GAP = "w AS (SELECT * FROM every WHERE city_key <> 'signup')"
 WEATHER_ROUNDED = """round(temp_daily_mean, 6) AS temp_daily_mean, temp_daily_max, temp_daily_min,
     round(humidity_daily_mean, 6) AS humidity_daily_mean, round(rainfall_daily_total, 6) AS rainfall_daily_total,
     round(wind_speed_daily_mean, 6) AS wind_speed_daily_mean, wind_dir_daily_mean,
@@ -134,24 +141,24 @@ def city_daily_weather(spark, sf):
     return _round_weather(gold.city_daily_weather(weather(spark, sf)))
 
 
-@query("city_daily_join", f"""WITH {READINGS}, d AS ({DAILY_AIR}), w AS ({DAILY_WEATHER})
+@query("city_daily_join", f"""WITH {READINGS}, d AS ({DAILY_AIR}), every AS ({DAILY_WEATHER}), {WITHOUT_GAP}
   SELECT d.city, d.date, {DAILY_MEANS}, n_obs, source, {WEATHER_ROUNDED}
   FROM d LEFT JOIN w ON d.city = w.city_key AND d.date = w.date""")
 def city_daily_join(spark, sf):
     joined = gold.join_daily(
-        gold.city_daily_pollution(air(spark, sf), ["event_id"]), gold.city_daily_weather(weather(spark, sf))
+        gold.city_daily_pollution(air(spark, sf), ["event_id"]), gold.city_daily_weather(weather_with_gap(spark, sf))
     )
     return rounded(_round_weather(joined), *MEAN_COLUMNS)
 
 
-@query("city_daily_summary", f"""WITH {READINGS}, d AS ({DAILY_AIR}), w AS ({DAILY_WEATHER}),
+@query("city_daily_summary", f"""WITH {READINGS}, d AS ({DAILY_AIR}), every AS ({DAILY_WEATHER}), {WITHOUT_GAP},
   j AS (SELECT d.city, d.date, pm25, pm10, no2, so2, co, o3, n_obs, source, w.* EXCLUDE (city_key, date),
     {index_sql('pm25', 'pm10', 'source')} AS daily_aqi
     FROM d LEFT JOIN w ON d.city = w.city_key AND d.date = w.date)
   SELECT city, date, {DAILY_MEANS}, n_obs, source, {WEATHER_ROUNDED}, round(daily_aqi, 6) AS daily_aqi,
     {category_sql('daily_aqi')} AS daily_aqi_category FROM j""")
 def city_daily_summary(spark, sf):
-    out = gold.city_daily_summary(air(spark, sf), weather(spark, sf), first_order=["event_id"])
+    out = gold.city_daily_summary(air(spark, sf), weather_with_gap(spark, sf), first_order=["event_id"])
     return rounded(_round_weather(out), *MEAN_COLUMNS, "daily_aqi")
 
 
