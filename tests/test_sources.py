@@ -1,5 +1,6 @@
 """Scalars, payload parsers, grid messages, streaming sinks and the registry."""
 
+import random
 import struct
 
 import pytest
@@ -222,6 +223,68 @@ def test_grid_messages(spark, tmp_path):
     assert points.where("file = 'c.bin'").count() == 0
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Blocks of some hundred bytes, so that even a small file is read by many tasks."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    yield lambda size: [spark.conf.set(k, v) for k, v in zip(keys, (str(size), "1"), strict=True)]
+    for k, v in zip(keys, before, strict=True):
+        spark.conf.set(k, v)
+
+
+def odd_file(r, n):
+    """Messages amid junk, some with the magic bytes or a whole message in their data, cut off or lying."""
+    out = []
+    for k in range(n):
+        data = r.randbytes(r.randint(0, 120))
+        kind = r.randrange(8)
+        if kind == 0:
+            data += b"GRIB" + r.randbytes(r.randint(0, 40))
+        elif kind == 1:
+            data += plain_message(r.randbytes(30)) + r.randbytes(5)
+        elif kind == 2:
+            data = b"GRIBGRIB" + data + b"GRI"
+        body = plain_message(data)
+        if kind == 3:
+            body = body[: len(body) // 2]
+        elif kind == 4:
+            body = b"GRIB" + bytes(4) + struct.pack(">Q", r.choice([0, 16, 17, 60, 2**63 + 5, 10**6])) + data
+        out.append(r.choice([b"", b"junk", b"G", b"GRIB"]) + body)
+    return b"".join(out)
+
+
+def plain_message(data):
+    return b"GRIB" + bytes(4) + struct.pack(">Q", len(data) + 20) + data + b"7777"
+
+
+@pytest.mark.parametrize("split", [150, 1100, 10**8])
+def test_files_are_taken_apart_like_one_walk_through_them(spark, tmp_path, small_splits, split):
+    r = random.Random(split)
+    files = {f"f{k}.bin": odd_file(r, n) for k, n in enumerate([0, 1, 3, 24])} | {"g.bin": b"<html>", "h.bin": b"GRIB"}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    small_splits(split)
+    pieces = G._pieces(spark, str(tmp_path))
+    assert split > 2000 or pieces.rdd.getNumPartitions() > 2
+    got = {}
+    for row in G.whole_messages(pieces).collect():
+        got.setdefault(row["file"].rsplit("/", 1)[-1], {})[row["msg"]] = bytes(row["message"])
+    for name, content in files.items():
+        assert [got.get(name, {}).get(k) for k in range(len(got.get(name, {})))] == list(G._messages(content)), name
+
+
+def test_one_file_is_decoded_by_several_tasks(spark, tmp_path, small_splits, monkeypatch):
+    (tmp_path / "all.bin").write_bytes(b"".join(message(values=(k, 2, 3, 4)) for k in range(200)))
+    small_splits(4000)
+    monkeypatch.setattr(G, "MESSAGE_BYTES", 5000)
+    pieces = G._pieces(spark, str(tmp_path))
+    assert pieces.select(F.spark_partition_id()).distinct().count() > 5
+    points = G.scan_messages(spark, str(tmp_path))
+    assert points.select(F.spark_partition_id()).distinct().count() > 5
+    assert rows(points.where("point = 0").select("msg", "value"), "msg") == [(k, float(k)) for k in range(200)]
+
+
 def test_damaged_messages_become_error_rows(spark):
     short = message()
     short = short.replace(struct.pack(">IB", 58, 4), struct.pack(">IB", 9, 4))
