@@ -4,7 +4,9 @@ Every document of a source is due ``target / source size`` copies: the whole par
 of them, the fraction is sampled. The sample is balanced on two totals, documents and words: the
 flight phase moves the inclusion probabilities of three documents at a time along the one
 direction that changes neither total, until one of them becomes 0 or 1. A block ends with at most
-two open documents; the open ones of all blocks fly again, and the last two of a source land.
+two open documents; the open ones of all blocks fly again. In a source's last block a few documents of
+each size, halving, are left out of the flight: these and the last open ones land by falling size, the
+words of each made up for by the smaller ones, so a source misses its target by part of a small document.
 
 Blocks are small and dealt by a hash, so a source that holds a third of all rows is worked on by
 many tasks, and the open rows shrink several hundred times per round.
@@ -17,6 +19,7 @@ each for itself; other columns are ignored. Everything is drawn from hashes, so
 from __future__ import annotations
 
 import math
+import random
 from collections.abc import Sequence
 
 import numpy as np
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 from skyloom.session import store
 
 BLOCK_ROWS = 1000
+#: Documents of each size, halving, that are kept for the landing.
+RUNGS = 4
 #: A mix has one row per source on the driver; more than this is refused.
 MAX_SOURCES = 100_000
 _STATE = "doc_id {id}, source string, size long, u double, p double"
@@ -64,12 +69,40 @@ def _step(window: list[int], p: list[float], direction: list[float], u: float) -
         p[k] = 0.0 if moved < 1e-9 else 1.0 if moved > 1 - 1e-9 else moved
 
 
+def _ladder(open_: list[int], size: list[int]) -> set[int]:
+    """Of the open documents, by index, a few of each size from the largest down, halving."""
+    left = sorted((k for k in open_ if size[k]), key=lambda k: (-size[k], k))
+    limit, steps = float(size[left[0]]) if left else 0.0, set()
+    while left:
+        limit /= 2
+        fits = [k for k in left if size[k] <= limit] or left[-RUNGS:]
+        steps.update(fits[:RUNGS])
+        left = fits[RUNGS:]
+    return steps
+
+
+def _land(p: list[float], size: list[int], u: list[float], open_: list[int]) -> None:
+    """Bring open documents to 0 or 1 by falling size. What one of them moves, all smaller ones that are
+    still open make up for in words; only the last has nobody left and is rounded."""
+    order = sorted(open_, key=lambda k: (-size[k], u[k], k))
+    draw = random.Random(repr([u[k] for k in order])).random
+    for n, largest in enumerate(order):
+        while 0 < p[largest] < 1:
+            smaller = [k for k in order[n + 1 :] if size[k] and 0 < p[k] < 1]
+            room = [p[k] * (1 - p[k]) for k in smaller]
+            moved = sum(r * size[k] for r, k in zip(room, smaller, strict=True))
+            direction = [1.0, *(-size[largest] * r / moved for r in room)]
+            _step([largest, *smaller], p, direction, draw())
+
+
 def fly(p: list[float], size: list[int], u: list[float], land: bool) -> list[float]:
-    """Inclusion probabilities after the flight; with ``land`` all of them are 0 or 1. Landing
-    first gives up the count of documents, then the words of the last open one."""
+    """Inclusion probabilities after the flight; with ``land`` all of them are 0 or 1. Landing gives up
+    the count of documents: the flight leaves it a ladder of documents of falling size, so that the last
+    one, whose words cannot be made up for, is a small one."""
     p, window = list(p), []
+    ladder = _ladder([k for k in range(len(p)) if 0 < p[k] < 1], size) if land else set()
     for new in range(len(p)):
-        if not 0 < p[new] < 1:
+        if not 0 < p[new] < 1 or new in ladder:
             continue
         window.append(new)
         if len(window) == 3:
@@ -77,14 +110,8 @@ def fly(p: list[float], size: list[int], u: list[float], land: bool) -> list[flo
             direction = [c - b, a - c, b - a] if not a == b == c else [1.0, -1.0, 0.0]
             _step(window, p, direction, u[new])
             window = [k for k in window if 0 < p[k] < 1]
-    while land and window:
-        last = window[-1]
-        if len(window) == 2:
-            a, b = (float(size[k]) for k in window)
-            _step(window, p, [b, -a] if a or b else [1.0, -1.0], u[last])
-        else:
-            p[last] = float(u[last] < p[last])
-        window = [k for k in window if 0 < p[k] < 1]
+    if land:
+        _land(p, size, u, [*window, *ladder])
     return p
 
 

@@ -8,7 +8,8 @@ expression.
 
 Defined cases: null and empty texts have statistics of 0 and fail the base rules; rows without a
 label, or with contradicting ones, teach nothing; without both labels the list is empty and keeps
-all; an empty table gives an empty result; repeated rows are judged each; other columns are ignored.
+all; an empty table gives an empty result; repeated rows are judged each; very long texts are read whole;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,10 +34,15 @@ MIN_COVERED = 5
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
+def _window_hash(*words: Column) -> Column:
+    return F.xxhash64(*words)
+
+
 def _repeat_words(words: Column) -> Column:
     """Words inside 3-word windows that the text holds twice or more. Windows are sorted as longs,
     the position in as many low bits as the text needs and the window's hash in the others;
-    neighbours of equal hash count only if their words are equal."""
+    neighbours of equal hash count only if their words are equal. Should two neighbours of equal hash
+    differ, the text's windows are sorted by their words instead."""
 
     def shifted(way: str, x: Column, by: Column) -> Column:
         return F.call_function(way, x, by)
@@ -48,19 +54,35 @@ def _repeat_words(words: Column) -> Column:
         def place(x: Column) -> Column:
             return x.bitwiseAND(shifted("shiftleft", F.lit(1).cast("long"), bits) - 1).cast("int")
 
-        def pair(a: Column, b: Column) -> Column:
-            i, j = place(a), place(b)
-            equal = (w[i] == w[j]) & (w[i + 1] == w[j + 1]) & (w[i + 2] == w[j + 2])
-            return F.when((shifted("shiftrightunsigned", a.bitwiseXOR(b), bits) == 0) & equal, F.array(i, j))
+        def near(a: Column, b: Column) -> Column:
+            """Whether two neighbours, the second perhaps none, have one hash."""
+            return F.coalesce(shifted("shiftrightunsigned", a.bitwiseXOR(b), bits) == 0, F.lit(False))
 
-        def repeats(s: Column) -> Column:
-            pairs = F.transform(s, lambda x, i: pair(x, F.get(s, i + 1)))
+        def equal(i: Column, j: Column) -> Column:
+            return (w[i] == w[j]) & (w[i + 1] == w[j + 1]) & (w[i + 2] == w[j + 2])
+
+        def places(pairs: Column) -> Column:
             return F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda x: x.isNotNull()))))
 
-        windows = F.transform(
-            F.sequence(F.lit(0), F.size(w) - 3),
-            lambda i: shifted("shiftleft", head(F.xxhash64(w[i], w[i + 1], w[i + 2])), bits).bitwiseOR(i.cast("long")),
-        )
+        def by_hash(s: Column) -> Column:
+            def pair(a: Column, b: Column) -> Column:
+                return F.when(near(a, b) & equal(place(a), place(b)), F.array(place(a), place(b)))
+
+            return places(F.transform(s, lambda x, i: pair(x, F.get(s, i + 1))))
+
+        def by_words(s: Column) -> Column:
+            def pair(a: Column, b: Column) -> Column:
+                return F.when(a["words"] == b["words"], F.array(a["at"], b["at"]))
+
+            return places(F.transform(s, lambda x, i: pair(x, F.get(s, i + 1))))
+
+        def repeats(s: Column) -> Column:
+            clash = F.exists(F.transform(s, lambda x, i: near(x, F.get(s, i + 1)) & ~equal(place(x), place(F.coalesce(F.get(s, i + 1), x)))), lambda x: x)
+            spelt = F.transform(at, lambda i: F.struct(F.concat_ws(" ", w[i], w[i + 1], w[i + 2]).alias("words"), i.alias("at")))
+            return F.when(clash, let(F.sort_array(spelt), by_words)).otherwise(by_hash(s))
+
+        at = F.sequence(F.lit(0), F.size(w) - 3)
+        windows = F.transform(at, lambda i: shifted("shiftleft", head(_window_hash(w[i], w[i + 1], w[i + 2])), bits).bitwiseOR(i.cast("long")))
 
         def steps(at: Column) -> Column:
             # least() passes over the null after the last position

@@ -8,7 +8,7 @@ odd number. Keys are known by 128 bits of hash. Answering needs no join and move
 
 Defined cases: a null url or one without ``://`` has an empty host and path; no rule fits an empty
 path; equal longest rules are one rule, as a rule may be listed once; repeated rows are judged each;
-an empty page table gives an empty result; other columns are ignored.
+a very long host or path is asked about whole, by as many suffixes and prefixes as rules can fit; an empty page table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -132,6 +132,16 @@ def test_text_statistics_match_brute_force(spark):
     assert {r[0]: tuple(r)[1:] for r in got} == {k: brute_base(t) for k, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("hashes", [1, 2, 5])
+def test_repeats_survive_windows_of_one_hash(spark, monkeypatch, hashes):
+    """Different windows that share a hash and alternate must not hide each other."""
+    monkeypatch.setattr(rule_lists, "_window_hash", lambda *w: F.pmod(F.xxhash64(*w), F.lit(hashes)))
+    r = random.Random(hashes)
+    rows = [(k, " ".join(r.choice("abcd") for _ in range(r.randint(0, 30)))) for k in range(80)] + [(90, "a b c d a b c d x a b"), (91, "a a a a a")]
+    got = rule_lists.text_statistics(frame(spark, rows)).select("doc_id", *rule_lists.BASE).collect()
+    assert {x[0]: tuple(x)[1:] for x in got} == {k: brute_base(t) for k, t in rows}
+
+
 def test_rules_find_bad_rows_and_spare_good_ones(marked):
     docs, marks = marked
     rules = rule_lists.rules_from(docs, marks.filter(~labels.held_out(F.col("doc_id"), 3, 1)))
@@ -142,6 +152,59 @@ def test_rules_find_bad_rows_and_spare_good_ones(marked):
     assert not expected
 
 
+def brute_rules(rows, thresholds):
+    """Sequential covering over plain rows: grow by information gain, prune on the rows held out."""
+    left, rules = rows, []
+
+    def fits(row, rule):
+        return all((row[f] > t) if above else (row[f] <= t) for f, above, t in rule)
+
+    while len(rules) < rule_lists.MAX_RULES:
+        growing, rule = [x for x in left if not x["held"]], ()
+        while len(rule) < rule_lists.MAX_TESTS:
+            bad = sum(x["bad"] for x in growing)
+            best, most = None, 1e-9
+            for f, cuts in thresholds.items():
+                for cut in cuts if 0 < bad < len(growing) else ():
+                    for above in (False, True):
+                        met = [x for x in growing if fits(x, [(f, above, cut)])]
+                        p = sum(x["bad"] for x in met)
+                        if p >= rule_lists.MIN_COVERED:
+                            gain = p * (math.log2(p / len(met)) - math.log2(bad / len(growing)))
+                            if gain > most:
+                                best, most = (f, above, cut), gain
+            if best is None:
+                break
+            rule = (*rule, best)
+            growing = [x for x in growing if fits(x, [best])]
+        held, scored = [x for x in left if x["held"]], []
+        for k in range(len(rule)):
+            met = [x for x in held if fits(x, rule[: k + 1])]
+            p = sum(x["bad"] for x in met)
+            if p:
+                scored.append(((p + 1) / (len(met) + 2), -k, p, len(met)))
+        if not scored:
+            break
+        _, k, p, n = max(scored)
+        if p < rule_lists.MIN_PRECISION * n:
+            break
+        rules.append(rule[: 1 - k])
+        left = [x for x in left if not fits(x, rules[-1])]
+    return rules
+
+
+def test_learned_lists_match_plain_covering(spark, marked):
+    told = labels.sample_labels(marked[1], "quality", 100_000).select("doc_id", (1 - F.col("quality")).cast("int").alias("bad"))
+    stats = rule_lists.text_statistics(marked[0])
+    learned = rule_lists.learn_rules(stats, told)
+    held = F.pmod(F.xxhash64("doc_id", F.lit("prune")), F.lit(3)) == 0
+    frame_ = stats.join(told, "doc_id").withColumn("held", held)
+    shares = [i / rule_lists.BINS for i in range(1, rule_lists.BINS)] + [0.995]
+    cuts = frame_.agg(*[F.percentile_approx(F.col(f).cast("double"), shares).alias(f) for f in rule_lists.FEATURES]).first()
+    want = brute_rules([r.asDict() for r in frame_.collect()], {f: sorted(set(cuts[f])) for f in rule_lists.FEATURES})
+    assert [[(t.feature, t.above, t.threshold) for t in rule] for rule in learned] == [list(rule) for rule in want] and want
+
+
 def test_rules_hard_cases(spark, marked, hard, empty):
     rules = rule_lists.rules_from(*marked)
     got = rule_lists.apply_rules(hard, rules)
@@ -192,6 +255,49 @@ def test_mix_meets_targets_and_reruns_agree(spark, monkeypatch):
     assert again.columns == docs.columns and again.count() == sum(r["copies"] for r in got)
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_landing_misses_by_a_small_document(seed):
+    """Few documents of very different sizes, as a small source has them."""
+    r = random.Random(seed)
+    for n in (40, 50, 200):
+        size = [int(r.paretovariate(0.8) * 20) % 6000 + 1 for _ in range(n)]
+        p = [r.random() * 0.8 + 0.1] * n
+        landed = cube_mix.fly(p, size, [r.random() for _ in size], True)
+        missed = sum(a * b for a, b in zip(landed, size, strict=True)) - p[0] * sum(size)
+        assert set(landed) <= {0.0, 1.0} and abs(missed) <= sorted(size)[n // 5], (n, missed, sorted(size))
+
+
+def test_landing_keeps_expectations():
+    r = random.Random(2)
+    size = [5, 900, 40, 41, 39, 0, 300, 3, 2, 1]
+    hits = sum(np.array(cube_mix.fly([0.37] * 10, size, [r.random() for _ in size], True)) for _ in range(4000)) / 4000
+    assert np.abs(hits - 0.37).max() < 0.04
+
+
+def test_sources_of_a_mix_come_near_their_targets(spark):
+    """Every source of a table against its target, worked out here from the texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "source", "text").collect()
+    size = {}
+    for d in rows:
+        size[d["source"]] = size.get(d["source"], 0) + len(words_of(d["text"]))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(size))}
+    due, free = {}, dict(size)
+    rest = sum(size.values())
+    while over := [s for s in free if rest * weight[s] > 3 * size[s] * sum(weight[x] for x in free)]:
+        for s in over:
+            due[s] = 3 * free.pop(s)
+        rest = sum(size.values()) - sum(due.values())
+    due |= {s: rest * weight[s] / sum(weight[x] for x in free) for s in free}
+    taken = dict.fromkeys(size, 0)
+    source = {d["doc_id"]: d["source"] for d in rows}
+    for r in cube_mix.mix_documents(docs).collect():
+        assert math.isclose(r["target"], due[source[r["doc_id"]]]) and r["source_size"] == size[source[r["doc_id"]]]
+        taken[source[r["doc_id"]]] += r["taken"]
+    smallest = {s: sorted(len(words_of(d["text"])) for d in rows if d["source"] == s and words_of(d["text"])) for s in size}
+    assert all(abs(taken[s] - due[s]) <= max(0.01 * due[s], smallest[s][0]) for s in size), {s: (taken[s], due[s]) for s in size}
+
+
 def test_mix_hard_cases(spark, hard, empty):
     got = cube_mix.mix_documents(hard)
     assert got.count() == hard.count() and got.filter("taken IS NULL OR taken > 3 * size").count() == 0
@@ -218,7 +324,13 @@ def test_token_counts_match_plain_viterbi(spark, hard, empty, monkeypatch):
     got = trie_tokens.count_tokens(frame(spark, list(enumerate(texts)))).collect()
     want = {k: (len(words_of(t)), sum(brute_tokens(trie_tokens.WORD_MARK + w, pieces) for w in words_of(t))) for k, t in enumerate(texts)}
     assert {r[0]: (r[1], r[2]) for r in got} == want
-    assert trie_tokens.count_tokens(hard).count() == hard.count() and trie_tokens.count_tokens(empty).count() == 0
+    texts = {r["doc_id"]: r["text"] for r in hard.collect() if r["doc_id"] not in (None, 9)}
+    counted = [r for r in trie_tokens.count_tokens(hard).collect()]
+    assert len(counted) == hard.count() and trie_tokens.count_tokens(empty).count() == 0
+    for r in counted:
+        if r[0] in texts:
+            w = words_of(texts[r[0]])
+            assert r[1] == len(w) and r[2] == sum(brute_tokens(trie_tokens.WORD_MARK + x, pieces) for x in w)
 
 
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/")]
@@ -246,6 +358,9 @@ def test_urls_match_brute_force(spark):
     pages = spark.createDataFrame([(k, u, "x", "y") for k, u in enumerate(urls)], "page_id long, url string, rule string, host string")
     got = url_cascade.judge_urls(pages, RULES).collect()
     assert {r[0]: tuple(r)[1:] for r in got} == {k: brute_url(u) for k, u in enumerate(urls)}
+    long = "http://" + "a." * 3000 + "example.com/en/" + "b/" * 3000
+    again = spark.createDataFrame([(1, long), (1, long), (1, "http://x.net"), (2, "http://" + "q" * 20000)], "page_id long, url string")
+    assert sorted(tuple(r)[1:] for r in url_cascade.judge_urls(again, RULES).collect()) == sorted(brute_url(u[0]) for u in again.select("url").collect())
     assert url_cascade.judge_urls(pages.limit(0), RULES).count() == 0
     assert url_cascade.judge_urls(pages, []).filter("rule IS NOT NULL OR verdict != 'allow'").count() == 0
 
