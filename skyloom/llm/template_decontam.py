@@ -7,23 +7,31 @@ name and as literal, on both sides; an item's window counts once, whichever read
 Windows of ``WINDOW`` template words are joined by hash. A question asked again with other
 parameters has the same templates; its slots must also be filled consistently, so that equal values
 of the item are equal in the text and different ones differ. Within a window that holds exactly if
-both have the same pattern of first occurrences, which is part of the join key.
+both have the same pattern of first occurrences, which is part of the join key. Over all windows that a
+document shares with an item, one mapping of the item's values to the text's must hold: windows that
+contradict it are taken off those that agree, see ``agreeing_windows``. Windows that are the item's word
+for word need no mapping.
 
 A document is contaminated if it holds at least ``COVERAGE`` of an item's windows. A window counts
-for all items that have it; items of the same windows are judged once, as a group.
+for all items that have it; items of the same windows and the same recurring values are judged once, as a
+group.
 
 Documents' windows are first asked of a bitmap of fixed size; few others than real hits leave a task.
+These meet the items' windows by broadcast, or, of a large benchmark, through salted keys, so a window
+that many documents or items have is no hot key.
 
 Defined cases: null and empty texts are clean; an item of fewer than ``WINDOW`` words is one window
 of its own length; windows with fewer than ``LEAST_LITERALS`` literal words are not used. An item of
 fewer than ``LEAST_WORDS`` words or without a usable window is found by its whole sequence of words
-or, in scripts without spaces, of characters; one without words never.
+or, in scripts without spaces, of characters; one of a single word or character only where it is a whole
+line, one without words never. Very long texts are read whole.
 Further cases: a row with a null doc_id is clean; rows that share a
 doc_id are judged together; empty tables give empty or clean results; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -41,6 +49,11 @@ COVERAGE = 0.5
 #: What a code stands for: a template window, or an item's whole sequence of words or characters.
 TEMPLATE, SEQUENCE, CHARACTERS = 0, 1, 2
 BITMAP_BITS = 1 << 26
+#: Rows of the items' windows up to which they are broadcast, some hundred bytes each.
+BROADCAST_WINDOWS = 200_000
+SALTS = 16
+#: Words by which a copy may shift against the item before it counts as another copy.
+SLACK = 8
 #: Readings of windows that are held at once.
 BLOCK_READINGS = 1 << 18
 
@@ -146,6 +159,39 @@ class Slots:
         return out
 
 
+    def values(self, at: np.ndarray, names: np.ndarray, n: int) -> pa.Array:
+        """What fills the slots of each window, in their order."""
+        places = at[:, None] + np.arange(n)
+        slots = self.slot[places] | (names[:, None] >> np.arange(n) & 1 == 1)
+        bounds = np.concatenate([[0], np.cumsum(slots.sum(axis=1))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(self.value[places][slots].view(np.int64)))
+
+
+def _no_values(n: int) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.zeros(n + 1, dtype=np.int32)), pa.array(np.zeros(0, dtype=np.int64)))
+
+
+def _shapes(words: Words) -> np.ndarray:
+    """Per text a code of the order in which the values of its slots recur."""
+    _, value, slot, either = template(words)
+    filled = slot | either
+    out = np.zeros(len(words.first) - 1, dtype=np.int64)
+    for k, (a, z) in enumerate(zip(words.first, words.first[1:], strict=False)):
+        own = value[a:z][filled[a:z]]
+        _, first, which = np.unique(own, return_index=True, return_inverse=True)
+        out[k] = zlib.crc32(np.argsort(np.argsort(first))[which].tobytes()) if len(own) else 0
+    return out
+
+
+def _whole_lines(units: Words, at: np.ndarray, n: int) -> np.ndarray:
+    """Which of the runs of ``n`` words or characters fill a line each."""
+    line = np.cumsum(units.data == 0x0A)[units.starts] if len(units.data) else np.zeros(0, dtype=np.int64)
+    line = line + units.doc * (len(units.data) + 1)  # a new text is a new line
+    before = np.concatenate([[-1], line])[at]
+    after = np.concatenate([line, [-1]])[at + n]
+    return (line[at] != before) & (line[at + n - 1] != after) & (line[at] == line[at + n - 1])
+
+
 def _unspaced(data: np.ndarray) -> np.ndarray:
     """Whether a character of a script without spaces starts at each byte: Han, kana, Thai, Lao,
     Burmese, Khmer."""
@@ -195,18 +241,22 @@ def _whole_codes(texts: pa.Array, kind: int) -> tuple[np.ndarray, np.ndarray, np
     return item, n, code
 
 
+_ITEM = ["item_id", "kind", "n", "template", "code", "window", "at", "shape", "values"]
+
+
 def _item_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All readings of the items' windows; ``window`` is the code of the plain one. Items of up to
-    ``WINDOW`` words, and those without a usable window, also come as their whole sequence."""
+    """All readings of the items' windows; ``window`` is the code of the plain one, ``at`` its first word.
+    Items of up to ``WINDOW`` words, and those without a usable window, also come as their whole sequence."""
     for batch in slabs(batches):
         words = words_of(batch.column("text"))
         size = np.diff(words.first)
         doc_of = words.doc
+        shape = _shapes(words)
 
-        def rows(doc: np.ndarray, kind: int, n: np.ndarray, *codes: np.ndarray, batch: pa.RecordBatch = batch) -> pa.RecordBatch:
+        def rows(doc: np.ndarray, kind: int, n: np.ndarray, *codes: np.ndarray, at: np.ndarray, values: pa.Array, batch: pa.RecordBatch = batch, shape: np.ndarray = shape) -> pa.RecordBatch:
             columns = [batch.column("item_id").take(pa.array(doc)), pa.array(np.full(len(doc), kind, dtype=np.int32)), pa.array(n.astype(np.int32))]
             columns += [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in codes]
-            return pa.RecordBatch.from_arrays(columns, ["item_id", "kind", "n", "template", "code", "window"])
+            return pa.RecordBatch.from_arrays([*columns, pa.array(at.astype(np.int64)), pa.array(shape[doc]), values], _ITEM)
 
         window = np.zeros(len(size), dtype=np.uint64)
         usable = np.zeros(len(size), dtype=bool)
@@ -218,14 +268,14 @@ def _item_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             plain = np.zeros(len(doc_of), dtype=np.uint64)
             plain[at[names == 0]] = code[names == 0]
             usable[doc], window[doc] = True, plain[at]
-            yield rows(doc, TEMPLATE, np.full(len(at), n), h, code, plain[at])
-        item, n, code = _whole_codes(batch.column("text"), SEQUENCE)
-        window[item[~usable[item]]] = code[~usable[item]]
-        short = ~usable[item] | (size[item] <= WINDOW)
-        yield rows(item[short], SEQUENCE, n[short], code[short], code[short], window[item[short]])
-        item, n, code = _whole_codes(batch.column("text"), CHARACTERS)
-        short = ~usable[item] | (size[item] <= WINDOW)
-        yield rows(item[short], CHARACTERS, n[short], code[short], code[short], window[item[short]])
+            yield rows(doc, TEMPLATE, np.full(len(at), n), h, code, plain[at], at=at - words.first[doc], values=slots.values(at, names, n))
+        for kind in (SEQUENCE, CHARACTERS):
+            item, n, code = _whole_codes(batch.column("text"), kind)
+            if kind == SEQUENCE:
+                window[item[~usable[item]]] = code[~usable[item]]
+            short = ~usable[item] | (size[item] <= WINDOW)
+            item, n, code = item[short], n[short], code[short]
+            yield rows(item, kind, n, code, code, window[item], at=np.zeros(len(item)), values=_no_values(len(item)))
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,6 +283,44 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch.filter(pc.equal(batch.column("kind"), TEMPLATE)).select(["item_id", "n", "template", "code"])
 
 
+def agreeing_windows(windows_: list[int], item_at: list[int], text_at: list[int], item_values: list[list[int]], text_values: list[list[int]]) -> int:
+    """How many of an item's windows a text holds with its slots filled consistently.
+
+    Each place where the item may have been copied to gives a mapping of the item's values to the text's,
+    one to one: first from the windows at that very place, in their order, then from the others, the
+    nearest first. A window agrees if its values do. Windows near that place which hold the item's words
+    and contradict the mapping are taken off the agreeing ones. The best place counts, or the number of
+    windows that are the item's own, values included, if that is higher.
+    """
+    own = len({w for w, a, b in zip(windows_, item_values, text_values, strict=True) if a == b})
+    shift = [t - i for t, i in zip(text_at, item_at, strict=True)]
+    best, every = own, len(set(windows_))
+    for place in sorted(set(shift)):
+        if best == every:
+            break
+        there, back, agree, contrary = {}, {}, set(), set()
+        for k in sorted(range(len(shift)), key=lambda k: (abs(shift[k] - place), text_at[k], item_at[k])):
+            pairs = list(zip(item_values[k], text_values[k], strict=True))
+            if all(there.get(a, b) == b and back.get(b, a) == a for a, b in pairs):
+                there.update(pairs)
+                back.update((b, a) for a, b in pairs)
+                agree.add(windows_[k])
+            elif abs(shift[k] - place) <= SLACK:
+                contrary.add(windows_[k])
+        best = max(best, len(agree) - len(contrary - agree))
+    return best
+
+
+def _judge_pairs(key: tuple, table: pa.Table) -> pa.Table:
+    part = {c: table.column(c).to_pylist() for c in ("window", "item_at", "at", "item_values", "values", "part")}
+    # Texts of rows that share a doc_id follow each other from afar.
+    first = {t: k << 40 for k, t in enumerate(sorted(set(part["part"])))}
+    at = [a + first[t] for a, t in zip(part["at"], part["part"], strict=True)]
+    found = agreeing_windows(part["window"], part["item_at"], at, part["item_values"], part["values"])
+    kinds = [table.schema.field(c).type for c in ("doc_id", "group")]
+    return pa.table({"doc_id": pa.array([key[0].as_py()], kinds[0]), "group": pa.array([key[1].as_py()], kinds[1]), "n_windows": pa.array([found], pa.int64())})
+
+
 def _bitmap(items: DataFrame) -> np.ndarray:
     place = F.pmod("template", F.lit(BITMAP_BITS))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
@@ -243,16 +331,30 @@ def _bitmap(items: DataFrame) -> np.ndarray:
     return bits
 
 
+def _met(found: DataFrame, held: DataFrame) -> DataFrame:
+    """Documents' windows with the items' windows of the same code. Either side may have a code often."""
+    if held.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
+        return found.join(F.broadcast(held), "code")
+    salted = found.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "at"), F.lit(SALTS)))
+    every = held.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(every, ["code", "_salt"]).drop("_salt")
+
+
 def _group_hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """doc_id, group, size, n_windows, share of every group that a document covers far enough, and
-    the items of each group. Items of the same windows are a group, named by the smallest of them."""
+    the items of each group. Items of the same windows and recurring values are a group, named by the
+    smallest of them."""
     spark = docs.sparkSession
     windows_of_items = benchmark.select("item_id", "text").filter(F.col("item_id").isNotNull())
     kind = dict(benchmark.dtypes)["item_id"]
-    items = store(windows_of_items.mapInArrow(_item_codes, f"item_id {kind}, kind int, n int, template long, code long, window long"))
-    members = store(items.groupBy("item_id").agg(F.sort_array(F.collect_set(F.struct("window", "code"))).alias("codes")))
-    groups = store(members.groupBy("codes").agg(F.min("item_id").alias("group"), F.count("*").alias("size")))
-    held_by = groups.select("group", F.inline("codes"))
+    items = store(windows_of_items.mapInArrow(_item_codes, f"item_id {kind}, kind int, n int, template long, code long, window long, at long, shape long, values array<long>"))
+    members = store(items.groupBy("item_id").agg(F.sort_array(F.collect_set(F.struct("window", "code"))).alias("codes"), F.max("shape").alias("shape")))
+    groups = store(members.groupBy("codes", "shape").agg(F.min("item_id").alias("group"), F.count("*").alias("size")))
+    held = store(
+        items.join(groups.select(F.col("group").alias("item_id"), F.col("group")), "item_id")
+        .select("group", "code", "window", F.col("at").alias("item_at"), F.col("values").alias("item_values"))
+        .distinct()
+    )
     total = groups.select("group", "size", F.size(F.array_distinct("codes.window")).alias("of"))
     asked_for = sorted((r["kind"], r["n"]) for r in items.select("kind", "n").distinct().collect())
     lengths = {k: [n for kind, n in asked_for if kind == k] for k in (TEMPLATE, SEQUENCE, CHARACTERS)}
@@ -260,41 +362,50 @@ def _group_hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
+
+        def known_to(h: np.ndarray) -> np.ndarray:
+            place = (h % np.uint64(BITMAP_BITS)).astype(np.int64)
+            return (bits[place >> 6] >> (place & 63)) & 1 == 1
+
         for batch in slabs(batches):
             words = words_of(batch.column("text"))
-            docs_, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
 
-            def known_to(h: np.ndarray) -> np.ndarray:
-                place = (h % np.uint64(BITMAP_BITS)).astype(np.int64)
-                return (bits[place >> 6] >> (place & 63)) & 1 == 1
+            def rows(units: Words, at: np.ndarray, code: np.ndarray, values: pa.Array, batch: pa.RecordBatch = batch) -> pa.RecordBatch:
+                doc = units.doc[at]
+                ids = [batch.column(c).take(pa.array(doc)) for c in ("doc_id", "part")]
+                return pa.RecordBatch.from_arrays([*ids, pa.array(at - units.first[doc]), pa.array(code.view(np.int64)), values], ["doc_id", "part", "at", "code", "values"])
 
-            doc_of = words.doc
             for n, at, names, h, slots in window_codes(words, lengths[TEMPLATE]):
-                held = known_to(h)
-                codes.append(slots.with_pattern(at[held], names[held], h[held], n))
-                docs_.append(doc_of[at[held]])
+                hit = known_to(h)
+                at, names, h = at[hit], names[hit], h[hit]
+                if len(at):
+                    yield rows(words, at, slots.with_pattern(at, names, h, n), slots.values(at, names, n))
             for k in (SEQUENCE, CHARACTERS):
                 if not lengths[k] or (k == CHARACTERS and not _unspaced(words.data).any()):
                     continue
                 units = words if k == SEQUENCE else _characters(words.data, words.bounds)
                 value = template(units)[1] if k == SEQUENCE else span_hashes(LOWER[units.data], units.starts, units.ends)
-                of_unit = units.doc
                 for n in lengths[k]:
                     at, h = _exact(units, value, k, n)
-                    held = known_to(h)
-                    codes.append(h[held])
-                    docs_.append(of_unit[at[held]])
-            code, doc = np.concatenate(codes), np.concatenate(docs_)
-            if len(code):
-                pairs = np.unique(np.rec.fromarrays([doc, code]))
-                columns = [batch.column("doc_id").take(pa.array(pairs.f0)), pa.array(pairs.f1.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "code"])
-
-    known = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    found = known.mapInArrow(asked, f"doc_id {dict(docs.dtypes)['doc_id']}, code long")
-    counted = found.join(held_by, "code").groupBy("doc_id", "group").agg(F.count_distinct("window").alias("n_windows"))
-    share = counted.join(total, "group").withColumn("share", F.col("n_windows") / F.col("of"))
-    return share.filter(F.col("share") >= COVERAGE).select("doc_id", "group", "size", "n_windows", "share"), members.join(groups, "codes").select("group", "item_id")
+                    hit = known_to(h)
+                    if n == 1:
+                        hit[hit] = _whole_lines(units, at[hit], n)
+                    if hit.any():
+                        yield rows(units, at[hit], h[hit], _no_values(int(hit.sum())))
+
+    known = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("part"), "text")
+    id_kind = dict(docs.dtypes)["doc_id"]
+    found = known.mapInArrow(asked, f"doc_id {id_kind}, part long, at long, code long, values array<long>")
+    met = store(_met(found, held))
+    pair = ["doc_id", "group"]
+    most = met.groupBy(*pair).agg(F.count_distinct("window").alias("n_windows"), F.max(F.size("item_values")).alias("slots"))
+    able = store(most.join(total, "group").filter(F.col("n_windows") / F.col("of") >= COVERAGE))
+    # Slots are compared only where enough windows hit at all.
+    open_ = met.join(able.filter("slots > 0").select(*pair), pair, "left_semi")
+    judged = open_.groupBy(*pair).applyInArrow(_judge_pairs, f"doc_id {id_kind}, group {kind}, n_windows long")
+    settled = able.filter("slots = 0").select(*pair, "n_windows").unionByName(judged)
+    share = settled.join(total, "group").withColumn("share", F.col("n_windows") / F.col("of"))
+    return share.filter(F.col("share") >= COVERAGE).select("doc_id", "group", "size", "n_windows", "share"), members.join(groups, ["codes", "shape"]).select("group", "item_id")
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
