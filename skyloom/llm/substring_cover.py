@@ -9,7 +9,9 @@ it is the same anchor. Documents with an anchor that another document has too th
 hash the windows around their shared anchors, and the least doc_id of each window is found.
 
 Hashes and documents travel as packed arrays, each slab sending a hash once however many documents
-hold it. A text moves only if its document shares an anchor, and again if it loses a word.
+hold it. A text moves only if its document shares an anchor, and again if it loses a word. Windows of
+different documents are told apart by 128 bits of hash; which windows of its own a document loses, it is
+told by 64.
 
 Defined cases: doc_id is an integer; a null text has no words; a row with a null doc_id keeps all
 words and takes none from others; rows with one doc_id are one document; texts of fewer than
@@ -25,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.exchange import DECIDED, PACKED, PAIRS, SHARED, judged, packed
-from skyloom.llm.frames import fan_out, sieve_of, sieved
+from skyloom.llm.exchange import DECIDED, PACKED, PAIRS, SHARED, judged, packed, parts_for
+from skyloom.llm.frames import sieve_of, sieved
 from skyloom.llm.text import LARGE_SLAB_BYTES, Words, slabs, windows, word_hashes, words_of
 from skyloom.session import store
 
@@ -44,13 +46,14 @@ def anchors(hashes: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     return at[chosen], h[chosen]
 
 
-def _distinct(hashes: np.ndarray, docs: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct (hash, document) pairs, sorted by hash and then document."""
-    order = np.lexsort((docs, hashes))
-    h, d = hashes[order], docs[order]
-    new = np.ones(len(h), dtype=bool)
-    new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-    return h[new], d[new], *(m[order][new] for m in more)
+def _distinct(hashes: np.ndarray, docs: np.ndarray, checks: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Distinct (hash, check, document) triples, sorted in this order; without checks, pairs."""
+    columns = (hashes, docs) if checks is None else (hashes, checks, docs)
+    order = np.lexsort(columns[::-1])
+    out = tuple(c[order] for c in columns)
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in out])
+    return tuple(c[new] for c in out)
 
 
 def _by(values: np.ndarray, parts: int) -> np.ndarray:
@@ -70,11 +73,11 @@ def _send_anchors(parts: int):
             several = np.append(edge, False) | np.insert(edge, 0, False)
             alone = ~several
             order = np.argsort(d[alone], kind="stable")  # runs of one document compress well
-            yield packed(PAIRS, parts, _by(h[alone][order], parts), h[alone][order], d[alone][order])
+            yield from packed(PAIRS, parts, _by(h[alone][order], parts), h[alone][order], d[alone][order])
             if several.any():
-                yield packed(DECIDED, parts, d[several] % parts, h[several], d[several])
+                yield from packed(DECIDED, parts, d[several] % parts, h[several], d[several])
                 known = np.unique(h[several])
-                yield packed(SHARED, parts, _by(known, parts), known, np.zeros(len(known), np.int64))
+                yield from packed(SHARED, parts, _by(known, parts), known, np.zeros(len(known), np.int64))
 
     return send
 
@@ -117,15 +120,15 @@ def _send_windows(parts: int):
             start, one = windows(hashes, words.first, WINDOW, salt=0)
             two = windows(hashes, words.first, WINDOW, salt=2)[1]
             chosen = near[start]
-            one, d, two = _distinct(one[chosen], ids[words.doc[start[chosen]]], two[chosen])
+            one, two, d = _distinct(one[chosen], ids[words.doc[start[chosen]]], two[chosen])
             if not len(one):
                 continue
-            first = np.concatenate([[True], one[1:] != one[:-1]])
+            first = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
             order = np.argsort(d[first], kind="stable")
             h, k, c = one[first][order], d[first][order], two[first][order]
-            yield packed(PAIRS, parts, _by(h, parts), h, k, c)
+            yield from packed(PAIRS, parts, _by(h, parts), h, k, c)
             if not first.all():
-                yield packed(DECIDED, parts, d[~first] % parts, one[~first], d[~first])
+                yield from packed(DECIDED, parts, d[~first] % parts, one[~first], d[~first])
 
     return send
 
@@ -175,9 +178,9 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """Per document its doc_id, kept words joined by single spaces, n_words and n_removed."""
-    parts = fan_out(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = texts.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    parts = parts_for(known)
     shared = store(judged(known.mapInArrow(_send_anchors(parts), PACKED), parts, _in_several))
     extended = _with_answers(known, shared, every=False)
     removed = store(judged(extended.mapInArrow(_send_windows(parts), PACKED), parts, _not_least))
