@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from skyloom.llm.text import LARGE_SLAB_BYTES, Words, mix, powers, slabs, word_hashes, words_of
-from skyloom.session import cut_lineage
+from skyloom.session import cut_lineage, store
 
 #: Rows a model is fitted on, at most, shared evenly by the languages; the least by hash are taken.
 SAMPLE_ROWS = 8_000
@@ -212,10 +212,10 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 def fit_space(texts: DataFrame) -> Space:
     """Features and their inverse document frequencies over all of ``texts`` (text)."""
-    counted = texts.select("text").mapInArrow(_document_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counted = store(texts.select("text").mapInArrow(_document_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "frequencies")
     docs = counted.filter("bucket < 0").select("n").first()
     used = counted.filter(f"bucket >= 0 AND n >= {LEAST_DOCUMENTS}")
-    rows = cut_lineage(used.orderBy(F.col("n").desc(), "bucket").limit(FEATURES)).collect()  # at most FEATURES rows
+    rows = used.orderBy(F.col("n").desc(), "bucket").limit(FEATURES).collect()
     keep = np.full(BUCKETS, -1, dtype=np.int32)
     keep[[r["bucket"] for r in rows]] = np.arange(len(rows))
     total = docs["n"] if docs else 0
