@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.llm import cube_mix, line_chunks, near_dups, quality_trees, template_decontam
-from skyloom.llm.frames import without_ids
+from skyloom.llm.frames import in_small_batches, without_ids
 from skyloom.llm.labels import held_out
 from skyloom.session import load_table, store
 
 
+@in_small_batches
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     labels = load_table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 3, 1))
@@ -33,6 +34,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.filter("_score >= 0.5").select("row.*")
 
 
+@in_small_batches
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages of lines go from the texts; a document of which no word is left goes too."""
     left = line_chunks.without_repeats(docs)
@@ -44,17 +46,20 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.filter(~emptied).select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
+@in_small_batches
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
     judged = near_dups.near_duplicates(docs)
     return without_ids(docs, store(judged.filter("NOT kept").select("doc_id")))
 
 
+@in_small_batches
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items go."""
     return template_decontam.decontaminate(docs, load_table(spark, sf_dir, "benchmark"))
 
 
+@in_small_batches
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How often each document is taken so that sources come to their target weights."""
     return cube_mix.mix_documents(docs)

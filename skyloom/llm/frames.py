@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,22 @@ from skyloom.session import cut_lineage, store
 SIEVE_ROWS = 1 << 16
 
 
+#: Bytes of rows that are handed to Python at once; one longer row is handed over alone.
+BATCH_BYTES = 8 << 20
+
+
+def in_small_batches(job):
+    """Run a job, whose first argument is the session, with Arrow batches bounded by ``BATCH_BYTES``: a
+    batch of a fixed number of long texts would be held several times over, on both sides."""
+
+    @functools.wraps(job)
+    def bounded(spark: SparkSession, *args, **kwargs):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return job(spark, *args, **kwargs)
+
+    return bounded
+
+
 def doc_words(text: Column) -> Column:
     """Words of a text as an array; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skyloom.llm import cube_mix, filter_audit, language_id, line_chunks, near_dups, quality_trees, rule_lists, substring_cover, template_decontam, toxicity_nb, trie_tokens, url_cascade, vector_codes
+from skyloom.llm.frames import in_small_batches
 from skyloom.llm.labels import held_out
 from skyloom.session import load_table
 
@@ -18,7 +19,7 @@ ORACLES: dict[str, str] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    QUERIES[build.__name__] = in_small_batches(build)
     return build
 
 

@@ -6,12 +6,16 @@ the runs of bytes other than 0x20 and 0x09-0x0D, so no text is decoded and none
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
+#: Of the C library, where it has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 SLAB_BYTES = 1 << 20
 #: For work that is shared between equal words or windows of a slab.
 LARGE_SLAB_BYTES = 4 << 20
@@ -77,6 +81,14 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, bounds - bounds[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Workers live on from stage to stage, and share an executor with
+    others and with the JVM; what their allocators hold on to is lost to these."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slabs(batches: Iterable[pa.RecordBatch], size: int | None = None, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Split batches so that each holds about ``size`` (``SLAB_BYTES``) bytes of text, or one longer
     document."""
@@ -88,7 +100,7 @@ def slabs(batches: Iterable[pa.RecordBatch], size: int | None = None, column: st
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
-        pa.default_memory_pool().release_unused()  # workers live on, and two share an executor
+        give_back()
 
 
 def words_of(texts: pa.Array, lower: bool = False) -> Words:
