@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.frames import doc_words, let
+from skyloom.session import store
 
 FILTERS = "ABCDE"
 #: Steps of n filters are n * n! rows a part.
@@ -57,7 +58,8 @@ def mask_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.unhex(F.sha2(text, 256)).alias("digest"),
         own_failures(text).alias("own"),
     )
-    rows = judged.groupBy("id", "part", "digest", "own").agg(F.count("*").alias("n"))
+    # Some 60 bytes a document, so that texts are judged once.
+    rows = store(judged.groupBy("id", "part", "digest", "own").agg(F.count("*").alias("n")), "judged")
     first = rows.filter(F.col("id").isNotNull()).groupBy("digest").agg(F.min("id").alias("id"))
     marks = (
         labels.groupBy("doc_id")
