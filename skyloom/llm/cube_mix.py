@@ -4,9 +4,10 @@ Every document of a source is due ``target / source size`` copies: the whole par
 of them, the fraction is sampled. The sample is balanced on two totals, documents and words: the
 flight phase moves the inclusion probabilities of three documents at a time along the one
 direction that changes neither total, until one of them becomes 0 or 1. A block ends with at most
-two open documents; the open ones of all blocks fly again. In a source's last block a few documents of
-each size, halving, are left out of the flight: these and the last open ones land by falling size, the
-words of each made up for by the smaller ones, so a source misses its target by part of a small document.
+two open documents; the open ones of all blocks fly again. In a source's last block a ladder of documents,
+from the smallest up, is left out of the flight: these and the last open ones land by falling size, the
+words of each made up for by the smaller ones, so a source misses its target by part of a small document,
+unless one document outweighs all others.
 
 Blocks are small and dealt by a hash, so a source that holds a third of all rows is worked on by
 many tasks, and the open rows shrink several hundred times per round.
@@ -18,6 +19,7 @@ each for itself; other columns are ignored. Everything is drawn from hashes, so
 
 from __future__ import annotations
 
+import bisect
 import math
 import random
 from collections.abc import Sequence
@@ -30,8 +32,10 @@ from pyspark.sql import functions as F
 from skyloom.session import store
 
 BLOCK_ROWS = 1000
-#: Documents of each size, halving, that are kept for the landing.
-RUNGS = 4
+#: The landing keeps this many of the smallest documents, and holds each larger one's words so many times.
+RUNGS, ROOM = 4, 16
+#: With fewer documents left, the landing gives up their count.
+BOTH_TOTALS = 16
 #: A mix has one row per source on the driver; more than this is refused.
 MAX_SOURCES = 100_000
 _STATE = "doc_id {id}, source string, size long, u double, p double"
@@ -70,35 +74,48 @@ def _step(window: list[int], p: list[float], direction: list[float], u: float) -
 
 
 def _ladder(open_: list[int], size: list[int]) -> set[int]:
-    """Of the open documents, by index, a few of each size from the largest down, halving."""
-    left = sorted((k for k in open_ if size[k]), key=lambda k: (-size[k], k))
-    limit, steps = float(size[left[0]]) if left else 0.0, set()
-    while left:
-        limit /= 2
-        fits = [k for k in left if size[k] <= limit] or left[-RUNGS:]
-        steps.update(fits[:RUNGS])
-        left = fits[RUNGS:]
-    return steps
+    """Of the open documents, by index, as few as make up for each other: the smallest ones, and up from
+    there always the largest whose words the chosen ones hold ``ROOM`` times; where there is none, the
+    next one that the gap leaves."""
+    left = sorted((k for k in open_ if size[k]), key=lambda k: (size[k], k))
+    chosen, total = left[:RUNGS], float(sum(size[k] for k in left[:RUNGS]))
+    left = left[RUNGS:]
+    while left and total < ROOM * size[left[-1]]:
+        fits = bisect.bisect_right(left, total / ROOM, key=lambda k: size[k])
+        chosen.append(left.pop(max(fits - 1, 0)))
+        total += size[chosen[-1]]
+    return set(chosen)
+
+
+def _made_up(size: list[int], largest: int, smaller: list[int], room: list[float]) -> list[float]:
+    """How the smaller documents move when the largest goes up by one: by their room, so that neither
+    total changes, or only the words' when they are few or all of one size."""
+    s0, s1, s2 = (sum(r * size[k] ** n for r, k in zip(room, smaller, strict=True)) for n in range(3))
+    spread = s0 * s2 - s1 * s1
+    if len(smaller) < BOTH_TOTALS or spread <= 1e-9 * s0 * s2:
+        return [-size[largest] * r / s1 for r in room]
+    level, slope = (s2 - s1 * size[largest]) / spread, (s0 * size[largest] - s1) / spread
+    return [-r * (level + slope * size[k]) for r, k in zip(room, smaller, strict=True)]
 
 
 def _land(p: list[float], size: list[int], u: list[float], open_: list[int]) -> None:
     """Bring open documents to 0 or 1 by falling size. What one of them moves, all smaller ones that are
-    still open make up for in words; only the last has nobody left and is rounded."""
+    still open make up for; only the last has nobody left and is rounded to its nearer end."""
     order = sorted(open_, key=lambda k: (-size[k], u[k], k))
     draw = random.Random(repr([u[k] for k in order])).random
     for n, largest in enumerate(order):
         while 0 < p[largest] < 1:
             smaller = [k for k in order[n + 1 :] if size[k] and 0 < p[k] < 1]
+            if not smaller:
+                p[largest] = float(p[largest] + (draw() - 0.5) * 1e-9 > 0.5)
+                break
             room = [p[k] * (1 - p[k]) for k in smaller]
-            moved = sum(r * size[k] for r, k in zip(room, smaller, strict=True))
-            direction = [1.0, *(-size[largest] * r / moved for r in room)]
-            _step([largest, *smaller], p, direction, draw())
+            _step([largest, *smaller], p, [1.0, *_made_up(size, largest, smaller, room)], draw())
 
 
 def fly(p: list[float], size: list[int], u: list[float], land: bool) -> list[float]:
-    """Inclusion probabilities after the flight; with ``land`` all of them are 0 or 1. Landing gives up
-    the count of documents: the flight leaves it a ladder of documents of falling size, so that the last
-    one, whose words cannot be made up for, is a small one."""
+    """Inclusion probabilities after the flight; with ``land`` all of them are 0 or 1. The flight leaves
+    the landing a ladder of documents, which gives up the count of documents only near its end."""
     p, window = list(p), []
     ladder = _ladder([k for k in range(len(p)) if 0 < p[k] < 1], size) if land else set()
     for new in range(len(p)):

@@ -255,23 +255,26 @@ def test_mix_meets_targets_and_reruns_agree(spark, monkeypatch):
     assert again.columns == docs.columns and again.count() == sum(r["copies"] for r in got)
 
 
-@pytest.mark.parametrize("seed", range(5))
+@pytest.mark.parametrize("seed", range(8))
 def test_landing_misses_by_a_small_document(seed):
-    """Few documents of very different sizes, as a small source has them."""
+    """Documents of very different sizes: words and documents of a source come out as they are due."""
     r = random.Random(seed)
-    for n in (40, 50, 200):
-        size = [int(r.paretovariate(0.8) * 20) % 6000 + 1 for _ in range(n)]
-        p = [r.random() * 0.8 + 0.1] * n
-        landed = cube_mix.fly(p, size, [r.random() for _ in size], True)
-        missed = sum(a * b for a, b in zip(landed, size, strict=True)) - p[0] * sum(size)
-        assert set(landed) <= {0.0, 1.0} and abs(missed) <= sorted(size)[n // 5], (n, missed, sorted(size))
+    for n in (120, 300, 900):
+        size = [min(5000, int(r.lognormvariate(5.3, 1.1))) + 1 for _ in range(n)]
+        share = r.random() * 0.8 + 0.1
+        landed = cube_mix.fly([share] * n, size, [r.random() for _ in size], True)
+        missed = sum(a * b for a, b in zip(landed, size, strict=True)) - share * sum(size)
+        assert set(landed) <= {0.0, 1.0} and abs(missed) <= sorted(size)[n // 10] and abs(sum(landed) - share * n) < 6
+    size = [9000, *[r.randint(20, 60) for _ in range(20)]]  # one document outweighs all others
+    landed = cube_mix.fly([0.4] * 21, size, [r.random() for _ in size], True)
+    assert abs(sum(a * b for a, b in zip(landed, size, strict=True)) - 0.4 * sum(size)) <= 4500
 
 
 def test_landing_keeps_expectations():
     r = random.Random(2)
-    size = [5, 900, 40, 41, 39, 0, 300, 3, 2, 1]
-    hits = sum(np.array(cube_mix.fly([0.37] * 10, size, [r.random() for _ in size], True)) for _ in range(4000)) / 4000
-    assert np.abs(hits - 0.37).max() < 0.04
+    size = [r.randint(1, 400) for _ in range(60)] + [0, 0]
+    hits = sum(np.array(cube_mix.fly([0.37] * 62, size, [r.random() for _ in size], True)) for _ in range(1500)) / 1500
+    assert abs(hits.mean() - 0.37) < 0.02 and np.abs(hits - 0.37).max() < 0.2 and np.abs(hits - 0.37).mean() < 0.04
 
 
 def test_sources_of_a_mix_come_near_their_targets(spark):
@@ -294,8 +297,10 @@ def test_sources_of_a_mix_come_near_their_targets(spark):
     for r in cube_mix.mix_documents(docs).collect():
         assert math.isclose(r["target"], due[source[r["doc_id"]]]) and r["source_size"] == size[source[r["doc_id"]]]
         taken[source[r["doc_id"]]] += r["taken"]
-    smallest = {s: sorted(len(words_of(d["text"])) for d in rows if d["source"] == s and words_of(d["text"])) for s in size}
-    assert all(abs(taken[s] - due[s]) <= max(0.01 * due[s], smallest[s][0]) for s in size), {s: (taken[s], due[s]) for s in size}
+    print({s: (taken[s], round(due[s])) for s in size})
+    # Fifty documents a source here, of 1 to some 5,000 words.
+    assert all(abs(taken[s] - due[s]) <= 0.03 * due[s] for s in size), {s: (taken[s], due[s]) for s in size}
+    assert sum(abs(taken[s] - due[s]) for s in size) <= 0.005 * sum(size.values())
 
 
 def test_mix_hard_cases(spark, hard, empty):
