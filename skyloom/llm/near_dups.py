@@ -9,28 +9,30 @@ A bucket is not expanded into all its pairs. Its members meet one hub first; wha
 is one component and needs no further comparison inside itself. Buckets that still hold several
 components get another hub. What is open after ``HUB_ROUNDS`` falls into clusters around hubs. Inside
 a cluster sets are compared block by block in a task, which writes out the links that join
-components and no pairs. Across clusters nodes meet where they share one of their rarest shingles,
-which two sets of the asked similarity must. Members that merely share a common passage are never
-written out as pairs, and none that could join two components stays unasked. The first look at a
-pair, by one bit of each hash value, is part of the join's condition.
+components and no pairs. Blocks are dealt by the size of their sets, so only those meet whose sizes the
+threshold allows, and signatures are compared as above before any set. Across clusters nodes meet where
+they share one of their rarest shingles, which two sets of the asked similarity must. Members that
+merely share a common passage are never written out as pairs, and none that could join two components
+stays unasked. The first look at a pair, by one bit of each hash value, is part of the join's condition.
 
 At a similarity of just the threshold a pair shares no band with probability (1 - 0.8^6)^40 = 5e-6.
 
 Defined cases: a text with fewer words than a shingle is one shingle; one without words, or null,
 has an empty set and links to nothing; a row with a null doc_id links to nothing, its component is
-null and it is kept; rows that share a doc_id are judged each by its own text; an empty table gives
-an empty result; other columns are ignored. Sets are told apart by 64-bit hashes.
+null and it is kept; rows that share a doc_id are judged each by its own text; very long texts
+are one set each, read whole; an empty table gives an empty result; other columns are ignored. Sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from skyloom.llm.components import components
 from skyloom.llm.exchange import binaries, joined
@@ -152,26 +154,35 @@ def _sign(n: int):
 
 
 def _full_sets(n: int):
+    """Sets of the texts that are what they are wanted for: a text of its node."""
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches):
             found, bounds = shingles(words_of(batch.column("text"), lower=True), n)
-            yield pa.RecordBatch.from_arrays([pa.array(set_codes(found, bounds)), binaries(found, bounds)], ["node", "members"])
+            codes = set_codes(found, bounds)
+            made = pa.RecordBatch.from_arrays([pa.array(codes), binaries(found, bounds)], ["node", "members"])
+            yield made.filter(pa.array(codes == batch.column("wanted").to_numpy()))
 
     return sets
 
 
+def _agreeing(one: np.ndarray, two: np.ndarray, least: list[int]) -> np.ndarray:
+    """Which rows of two signature arrays stay likely, batch by batch."""
+    open_, equal = np.arange(len(one)), np.zeros(len(one), dtype=np.int64)
+    for k, fewest in enumerate(least):
+        part = slice(k * BATCH, (k + 1) * BATCH)
+        equal[open_] += (one[open_, part] == two[open_, part]).sum(axis=1)
+        open_ = open_[equal[open_] >= fewest]
+    return open_
+
+
 def _likely(threshold: float):
     least = fewest_matches(threshold)
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = (joined(batch.column(c), np.uint8).reshape(-1, BANDS * ROWS) for c in ("sa", "sb"))
-            open_, equal = np.arange(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64)
-            for k, fewest in enumerate(least):
-                part = slice(k * BATCH, (k + 1) * BATCH)
-                equal[open_] += (one[open_, part] == two[open_, part]).sum(axis=1)
-                open_ = open_[equal[open_] >= fewest]
-            yield batch.select(["a", "b"]).take(pa.array(open_))
+            yield batch.select(["a", "b"]).take(pa.array(_agreeing(one, two, least)))
 
     return likely
 
@@ -271,46 +282,73 @@ def _common(members: pa.ChunkedArray) -> np.ndarray:
 
 
 def _forest(percent: int):
-    """Links of one block of a cluster that join two components, no more than a spanning forest."""
+    """Links of one or two blocks of a cluster that join two components, no more than a spanning forest."""
+    least = fewest_matches(percent / 100)
 
     def links(table: pa.Table) -> pa.Table:
         size = table.column("n_shingles").to_numpy()
         component, block = table.column("component").to_numpy(), table.column("block").to_numpy()
-        common = _common(table.column("members"))
-        fits = 100 * common >= percent * (size[:, None] + size[None, :] - common)
-        fits &= component[:, None] != component[None, :]
+        signature = joined(table.column("signature").combine_chunks(), np.uint8).reshape(-1, BANDS * ROWS)
+        one, two = np.triu_indices(len(size), 1)
+        able = component[one] != component[two]
+        able &= 100 * np.minimum(size[one], size[two]) >= percent * np.maximum(size[one], size[two])
         if len(np.unique(block)) > 1:  # pairs inside one block are another group's
-            fits &= block[:, None] != block[None, :]
-        root = {c: c for c in component.tolist()}
-
-        def find(c: int) -> int:
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
+            able &= block[one] != block[two]
+        one, two = one[able], two[able]
+        step = 1 << 16
+        likely = [_agreeing(signature[one[k : k + step]], signature[two[k : k + step]], least) + k for k in range(0, len(one), step)]
+        at = np.concatenate([np.zeros(0, dtype=np.int64), *likely])
+        one, two = one[at], two[at]
+        asked, place = np.unique(np.concatenate([one, two]), return_inverse=True)
         chosen = []
-        for i, j in np.argwhere(np.triu(fits)).tolist():
-            one, two = find(int(component[i])), find(int(component[j]))
-            if one != two:
-                root[one] = two
-                chosen.append((i, j))
-        at = np.array(chosen, dtype=np.int64).reshape(-1, 2)
+        if len(asked):
+            common = _common(table.column("members").take(pa.array(asked)))[place[: len(one)], place[len(one) :]]
+            fits = 100 * common >= percent * (size[one] + size[two] - common)
+            root = {c: c for c in component.tolist()}
+
+            def find(c: int) -> int:
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            for i, j in zip(one[fits].tolist(), two[fits].tolist(), strict=True):
+                x, y = find(int(component[i])), find(int(component[j]))
+                if x != y:
+                    root[x] = y
+                    chosen.append((i, j))
+        pair = np.array(chosen, dtype=np.int64).reshape(-1, 2)
         node = table.column("node").to_numpy()
-        return pa.table({"a": node[at[:, 0]], "b": node[at[:, 1]]})
+        return pa.table({"a": node[pair[:, 0]], "b": node[pair[:, 1]]})
 
     return links
 
 
-def _linked_in_clusters(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one cluster, compared block by block inside tasks: pairs are not
-    written out. A cluster of n nodes sends each of them to n / ``BLOCK_NODES`` groups."""
-    blocks = rest.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"), F.count("*").alias("n")).filter("n > 1")
-    dealt = rest.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    placed = dealt.select("cluster", "node", "n_shingles", "component", "block", other)
-    placed = placed.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    held = placed.join(sets.select("node", "members"), "node")
+def _linked_in_clusters(rest: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one cluster (cluster, node, n_shingles, component), compared block by
+    block inside tasks: pairs are not written out. Sets of the asked similarity differ in size by less
+    than a step of ``level``, so a block meets those of its own level and of the next."""
+    level = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(float(np.log(100 / percent)) * (1 + 1e-9))).cast("int")
+    several = rest.groupBy("cluster").agg(F.count("*").alias("n")).filter("n > 1").select("cluster")
+    leveled = rest.join(several, "cluster", "left_semi").select("cluster", "node", "n_shingles", "component", level.alias("level"))
+    blocks = leveled.groupBy("cluster", "level").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
+    along = Window.partitionBy("cluster").orderBy("level")  # some ninety levels hold sets of any size
+
+    def beside(way: Callable[..., Column], up: int) -> Column:
+        return F.when(way("level").over(along) == F.col("level") + up, way("blocks").over(along)).otherwise(0)
+
+    around = blocks.withColumns({"above": beside(F.lead, 1), "below": beside(F.lag, -1)})
+    dealt = leveled.join(around, ["cluster", "level"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+
+    def met(of: str, up: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(of) - 1), lambda k: F.struct((F.col("level") + up).alias("level"), k.alias("block")))
+
+    own = F.struct("level", "block")
+    none = F.array().cast("array<struct<level:int,block:int>>")
+    others = F.concat(met("blocks", 0), *[F.when(F.col(of) > 0, met(of, up)).otherwise(none) for of, up in (("above", 1), ("below", -1))])
+    placed = dealt.withColumn("own", own).withColumn("other", F.explode(others))
+    placed = placed.select("cluster", "node", "n_shingles", "component", F.xxhash64("own").alias("block"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    held = placed.join(sets.select("node", "members"), "node").join(nodes.select("node", "signature"), "node")
     return held.groupBy("cluster", "low", "high").applyInArrow(_forest(percent), "a long, b long")
 
 
@@ -340,7 +378,7 @@ def node_components(members: DataFrame, nodes: DataFrame, sets: DataFrame, perce
             one, two = (prefixes.withColumnsRenamed({c: f"{side}_{c}" for c in [*facts, "component", "cluster"]}) for side in "ab")
             apart = F.col("a_cluster") != F.col("b_cluster")
             pairs = one.join(two, "shingle").filter(possible & apart & (F.col("a_node") < F.col("b_node")))
-            inside = store(_linked_in_clusters(rest, sets, percent), "linked")
+            inside = store(_linked_in_clusters(rest, nodes, sets, percent), "linked")
             links = inside if links is None else links.unionByName(inside)
         else:
             drawn = F.max(F.struct("crowd", F.xxhash64("node").alias("h"), *facts, "component")).alias("hub")
@@ -358,26 +396,51 @@ def node_components(members: DataFrame, nodes: DataFrame, sets: DataFrame, perce
     return store(found, "components", outlive=True)
 
 
+def _signed(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n_shingles, node of every row, and one row per node with its signature."""
+    kind = dict(docs.dtypes)["doc_id"]
+    with scratch_scope(docs.sparkSession):
+        signed = store(docs.mapInArrow(_sign(shingle), f"doc_id {kind}, n_shingles long, node long, bands array<long>, signature binary, {', '.join(f'{b} long' for b in BITS)}"), "signed")
+        able = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+        wide = ["n_shingles", "bands", "signature", *BITS]
+        # Most nodes are one document: only those that may have copies are brought together.
+        copied = able.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
+        marked = sieved(able, sieve_of(copied, F.xxhash64("node")), F.xxhash64("node"), "_copied")
+        alone = marked.filter(~F.col("_copied")).select("node", F.col("doc_id").alias("least_id"), *wide)
+        several = marked.filter("_copied").groupBy("node").agg(F.min("doc_id").alias("least_id"), *[F.first(c).alias(c) for c in wide])
+        nodes = store(alone.unionByName(several), "nodes", outlive=True)
+        return store(signed.select("doc_id", "n_shingles", "node"), "rows", outlive=True), nodes
+
+
+def _full(texts: DataFrame, asked: DataFrame, shingle: int) -> DataFrame:
+    """One full set per node of ``asked`` (node, least_id), from a text of its least document."""
+    wanted = asked.select(F.col("node").alias("wanted"), F.col("least_id").alias("_id"))
+    some = sieved(texts, sieve_of(wanted, F.xxhash64("_id")), F.xxhash64("doc_id")).filter("_maybe").drop("_maybe")
+    held = some.join(wanted, F.col("doc_id") == F.col("_id")).withColumn("_text", F.xxhash64("text"))
+    # Equal rows make one set.
+    copy = F.row_number().over(Window.partitionBy("doc_id", "wanted", "_text").orderBy("_text"))
+    once = held.withColumn("_copy", copy).filter("_copy = 1").select("wanted", "text")
+    return once.mapInArrow(_full_sets(shingle), "node long, members binary")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row: documents link if ``100 * common >=
     percent * all`` of their shingles, and the component is the smallest doc_id reachable."""
     texts = docs.select("doc_id", "text")
-    kind = dict(docs.dtypes)["doc_id"]
-    signed = store(texts.mapInArrow(_sign(shingle), f"doc_id {kind}, n_shingles long, node long, bands array<long>, signature binary, {', '.join(f'{b} long' for b in BITS)}"))
-    able = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    nodes = store(able.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("signature").alias("signature"), *[F.first(b).alias(b) for b in BITS]))
-    keyed = nodes.select(F.explode("bands").alias("key"), "node", "n_shingles", *BITS)
-    shared = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    members = store(keyed.join(shared, "key"), "members")
+    rows, nodes = _signed(texts, shingle)
+    keyed = nodes.select(F.explode("bands").alias("key"), "node")
+    shared = store(keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"), "keys")
+    # Only the keys that may be shared are dealt out, and without what their nodes are like.
+    some = sieved(keyed, sieve_of(shared, F.xxhash64("key")), F.xxhash64("key")).filter("_maybe").select("key", "node")
+    members = store(some.join(shared, "key").join(nodes.select("node", "n_shingles", *BITS), "node"), "members")
     asked = members.select("node").distinct().join(nodes.select("node", "least_id"), "node")
-    ids = asked.select(F.col("least_id").alias("_id"))
-    some = sieved(texts, sieve_of(ids, F.xxhash64("_id")), F.xxhash64("doc_id")).filter("_maybe").select("text")
-    sets = store(some.mapInArrow(_full_sets(shingle), "node long, members binary").join(asked.select("node"), "node", "left_semi"), "sets")
+    sets = store(_full(texts, asked, shingle), "sets")
     with scratch_scope(docs.sparkSession):
         found = node_components(members, nodes, sets, percent)
     named = nodes.select("node", "least_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_node = store(named.join(least, "component").select("node", "component_id"), "components")
-    rows = able.select("doc_id", "n_shingles", "node").join(by_node, "node").select("doc_id", "n_shingles", "component_id")
-    rest = signed.filter(F.col("doc_id").isNull() | (F.col("n_shingles") == 0)).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return rows.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    able = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    linked = rows.filter(able).join(by_node, "node").select("doc_id", "n_shingles", "component_id")
+    rest = rows.filter(~able).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skyloom.llm import components, line_chunks, near_dups, substring_cover, template_decontam, text
+from skyloom.llm import components, exchange, frames, line_chunks, near_dups, substring_cover, template_decontam, text
 from skyloom.llm.frames import sieve_of, sieved, without_ids
 
 from .conftest import frame, prose, words_of
@@ -121,6 +121,32 @@ def test_near_duplicates_join_a_chain_across_hubs(spark, monkeypatch):
         assert sorted(map(tuple, got.collect())) == brute_near(rows, 2, 80)
 
 
+def test_a_node_has_one_set(spark, monkeypatch):
+    """Copies, rows that share an id and equal rows, with a sieve that lets everything through."""
+    monkeypatch.setattr(frames, "SIEVE_ROWS", 1)
+    a, b = prose(1, 80), prose(2, 80)
+    rows = [(k, a) for k in range(40)] + [(k, b) for k in range(40, 60)] + [(3, b), (3, b), (3, a), (70, prose(7, 80))]
+    docs = frame(spark, rows).select("doc_id", "text")
+    _, nodes = near_dups._signed(docs, 5)
+    assert nodes.count() == 3
+    sets = near_dups._full(docs, nodes.select("node", "least_id"), 5)
+    assert sorted(r["node"] for r in sets.collect()) == sorted(r["node"] for r in nodes.collect())
+
+
+def test_clusters_in_blocks_lose_no_link(spark, monkeypatch):
+    """Families of texts on one common passage, compared in small blocks of several levels."""
+    monkeypatch.setattr(near_dups, "BLOCK_NODES", 4)
+    monkeypatch.setattr(near_dups, "HUB_ROUNDS", 0)
+    r = random.Random(5)
+    passage, rows = prose(50, 60), []
+    for family in range(8):
+        base = passage + " " + prose(60 + family, 30 + 25 * family)
+        for _ in range(9):
+            rows.append((len(rows) * 3 % 73, edited(base, r, r.choice([0, 1, 4]))))
+    got = near_dups.near_duplicates(frame(spark, rows), shingle=2).collect()
+    assert sorted(tuple(x) for x in got) == sorted(brute_near(rows, 2, 80))
+
+
 def test_near_duplicates_hard_cases(spark, hard, empty):
     got = near_dups.near_duplicates(hard, 2, 80)
     by = collections.defaultdict(set)
@@ -167,6 +193,37 @@ def test_cover_anchors_every_equal_window():
     assert {(a - b) % substring_cover.PERIOD for a in substring_cover.COVER for b in substring_cover.COVER} == set(range(substring_cover.PERIOD))
 
 
+def test_arrays_beyond_the_bound_are_split(monkeypatch):
+    r = np.random.default_rng(1)
+    hashes, docs = r.integers(0, 2**63, 1000).astype(np.uint64), r.integers(0, 40, 1000)
+    part = docs % 3
+    part[:700] = 1  # one part holds more than a row can
+    for most in (50, 10**6):
+        monkeypatch.setattr(exchange, "MOST", most)
+        got = list(exchange.packed(exchange.PAIRS, 3, part, hashes, docs, hashes ^ np.uint64(5)))
+        assert all(b.column("hashes").nbytes < 8 * most + 99 * 8 for b in got) and (len(got) > 15) == (most == 50)
+        back = [[], [], []]
+        for b in got:
+            for p, h, c, d in zip(*(b.column(x).to_pylist() for x in ("part", "hashes", "checks", "docs"))):
+                back[p] += list(zip(*(np.frombuffer(x, dtype=np.int64).tolist() for x in (h, c, d))))
+        for p in range(3):
+            assert back[p] == list(zip(hashes[part == p].view(np.int64).tolist(), (hashes ^ np.uint64(5))[part == p].view(np.int64).tolist(), docs[part == p].tolist()))
+    monkeypatch.setattr(exchange, "MOST", 60)
+    told = [x for b in exchange.answers(docs, hashes) for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    assert [d for d, _ in told] == sorted(set(docs.tolist())) and sum(len(h) for _, h in told) == 8000
+    with pytest.raises(OverflowError):
+        exchange.binaries(hashes, np.array([0, 61]))
+
+
+def test_substrings_with_many_small_parts(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "PART_BYTES", 500)
+    monkeypatch.setattr(exchange, "MOST", 64)
+    base = prose(5, 300)
+    rows = [(k, prose(100 + k, 40) + " " + base[k * 9 : k * 9 + 500] + " " + prose(200 + k, 30)) for k in range(30)]
+    got = substring_cover.dedup_substrings(frame(spark, rows))
+    assert sorted(map(tuple, got.collect())) == brute_substrings(rows)
+
+
 def test_substrings_hard_cases(spark, hard, empty):
     got = {}
     for row in substring_cover.dedup_substrings(hard).collect():
@@ -319,6 +376,8 @@ def test_decontamination_finds_templates(spark):
     got = {r["doc_id"]: r for r in template_decontam.mark_contaminated(frame(spark, rows), bench).collect()}
     assert {d for d, r in got.items() if r["contaminated"]} == {1, 2, 4}
     assert got[2]["first_item"] == 5 and got[4]["first_item"] == 7 and got[3]["n_items"] == 0
+    assert not got[3]["contaminated"]
+    assert not marked(spark, [ITEM], [torn])[0]["contaminated"]  # half of its windows agree, the others contradict them
     pattern = [{r["code"] for r in spark.createDataFrame([(1, t)], "item_id long, text string").mapInArrow(template_decontam._item_windows, "item_id long, n int, template long, code long").collect()} for t in (ITEM, other, torn)]
     assert pattern[0] == pattern[1] and pattern[2] != pattern[0]
 
@@ -359,6 +418,105 @@ def test_every_item_is_found_word_for_word(spark):
     assert got[4]["n_items"] == 3 and got[0]["n_items"] == 1
 
 
+def test_rows_that_share_an_id_are_judged_together(spark):
+    bench = spark.createDataFrame([(5, ITEM)], "item_id long, text string")
+    half = ITEM.split()
+    other = ITEM.replace("Alice", "Robert")
+    rows = [(1, prose(1, 30)), (1, ITEM), (1, ITEM), (2, " ".join(half[:14])), (2, " ".join(half[10:])), (3, " ".join(half[:12])), (4, other), (4, prose(3, 20))]
+    got = template_decontam.mark_contaminated(frame(spark, rows), bench).collect()
+    assert len(got) == len(rows) and {(r["doc_id"], r["contaminated"]) for r in got} == {(1, True), (2, True), (3, False), (4, True)}
+    assert template_decontam.decontaminate(frame(spark, rows), bench).count() == 1
+
+
+def test_one_word_items_ask_for_a_line(spark):
+    texts = ["the Yes of it", "first\n yes! \nlast", "yes", "yes yes", "no\nyes\tyes", "都", "首都", "x\n都。\ny", "a\nyes"]
+    got = marked(spark, ["Yes", "都"], texts)
+    assert [got[k]["first_item"] for k in range(9)] == [None, 0, 0, None, None, 1, None, 1, 0]
+
+
+def brute_template(words):
+    """(literal, value) per word: the literal is None for a slot. No word opens a sentence but the first."""
+    out = []
+    for k, w in enumerate(words):
+        bare = w.strip(".,!?")
+        kind = "#" if bare[:1].isdigit() else "unit" if bare.lower() in template_decontam.UNITS else "name" if bare[:1].isupper() and len(bare) > 1 and k else None
+        out.append((kind or bare.lower(), bare.lower() if kind else None))
+    return out
+
+
+def brute_windows(words):
+    t = brute_template(words)
+    n = min(template_decontam.WINDOW, len(t))
+    found = []
+    for k in range(len(t) - n + 1):
+        part = t[k : k + n]
+        if sum(v is None for _, v in part) >= template_decontam.LEAST_LITERALS:
+            values = [v for _, v in part if v is not None]
+            found.append((k, tuple(x for x, _ in part), tuple(values.index(v) for v in values), values))
+    return found
+
+
+def brute_contaminated(item, words):
+    mine, text = brute_windows(item), brute_windows(words)
+    hits = [(k, a, va, vb) for k, (a, lit, pat, va) in enumerate(mine) for b, lit2, pat2, vb in text if lit == lit2 and pat == pat2]
+    keys = {k: (m[1], m[2]) for k, m in enumerate(mine)}
+    total = len(set(keys.values()))
+    same = {keys[k] for k, _, va, vb in hits if va == vb}
+    mapping = {}
+    for _, _, va, vb in hits:
+        for x, y in zip(va, vb):
+            mapping.setdefault(x, set()).add(y)
+    firm = all(len(v) == 1 for v in mapping.values()) and len({next(iter(v)) for v in mapping.values()}) == len(mapping)
+    return len(same) >= 0.5 * total or (firm and len({keys[k] for k, *_ in hits}) >= 0.5 * total)
+
+
+def test_decontamination_matches_brute_force(spark):
+    """Items copied, asked again with other values, torn, cut and mixed, one copy a text."""
+    r = random.Random(21)
+    names, plain = ["Alice", "Robert", "Maria", "Peter", "Susan", "Olga"], [f"w{chr(97 + k)}{chr(97 + k // 7)}s" for k in range(40)]
+    items = []
+    for k in range(25):
+        slots = r.sample(names, 2) + [str(r.randint(2, 99)) for _ in range(2)] + ["km"]
+        items.append([plain[(3 * k + j) % 40] if j % 3 or j == 0 else r.choice(slots) for j in range(r.randint(9, 30))])
+    texts = []
+    for k in range(150):
+        words = list(items[k % 25])
+        other = dict(zip(names, r.sample(names, 6), strict=True)) | {str(n): str(n + 100) for n in range(100)} | {"km": "miles"}
+        if k % 5:
+            words = [other.get(w, w) for w in words]
+        if k % 5 == 2:  # filled in differently somewhere
+            at = [j for j, w in enumerate(words) if w in names]
+            if at:
+                words[r.choice(at)] = "Zoe"
+        if k % 5 == 3:
+            words = words[: max(8, len(words) * 2 // 3)]
+        texts.append(["and", *[f"x{r.randrange(99)}y" for _ in range(9)], *words, *[f"z{r.randrange(99)}y" for _ in range(9)]])
+    got = marked(spark, [" ".join(i) for i in items], [" ".join(t) for t in texts])
+    want = {k: any(brute_contaminated(i, t) for i in items) for k, t in enumerate(texts)}
+    wrong = [k for k in want if want[k] != got[k]["contaminated"]]
+    # A torn copy is a matter of degree: windows that contradict the rest are taken off, here one is enough.
+    assert all(k % 5 == 2 for k in wrong) and len(wrong) <= 6, wrong
+    assert sum(want.values()) > 80 and all(got[k]["contaminated"] for k in want if k % 5 in (0, 1, 4))
+
+
+def test_copies_of_one_item_do_not_contradict_each_other():
+    at, values = list(range(6)), [[1], [1], [2], [2], [1], [3]]
+    one, two = [[11], [11], [12], [12], [11], [13]], [[21], [21], [22], [22], [21], [23]]
+    agree = template_decontam.agreeing_windows
+    assert agree(at, at, [100 + a for a in at], values, one) == 6
+    assert agree(at * 2, at * 2, [100 + a for a in at] + [500 + a for a in at], values * 2, one + two) == 6
+    torn = [[11], [11], [12], [12], [99], [13]]
+    assert agree(at, at, [100 + a for a in at], values, torn) == 4  # one contradicts, five agree
+    assert agree(at, at, [100 + a for a in at], values, [[11], [11], [11], [11], [11], [13]]) == 2  # two values become one
+    assert agree(at, at, [100 + a for a in at], values, values[:4] + [[8], [9]]) == 4  # word for word
+
+
+def test_large_benchmarks_meet_through_salted_keys(spark, monkeypatch):
+    before = {k: r["first_item"] for k, r in marked(spark, [ITEM, prose(9, 40)], [ITEM, prose(9, 40) + " x", prose(3, 50)]).items()}
+    monkeypatch.setattr(template_decontam, "BROADCAST_WINDOWS", 3)
+    assert before == {k: r["first_item"] for k, r in marked(spark, [ITEM, prose(9, 40)], [ITEM, prose(9, 40) + " x", prose(3, 50)]).items()} == {0: 0, 1: 1, 2: None}
+
+
 def test_readings_of_crowded_openers_stay_bounded(monkeypatch):
     batch = pa.array(["Yes we. No they. " * 300, "Go. " * 50])
     whole = [np.concatenate(x) for x in zip(*[(a, m, h) for _, a, m, h, _ in template_decontam.window_codes(text.words_of(batch), [8])])]
