@@ -13,14 +13,19 @@ from skyloom.session import load_table
 from skyloom.sources import grids as G
 
 BLOCK = 16
+#: Bytes of a packed value: the widest the reader takes.
+PACKED_BYTES = G.MAX_BITS // 8
 
 
 def _hex(value, width: int) -> Column:
+    """Hex text of so many bytes; a number that needs more is refused, as padding would cut it."""
     value = value if isinstance(value, Column) else F.lit(value)
-    return F.lpad(F.hex(value.cast("bigint")), 2 * width, "0")
+    digits = F.hex(value.cast("bigint"))
+    wide = F.raise_error(F.concat(digits, F.lit(f" is wider than {width} bytes")))
+    return F.when(F.length(digits) > 2 * width, wide).otherwise(F.lpad(digits, 2 * width, "0"))
 
 
-def _message(data: Column, field, *, surface, level, rows, nbits=16, reference="00000000",
+def _message(data: Column, field, *, surface, level, rows, nbits=8 * PACKED_BYTES, reference="00000000",
              binary=0, decimal=0, hour=0, span=None) -> Column:
     """Hex text of one message over a grid of four columns."""
     zeros = lambda n: F.lit("00" * n)
@@ -50,15 +55,15 @@ def message_files(spark, sf):
     e = load_table(spark, sf, "events")
     value = F.col("value")
     packed = {
-        "skin": value.cast("int") + 3000,
-        "air": (value * 10).cast("int") + 20000,
-        "wind": (value * 100).cast("int"),
-        "rain": (value * 16).cast("int"),
+        "skin": value.cast("bigint") + 3000,
+        "air": (value * 10).cast("bigint") + 20000,
+        "wind": (value * 100).cast("bigint"),
+        "rain": (value * 16).cast("bigint"),
     }
     blocks = e.groupBy(F.expr("event_id div 16").alias("block")).agg(
         # Sixteen rows per block.
         F.array_sort(
-            F.collect_list(F.struct("event_id", *[_hex(c, 2).alias(n) for n, c in packed.items()]))
+            F.collect_list(F.struct("event_id", *[_hex(c, PACKED_BYTES).alias(n) for n, c in packed.items()]))
         ).alias("rows")
     )
     data = {n: F.array_join(F.col(f"rows.{n}"), "") for n in packed}
