@@ -47,8 +47,8 @@ def build_series(
     return validate(tagged, CONTRACTS.get(contract))
 
 
-def silver_air(rows: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
-    return build_series(rows, STATION_AIR, station="station_id", source="cpcb", contract="cpcb", **kw)
+def silver_air(rows: DataFrame, contract: str | None = "cpcb", **kw) -> tuple[DataFrame, DataFrame]:
+    return build_series(rows, STATION_AIR, station="station_id", source="cpcb", contract=contract, **kw)
 
 
 def silver_weather(rows: DataFrame, source: str = "open-meteo-archive", **kw) -> tuple[DataFrame, DataFrame]:

@@ -22,7 +22,7 @@ def high(spark, sf, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["grid_message_scan", "select_by_level", "argmin_record", "forecast_assemble"])
+@pytest.mark.parametrize("name", ["grid_message_scan", "select_by_level", "argmin_record", "forecast_assemble", "silver_air"])
 def test_high_values(spark, high, name):
     duckdb = pytest.importorskip("duckdb")
     from check_oracle import compare
