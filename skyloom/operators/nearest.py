@@ -3,7 +3,8 @@
 Known points are grouped into a grid that halves twice per level. An unknown point walks
 down it: at each level it keeps only cells that can still hold one of its k nearest points,
 judged by cell bounds and cell counts. The kept cells per point stay few whatever the
-clustering, so the work grows with the points, not with their product.
+clustering, so the work grows with the points, not with their product. A point whose own place
+has a known row needs no walk: rows at the same place take all the weight.
 """
 
 from __future__ import annotations
@@ -22,6 +23,29 @@ DEEPEST = 12
 FAN_BITS = 2
 
 
+def place_estimates(
+    df: DataFrame,
+    columns: Sequence[str],
+    *,
+    lat: str,
+    lon: str,
+    tie: Sequence[str],
+    pool: Sequence[str] = (),
+    k: int = NEIGHBOURS,
+) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with a column per name of ``columns`` for what the known rows of the very same place
+    give, and the names of these columns, for ``fill_from_nearest``. One window per place: for frames
+    whose places are known to be small, best where their rows share a task already."""
+    ordered = Window.partitionBy(*pool, lat, lon).orderBy(*tie)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = {f"_first_{c}": F.when(F.count(c).over(so_far) <= k, F.col(c).cast("double")) for c in columns}
+    placed = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    settled = {c: f"_here_{c}" for c in columns}
+    here = {settled[c]: F.when(placed, F.avg(f"_first_{c}").over(whole)) for c in columns}
+    return df.withColumns(first).withColumns(here).drop(*first), settled
+
+
 def fill_from_nearest(
     df: DataFrame,
     columns: Sequence[str],
@@ -31,36 +55,47 @@ def fill_from_nearest(
     tie: Sequence[str],
     pool: Sequence[str] = (),
     k: int = NEIGHBOURS,
+    settled: dict[str, str] | None = None,
 ) -> DataFrame:
     """Fill missing values of each column by the inverse-distance mean of its k nearest known
     rows with the same ``pool`` columns.
 
     Rows at the very same coordinates take all the weight. Equally near rows are taken in
     the order latitude, longitude, ``tie``. Rows without coordinates stay as they are. The
-    estimates are one row per place and joined once for all columns.
+    estimates are one row per place and joined once for all columns. ``settled`` names, per column, the
+    one that holds what ``place_estimates`` found; these columns are dropped.
     """
+    settled = settled or {}
+    if settled:
+        found = {c: F.coalesce(F.col(c), F.col(here)) for c, here in settled.items()}
+        open_rows = {c: F.col(c).isNull() & F.col(here).isNull() for c, here in settled.items()}
+    else:
+        found, open_rows = {c: F.col(c) for c in columns}, {c: F.col(c).isNull() for c in columns}
     place = [F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")]
     names = [f"_t{i}" for i in range(len(tie))]
     pools = [f"p{i}" for i in range(len(pool))]
     own = [F.col(c).alias(p) for c, p in zip(pool, pools)]
+    located = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    lacking = located.agg(F.lit(0), *[F.count_if(open_rows[c]) for c in columns]).first()[1:]
+    searched = [c for c, n in zip(columns, lacking) if n]
+    if not searched:
+        return df.withColumns(found).drop(*settled.values())
     # A series is one column inside one pool; nothing below looks across series.
     cells = F.array(
         *[
-            F.struct(F.struct(F.lit(c).alias("name"), *own).alias("series"), F.col(c).cast("double").alias("value"))
-            for c in columns
+            F.struct(F.struct(F.lit(c).alias("name"), *own).alias("series"), F.col(c).cast("double").alias("value"), open_rows[c].alias("open"))
+            for c in searched
         ]
     )
-    long = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
+    long = located.select(
         *place, *[F.col(t).alias(n) for t, n in zip(tie, names)], F.inline(cells)
     )
     wanted = store(
-        long.where(F.col("value").isNull())
+        long.where(F.col("open"))
         .select("series", F.col("lat").alias("u_lat"), F.col("lon").alias("u_lon"))
         .distinct(),
         "wanted",
     )
-    if wanted.isEmpty():
-        return df
     same_place = Window.partitionBy("series", "lat", "lon").orderBy(*names)
     known = store(
         long.where(F.col("value").isNotNull())
@@ -71,18 +106,27 @@ def fill_from_nearest(
         .select("series", "lat", "lon", "value", "slot"),
         "known",
     )
-    estimates = nearest_estimates(wanted, known, k)
-    if estimates is None:
-        return df
+    if settled:
+        estimates = nearest_estimates(wanted, known, k)
+        if estimates is None:
+            return df.withColumns(found).drop(*settled.values())
+    else:
+        # Rows at the same place take all the weight; only the other places look around.
+        at = ["series", "u_lat", "u_lon"]
+        here = known.select("series", F.col("lat").alias("u_lat"), F.col("lon").alias("u_lon"), "value").join(wanted, at, "left_semi")
+        estimates = store(here.groupBy(*at).agg(F.avg("value").alias("_estimate")), "own_place")
+        others = store(wanted.join(estimates, at, "left_anti"), "others")
+        looked = None if others.isEmpty() else nearest_estimates(others, known, k)
+        estimates = estimates if looked is None else estimates.unionByName(looked)
     per_place = estimates.groupBy(*[F.col(f"series.{p}").alias(f"_{p}") for p in pools], "u_lat", "u_lon").agg(
-        *[F.max(F.when(F.col("series.name") == c, F.col("_estimate"))).alias(f"_estimate_{c}") for c in columns]
+        *[F.max(F.when(F.col("series.name") == c, F.col("_estimate"))).alias(f"_estimate_{c}") for c in searched]
     )
     here = (F.col(lat) == F.col("u_lat")) & (F.col(lon) == F.col("u_lon"))
     for c, p in zip(pool, pools):
         here = here & F.col(c).eqNullSafe(F.col(f"_{p}"))
     return df.join(per_place, here, "left").withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"_estimate_{c}")) for c in columns}
-    ).drop("u_lat", "u_lon", *[f"_{p}" for p in pools], *[f"_estimate_{c}" for c in columns])
+        found | {c: F.coalesce(found[c], F.col(f"_estimate_{c}")) for c in searched}
+    ).drop("u_lat", "u_lon", *[f"_{p}" for p in pools], *[f"_estimate_{c}" for c in searched], *settled.values())
 
 
 def nearest_estimates(wanted: DataFrame, known: DataFrame, k: int) -> DataFrame | None:

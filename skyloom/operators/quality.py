@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.scalars import circular_difference, join_flags
-from skyloom.operators.nearest import fill_from_nearest
-from skyloom.operators.ordered import CHUNK_ROWS, exact_quantiles, match_null_safe
+from skyloom.operators.nearest import fill_from_nearest, place_estimates
+from skyloom.operators.ordered import CHUNK_ROWS, exact_quantiles, match_null_safe, split_groups
 from skyloom.operators.series import (
     KNOWN_AFTER,
     KNOWN_BEFORE,
@@ -205,7 +205,8 @@ def quality_chain(
     total order of a series.
     """
     columns = [r.column for r in rules]
-    out = neighbourhood(df, columns, groups=groups, order=order, chunk_rows=chunk_rows)
+    layout = split_groups(df, groups, order, chunk_rows)
+    out = neighbourhood(df, columns, groups=groups, order=order, layout=layout)
     for rule in rules:
         if rule.log_mad:
             out = flag_log_mad(
@@ -229,9 +230,14 @@ def quality_chain(
         helpers += [pattern.format(c) for c in columns]
     out = out.withColumns(added).drop(*helpers)
     if lat and lon:
+        near = dict(lat=lat, lon=lon, tie=order, pool=pool)
+        cleaned, settled = [r.clean for r in rules], None
+        if groups and set(groups) <= {*pool, lat, lon} and not layout.split:
+            # A place of a pool lies inside one series, which its task holds in any case.
+            out, settled = place_estimates(out, cleaned, **near)
         # The windows above are read several times below.
         out = store(out, "series")
-        out = fill_from_nearest(out, [r.clean for r in rules], lat=lat, lon=lon, tie=order, pool=pool)
+        out = fill_from_nearest(out, cleaned, **near, settled=settled)
     return out.withColumns(
         {
             rule.imputed: (F.col(rule.column).isNull() & F.col(rule.clean).isNotNull()).cast("int")

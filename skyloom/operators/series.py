@@ -48,15 +48,16 @@ def neighbourhood(
     groups: Sequence[str],
     order: Sequence[str],
     chunk_rows: int = CHUNK_ROWS,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Add, per metric, the columns ``PRIOR``, ``RUN``, ``KNOWN_BEFORE`` and ``KNOWN_AFTER``.
 
     The known columns are structs of position and value; ``POSITION`` is the row's own
     position in its series. Without ``order`` the frame comes back with no helper columns
-    that need one.
+    that need one. ``layout`` is the frame's split by ``groups`` where the caller has it already.
     """
     order = list(order)
-    layout = split_groups(df, groups, order, chunk_rows)
+    layout = layout or split_groups(df, groups, order, chunk_rows)
     keys = layout.keys
     ordered = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_last() for o in order])
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from skyloom.operators import nearest
 from skyloom.operators.nearest import fill_from_nearest
 
 
@@ -72,3 +73,36 @@ def test_regular_grid_ties(spark):
 def test_nothing_known_leaves_all_missing(spark):
     df = spark.createDataFrame([(0.0, 0.0, 1, None)], "lat double, lon double, t int, v double")
     assert fill_from_nearest(df, ["v"], lat="lat", lon="lon", tie=["t"]).where(F.col("v").isNull()).count() == 1
+
+
+def own_places(spark):
+    """Six places of two pools: at some only the first rows miss a value, at (3, 0) all of them do."""
+    data = [
+        (f"p{p}", float(a), 0.0, t, None if a == 3 or t < 2 - a % 2 else float(100 * p + 10 * a + t))
+        for p in range(2) for a in range(6) for t in range(9)
+    ]
+    data += [("p0", None, 0.0, 1, None), ("p2", 1.0, 0.0, 1, None)]
+    return spark.createDataFrame(data, "pool string, lat double, lon double, t int, v double"), data
+
+
+@pytest.mark.parametrize("windowed", [True, False])
+def test_own_place_is_settled_without_a_walk(spark, monkeypatch, windowed):
+    """Only the place where nothing is known walks, and filled values are not known ones to it."""
+    walked = []
+    walk = nearest.nearest_points
+    monkeypatch.setattr(nearest, "nearest_points", lambda wanted, *a: walked.append(wanted.select("u_lat").distinct().collect()) or walk(wanted, *a))
+    df, data = own_places(spark)
+    near = dict(lat="lat", lon="lon", tie=["t"], pool=["pool"])
+    frame, settled = nearest.place_estimates(df, ["v"], **near) if windowed else (df, None)
+    got = fill_from_nearest(frame, ["v"], **near, settled=settled)
+    assert got.columns == df.columns
+    by_key = {tuple(r)[:4]: r["v"] for r in got.collect()}
+    assert len(by_key) == len(data)
+    for pool, a, b, t, v in data:
+        known = [d[1:] for d in data if d[0] == pool and d[1] is not None and d[4] is not None]
+        want = v if v is not None else brute(known, (a, b)) if known and a is not None else None
+        assert by_key[(pool, a, b, t)] == (want if want is None else pytest.approx(want, rel=1e-9))
+    assert [sorted(r[0] for r in w) for w in walked] == [[1.0, 3.0]]
+    walked.clear()
+    frame, settled = nearest.place_estimates(df.where("lat <> 3 and pool <> 'p2'"), ["v"], **near)
+    assert fill_from_nearest(frame, ["v"], **near, settled=settled).where("v is null").isEmpty() and not walked
