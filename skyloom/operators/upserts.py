@@ -35,14 +35,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def upsert(
-    existing: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]
+    existing: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], *, unique: bool = False
 ) -> DataFrame:
     """Merge a batch into a table: the batch beats the table, later batch rows beat earlier.
 
-    Stored rows hold a key once, so only the batch is aggregated; of the table the rows stay
-    whose key the batch lacks. NULL keys are equal.
+    Stored rows hold a key once, so only the batch is aggregated, and not even that where it is known
+    to be ``unique``; of the table the rows stay whose key the batch lacks. NULL keys are equal.
     """
-    latest = keep_last(batch, keys, order)
+    latest = batch if unique else keep_last(batch, keys, order)
     untouched = match_null_safe(existing, latest.select(*keys), keys, "left_anti")
     return untouched.unionByName(latest, allowMissingColumns=True)
 

@@ -23,6 +23,7 @@ from skyloom.profiles import (
     STATION_AIR,
     WEATHER,
 )
+from skyloom.session import store
 
 SORT_TIME = "_sort_time"
 POOL_DAY = "_pool_day"
@@ -193,7 +194,8 @@ def qc_with_context(
     both = batch.withColumn("_is_new", F.lit(1)).unionByName(
         stored.withColumn("_is_new", F.lit(0)), allowMissingColumns=True
     )
-    once = keep_last(both, [station, time], ["_is_new", *raw]).withColumn(SORT_TIME, parse_instant(time))
+    # Read by the count of the groups and by the windows.
+    once = store(keep_last(both, [station, time], ["_is_new", *raw]).withColumn(SORT_TIME, parse_instant(time)), "once")
     out = quality_chain(once, rules, groups=[station], order=[SORT_TIME, time], chunk_rows=chunk_rows)
     return out.where(F.col("_is_new") == 1).drop("_is_new", SORT_TIME)
 

@@ -181,11 +181,12 @@ def upsert_table(
     partition: str,
     keys: Sequence[str],
     order: Sequence[str],
+    unique: bool = False,
 ) -> None:
     """Read-merge-write of the partitions the batch touches; running it twice changes nothing.
 
-    The merge is written to the checkpoint folder before the table is touched, so the table is
-    never overwritten while it is being read.
+    ``unique`` says that the batch holds no key twice. The merge is written to the checkpoint folder
+    before the table is touched, so the table is never overwritten while it is being read.
     """
     columns = [*schema.fieldNames()]
     if partition not in columns:
@@ -195,7 +196,7 @@ def upsert_table(
     )
     existing = scan_table(spark, path, schema, partition).select(*columns)
     affected = in_touched_partitions(existing, incoming, partition)
-    merged = upsert(affected, incoming, [partition, *keys], order).select(*columns)
+    merged = upsert(affected, incoming, [partition, *keys], order, unique=unique).select(*columns)
     overwrite_partitions(store(merged, "merged"), path, [partition])
 
 

@@ -125,7 +125,8 @@ def quality_sink(
         flagged = qc_with_context(fresh, context, rules, station=station, time=time)
         dated = store(flagged.withColumn("date", observation_date(time)))
         upsert_table(
-            spark, dated, f"{path}/flags", dated.schema, partition="date", keys=[station, time], order=[time]
+            spark, dated, f"{path}/flags", dated.schema, partition="date", keys=[station, time], order=[time],
+            unique=True,  # as every batch that went through the context step
         )
         newest = Window.partitionBy(station).orderBy(F.desc(time))
         # A rank below a constant is cut inside every task before rows are shuffled.
@@ -178,7 +179,7 @@ def silver_sink(
             )
         upsert_table(
             spark, valid, path, schema, partition="date", keys=[station, "timestamp"],
-            order=["timestamp"],
+            order=["timestamp"], unique=True,
         )
 
     return scratch_batch(spark, run)

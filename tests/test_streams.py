@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from skyloom.operators import upserts
 from skyloom.plans import health
 from skyloom.plans.catalog import QUERIES, features
 from skyloom.profiles import CONTRACTS, STATION_AIR
@@ -100,6 +101,26 @@ def test_failure_cases_of_two_streams_stay(spark, tmp_path):
     assert spark.read.parquet(failures).select("run_id").distinct().count() == 3
 
 
+def test_a_checked_batch_is_not_deduplicated_again(spark, tmp_path, monkeypatch):
+    """The context step leaves one row per key; the merge behind it takes them as they are."""
+    again = []
+    keep = upserts.keep_last
+    monkeypatch.setattr(upserts, "keep_last", lambda *a: again.append(a) or keep(*a))
+    schema = "station_id string, city string, timestamp string, " + ", ".join(f"{m}_raw double" for m in ("pm25", "pm10", "no2", "so2", "co", "o3"))
+    path = str(tmp_path / "silver")
+    sink = jobs.silver_sink(
+        spark, path, SILVER_AIR, STATION_AIR, CONTRACTS["cpcb"], station="station_id",
+        tags={"source": "cpcb", "is_synthetic": 0},
+    )
+    at = "2026-01-01T0{}:00:00+00:00"
+    data = [("7", "delhi", at.format(h), float(v), 1.0, 1.0, 1.0, 1.0, 1.0) for h, v in ((1, 5), (2, 6), (1, 7), (1, 7))]
+    for batch_id in (0, 1):
+        sink(spark.createDataFrame(data, schema), batch_id)
+        got = spark.read.parquet(path).select("timestamp", "pm25_raw")
+        assert rows(got, "timestamp") == [(at.format(1), 7.0), (at.format(2), 6.0)]
+    assert not again
+
+
 def test_silver_grid_merges_its_rows_once(spark, sf, monkeypatch):
     """The chain reads its input twice, so the merge before it is stored."""
     given = []
